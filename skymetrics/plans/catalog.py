@@ -31,7 +31,8 @@ MULTI_BATCH = 50
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture observations with calendar parts."""
-    return calendar.with_calendar(fixture.observations(spark, sf_dir))
+    return fixture._memo(spark, ("calendar", sf_dir),
+                         lambda: calendar.with_calendar(fixture.observations(spark, sf_dir)))
 
 
 _Q: dict[str, Query] = {}
@@ -539,3 +540,22 @@ def q_orders_daily_totals(spark, sf):
         .agg(total("o_totalprice").alias("TotalPrice"), F.count(F.lit(1)).alias("Orders"))
         .orderBy("Date")
     )
+
+
+# ---------------------------------------------------------------- single-scan dashboard (roll-ups of one aggregate)
+
+
+def _dash(name: str, fn):
+    from . import dashboard as D
+
+    def q(spark, sf):
+        return fn(D, D.aggregate(obs(spark, sf)))
+    register(f"dashboard_{name}", _SQL[name])(q)
+
+
+_dash("monthly_summary", lambda D, agg: D.monthly_summary(agg))
+_dash("monthly_precipitation", lambda D, agg: D.monthly_precipitation(agg))
+_dash("hourly_temperature", lambda D, agg: D.hourly_profile(agg, "Temperature"))
+_dash("wind_by_direction", lambda D, agg: D.wind_by_direction(agg))
+_dash("daily_summary", lambda D, agg: D.daily_summary(agg))
+_dash("daily_wind_direction", lambda D, agg: D.daily_wind_direction(agg))

@@ -8,6 +8,8 @@ scan: it adds no shuffle and lets the scan prune to the six columns it reads.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +19,29 @@ from .dimensions import WMO_CODE_LIST, stations
 FIXTURE_STATIONS = ["click", "error", "purchase", "signup", "view"]
 
 
+# Loaded source plans per live session: a DataFrame is an immutable plan, so
+# queries over the same table share one file listing and one analysed
+# projection, as a user holding ``obs = load(...)`` would.
+_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    plans = _PLANS.setdefault(spark, {})
+    if key not in plans:
+        plans[key] = build()
+    return plans[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def observations_from_events(events: DataFrame) -> DataFrame:
     """events -> Station, Time, Temperature, Humidity, Precipitation,
     WeatherCode, WindSpeed, WindDirection, Pressure."""
     k = F.get_json_object("props", "$.k").cast("int")
-    codes = F.array(*[F.lit(c) for c in WMO_CODE_LIST])
+    codes = F.lit(WMO_CODE_LIST)
     eid = F.col("event_id")
     return events.select(
         F.col("event_type").alias("Station"),
@@ -43,7 +59,7 @@ def observations_from_events(events: DataFrame) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations_from_events(table(spark, sf_dir, "events"))
+    return _memo(spark, ("observations", sf_dir), lambda: observations_from_events(table(spark, sf_dir, "events")))
 
 
 def fixture_stations(spark: SparkSession) -> DataFrame:
