@@ -36,6 +36,15 @@ def _check_input(spark: SparkSession, path: str) -> None:
     found = fs.globStatus(p)
     if found is None or len(found) == 0:
         raise NoInputFiles(f"no input files match {path}")
+    for st in found:
+        if st.isFile() and st.getPath().getName().endswith(".csv"):
+            return
+        if st.isDirectory():
+            it = fs.listFiles(st.getPath(), True)  # stops at the first CSV found
+            while it.hasNext():
+                if it.next().getPath().getName().endswith(".csv"):
+                    return
+    raise NoInputFiles(f"no .csv file under {path}")
 
 
 def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: bool = True) -> DataFrame:
@@ -88,9 +97,17 @@ def validate(text: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def station_from_path(path: Column | str = "SourceFile") -> Column:
-    """The station name encoded in the landing directory."""
+    """The station name encoded in the landing directory (file paths
+    arrive URI-encoded, so ``Gran%20Canaria`` reads back as ``Gran Canaria``)."""
     path = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(path, STATION_DIR, 1)
+    return F.url_decode(F.regexp_extract(path, STATION_DIR, 1))
+
+
+def station_from_partition(path: Column | str = "SourceFile") -> Column:
+    """Station from a ``Station=`` directory written by ``sinks.write_daily_csv``:
+    one decode for the URI, one for Spark's partition-value escaping."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.url_decode(F.url_decode(F.regexp_extract(path, r"/Station=([^/]+)/", 1)))
 
 
 def load_observations(spark: SparkSession, path: str, na_token: str = "NA") -> DataFrame:
@@ -98,10 +115,8 @@ def load_observations(spark: SparkSession, path: str, na_token: str = "NA") -> D
     ``Station=`` partition directory or else from the landing directory name."""
     good, _ = validate(read_text(spark, path, na_token))
     from_dir = station_from_path("SourceFile")
-    part = F.regexp_extract("SourceFile", r"/Station=([^/]+)/", 1)
-    station = F.when(part != "", F.expr("url_decode(regexp_extract(SourceFile, '/Station=([^/]+)/', 1))")).otherwise(
-        F.when(from_dir != "", from_dir)
-    )
+    part = station_from_partition("SourceFile")
+    station = F.when(part != "", part).when(from_dir != "", from_dir)
     return good.select(station.alias("Station"), *[c for c in CSV_COLUMNS])
 
 
