@@ -16,7 +16,9 @@ validated exactly like the batch reader (``sources.csv_files.validate``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -85,11 +87,24 @@ def _idempotent(write_batch, table_path: str):
     return run
 
 
+def event_time(local: str = "Time") -> Column:
+    """The wall-clock label as an instant on a UTC axis: watermarks need a
+    TIMESTAMP, and UTC day windows then coincide with the label's calendar
+    days whatever the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(local)))
+
+
+def _label_date(instant: Column) -> Column:
+    return F.date_add(F.lit(dt.date(1970, 1, 1)), F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def daily_summary_stream(obs: DataFrame, watermark: str = "2 days") -> DataFrame:
     """Daily statistics per station, final once the watermark passes the day."""
     return (
-        obs.withWatermark("Time", watermark)
-        .groupBy("Station", F.window("Time", "1 day").alias("Day"))
+        obs.withColumn("EventTime", event_time("Time"))
+        .withWatermark("EventTime", watermark)
+        .groupBy("Station", F.window("EventTime", "1 day").alias("Day"))
         .agg(
             F.max("Temperature").alias("MaxTemperature"),
             exact_mean("Temperature").alias("AvgTemperature"),
@@ -98,6 +113,6 @@ def daily_summary_stream(obs: DataFrame, watermark: str = "2 days") -> DataFrame
             F.count_if(F.col("Precipitation") > 0).alias("PrecipitationHours"),
             F.max("WindSpeed").alias("MaxWindSpeed"),
         )
-        .select("Station", F.to_date(F.col("Day.start")).alias("Date"), "MaxTemperature", "AvgTemperature",
+        .select("Station", _label_date(F.col("Day.start")).alias("Date"), "MaxTemperature", "AvgTemperature",
                 "MinTemperature", "TotalPrecipitation", "PrecipitationHours", "MaxWindSpeed")
     )
