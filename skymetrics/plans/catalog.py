@@ -435,7 +435,7 @@ def q_union_by_name(spark, sf):
 @register("json_pivot", O.with_obs(f"SELECT {_ROW_COLS} FROM obs WHERE Time IS NOT NULL"))
 def q_json_pivot(spark, sf):
     o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    docs = J.to_documents(J.pack_days(o, fixture.fixture_stations(spark)))
+    docs = J.to_documents(J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)))
     good, _ = J.split_responses(J.parse_responses(docs.select("Station", "json")))
     return J.pivot_hourly(good)
 
@@ -452,7 +452,7 @@ def q_multi_location(spark, sf):
     st = fixture.fixture_stations(spark)
     idx = F.array_position(F.array(*[F.lit(s) for s in fixture.FIXTURE_STATIONS]), F.col("Station")) - 1
     o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    days = J.pack_days(o, st).withColumn("Idx", idx)
+    days = J.pack_days(o, st, len(fixture.FIXTURE_STATIONS)).withColumn("Idx", idx)
     # one document per (Date, batch of locations): a list of responses ordered by location
     docs = days.groupBy("Date", F.floor(F.col("Idx") / MULTI_BATCH).alias("Batch")).agg(
         F.sort_array(F.collect_list(F.struct("Idx", "Station", "response"))).alias("items")
@@ -478,7 +478,7 @@ def q_multi_location(spark, sf):
 )
 def q_response_errors(spark, sf):
     o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    packed = J.pack_days(o, fixture.fixture_stations(spark))
+    packed = J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS))
     flags = o.groupBy("Station", F.to_date("Time").alias("Date")).agg(
         F.bool_or(F.col("Pressure").isNull()).alias("NoPressure"),
         F.bool_or(F.col("WindDirection").isNull()).alias("NoDirection"),

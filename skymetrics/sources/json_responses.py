@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import parse_time
+from .dimensions import dimension_join
 
 # The service's hourly variable names for each observation column.
 HOURLY_VARIABLES = {
@@ -113,7 +114,7 @@ def hourly_block(rows: Column) -> Column:
     )
 
 
-def pack_days(obs: DataFrame, stations: DataFrame | None = None) -> DataFrame:
+def pack_days(obs: DataFrame, stations: DataFrame | None = None, station_rows: int | None = None) -> DataFrame:
     """Observation rows -> one response document per (Station, Date), the
     service's shape.  A group is one station-day, bounded by the sampling rate
     (24 rows for hourly data), never by the size of the table."""
@@ -122,7 +123,8 @@ def pack_days(obs: DataFrame, stations: DataFrame | None = None) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(*fields))).alias("rows")
     )
     if stations is not None:
-        days = days.join(F.broadcast(stations.select("Station", "Latitude", "Longitude", "UtcOffsetSeconds")), "Station", "left")
+        dim = stations.select("Station", "Latitude", "Longitude", "UtcOffsetSeconds")
+        days = dimension_join(days, dim, "Station", "left", station_rows)
     else:
         days = days.select("*", *[F.lit(None).cast(t).alias(n) for n, t in
                                   (("Latitude", "double"), ("Longitude", "double"), ("UtcOffsetSeconds", "int"))])
