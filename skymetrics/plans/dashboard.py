@@ -18,7 +18,6 @@ read from it and a lost executor costs a re-read, not a re-scan.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import DEFAULT_SCALE, units
 from ..operators.daily import VECTOR_SCALE
-from ..session import checkpoint_dir
+from ..sources.sinks import persist_table
 
 SCALE = float(10**DEFAULT_SCALE)
 STAT_MEASURES = ("Temperature", "Humidity", "Pressure")
@@ -67,11 +66,8 @@ def aggregate(obs: DataFrame, by: Sequence[str] = ("Station",)) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a small result to the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-dashboard-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    """Write the small aggregate to the shared checkpoint folder and read it back."""
+    return persist_table(df, "dashboard")
 
 
 # ----------------------------------------------------------------- roll-ups

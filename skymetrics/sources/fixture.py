@@ -13,6 +13,7 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import OBSERVATION
 from .dimensions import WMO_CODE_LIST, stations
 
 # The fixture's station names (the five event types, sorted).
@@ -58,8 +59,18 @@ def observations_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("observations", sf_dir), lambda: observations_from_events(table(spark, sf_dir, "events")))
+def observations(spark: SparkSession, sf_dir: str, compact: bool = True) -> DataFrame:
+    """Fixture observations.  With ``compact`` (the default) the projection is
+    written once per session as a Station-partitioned Parquet table in the
+    checkpoint folder - the compaction a landed table gets - and every query
+    scans that table; otherwise the projection is recomputed per query."""
+    def build() -> DataFrame:
+        obs = observations_from_events(table(spark, sf_dir, "events"))
+        if not compact:
+            return obs
+        from .sinks import persist_table
+        return persist_table(obs, "observations", partition_by=("Station",), schema=OBSERVATION)
+    return _memo(spark, ("observations", sf_dir, compact), build)
 
 
 def fixture_stations(spark: SparkSession) -> DataFrame:

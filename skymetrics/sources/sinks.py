@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import CSV_COLUMNS
+from ..session import checkpoint_dir
 
 # The saved report's Spanish headers for the wide monthly table.
 SPANISH_HEADERS = {
@@ -61,3 +65,31 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("St
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def persist_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
+                  schema: T.StructType | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the cluster's shared checkpoint folder and
+    return a reader of it: later plans start from columnar files (pruned,
+    pushed-down scans) and a lost executor re-reads instead of recomputing.
+
+    No repartition before the write: each task writes its own files, so a hot
+    partition value never funnels into one task.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-{name}-{uuid.uuid4().hex}"
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    schema = schema or df.schema
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def collect_small(df: DataFrame, max_rows: int = 1_000_000):
+    """Bring a result to the driver as pandas (Arrow) only when it is
+    proven small; a bounded ``limit`` count runs first."""
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it out instead of collecting")
+    return df.toPandas()
