@@ -25,6 +25,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or max(2, n)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # local data is small: let AQE keep post-shuffle stages spread over all
+        # cores instead of merging them into 1 MB partitions (cluster runs keep
+        # the advisory size, see README)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SKYMETRICS_DRIVER_MEMORY", "8g"))
