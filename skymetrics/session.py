@@ -38,13 +38,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
+    """The shared folder for checkpoints and written intermediate tables.
+
+    Uses the context's checkpoint directory, else ``spark.checkpoint.dir``.  A
+    scratch folder is created only for a local-mode session (tests); on a
+    cluster a machine-local folder would be wrong, so without the setting this
+    raises (or returns None when ``required`` is false).
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            if required:
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+            return None
         configured = tempfile.mkdtemp(prefix="skymetrics-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -132,3 +132,28 @@ def read_inferred(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 MEASURE_COLUMNS = list(MEASURES)
+
+
+# Landing directory and daily file name formats.
+LANDING_DIR_FORMAT = "weather_data_hourly_{station}_{latitude}_{longitude}"
+DAILY_FILE_FORMAT = "weather_{date}.csv"
+
+
+def landing_dir(station: str, latitude: float, longitude: float) -> str:
+    """The directory a station's daily files are landed in."""
+    return LANDING_DIR_FORMAT.format(station=station, latitude=latitude, longitude=longitude)
+
+
+def daily_file_name(date) -> str:
+    """File name of one landed day (``date`` as date or ``yyyy-MM-dd`` text)."""
+    return DAILY_FILE_FORMAT.format(date=date.isoformat() if hasattr(date, "isoformat") else date)
+
+
+def landing_path_column(station: Column | str = "Station", latitude: Column | str = "Latitude",
+                        longitude: Column | str = "Longitude", date: Column | str = "Date") -> Column:
+    """X4 as a Column: ``<landing dir>/weather_<yyyy-MM-dd>.csv`` for each row."""
+    c = [F.col(x) if isinstance(x, str) else x for x in (station, latitude, longitude, date)]
+    return F.concat(
+        F.lit("weather_data_hourly_"), c[0], F.lit("_"), c[1].cast("string"), F.lit("_"), c[2].cast("string"),
+        F.lit("/weather_"), F.date_format(c[3], "yyyy-MM-dd"), F.lit(".csv"),
+    )

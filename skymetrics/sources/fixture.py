@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import OBSERVATION
+from ..session import checkpoint_dir
 from .dimensions import WMO_CODE_LIST, stations
 
 # The fixture's station names (the five event types, sorted).
@@ -63,10 +64,11 @@ def observations(spark: SparkSession, sf_dir: str, compact: bool = True) -> Data
     """Fixture observations.  With ``compact`` (the default) the projection is
     written once per session as a Station-partitioned Parquet table in the
     checkpoint folder - the compaction a landed table gets - and every query
-    scans that table; otherwise the projection is recomputed per query."""
+    scans that table; otherwise (or when the session names no shared folder)
+    the projection is recomputed per query."""
     def build() -> DataFrame:
         obs = observations_from_events(table(spark, sf_dir, "events"))
-        if not compact:
+        if not compact or checkpoint_dir(spark, required=False) is None:
             return obs
         from .sinks import persist_table
         return persist_table(obs, "observations", partition_by=("Station",), schema=OBSERVATION)
