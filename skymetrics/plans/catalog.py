@@ -559,3 +559,32 @@ _dash("hourly_temperature", lambda D, agg: D.hourly_profile(agg, "Temperature"))
 _dash("wind_by_direction", lambda D, agg: D.wind_by_direction(agg))
 _dash("daily_summary", lambda D, agg: D.daily_summary(agg))
 _dash("daily_wind_direction", lambda D, agg: D.daily_wind_direction(agg))
+
+
+# ---------------------------------------------------------------- interactive month view (one station-month, one scan)
+
+_PERIOD_WHERE = (
+    f"Station = '{KPI_STATION}' AND Time >= TIMESTAMP '{KPI_YEAR}-{KPI_MONTH:02d}-01' "
+    f"AND Time < TIMESTAMP '{KPI_YEAR}-{KPI_MONTH + 1:02d}-01'"
+)
+
+
+def _month_view(spark, sf):
+    from . import dashboard as D
+    return D.month_view(obs(spark, sf), KPI_YEAR, KPI_MONTH, KPI_STATION)
+
+
+register("month_view_kpis", O.with_obs(f"SELECT {KPI_SQL} FROM obs WHERE {_PERIOD_WHERE}"))(
+    lambda spark, sf: _month_view(spark, sf)["kpis"])
+register(
+    "month_view_wind_rose",
+    O.with_obs(f"SELECT WindDirection, count(*) AS Count FROM obs WHERE {_PERIOD_WHERE} AND WindDirection IS NOT NULL GROUP BY WindDirection"),
+)(lambda spark, sf: _month_view(spark, sf)["wind_rose"])
+register(
+    "month_view_hourly_humidity",
+    O.with_obs(f"SELECT Hour, {O.mmm('Humidity')} FROM obs WHERE {_PERIOD_WHERE} GROUP BY Hour"),
+)(lambda spark, sf: _month_view(spark, sf)["hourly_humidity"])
+register(
+    "month_view_daily_precipitation",
+    O.with_obs(f"SELECT Date, {O.total('Precipitation')} AS Precipitation FROM obs WHERE {_PERIOD_WHERE} GROUP BY Date"),
+)(lambda spark, sf: _month_view(spark, sf)["daily_precipitation"])

@@ -191,3 +191,49 @@ def run_all(spark: SparkSession, sf_dir: str) -> dict[str, list]:
 
     agg = materialize(aggregate(obs(spark, sf_dir)))
     return {name: df.collect() for name, df in tables(agg).items()}
+
+
+# ----------------------------------------------------------------- one month, one station
+
+
+def kpis_from_days(agg: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A14/A15 of everything in the aggregate, rolled up from its day slice."""
+    days = slice_of(agg, "day").filter(F.col("Date").isNotNull())
+    parts = []
+    for m in STAT_MEASURES + ("Precipitation", "WindSpeed"):
+        parts += _sum_parts(m)
+    for m in STAT_MEASURES:
+        parts += [F.min(f"{m}_min").alias(f"{m}_min"), F.max(f"{m}_max").alias(f"{m}_max")]
+    parts.append(F.sum("RainHours").alias("RainHours"))
+    rolled = days.groupBy(*by).agg(*parts) if by else days.agg(*parts)
+    return rolled.select(
+        *by,
+        _mean("Temperature").alias("AvgTemperature"), F.col("Temperature_max").alias("MaxTemperature"),
+        F.col("Temperature_min").alias("MinTemperature"),
+        _mean("Humidity").alias("AvgHumidity"), F.col("Humidity_max").alias("MaxHumidity"),
+        F.col("Humidity_min").alias("MinHumidity"),
+        _total("Precipitation").alias("TotalPrecipitation"),
+        F.coalesce(F.col("RainHours"), F.lit(0)).alias("RainyHours"),
+        _mean("WindSpeed").alias("AvgWindSpeed"),
+        _mean("Pressure").alias("AvgPressure"), F.col("Pressure_max").alias("MaxPressure"),
+        F.col("Pressure_min").alias("MinPressure"),
+    )
+
+
+def month_view(obs: DataFrame, year: int, month: int, station: str | None = None) -> dict[str, DataFrame]:
+    """The interactive month view: hourly temperature and humidity, daily
+    precipitation, wind rose and KPIs of one (station, month).
+
+    The period filter reaches the scan (pushed ``Time`` range, pruned
+    ``Station`` partition); one grouping-sets aggregate feeds every table.
+    """
+    from ..operators.prepare import for_period
+
+    agg = aggregate(for_period(obs, year, month, station), by=())
+    return {
+        "hourly_temperature": hourly_profile(agg, "Temperature", by=()),
+        "hourly_humidity": hourly_profile(agg, "Humidity", by=()),
+        "daily_precipitation": daily_precipitation(agg, by=()),
+        "wind_rose": wind_rose(agg, by=()),
+        "kpis": kpis_from_days(agg),
+    }
