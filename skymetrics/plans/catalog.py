@@ -443,26 +443,19 @@ def q_json_pivot(spark, sf):
 @register(
     "multi_location",
     O.with_obs(
-        f"SELECT CAST(Time AS DATE) AS Date, CAST(dense_rank() OVER (PARTITION BY CAST(Time AS DATE), {O.STATION_INDEX} // {MULTI_BATCH} "
-        f"ORDER BY {O.STATION_INDEX}) - 1 AS INTEGER) AS LocationId, {_ROW_COLS} "
+        f"SELECT CAST(Time AS DATE) AS Date, CAST({O.STATION_INDEX} % {MULTI_BATCH} AS INTEGER) AS LocationId, {_ROW_COLS} "
         "FROM obs WHERE Time IS NOT NULL"
     ),
 )
 def q_multi_location(spark, sf):
-    st = fixture.fixture_stations(spark)
-    idx = F.array_position(F.array(*[F.lit(s) for s in fixture.FIXTURE_STATIONS]), F.col("Station")) - 1
+    names = F.array(*[F.lit(s) for s in fixture.FIXTURE_STATIONS])
+    idx = F.array_position(names, F.col("Station")) - 1
+    n = len(fixture.FIXTURE_STATIONS)
     o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    days = J.pack_days(o, st, len(fixture.FIXTURE_STATIONS)).withColumn("Idx", idx)
-    # one document per (Date, batch of locations): a list of responses ordered by location
-    docs = days.groupBy("Date", F.floor(F.col("Idx") / MULTI_BATCH).alias("Batch")).agg(
-        F.sort_array(F.collect_list(F.struct("Idx", "Station", "response"))).alias("items")
-    ).select(
-        "Date",
-        F.transform("items", lambda x: x["Station"]).alias("Stations"),
-        F.to_json(F.transform("items", lambda x: x["response"])).alias("json"),
-    )
+    docs = J.pack_locations(J.pack_days(o, fixture.fixture_stations(spark), n), idx, n, MULTI_BATCH)
     parsed = J.parse_multi(docs)
-    parsed = parsed.withColumn("Station", F.element_at("Stations", F.col("LocationId") + 1)).drop("Stations")
+    station = F.element_at(names, (F.col("Batch") * MULTI_BATCH + F.col("LocationId") + 1).cast("int"))
+    parsed = parsed.withColumn("Station", station)
     return J.pivot_hourly(parsed).select("Date", "LocationId", *_ROW_COLS.split(", "))
 
 
@@ -477,27 +470,26 @@ def q_multi_location(spark, sf):
     ),
 )
 def q_response_errors(spark, sf):
+    st, n = fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)
     o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    packed = J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS))
     flags = o.groupBy("Station", F.to_date("Time").alias("Date")).agg(
         F.bool_or(F.col("Pressure").isNull()).alias("NoPressure"),
         F.bool_or(F.col("WindDirection").isNull()).alias("NoDirection"),
     )
-    # the service answers a day with a missing variable by an error object, and
-    # a day with a missing direction by a response without an hourly block
-    resp = (
-        packed.join(flags, ["Station", "Date"])
-        .select(
-            "Station", "Date",
-            F.when(F.col("NoPressure"), F.to_json(F.struct(
-                F.lit(True).alias("error"),
-                F.concat(F.lit("Cannot initialize WeatherVariable pressure_msl for "), F.date_format("Date", "yyyy-MM-dd")).alias("reason"),
-            )))
-            .when(F.col("NoDirection"), F.to_json(F.col("response").dropFields("hourly")))
-            .otherwise(F.to_json("response")).alias("json"),
-        )
-    )
-    _, rejects = J.split_responses(J.parse_responses(resp))
+    flags = J.with_station_columns(flags, st, n)
+    # a batch of responses as the service sends them: an error object for a day
+    # with a missing variable, a response without hourly block for a day with a
+    # missing direction, full (chunked) responses for the other days
+    errors = flags.filter("NoPressure").select("Station", "Date", F.to_json(F.struct(
+        F.lit(True).alias("error"),
+        F.concat(F.lit("Cannot initialize WeatherVariable pressure_msl for "), F.date_format("Date", "yyyy-MM-dd")).alias("reason"),
+    )).alias("json"))
+    partial = flags.filter("NOT NoPressure AND NoDirection").select(
+        "Station", "Date", F.to_json(J.empty_response().dropFields("hourly")).alias("json"))
+    flagged = flags.filter("NoPressure OR NoDirection").select("Station", "Date")
+    full = J.to_documents(J.pack_days(o, st, n)).join(flagged, ["Station", "Date"], "left_anti").select("Station", "Date", "json")
+    batch = errors.unionByName(partial).unionByName(full)
+    _, rejects = J.split_responses(J.parse_responses(batch))
     return rejects.select("Station", "Date", "Reason")
 
 

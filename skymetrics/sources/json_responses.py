@@ -114,31 +114,97 @@ def hourly_block(rows: Column) -> Column:
     )
 
 
-def pack_days(obs: DataFrame, stations: DataFrame | None = None, station_rows: int | None = None) -> DataFrame:
-    """Observation rows -> one response document per (Station, Date), the
-    service's shape.  A group is one station-day, bounded by the sampling rate
-    (24 rows for hourly data), never by the size of the table."""
-    fields = ["Time", *HOURLY_VARIABLES]
-    days = obs.groupBy("Station", F.to_date("Time").alias("Date")).agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("rows")
+# Most observation rows one response document may hold.
+MAX_ROWS_PER_DOCUMENT = 4096
+
+
+ROW_STRUCT = (
+    "array<struct<Time:timestamp_ntz,Temperature:double,Humidity:double,Precipitation:double,"
+    "WeatherCode:int,WindSpeed:double,WindDirection:double,Pressure:double>>"
+)
+
+
+def _response(rows: Column | None, coords: bool = True) -> Column:
+    """Response struct; coordinates come from the joined station columns, or
+    are NULL when ``coords`` is false.  ``rows=None`` gives empty arrays."""
+    if rows is None:
+        rows = F.array().cast(ROW_STRUCT)
+
+    def c(name, t):
+        return F.col(name) if coords else F.lit(None).cast(t)
+
+    return F.struct(
+        c("Latitude", "double").alias("latitude"),
+        c("Longitude", "double").alias("longitude"),
+        c("UtcOffsetSeconds", "int").alias("utc_offset_seconds"),
+        F.lit("GMT").alias("timezone"),
+        hourly_block(rows).alias("hourly"),
     )
+
+
+def with_station_columns(df: DataFrame, stations: DataFrame | None, station_rows: int | None) -> DataFrame:
     if stations is not None:
         dim = stations.select("Station", "Latitude", "Longitude", "UtcOffsetSeconds")
-        days = dimension_join(days, dim, "Station", "left", station_rows)
-    else:
-        days = days.select("*", *[F.lit(None).cast(t).alias(n) for n, t in
-                                  (("Latitude", "double"), ("Longitude", "double"), ("UtcOffsetSeconds", "int"))])
-    return days.select(
-        "Station",
-        "Date",
-        F.struct(
-            F.col("Latitude").alias("latitude"),
-            F.col("Longitude").alias("longitude"),
-            F.col("UtcOffsetSeconds").alias("utc_offset_seconds"),
-            F.lit("GMT").alias("timezone"),
-            hourly_block(F.col("rows")).alias("hourly"),
-        ).alias("response"),
+        return dimension_join(df, dim, "Station", "left", station_rows)
+    return df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in
+                            (("Latitude", "double"), ("Longitude", "double"), ("UtcOffsetSeconds", "int"))])
+
+
+def pack_days(obs: DataFrame, stations: DataFrame | None = None, station_rows: int | None = None,
+              max_rows: int = MAX_ROWS_PER_DOCUMENT) -> DataFrame:
+    """Observation rows -> response documents in the service's shape, one per
+    (Station, Date, Chunk).
+
+    ``Chunk`` numbers runs of ``max_rows`` consecutive rows of an input split
+    (from ``monotonically_increasing_id``, stable when a split is recomputed),
+    so no document ever holds more than ``max_rows`` rows however many rows a
+    station-day has.  A day landed as one file stays one document.
+    """
+    fields = ["Time", *HOURLY_VARIABLES]
+    chunked = obs.withColumn("Chunk", F.floor(F.monotonically_increasing_id() / max_rows))
+    days = chunked.groupBy("Station", F.to_date("Time").alias("Date"), "Chunk").agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("rows")
+    )
+    days = with_station_columns(days, stations, station_rows)
+    return days.select("Station", "Date", "Chunk", _response(F.col("rows")).alias("response"))
+
+
+def empty_response() -> Column:
+    """A response without coordinates and with empty hourly arrays: the entry
+    for a requested location that has no data."""
+    return _response(None, coords=False)
+
+
+def pack_locations(packed: DataFrame, index: Column, n_locations: int, batch: int = 50) -> DataFrame:
+    """D7 inverse: per-location responses -> multi-location documents.
+
+    Locations are requested in batches of ``batch`` (by ``index``); a document
+    lists every location of its batch in index order, an empty response where
+    a location has no data, so a response's position is its location.  When a
+    day of one location spans several chunks, its k-th chunk goes to the k-th
+    document of that (Date, batch): every document holds at most ``batch``
+    responses, each bounded by ``pack_days``.
+    """
+    from pyspark.sql import Window
+
+    keyed = packed.withColumn("Idx", index).withColumn("Batch", F.floor(F.col("Idx") / batch))
+    keys = keyed.select("Station", "Date", "Chunk")
+    ranked = keys.withColumn(
+        "K", F.row_number().over(Window.partitionBy("Station", "Date").orderBy("Chunk")) - 1
+    )
+    keyed = keyed.join(ranked, ["Station", "Date", "Chunk"])
+    grouped = keyed.groupBy("Date", "Batch", "K").agg(
+        F.collect_list(F.struct("Idx", "response")).alias("items")
+    )
+    width = F.least(F.lit(batch), F.lit(n_locations) - F.col("Batch") * batch)
+    listed = F.transform(
+        F.sequence(F.lit(0), width - 1),
+        lambda i: F.coalesce(
+            F.try_element_at(F.filter("items", lambda x: x["Idx"] == F.col("Batch") * batch + i), F.lit(1))["response"],
+            empty_response(),
+        ),
     )
+    return grouped.select("Date", "Batch", "K", F.to_json(listed).alias("json"))
 
 
 def to_documents(packed: DataFrame) -> DataFrame:

@@ -72,3 +72,26 @@ def test_pack_and_parse_round_trip(spark):
     good, _ = J.split_responses(J.parse_responses(docs.select("Station", "json")))
     back = J.pivot_hourly(good)
     assert rows(back) == rows(obs)
+
+
+def test_documents_are_bounded_and_lossless(spark):
+    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
+    packed = J.pack_days(obs, max_rows=3)
+    sizes = [r.n for r in packed.select(F.size("response.hourly.time").alias("n")).collect()]
+    assert max(sizes) <= 3
+    good, _ = J.split_responses(J.parse_responses(J.to_documents(packed).select("Station", "json")))
+    assert rows(J.pivot_hourly(good)) == rows(obs)
+
+
+def test_multi_location_documents_bounded(spark):
+    names = fixture.FIXTURE_STATIONS
+    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
+    idx = F.array_position(F.array(*[F.lit(s) for s in names]), F.col("Station")) - 1
+    docs = J.pack_locations(J.pack_days(obs, max_rows=2), idx, len(names), batch=2)
+    parsed = J.parse_multi(docs)
+    # every document lists exactly the locations of its batch, in order
+    counts = parsed.groupBy("Date", "Batch", "K").agg(F.max("LocationId").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r.n == r.m + 1 <= 2 for r in counts)
+    station = F.element_at(F.array(*[F.lit(s) for s in names]), (F.col("Batch") * 2 + F.col("LocationId") + 1).cast("int"))
+    back = J.pivot_hourly(parsed.withColumn("Station", station)).select(obs.columns)
+    assert rows(back) == rows(obs)
