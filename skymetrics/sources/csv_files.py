@@ -24,6 +24,10 @@ TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_
 STATION_DIR = r"weather_data_hourly_(.+)_(-?[0-9.]+)_(-?[0-9.]+)/[^/]*$"
 
 
+# Input paths probed individually on the driver before reading.
+MAX_CHECKED_PATHS = 16
+
+
 class NoInputFiles(FileNotFoundError):
     """The input path is missing or holds no CSV file."""
 
@@ -59,8 +63,13 @@ def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: b
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-    for p in paths:
-        _check_input(spark, p)
+    if not paths:
+        raise NoInputFiles("no input paths given")
+    if len(paths) <= MAX_CHECKED_PATHS:
+        for p in paths:
+            _check_input(spark, p)
+    # a long file list is not probed one by one on the driver: Spark lists it
+    # in parallel and fails with PATH_NOT_FOUND for a missing file
     return reader.csv(paths).withColumn("SourceFile", F.col("_metadata.file_path"))
 
 
