@@ -561,22 +561,22 @@ _PERIOD_WHERE = (
 )
 
 
-def _month_view(spark, sf):
+def _month_view(spark, sf, table):
     from . import dashboard as D
-    return D.month_view(obs(spark, sf), KPI_YEAR, KPI_MONTH, KPI_STATION)
+    return D.month_view(obs(spark, sf), KPI_YEAR, KPI_MONTH, KPI_STATION, tables=(table,))[table]
 
 
 register("month_view_kpis", O.with_obs(f"SELECT {KPI_SQL} FROM obs WHERE {_PERIOD_WHERE}"))(
-    lambda spark, sf: _month_view(spark, sf)["kpis"])
+    lambda spark, sf: _month_view(spark, sf, "kpis"))
 register(
     "month_view_wind_rose",
     O.with_obs(f"SELECT WindDirection, count(*) AS Count FROM obs WHERE {_PERIOD_WHERE} AND WindDirection IS NOT NULL GROUP BY WindDirection"),
-)(lambda spark, sf: _month_view(spark, sf)["wind_rose"])
+)(lambda spark, sf: _month_view(spark, sf, "wind_rose"))
 register(
     "month_view_hourly_humidity",
     O.with_obs(f"SELECT Hour, {O.mmm('Humidity')} FROM obs WHERE {_PERIOD_WHERE} GROUP BY Hour"),
-)(lambda spark, sf: _month_view(spark, sf)["hourly_humidity"])
+)(lambda spark, sf: _month_view(spark, sf, "hourly_humidity"))
 register(
     "month_view_daily_precipitation",
     O.with_obs(f"SELECT Date, {O.total('Precipitation')} AS Precipitation FROM obs WHERE {_PERIOD_WHERE} GROUP BY Date"),
-)(lambda spark, sf: _month_view(spark, sf)["daily_precipitation"])
+)(lambda spark, sf: _month_view(spark, sf, "daily_precipitation"))

@@ -220,7 +220,11 @@ def kpis_from_days(agg: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def month_view(obs: DataFrame, year: int, month: int, station: str | None = None) -> dict[str, DataFrame]:
+MONTH_VIEW_TABLES = ("hourly_temperature", "hourly_humidity", "daily_precipitation", "wind_rose", "kpis")
+
+
+def month_view(obs: DataFrame, year: int, month: int, station: str | None = None,
+               tables: Sequence[str] = MONTH_VIEW_TABLES) -> dict[str, DataFrame]:
     """The interactive month view: hourly temperature and humidity, daily
     precipitation, wind rose and KPIs of one (station, month).
 
@@ -230,10 +234,11 @@ def month_view(obs: DataFrame, year: int, month: int, station: str | None = None
     from ..operators.prepare import for_period
 
     agg = aggregate(for_period(obs, year, month, station), by=())
-    return {
-        "hourly_temperature": hourly_profile(agg, "Temperature", by=()),
-        "hourly_humidity": hourly_profile(agg, "Humidity", by=()),
-        "daily_precipitation": daily_precipitation(agg, by=()),
-        "wind_rose": wind_rose(agg, by=()),
-        "kpis": kpis_from_days(agg),
+    build = {
+        "hourly_temperature": lambda: hourly_profile(agg, "Temperature", by=()),
+        "hourly_humidity": lambda: hourly_profile(agg, "Humidity", by=()),
+        "daily_precipitation": lambda: daily_precipitation(agg, by=()),
+        "wind_rose": lambda: wind_rose(agg, by=()),
+        "kpis": lambda: kpis_from_days(agg),
     }
+    return {name: build[name]() for name in tables}
