@@ -107,3 +107,10 @@ def test_positional_union_of_many_frames(spark):
     obs = fixture.observations(spark, SF_SMALL)
     parts = [obs.filter(F.col("Station") == s) for s in fixture.FIXTURE_STATIONS]
     assert prepare.union_positional(parts).count() == obs.count()
+
+
+def test_collect_small_is_bounded(spark):
+    df = spark.range(10)
+    assert len(sinks.collect_small(df, max_rows=10)) == 10
+    with pytest.raises(ValueError):
+        sinks.collect_small(df, max_rows=9)

@@ -52,3 +52,21 @@ def test_daily_summary_stream(spark, scratch):
     d = got["2024-01-01"]
     assert (d.MaxTemperature, d.MinTemperature, d.PrecipitationHours, d.MaxWindSpeed) == (23.0, 0.0, 3, 23.0)
     assert abs(d.TotalPrecipitation - 0.3) < 1e-12
+
+
+def test_replayed_batch_is_not_written_twice(spark, scratch):
+    table = os.path.join(scratch, "table")
+    calls = []
+
+    def write(batch, batch_id):
+        calls.append(batch_id)
+        batch.withColumn("BatchId", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(batch_id)) \
+            .write.mode("append").partitionBy("Station", "BatchId").parquet(table)
+
+    run = landing._idempotent(write, table)
+    df = spark.createDataFrame([("A", 1.0)], "Station string, Temperature double")
+    run(df, 0)
+    run(df, 0)  # the same micro-batch replayed after a failure before commit
+    run(df, 1)
+    assert calls == [0, 1]
+    assert spark.read.parquet(table).count() == 2
