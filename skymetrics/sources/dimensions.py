@@ -4,12 +4,19 @@ Both are built from literals, so their row count is known without running a
 job; ``dimension_join`` broadcasts them only while that known size is under a
 limit and otherwise leaves the join strategy to the planner (AQE re-plans it
 from real shuffle statistics).
+
+The rows are a constant array expanded with ``inline`` inside the JVM (a
+one-row range, one task): no Python RDD behind the table, so neither the
+broadcast nor a retried task needs a Python worker.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The seven island stations and their coordinates.
 ISLANDS = [
@@ -61,6 +68,20 @@ WMO_CODE_LIST = [c for c, _, _ in WMO_CODES]
 BROADCAST_ROW_LIMIT = 100_000
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A small table of constant rows, evaluated in the JVM."""
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+STATION_SCHEMA = "Station string, Island string, Latitude double, Longitude double, UtcOffsetSeconds int"
+WMO_SCHEMA = "WeatherCode int, Description string, Category string"
+
+
 def stations(spark: SparkSession, names: list[str] | None = None,
              utc_offset_seconds: int = 0) -> DataFrame:
     """Station dimension: Station, Island, Latitude, Longitude, UtcOffsetSeconds.
@@ -73,14 +94,11 @@ def stations(spark: SparkSession, names: list[str] | None = None,
         if names is not None and i >= len(names):
             break
         rows.append(((names[i] if names else island), island, lat, lon, utc_offset_seconds))
-    return spark.createDataFrame(
-        rows,
-        "Station string, Island string, Latitude double, Longitude double, UtcOffsetSeconds int",
-    )
+    return literal_table(spark, rows, STATION_SCHEMA)
 
 
 def wmo_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(WMO_CODES, "WeatherCode int, Description string, Category string")
+    return literal_table(spark, WMO_CODES, WMO_SCHEMA)
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
