@@ -22,7 +22,21 @@ def landed_days(obs: DataFrame) -> DataFrame:
 def missing_days(obs: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """(Station, Date) expected but absent.  Without ``start``/``end`` each
     station's own first and last landed day bound its range."""
-    landed = landed_days(obs)
+    return missing_of_landed(landed_days(obs), start, end)
+
+
+def missing_files(files: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """S7 on a landing folder: the station-days with no landed file.
+
+    ``files`` is ``sources.csv_files.landed_files(...)``; only file paths are
+    used, as the downloader's skip check does, but every day is checked.
+    """
+    landed = files.select("Station", "Date").where(F.col("Station").isNotNull() & F.col("Date").isNotNull()).distinct()
+    return missing_of_landed(landed, start, end)
+
+
+def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Expected (Station, Date) minus the distinct ``landed`` days."""
     bounds = landed.groupBy("Station").agg(
         (F.lit(start) if start else F.min("Date")).alias("First"),
         (F.lit(end) if end else F.max("Date")).alias("Last"),

@@ -7,6 +7,7 @@ Every query reads whole tables (``events`` projected to observations,
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from ..functions import calendar, units
 from ..functions.stats import exact_mean, mean_min_max, total
 from ..operators import aggregates as A
 from ..operators import coverage, daily, enrich, prepare
-from ..sources import fixture
+from ..session import checkpoint_dir
+from ..sources import csv_files, fixture, sinks
 from ..sources import json_responses as J
 from ..sources.dimensions import ISLANDS
 from . import oracle as O
@@ -402,6 +404,35 @@ def q_coverage_gaps(spark, sf):
     return coverage.missing_days(fixture.observations(spark, sf))
 
 
+# ---------------------------------------------------------------- landed CSV files
+
+
+def landed_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture landed as one headered CSV per station-day (S6) in the
+    shared checkpoint folder, written once per session."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-{uuid.uuid4().hex}"
+        sinks.write_daily_csv(fixture.observations(spark, sf).filter(F.col("Time").isNotNull()), path)
+        return path
+    return fixture._memo(spark, ("landed", sf), build)
+
+
+@register(
+    "landed_csv",
+    O.with_obs(
+        "SELECT Station, date_trunc('minute', Time) AS Time, Temperature, Humidity, Precipitation, WeatherCode, "
+        "WindSpeed, WindDirection, Pressure FROM raw_obs WHERE Time IS NOT NULL"
+    ),
+)
+def q_landed_csv(spark, sf):
+    return csv_files.load_observations(spark, landed_folder(spark, sf))
+
+
+@register("landed_gaps", _SQL["coverage_gaps"])
+def q_landed_gaps(spark, sf):
+    return coverage.missing_files(csv_files.landed_files(spark, landed_folder(spark, sf)))
+
+
 # ---------------------------------------------------------------- sets
 
 _SPLIT = dt.datetime(2025, 1, 1)

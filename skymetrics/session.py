@@ -30,6 +30,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         # the advisory size, see README)
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # local disk without the native Hadoop library: a parallel listing job
+        # serialises full file statuses, which forks a process per file here;
+        # listing on the driver avoids that (clusters keep the default)
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SKYMETRICS_DRIVER_MEMORY", "8g"))
     )

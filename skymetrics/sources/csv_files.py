@@ -119,14 +119,47 @@ def station_from_partition(path: Column | str = "SourceFile") -> Column:
     return F.url_decode(F.url_decode(F.regexp_extract(path, r"/Station=([^/]+)/", 1)))
 
 
+def station_of_file(path: Column | str = "SourceFile") -> Column:
+    """Station from a ``Station=`` partition directory, else from the
+    landing directory name; NULL when the path names neither."""
+    from_dir = station_from_path(path)
+    part = station_from_partition(path)
+    return F.when(part != "", part).when(from_dir != "", from_dir)
+
+
+# Fixed value: the day of a landed file, from a ``Date=`` partition directory
+# or from the daily file name weather_{yyyy-MM-dd}.csv.
+FILE_DATE = r"(?:/Date=|/weather_)([0-9]{4}-[0-9]{2}-[0-9]{2})(?:/[^/]*|\.csv)$"
+
+
+def date_of_file(path: Column | str = "SourceFile") -> Column:
+    """The calendar day a landed file holds (NULL if the path names none)."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.regexp_extract(path, FILE_DATE, 1).try_cast("date")
+
+
 def load_observations(spark: SparkSession, path: str, na_token: str = "NA") -> DataFrame:
     """S1 + F7 + S10: typed observations with Station taken from a
     ``Station=`` partition directory or else from the landing directory name."""
     good, _ = validate(read_text(spark, path, na_token))
-    from_dir = station_from_path("SourceFile")
-    part = station_from_partition("SourceFile")
-    station = F.when(part != "", part).when(from_dir != "", from_dir)
-    return good.select(station.alias("Station"), *[c for c in CSV_COLUMNS])
+    return good.select(station_of_file("SourceFile").alias("Station"), *[c for c in CSV_COLUMNS])
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(SourceFile, Station, Date) of every CSV under ``path``.
+
+    Listed with the ``binaryFile`` source selecting only the path, so the
+    listing is distributed and no file content is read.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+        .select(F.col("path").alias("SourceFile"))
+    )
+    return files.select("SourceFile", station_of_file("SourceFile").alias("Station"),
+                        date_of_file("SourceFile").alias("Date"))
 
 
 def read_inferred(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -37,11 +37,15 @@ def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     Repartitioning on (Station, Date) sends each day to one task, so each
     partition directory receives exactly one file; a day is at most 24 rows.
+    The partition count is explicit (the session's shuffle width): the write
+    creates one file per day, and AQE would otherwise merge a small input into
+    a single task that creates every file in turn.
     """
     out = obs.withColumn("Date", F.date_format(F.to_date("Time"), "yyyy-MM-dd"))
     out = out.withColumn("Time", F.date_format("Time", "yyyy-MM-dd'T'HH:mm"))
+    width = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        out.repartition("Station", "Date")
+        out.repartition(width, "Station", "Date")
         .sortWithinPartitions("Station", "Date", "Time")
         .select("Station", "Date", *CSV_COLUMNS)
         .write.mode(mode)

@@ -114,3 +114,36 @@ def test_collect_small_is_bounded(spark):
     assert len(sinks.collect_small(df, max_rows=10)) == 10
     with pytest.raises(ValueError):
         sinks.collect_small(df, max_rows=9)
+
+
+def test_missing_files_checks_every_day_of_the_landing_layout(spark, scratch):
+    from skymetrics.operators import coverage
+
+    line = ["2024-01-01T00:00,1,2,0,0,3,4,1000"]
+    for d in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        _land(scratch, "Gran Canaria", 27.9545, -15.592, d, line)
+    for d in ("2024-01-01", "2024-01-03"):
+        _land(scratch, "El Hierro", 27.7406, -18.0204, d, line)
+    # a stray file that names no day is listed but never counts as landed
+    with open(os.path.join(scratch, "weather_data_hourly_El Hierro_27.7406_-18.0204", "notes.csv"), "w") as f:
+        f.write("x\n")
+    files = csv_files.landed_files(spark, scratch)
+    assert files.count() == 6
+    gaps = coverage.missing_files(files)
+    assert rows(gaps) == [
+        ("El Hierro", dt.date(2024, 1, 2)),
+        ("Gran Canaria", dt.date(2024, 1, 3)),
+        ("Gran Canaria", dt.date(2024, 1, 4)),
+    ]
+    # interior gaps are found even when both ends of the range are landed
+    fixed = coverage.missing_files(files, dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    assert rows(fixed) == [("El Hierro", dt.date(2024, 1, 2))]
+
+
+def test_landed_files_of_partitioned_layout(spark, scratch):
+    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
+    out = os.path.join(scratch, "landed")
+    sinks.write_daily_csv(obs, out)
+    files = csv_files.landed_files(spark, out)
+    days = obs.select("Station", F.to_date("Time").alias("Date")).distinct()
+    assert rows(files.select("Station", "Date")) == rows(days)
