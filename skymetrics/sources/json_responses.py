@@ -53,8 +53,17 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def parse_responses(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """Parse one response document per row into column ``response``."""
-    return docs.withColumn("response", F.from_json(F.col(json_col), RESPONSE)).drop(json_col)
+    """Parse one response document per row into column ``response``.
+
+    The parsed struct is produced by a generator (one element per document):
+    a filter on it (``split_responses``) then runs on the parsed value.  From
+    a plain projection, Catalyst would push the filter below it by
+    substituting ``from_json`` into every reference, parsing each document
+    several times.
+    """
+    rest = [c for c in docs.columns if c != json_col]
+    parsed = F.struct(F.from_json(F.col(json_col), RESPONSE).alias("response"))
+    return docs.select(*rest, F.inline(F.array(parsed)))
 
 
 def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
