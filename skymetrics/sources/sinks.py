@@ -32,20 +32,61 @@ def with_spanish_headers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in SPANISH_HEADERS.items() if k in df.columns})
 
 
-def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
+# Rows per landed daily file beyond which a day is split over several files
+# (and tasks).  A station-day is 24 hourly rows; only a duplicated landing
+# comes near this bound.
+MAX_ROWS_PER_FILE = 1_000_000
+
+# Hot days whose list is broadcast to the salting join (checked by a count).
+HOT_DAY_BROADCAST_LIMIT = 100_000
+
+
+def _salted_days(out: DataFrame, max_rows: int) -> DataFrame:
+    """``out`` plus ``Part``: 0 for a day of at most ``max_rows`` rows, else a
+    stable spread of its rows over ``ceil(rows / max_rows)`` parts.
+
+    The rows per day come from a partially aggregated count (one row per day
+    per task, reading two columns).  Only days over the bound are joined back:
+    by broadcast when a count proves their list small, else by a shuffle join
+    whose hot partitions AQE's skew-join splits.  A row's part hashes its
+    position in its input split (``monotonically_increasing_id``), so copies of
+    one row are spread too.
+    """
+    hot = (
+        out.groupBy("Station", "Date").agg(F.count(F.lit(1)).alias("Rows"))
+        .filter(F.col("Rows") > max_rows)
+        .select("Station", "Date", F.ceil(F.col("Rows") / F.lit(max_rows)).cast("int").alias("Parts"))
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return out.withColumn("Part", F.lit(0))
+    side = F.broadcast(hot) if n_hot <= HOT_DAY_BROADCAST_LIMIT else hot
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("Parts"))
+    return (out.join(side, ["Station", "Date"], "left")
+            .withColumn("Part", F.when(F.col("Parts").isNull(), F.lit(0)).otherwise(salt))
+            .drop("Parts"))
+
+
+def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite",
+                    max_rows_per_file: int | None = MAX_ROWS_PER_FILE) -> None:
     """One headered CSV per station-day under ``Station=../Date=..``.
 
     Repartitioning on (Station, Date) sends each day to one task, so each
-    partition directory receives exactly one file; a day is at most 24 rows.
+    partition directory receives exactly one file.  A day holding more than
+    ``max_rows_per_file`` rows (a duplicated landing) is first split into
+    parts of about that size that go to different tasks, so no task writes an
+    unbounded day; ``max_rows_per_file=None`` skips that check (one extra
+    narrow aggregation) when days are known to be bounded.
     The partition count is explicit (the session's shuffle width): the write
     creates one file per day, and AQE would otherwise merge a small input into
     a single task that creates every file in turn.
     """
     out = obs.withColumn("Date", F.date_format(F.to_date("Time"), "yyyy-MM-dd"))
     out = out.withColumn("Time", F.date_format("Time", "yyyy-MM-dd'T'HH:mm"))
+    out = _salted_days(out, max_rows_per_file) if max_rows_per_file else out.withColumn("Part", F.lit(0))
     width = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        out.repartition(width, "Station", "Date")
+        out.repartition(width, "Station", "Date", "Part")
         .sortWithinPartitions("Station", "Date", "Time")
         .select("Station", "Date", *CSV_COLUMNS)
         .write.mode(mode)

@@ -147,3 +147,24 @@ def test_landed_files_of_partitioned_layout(spark, scratch):
     files = csv_files.landed_files(spark, out)
     days = obs.select("Station", F.to_date("Time").alias("Date")).distinct()
     assert rows(files.select("Station", "Date")) == rows(days)
+
+
+def test_daily_csv_splits_a_duplicated_day(spark, scratch):
+    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
+    day = obs.select(F.to_date("Time").alias("d")).first().d
+    one = obs.filter(F.to_date("Time") == F.lit(day))
+    station = one.first().Station
+    # one station-day landed 300 times over: a hot group of copies
+    copies = (one.filter(F.col("Station") == station)
+              .withColumn("copy", F.explode(F.array_repeat(F.lit(1), 300))).select(obs.columns))
+    n_copies = copies.count()
+    data = obs.unionByName(copies)
+    out = os.path.join(scratch, "landed")
+    sinks.write_daily_csv(data, out, max_rows_per_file=n_copies // 4)
+    hot_dir = os.path.join(out, f"Station={station}", f"Date={day.isoformat()}")
+    assert len([f for f in os.listdir(hot_dir) if f.endswith(".csv")]) > 1
+    # every other day is still exactly one file, and no row is lost
+    for d in os.listdir(os.path.join(out, f"Station={station}")):
+        if d != f"Date={day.isoformat()}":
+            assert len([f for f in os.listdir(os.path.join(out, f"Station={station}", d)) if f.endswith(".csv")]) == 1
+    assert csv_files.load_observations(spark, out).count() == data.count()
