@@ -189,20 +189,15 @@ def pack_locations(packed: DataFrame, index: Column, n_locations: int, batch: in
 
     Locations are requested in batches of ``batch`` (by ``index``); a document
     lists every location of its batch in index order, an empty response where
-    a location has no data, so a response's position is its location.  When a
-    day of one location spans several chunks, its k-th chunk goes to the k-th
-    document of that (Date, batch): every document holds at most ``batch``
-    responses, each bounded by ``pack_days``.
+    a location has no data, so a response's position is its location.  The
+    documents of a (Date, batch) are keyed by ``Chunk`` (``pack_days``): the
+    chunk ids of all locations come from the same input positions, so a day
+    whose rows span several chunks gives several documents, each holding at
+    most one response per location - at most ``batch`` responses, each bounded
+    by ``pack_days``, with no ranking or re-join of a hot day's chunks.
     """
-    from pyspark.sql import Window
-
     keyed = packed.withColumn("Idx", index).withColumn("Batch", F.floor(F.col("Idx") / batch))
-    keys = keyed.select("Station", "Date", "Chunk")
-    ranked = keys.withColumn(
-        "K", F.row_number().over(Window.partitionBy("Station", "Date").orderBy("Chunk")) - 1
-    )
-    keyed = keyed.join(ranked, ["Station", "Date", "Chunk"])
-    grouped = keyed.groupBy("Date", "Batch", "K").agg(
+    grouped = keyed.groupBy("Date", "Batch", "Chunk").agg(
         F.collect_list(F.struct("Idx", "response")).alias("items")
     )
     width = F.least(F.lit(batch), F.lit(n_locations) - F.col("Batch") * batch)
@@ -213,7 +208,7 @@ def pack_locations(packed: DataFrame, index: Column, n_locations: int, batch: in
             empty_response(),
         ),
     )
-    return grouped.select("Date", "Batch", "K", F.to_json(listed).alias("json"))
+    return grouped.select("Date", "Batch", "Chunk", F.to_json(listed).alias("json"))
 
 
 def to_documents(packed: DataFrame) -> DataFrame:

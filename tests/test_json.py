@@ -90,7 +90,7 @@ def test_multi_location_documents_bounded(spark):
     docs = J.pack_locations(J.pack_days(obs, max_rows=2), idx, len(names), batch=2)
     parsed = J.parse_multi(docs)
     # every document lists exactly the locations of its batch, in order
-    counts = parsed.groupBy("Date", "Batch", "K").agg(F.max("LocationId").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    counts = parsed.groupBy("Date", "Batch", "Chunk").agg(F.max("LocationId").alias("m"), F.count(F.lit(1)).alias("n")).collect()
     assert all(r.n == r.m + 1 <= 2 for r in counts)
     station = F.element_at(F.array(*[F.lit(s) for s in names]), (F.col("Batch") * 2 + F.col("LocationId") + 1).cast("int"))
     back = J.pivot_hourly(parsed.withColumn("Station", station)).select(obs.columns)
