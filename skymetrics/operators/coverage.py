@@ -2,16 +2,18 @@
 have no observation at all.
 
 Every expected day is checked, not only the two ends of the range.  The
-expected calendar is generated per station with ``sequence`` + ``explode``
-(its size is bounded by the date range, not by the data), then anti-joined
-with the distinct landed days.
+input is read once: its distinct (Station, Date) are ordered per station and
+each landed day looks at the next one (``lead``); the days strictly between
+two landed days, before the first and after the last (when the range is
+given) are generated with ``sequence``.  Only distinct days reach the window,
+so its size per station is bounded by the calendar, not by the rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,14 +37,39 @@ def missing_files(files: DataFrame, start: dt.date | None = None, end: dt.date |
     return missing_of_landed(landed, start, end)
 
 
+def _days(first: Column, last: Column) -> Column:
+    """The dates first..last as an array (empty when first > last)."""
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>"))
+
+
 def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Expected (Station, Date) minus the distinct ``landed`` days."""
-    bounds = landed.groupBy("Station").agg(
-        (F.lit(start) if start else F.min("Date")).alias("First"),
-        (F.lit(end) if end else F.max("Date")).alias("Last"),
+    """Expected (Station, Date) minus the distinct ``landed`` days.
+
+    The range is [start, end]; without them each station's own first and last
+    landed day bound it.  A station whose landed days all fall outside the
+    given range misses every day of it.
+    """
+    w = Window.partitionBy("Station").orderBy("Date")
+    date, prev, nxt = F.col("Date"), F.lag("Date").over(w), F.lead("Date").over(w)
+    lo = F.lit(start) if start else None
+    hi = F.lit(end) if end else None
+
+    def clamp_lo(c: Column) -> Column:
+        return F.greatest(c, lo) if lo is not None else c
+
+    def clamp_hi(c: Column) -> Column:
+        return F.least(c, hi) if hi is not None else c
+
+    # days after this landed day, up to the next one (or the end of the range)
+    after_last = hi if hi is not None else date
+    after = _days(clamp_lo(F.date_add(date, 1)), clamp_hi(F.coalesce(F.date_sub(nxt, 1), after_last)))
+    # days from the start of the range up to the first landed day
+    before = (
+        F.when(prev.isNull(), _days(lo, clamp_hi(F.date_sub(date, 1)))).otherwise(F.array().cast("array<date>"))
+        if lo is not None else F.array().cast("array<date>")
     )
-    expected = bounds.select("Station", F.explode(F.sequence("First", "Last")).alias("Date"))
-    return expected.join(landed, ["Station", "Date"], "left_anti")
+    gaps = landed.select("Station", F.concat(before, after).alias("Missing"))
+    return gaps.select("Station", F.explode("Missing").alias("Date"))
 
 
 def is_complete(obs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

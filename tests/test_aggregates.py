@@ -118,3 +118,23 @@ def test_fixture_invariants(spark):
         .agg(F.sum("Precipitation").alias("P")).collect()
     for r in d:
         assert r.P == pytest.approx(a3[(r.Station, r.Y, r.M)].TotalPrecipitation)
+
+
+def test_coverage_matches_calendar_minus_landed(spark):
+    # brute force over a small fixture: every (station, day) of the range that has no row
+    import random
+
+    rng = random.Random(7)
+    base = dt.date(2024, 1, 1)
+    landed = {s: sorted({base + dt.timedelta(days=rng.randrange(60)) for _ in range(25)}) for s in "ABC"}
+    landed["D"] = [dt.date(2023, 6, 1), dt.date(2024, 9, 1)]  # every day of the range falls between these two
+    data = [(s, dt.datetime(d.year, d.month, d.day, h)) for s, ds in landed.items() for d in ds for h in (0, 5)]
+    obs = spark.createDataFrame(data, "Station string, Time timestamp_ntz")
+    for start, end in ((None, None), (dt.date(2024, 1, 10), dt.date(2024, 2, 20)), (dt.date(2023, 12, 1), dt.date(2024, 3, 31))):
+        got = sorted((r.Station, r.Date) for r in coverage.missing_days(obs, start, end).collect())
+        want = []
+        for s, ds in landed.items():
+            lo, hi = start or ds[0], end or ds[-1]
+            want += [(s, lo + dt.timedelta(days=i)) for i in range((hi - lo).days + 1)
+                     if lo + dt.timedelta(days=i) not in set(ds)]
+        assert got == sorted(want), (start, end)
