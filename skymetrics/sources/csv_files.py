@@ -96,13 +96,19 @@ def _cast(name: str) -> Column:
 
 
 def validate(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejected text rows with ``BadColumns``)."""
-    checks = [F.when(_bad(c), F.lit(c)) for c in CSV_COLUMNS]
-    flagged = text.withColumn("BadColumns", F.filter(F.array(*checks), lambda x: x.isNotNull()))
-    good = flagged.filter(F.size("BadColumns") == 0)
-    rejects = flagged.filter(F.size("BadColumns") > 0)
+    """(typed rows, rejected text rows with ``BadColumns``).
+
+    Accepted rows pass a plain boolean test (no cell is bad), which stays in
+    whole-stage generated code; the list of bad column names is built for
+    rejected rows only.
+    """
+    bad = {c: _bad(c) for c in CSV_COLUMNS}
+    any_bad = reduce(lambda a, b: a | b, bad.values())
     extra = [c for c in text.columns if c not in CSV_COLUMNS]
-    return good.select(*extra, *[_cast(c) for c in CSV_COLUMNS]), rejects
+    good = text.filter(~any_bad).select(*extra, *[_cast(c) for c in CSV_COLUMNS])
+    names = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
+    rejects = text.filter(any_bad).withColumn("BadColumns", F.filter(names, lambda x: x.isNotNull()))
+    return good, rejects
 
 
 def station_from_path(path: Column | str = "SourceFile") -> Column:
