@@ -42,13 +42,9 @@ def _days(first: Column, last: Column) -> Column:
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>"))
 
 
-def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Expected (Station, Date) minus the distinct ``landed`` days.
-
-    The range is [start, end]; without them each station's own first and last
-    landed day bound it.  A station whose landed days all fall outside the
-    given range misses every day of it.
-    """
+def _gap_arrays(landed: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """(Station, Missing): per landed day, the array of missing days that
+    follow it (and, for a station's first day, precede it)."""
     w = Window.partitionBy("Station").orderBy("Date")
     date, prev, nxt = F.col("Date"), F.lag("Date").over(w), F.lead("Date").over(w)
     lo = F.lit(start) if start else None
@@ -68,16 +64,28 @@ def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.d
         F.when(prev.isNull(), _days(lo, clamp_hi(F.date_sub(date, 1)))).otherwise(F.array().cast("array<date>"))
         if lo is not None else F.array().cast("array<date>")
     )
-    gaps = landed.select("Station", F.concat(before, after).alias("Missing"))
+    return landed.select("Station", F.concat(before, after).alias("Missing"))
+
+
+def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Expected (Station, Date) minus the distinct ``landed`` days.
+
+    The range is [start, end]; without them each station's own first and last
+    landed day bound it.  A station whose landed days all fall outside the
+    given range misses every day of it.
+    """
+    gaps = _gap_arrays(landed, start, end)
     return gaps.select("Station", F.explode("Missing").alias("Date"))
 
 
 def is_complete(obs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Per station: Complete = no expected day in [start, end] is missing."""
-    gaps = missing_days(obs, start, end).groupBy("Station").agg(F.count(F.lit(1)).alias("MissingDays"))
-    stations = obs.select("Station").distinct()
+    """Per station: MissingDays in [start, end] and Complete (none missing).
+
+    Same single pass as ``missing_days``: the gap sizes are summed per station,
+    so every station with a landed day gets a row, complete ones with 0.
+    """
+    gaps = _gap_arrays(landed_days(obs), start, end)
     return (
-        stations.join(gaps, "Station", "left")
-        .fillna(0, subset=["MissingDays"])
+        gaps.groupBy("Station").agg(F.sum(F.size("Missing")).alias("MissingDays"))
         .withColumn("Complete", F.col("MissingDays") == 0)
     )

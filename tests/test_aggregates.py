@@ -138,3 +138,6 @@ def test_coverage_matches_calendar_minus_landed(spark):
             want += [(s, lo + dt.timedelta(days=i)) for i in range((hi - lo).days + 1)
                      if lo + dt.timedelta(days=i) not in set(ds)]
         assert got == sorted(want), (start, end)
+        if start is not None:
+            per = {r.Station: r.MissingDays for r in coverage.is_complete(obs, start, end).collect()}
+            assert per == {s: sum(1 for x, _ in want if x == s) for s in landed}
