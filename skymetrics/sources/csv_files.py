@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,31 +25,26 @@ TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_
 STATION_DIR = r"weather_data_hourly_(.+)_(-?[0-9.]+)_(-?[0-9.]+)/[^/]*$"
 
 
-# Input paths probed individually on the driver before reading.
-MAX_CHECKED_PATHS = 16
-
-
 class NoInputFiles(FileNotFoundError):
     """The input path is missing or holds no CSV file."""
 
 
-def _check_input(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    found = fs.globStatus(p)
-    if found is None or len(found) == 0:
-        raise NoInputFiles(f"no input files match {path}")
-    for st in found:
-        if st.isFile() and st.getPath().getName().endswith(".csv"):
-            return
-        if st.isDirectory():
-            it = fs.listFiles(st.getPath(), True)  # stops at the first CSV found
-            while it.hasNext():
-                if it.next().getPath().getName().endswith(".csv"):
-                    return
-    raise NoInputFiles(f"no .csv file under {path}")
+def check_input(spark: SparkSession, paths: list[str]) -> None:
+    """Raise ``NoInputFiles`` when a path is missing or no ``.csv`` file
+    lies under the paths.  One listing with the ``binaryFile`` source (file
+    paths only, no content read) and a one-row ``isEmpty`` job."""
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv")
+            .load(paths)
+            .select("path")
+        )
+    except AnalysisException as e:
+        raise NoInputFiles(f"input path not found: {paths}") from e
+    if files.isEmpty():
+        raise NoInputFiles(f"no .csv file under {paths}")
 
 
 def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: bool = True) -> DataFrame:
@@ -65,11 +61,7 @@ def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: b
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     if not paths:
         raise NoInputFiles("no input paths given")
-    if len(paths) <= MAX_CHECKED_PATHS:
-        for p in paths:
-            _check_input(spark, p)
-    # a long file list is not probed one by one on the driver: Spark lists it
-    # in parallel and fails with PATH_NOT_FOUND for a missing file
+    check_input(spark, paths)
     return reader.csv(paths).withColumn("SourceFile", F.col("_metadata.file_path"))
 
 

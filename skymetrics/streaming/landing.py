@@ -8,8 +8,9 @@ validated exactly like the batch reader (``sources.csv_files.validate``).
 
 * ``landed_stream``   - typed observation rows (plus rejects) from new files.
 * ``start_compaction`` - appends each micro-batch to a Station-partitioned
-  Parquet table; rejects go to a side table.  Writes are keyed by batch id so
-  a replayed batch overwrites rather than duplicates.
+  Parquet table; rejects go to a side table.  Writes are keyed by batch id
+  (dynamic partition overwrite), so a replayed batch overwrites rather than
+  duplicates.
 * ``daily_summary_stream`` - event-time daily statistics that are emitted once
   the watermark passes the day (append mode, bounded state).
 """
@@ -46,20 +47,30 @@ def landed_stream(spark: SparkSession, path: str, na_token: str = "NA",
     return obs, rejects
 
 
+def batch_writer(table_path: str):
+    """``foreachBatch`` function: write a micro-batch into its own
+    (Station, BatchId) partitions with dynamic partition overwrite.  A batch
+    replayed after a failure between its write and its commit rewrites the
+    same partitions instead of appending its rows a second time."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("BatchId", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("Station", "BatchId").parquet(table_path))
+
+    return write
+
+
 def start_compaction(obs: DataFrame, table_path: str, checkpoint_location: str,
                      rejects: DataFrame | None = None, rejects_path: str | None = None,
                      available_now: bool = True) -> list[StreamingQuery]:
     """Append validated rows to ``table_path`` (partitioned by Station)."""
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("BatchId", F.lit(batch_id))
-         .write.mode("append").partitionBy("Station", "BatchId").parquet(table_path))
-
     def trig(w):
         return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
 
     queries = [
-        trig(obs.writeStream.foreachBatch(_idempotent(write_batch, table_path))
+        trig(obs.writeStream.foreachBatch(batch_writer(table_path))
              .option("checkpointLocation", f"{checkpoint_location.rstrip('/')}/rows")).start()
     ]
     if rejects is not None and rejects_path:
@@ -70,23 +81,6 @@ def start_compaction(obs: DataFrame, table_path: str, checkpoint_location: str,
     return queries
 
 
-def _idempotent(write_batch, table_path: str):
-    """Skip a micro-batch whose BatchId directory already exists anywhere in
-    the table (a batch replayed after a failure between write and commit)."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/Station=*/BatchId={batch_id}")
-        found = pattern.getFileSystem(conf).globStatus(pattern)
-        if found is not None and len(found) > 0:
-            return
-        write_batch(batch, batch_id)
-
-    return run
-
-
 def event_time(local: str = "Time") -> Column:
     """The wall-clock label as an instant on a UTC axis: watermarks need a
     TIMESTAMP, and UTC day windows then coincide with the label's calendar
