@@ -129,6 +129,21 @@ def q_monthly_summary(spark, sf):
     return A.monthly_summary(obs(spark, sf))
 
 
+@register(
+    "monthly_report",
+    O.with_obs(
+        f'SELECT Station, Year AS "Año", Month AS "Mes", {O.mean("Temperature")} AS "Temp Prom", '
+        'min(Temperature) AS "Temp Min", max(Temperature) AS "Temp Max", '
+        f'{O.mean("Humidity")} AS "Humedad Prom", min(Humidity) AS "Humedad Min", max(Humidity) AS "Humedad Max", '
+        f'{O.total("Precipitation")} AS "Precip Total", {O.mean("Pressure")} AS "Presión Prom", '
+        f'min(Pressure) AS "Presión Min", max(Pressure) AS "Presión Max" FROM obs GROUP BY {MK}'
+    ),
+)
+def q_monthly_report(spark, sf):
+    """A13 under the saved report's headers (P9, the S8 export shape)."""
+    return sinks.with_spanish_headers(A.monthly_summary(obs(spark, sf)))
+
+
 @register(
     "monthly_summary_zero_filled",
     O.with_obs(
