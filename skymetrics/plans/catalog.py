@@ -443,6 +443,23 @@ def q_landed_csv(spark, sf):
     return csv_files.load_observations(spark, landed_folder(spark, sf))
 
 
+@register(
+    "landing_paths",
+    O.with_obs(
+        "SELECT d.Station, d.Date, 'weather_data_hourly_' || d.Station || '_' || CAST(s.Latitude AS VARCHAR) || '_' "
+        "|| CAST(s.Longitude AS VARCHAR) || '/weather_' || strftime(d.Date, '%Y-%m-%d') || '.csv' AS LandingPath "
+        "FROM (SELECT DISTINCT Station, Date FROM obs WHERE Date IS NOT NULL) d LEFT JOIN stations s USING (Station)",
+        O.STATIONS_VALUES,
+    ),
+)
+def q_landing_paths(spark, sf):
+    """X4 + X2: where the downloader's layout lands each observed station-day."""
+    days = coverage.landed_days(fixture.observations(spark, sf))
+    st = fixture.fixture_stations(spark).select("Station", "Latitude", "Longitude")
+    days = enrich.with_station(days, st, known_rows=len(ISLANDS))
+    return days.select("Station", "Date", csv_files.landing_path_column().alias("LandingPath"))
+
+
 @register("landed_gaps", _SQL["coverage_gaps"])
 def q_landed_gaps(spark, sf):
     return coverage.missing_files(csv_files.landed_files(spark, landed_folder(spark, sf)))
