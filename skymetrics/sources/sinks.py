@@ -96,11 +96,23 @@ def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite",
     )
 
 
-def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+# Most rows a single-file report may hold (a monthly table of many stations
+# over decades is far below this).
+MAX_REPORT_ROWS = 1_000_000
+
+
+def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite",
+                     max_rows: int = MAX_REPORT_ROWS) -> None:
     """A small result table as one headered CSV file (no index column).
 
-    Only for bounded results (a monthly table): the final write is one task.
+    The single file is written by one task, so the result is first proven
+    small by a bounded count (``limit(max_rows + 1)``); a larger one raises
+    instead of funnelling through one task.  ``coalesce(1)`` narrows only the
+    stage after the last shuffle (for an aggregate: its final sort); the scan
+    and the aggregation before that shuffle keep their parallelism.
     """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows; write it with write_parquet instead")
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 

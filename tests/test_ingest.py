@@ -168,3 +168,9 @@ def test_daily_csv_splits_a_duplicated_day(spark, scratch):
         if d != f"Date={day.isoformat()}":
             assert len([f for f in os.listdir(os.path.join(out, f"Station={station}", d)) if f.endswith(".csv")]) == 1
     assert csv_files.load_observations(spark, out).count() == data.count()
+
+
+def test_report_csv_refuses_an_unbounded_result(spark, scratch):
+    with pytest.raises(ValueError):
+        sinks.write_report_csv(spark.range(11), os.path.join(scratch, "big"), max_rows=10)
+    sinks.write_report_csv(spark.range(10), os.path.join(scratch, "ok"), max_rows=10)
