@@ -141,3 +141,21 @@ def test_coverage_matches_calendar_minus_landed(spark):
         if start is not None:
             per = {r.Station: r.MissingDays for r in coverage.is_complete(obs, start, end).collect()}
             assert per == {s: sum(1 for x, _ in want if x == s) for s in landed}
+
+
+def test_results_come_back_in_key_order(spark):
+    # O1-O3: the collected rows are already sorted by the table's keys
+    obs = with_calendar(fixture.observations(spark, SF_SMALL))
+    checks = [
+        (A.monthly_summary(obs), lambda r: (r.Station, r.Year, r.Month)),
+        (A.monthly_precipitation_join(obs), lambda r: (r.Station, r.Year, r.Month)),
+        (A.hourly_profile(obs, "Humidity"), lambda r: (r.Station, r.Hour)),
+        (A.daily_precipitation(obs), lambda r: (r.Station, r.Date)),
+        (A.available_periods(obs), lambda r: (r.Station, r.Year, r.Month)),
+        (A.wind_rose(obs), lambda r: (r.Station, r.WindDirection)),
+        (A.wind_by_direction(obs), lambda r: (r.Station, -r.Count, r.WindDirection)),
+    ]
+    for df, key in checks:
+        got = df.collect()
+        assert len(got) > 1
+        assert got == sorted(got, key=key)
