@@ -113,9 +113,11 @@ def pivot_hourly(parsed: DataFrame) -> DataFrame:
 
 
 def hourly_block(rows: Column) -> Column:
-    """Parallel-array ``hourly`` struct from an array of observation structs."""
+    """Parallel-array ``hourly`` struct from an array of observation structs
+    whose ``Time`` is already ISO text (``row_struct``): every array is a
+    plain field extraction, no per-element lambda."""
     return F.struct(
-        F.transform(rows, lambda r: F.date_format(r["Time"], ISO_MICROS)).alias("time"),
+        rows["Time"].alias("time"),
         *[
             (rows[name].cast("array<double>") if name == "WeatherCode" else rows[name]).alias(v)
             for name, v in HOURLY_VARIABLES.items()
@@ -128,11 +130,17 @@ MAX_ROWS_PER_DOCUMENT = 4096
 
 
 ROW_STRUCT = (
-    "array<struct<Time:timestamp_ntz,Temperature:double,Humidity:double,Precipitation:double,"
+    "array<struct<Time:string,Temperature:double,Humidity:double,Precipitation:double,"
     "WeatherCode:int,WindSpeed:double,WindDirection:double,Pressure:double>>"
 )
 
 
+def row_struct() -> Column:
+    """One observation as packed into a document: Time formatted once per row
+    as fixed-width ISO text, which sorts in time order."""
+    return F.struct(F.date_format("Time", ISO_MICROS).alias("Time"), *[F.col(m) for m in HOURLY_VARIABLES])
+
+
 def _response(rows: Column | None, coords: bool = True) -> Column:
     """Response struct; coordinates come from the joined station columns, or
     are NULL when ``coords`` is false.  ``rows=None`` gives empty arrays."""
@@ -169,10 +177,9 @@ def pack_days(obs: DataFrame, stations: DataFrame | None = None, station_rows: i
     so no document ever holds more than ``max_rows`` rows however many rows a
     station-day has.  A day landed as one file stays one document.
     """
-    fields = ["Time", *HOURLY_VARIABLES]
     chunked = obs.withColumn("Chunk", F.floor(F.monotonically_increasing_id() / max_rows))
     days = chunked.groupBy("Station", F.to_date("Time").alias("Date"), "Chunk").agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("rows")
+        F.sort_array(F.collect_list(row_struct())).alias("rows")
     )
     days = with_station_columns(days, stations, station_rows)
     return days.select("Station", "Date", "Chunk", _response(F.col("rows")).alias("response"))
