@@ -208,12 +208,11 @@ def pack_locations(packed: DataFrame, index: Column, n_locations: int, batch: in
         F.collect_list(F.struct("Idx", "response")).alias("items")
     )
     width = F.least(F.lit(batch), F.lit(n_locations) - F.col("Batch") * batch)
+    # Idx is unique within a document (one response per location and chunk)
+    by_idx = F.map_from_entries("items")
     listed = F.transform(
         F.sequence(F.lit(0), width - 1),
-        lambda i: F.coalesce(
-            F.try_element_at(F.filter("items", lambda x: x["Idx"] == F.col("Batch") * batch + i), F.lit(1))["response"],
-            empty_response(),
-        ),
+        lambda i: F.coalesce(F.try_element_at(by_idx, F.col("Batch") * batch + i), empty_response()),
     )
     return grouped.select("Date", "Batch", "Chunk", F.to_json(listed).alias("json"))
 
