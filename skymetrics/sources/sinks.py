@@ -116,6 +116,21 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite",
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
+def write_station_reports(df: DataFrame, path: str, mode: str = "overwrite",
+                          order: tuple[str, ...] = ("Año", "Mes"), max_rows: int = MAX_REPORT_ROWS) -> None:
+    """S8 per station: one headered CSV per ``Station=`` folder, rows in
+    ``order`` - the saved report's layout, one file per island.
+
+    Each station's report goes to one task (repartition by Station), so the
+    result is proven small first (a bounded count); a monthly table of every
+    station over decades is a few thousand rows.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows; write it with write_parquet instead")
+    (df.repartition("Station").sortWithinPartitions("Station", *order)
+     .write.mode(mode).partitionBy("Station").option("header", True).csv(path))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("Station",), mode: str = "overwrite") -> None:
     """Compact landed rows into a partitioned Parquet table."""
     w = df.write.mode(mode)
