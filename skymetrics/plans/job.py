@@ -48,8 +48,8 @@ def process_landing(spark: SparkSession, landing_path: str, out_dir: str,
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m skymetrics.plans.job <landing> <out> [--fill-zero]``: the
-    session (master, memory, ``spark.checkpoint.dir``) comes from the submit."""
+    """``spark-submit scripts/process_landing.py <landing> <out> [--fill-zero]``:
+    the session (master, memory, ``spark.checkpoint.dir``) comes from the submit."""
     import argparse
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])

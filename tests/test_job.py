@@ -40,3 +40,16 @@ def test_process_landing_writes_every_table(spark, scratch):
         assert lines[0].startswith("Año,Mes,Temp Prom,Temp Min,Temp Max,Humedad Prom")
         months = [tuple(int(x) for x in line.split(",")[:2]) for line in lines[1:]]
         assert months == sorted(months) and len(months) > 1
+
+
+def test_job_command_line(spark, scratch, capsys):
+    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Station") == "click")
+    landing = os.path.join(scratch, "landing")
+    sinks.write_daily_csv(obs, landing)
+    out = os.path.join(scratch, "out")
+    job.main([landing, out, "--fill-zero"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert printed[job.REPORT] == os.path.join(out, job.REPORT)
+    filled = spark.read.parquet(printed["monthly_summary"])
+    # zero-fill policy: a missing pressure counts as 0 hPa in the minimum
+    assert filled.agg(F.min("MinPressure")).first()[0] == 0.0
