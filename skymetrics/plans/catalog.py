@@ -614,6 +614,8 @@ _dash("hourly_temperature", lambda D, agg: D.hourly_profile(agg, "Temperature"))
 _dash("wind_by_direction", lambda D, agg: D.wind_by_direction(agg))
 _dash("daily_summary", lambda D, agg: D.daily_summary(agg))
 _dash("daily_wind_direction", lambda D, agg: D.daily_wind_direction(agg))
+_dash("daily_weather_code", lambda D, agg: D.daily_weather_code(agg))
+_dash("daily_precipitation", lambda D, agg: D.daily_precipitation(agg))
 
 
 # ---------------------------------------------------------------- interactive month view (one station-month, one scan)

@@ -167,6 +167,20 @@ def daily_wind_direction(agg, by=("Station",)):
     return d.select(*by, "Date", F.round(F.pmod(ang, F.lit(360.0)), 3).alias("DominantWindDirection"))
 
 
+def daily_weather_code(agg, by=("Station",)):
+    d = slice_of(agg, "day").filter(F.col("Date").isNotNull())
+    return d.select(*by, "Date", F.col("WeatherCode_max").alias("WeatherCode"))
+
+
+def daily_tables(agg: DataFrame, by: Sequence[str] = ("Station",)) -> dict[str, DataFrame]:
+    """The service's daily series (A10, D2, D3), from the same aggregate."""
+    return {
+        "daily_precipitation": daily_precipitation(agg, by),
+        "daily_weather_code": daily_weather_code(agg, by),
+        "daily_wind_direction": daily_wind_direction(agg, by),
+    }
+
+
 def tables(agg: DataFrame, by: Sequence[str] = ("Station",)) -> dict[str, DataFrame]:
     """Every dashboard table, all read from the one aggregate."""
     return {

@@ -39,7 +39,7 @@ def process_landing(spark: SparkSession, landing_path: str, out_dir: str,
     agg = dashboard_aggregate(obs)
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    for name, table in D.tables(agg).items():
+    for name, table in {**D.tables(agg), **D.daily_tables(agg)}.items():
         paths[name] = f"{out}/{name}"
         sinks.write_parquet(table, paths[name], partition_by=("Station",))
     paths[REPORT] = f"{out}/{REPORT}"

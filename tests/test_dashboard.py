@@ -27,6 +27,13 @@ DIRECT = {
 }
 
 
+DAILY = {
+    "daily_precipitation": A.daily_precipitation,
+    "daily_weather_code": daily.daily_weather_code,
+    "daily_wind_direction": daily.daily_wind_direction,
+}
+
+
 @pytest.fixture(scope="module")
 def agg(spark):
     return D.materialize(D.aggregate(catalog.obs(spark, SF_SMALL)))
@@ -56,3 +63,12 @@ def test_run_all_returns_every_table(spark):
     out = D.run_all(spark, SF_SMALL)
     assert set(out) == set(DIRECT)
     assert all(len(v) > 0 for v in out.values())
+
+
+@pytest.mark.parametrize("name", sorted(DAILY))
+def test_daily_table_equals_direct_operator(spark, agg, name):
+    obs = catalog.obs(spark, SF_SMALL)
+    got = D.daily_tables(agg)[name]
+    want = DAILY[name](obs)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(want.columns)) == rows(want)

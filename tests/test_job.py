@@ -19,7 +19,8 @@ def test_process_landing_writes_every_table(spark, scratch):
     sinks.write_daily_csv(obs, landing)
     out = os.path.join(scratch, "out")
     paths = job.process_landing(spark, landing, out)
-    assert set(paths) == set(D.tables(D.aggregate(with_calendar(obs)))) | {job.REPORT}
+    agg = D.aggregate(with_calendar(obs))
+    assert set(paths) == set(D.tables(agg)) | set(D.daily_tables(agg)) | {job.REPORT}
 
     # the landed rows carry minute precision; the job's tables equal the direct operators on them
     landed = with_calendar(obs.withColumn("Time", F.date_trunc("minute", "Time").cast("timestamp_ntz")))
