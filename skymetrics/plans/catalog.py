@@ -503,6 +503,24 @@ def q_json_pivot(spark, sf):
     return J.pivot_hourly(good)
 
 
+def landed_json_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture's responses landed as JSON lines under ``Station=`` folders
+    in the shared checkpoint folder, written once per session."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-json-{uuid.uuid4().hex}"
+        o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
+        docs = J.to_documents(J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)))
+        docs.select("Station", "json").write.partitionBy("Station").text(path)
+        return path
+    return fixture._memo(spark, ("landed_json", sf), build)
+
+
+@register("landed_json", _SQL["json_pivot"])
+def q_landed_json(spark, sf):
+    rows, _ = J.load_responses(spark, landed_json_folder(spark, sf))
+    return rows.select(*_ROW_COLS.split(", "))
+
+
 @register(
     "multi_location",
     O.with_obs(

@@ -10,7 +10,7 @@ split into a reject table instead of being printed and dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,12 @@ RESPONSE = T.StructType(
 
 MULTI_RESPONSE = T.ArrayType(RESPONSE)
 
+# A parsed single response also keeps the text of a malformed document (the
+# PERMISSIVE parser puts it in this field and leaves the others NULL).
+CORRUPT = "_corrupt_record"
+PARSED = T.StructType(RESPONSE.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -62,7 +68,7 @@ def parse_responses(docs: DataFrame, json_col: str = "json") -> DataFrame:
     several times.
     """
     rest = [c for c in docs.columns if c != json_col]
-    parsed = F.struct(F.from_json(F.col(json_col), RESPONSE).alias("response"))
+    parsed = F.struct(F.from_json(F.col(json_col), PARSED, PARSE_OPTIONS).alias("response"))
     return docs.select(*rest, F.inline(F.array(parsed)))
 
 
@@ -70,15 +76,16 @@ def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
     """A document holding a list of responses -> one row per response with
     its 0-based ``LocationId`` (position in the list)."""
     rest = [c for c in docs.columns if c != json_col]
-    return docs.select(
+    exploded = docs.select(
         *rest, F.posexplode(F.from_json(F.col(json_col), MULTI_RESPONSE)).alias("LocationId", "response")
     )
+    return exploded.withColumn("response", F.col("response").withField(CORRUPT, F.lit(None).cast("string")))
 
 
 def reject_reason(response: Column) -> Column:
     """Why a parsed response cannot be used (NULL when it can): F6, D8."""
     return (
-        F.when(response.isNull(), F.lit("malformed document"))
+        F.when(response.isNull() | response[CORRUPT].isNotNull(), F.lit("malformed document"))
         .when(F.coalesce(response["error"], F.lit(False)), F.concat(F.lit("error: "), F.coalesce(response["reason"], F.lit(""))))
         .when(response["hourly"].isNull(), F.lit("no hourly block"))
     )
@@ -217,6 +224,32 @@ def pack_locations(packed: DataFrame, index: Column, n_locations: int, batch: in
     return grouped.select("Date", "Batch", "Chunk", F.to_json(listed).alias("json"))
 
 
+def read_documents(spark: SparkSession, path: str | list[str], one_per_file: bool = False) -> DataFrame:
+    """Landed response documents -> rows (``SourceFile``, ``json``).
+
+    JSON lines (one document per line) by default; ``one_per_file`` reads each
+    file whole, the way a saved response body is stored (one request's
+    response: bounded by the request, not by the data set).  Files are found
+    recursively; parsing happens later, inside the tasks (``parse_responses``).
+    """
+    docs = spark.read.text(path, wholetext=one_per_file, recursiveFileLookup=True)
+    return docs.select(F.col("_metadata.file_path").alias("SourceFile"), F.col("value").alias("json"))
+
+
+def load_responses(spark: SparkSession, path: str | list[str], one_per_file: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S5 + F6 + D8 from storage: (observation rows, rejected documents).
+
+    ``Station`` comes from the file's ``Station=`` or landing directory
+    (``csv_files.station_of_file``); rejects keep ``SourceFile`` and ``Reason``.
+    """
+    from .csv_files import station_of_file
+
+    docs = read_documents(spark, path, one_per_file)
+    docs = docs.select(station_of_file("SourceFile").alias("Station"), "SourceFile", "json")
+    good, rejects = split_responses(parse_responses(docs))
+    return pivot_hourly(good.drop("SourceFile")), rejects
+
+
 def to_documents(packed: DataFrame) -> DataFrame:
     """Serialise the ``response`` struct to JSON text (column ``json``)."""
     keep = [c for c in packed.columns if c != "response"]
