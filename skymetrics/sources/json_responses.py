@@ -76,10 +76,17 @@ def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
     """A document holding a list of responses -> one row per response with
     its 0-based ``LocationId`` (position in the list)."""
     rest = [c for c in docs.columns if c != json_col]
-    exploded = docs.select(
-        *rest, F.posexplode(F.from_json(F.col(json_col), MULTI_RESPONSE)).alias("LocationId", "response")
+    listed = F.from_json(F.col(json_col), MULTI_RESPONSE)
+    # a document that does not parse becomes one NULL response (LocationId
+    # NULL), which split_responses rejects, instead of vanishing in the explode
+    malformed = listed.isNull() & F.col(json_col).isNotNull()
+    items = F.when(malformed, F.array(F.lit(None).cast(RESPONSE))).otherwise(listed)
+    exploded = docs.select(*rest, malformed.alias("_malformed"), F.posexplode(items).alias("LocationId", "response"))
+    return exploded.select(
+        *rest,
+        F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"),
+        F.col("response").withField(CORRUPT, F.lit(None).cast("string")).alias("response"),
     )
-    return exploded.withColumn("response", F.col("response").withField(CORRUPT, F.lit(None).cast("string")))
 
 
 def reject_reason(response: Column) -> Column:

@@ -117,3 +117,12 @@ def test_response_files_from_storage(spark, scratch):
     reasons = sorted((os.path.basename(r.SourceFile), r.Reason) for r in rejects.collect())
     assert reasons == [("broken.json", "malformed document"),
                        ("error.json", "error: Cannot initialize WeatherVariable")]
+
+
+def test_malformed_multi_location_document_is_rejected(spark):
+    other = dict(RESPONSE, latitude=27.9)
+    docs = spark.createDataFrame([("ok", json.dumps([RESPONSE, other])), ("bad", "[{not json")], "Doc string, json string")
+    parsed = J.parse_multi(docs)
+    good, rejects = J.split_responses(parsed)
+    assert sorted((r.Doc, r.LocationId) for r in good.collect()) == [("ok", 0), ("ok", 1)]
+    assert [(r.Doc, r.LocationId, r.Reason) for r in rejects.collect()] == [("bad", None, "malformed document")]
