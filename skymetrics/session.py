@@ -34,6 +34,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         # serialises full file statuses, which forks a process per file here;
         # listing on the driver avoids that (clusters keep the default)
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+        # local scratch files only: no .crc side file per written file (each
+        # created file costs a forked chmod here); cluster file systems keep
+        # their own integrity checks
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SKYMETRICS_DRIVER_MEMORY", "8g"))
     )
