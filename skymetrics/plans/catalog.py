@@ -465,6 +465,25 @@ def q_landed_gaps(spark, sf):
     return coverage.missing_files(csv_files.landed_files(spark, landed_folder(spark, sf)))
 
 
+# Fixed parameters of the range-completeness query.
+COMPLETE_START, COMPLETE_END = dt.date(2024, 1, 1), dt.date(2024, 12, 31)
+
+
+@register(
+    "range_complete",
+    O.with_obs(
+        f"SELECT Station, CAST({(COMPLETE_END - COMPLETE_START).days + 1} - count(*) FILTER "
+        f"(WHERE Date BETWEEN DATE '{COMPLETE_START}' AND DATE '{COMPLETE_END}') AS BIGINT) AS MissingDays, "
+        f"{(COMPLETE_END - COMPLETE_START).days + 1} - count(*) FILTER "
+        f"(WHERE Date BETWEEN DATE '{COMPLETE_START}' AND DATE '{COMPLETE_END}') = 0 AS Complete "
+        "FROM (SELECT DISTINCT Station, Date FROM obs WHERE Date IS NOT NULL) GROUP BY Station"
+    ),
+)
+def q_range_complete(spark, sf):
+    """S7's decision: is every day of the range landed, per station."""
+    return coverage.is_complete(fixture.observations(spark, sf), COMPLETE_START, COMPLETE_END)
+
+
 # ---------------------------------------------------------------- sets
 
 _SPLIT = dt.datetime(2025, 1, 1)
