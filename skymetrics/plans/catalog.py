@@ -443,6 +443,27 @@ def q_landed_csv(spark, sf):
     return csv_files.load_observations(spark, landed_folder(spark, sf))
 
 
+def landed_stream_table(spark: SparkSession, sf: str) -> str:
+    """The landing folder ingested by the file-source stream (one
+    ``availableNow`` run, checkpointed) into a Station/BatchId-partitioned
+    Parquet table in the shared checkpoint folder, once per session."""
+    def build() -> str:
+        from ..streaming import landing
+
+        base = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-stream-{uuid.uuid4().hex}"
+        q = landing.start_ingest(spark, landed_folder(spark, sf), f"{base}/table", f"{base}/checkpoint",
+                                 f"{base}/rejects")
+        q.awaitTermination()
+        return f"{base}/table"
+    return fixture._memo(spark, ("landed_stream", sf), build)
+
+
+@register("landed_stream", _SQL["landed_csv"])
+def q_landed_stream(spark, sf):
+    table = spark.read.parquet(landed_stream_table(spark, sf))
+    return table.select(*_ROW_COLS.split(", "))
+
+
 @register(
     "landing_paths",
     O.with_obs(

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.stats import exact_mean, total
-from ..sources.csv_files import TEXT_SCHEMA, station_from_path, validate
+from ..sources.csv_files import TEXT_SCHEMA, station_of_file, validate
 from ..schema import CSV_COLUMNS
 
 
-def landed_stream(spark: SparkSession, path: str, na_token: str = "NA",
-                  max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(observations, rejects) streaming DataFrames over ``path``."""
+def landed_text_stream(spark: SparkSession, path: str, na_token: str = "NA",
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """New landed CSV files under ``path`` as text columns plus ``SourceFile``."""
     reader = (
         spark.readStream.schema(TEXT_SCHEMA)
         .option("header", True)
@@ -40,34 +40,75 @@ def landed_stream(spark: SparkSession, path: str, na_token: str = "NA",
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    text = reader.csv(path).withColumn("SourceFile", F.col("_metadata.file_path"))
-    good, rejects = validate(text)
-    station = station_from_path("SourceFile")
-    obs = good.select(F.when(station != "", station).alias("Station"), *CSV_COLUMNS)
-    return obs, rejects
+    return reader.csv(path).withColumn("SourceFile", F.col("_metadata.file_path"))
+
+
+def typed_rows(good: DataFrame) -> DataFrame:
+    """Validated rows -> observations with Station from the file's folder."""
+    return good.select(station_of_file("SourceFile").alias("Station"), *CSV_COLUMNS)
 
 
-def batch_writer(table_path: str):
+def landed_stream(spark: SparkSession, path: str, na_token: str = "NA",
+                  max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(observations, rejects) streaming DataFrames over ``path``."""
+    good, rejects = validate(landed_text_stream(spark, path, na_token, max_files_per_trigger))
+    return typed_rows(good), rejects
+
+
+def batch_writer(table_path: str, partition_by: tuple[str, ...] = ("Station",)):
     """``foreachBatch`` function: write a micro-batch into its own
-    (Station, BatchId) partitions with dynamic partition overwrite.  A batch
-    replayed after a failure between its write and its commit rewrites the
-    same partitions instead of appending its rows a second time."""
+    (partition_by..., BatchId) partitions with dynamic partition overwrite.  A
+    batch replayed after a failure between its write and its commit rewrites
+    the same partitions instead of appending its rows a second time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("BatchId", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("Station", "BatchId").parquet(table_path))
+         .partitionBy(*partition_by, "BatchId").parquet(table_path))
 
     return write
 
 
+def _trigger(writer, available_now: bool):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+
+
+def start_ingest(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
+                 rejects_path: str | None = None, na_token: str = "NA",
+                 max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """One stream over the landing folder feeding both outputs.
+
+    Each micro-batch of new files is read once: it is persisted, validated,
+    its typed rows go to ``table_path`` (Station/BatchId partitions) and its
+    rejects to ``rejects_path`` (BatchId partitions), then it is released.
+    ``max_files_per_trigger`` bounds a batch on a busy landing folder.
+    """
+    text = landed_text_stream(spark, landing_path, na_token, max_files_per_trigger)
+    write_rows = batch_writer(table_path)
+    write_rejects = batch_writer(rejects_path, partition_by=()) if rejects_path else None
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, rejects = validate(batch)
+            write_rows(typed_rows(good), batch_id)
+            if write_rejects is not None:
+                write_rejects(rejects, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = text.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
+    return _trigger(w, available_now).start()
+
+
 def start_compaction(obs: DataFrame, table_path: str, checkpoint_location: str,
                      rejects: DataFrame | None = None, rejects_path: str | None = None,
                      available_now: bool = True) -> list[StreamingQuery]:
-    """Append validated rows to ``table_path`` (partitioned by Station)."""
+    """Append validated rows to ``table_path`` (partitioned by Station); two
+    queries over already-split streams (``start_ingest`` reads each file once)."""
 
     def trig(w):
-        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+        return _trigger(w, available_now)
 
     queries = [
         trig(obs.writeStream.foreachBatch(batch_writer(table_path))

@@ -64,3 +64,17 @@ def test_replayed_batch_is_not_written_twice(spark, scratch):
     out = spark.read.parquet(table)
     assert out.count() == 3
     assert sorted((r.Station, r.BatchId) for r in out.collect()) == [("A", 0), ("A", 1), ("B", 0)]
+
+
+def test_single_stream_ingest_writes_rows_and_rejects(spark, scratch):
+    src, table, ckpt, rej = (os.path.join(scratch, x) for x in ("landing", "table", "ckpt", "rejects"))
+    _land(src, "El Hierro", "2024-01-01", [f"2024-01-01T{h:02d}:00,{h}.5,70,0,1,5,10,1010" for h in range(24)]
+          + ["2024-01-01T99:00,1,1,1,1,1,1,1"])
+    landing.start_ingest(spark, src, table, ckpt, rej).awaitTermination()
+    assert spark.read.parquet(table).count() == 24
+    _land(src, "El Hierro", "2024-01-02", [f"2024-01-02T{h:02d}:00,{h}.5,70,0,1,5,10,1010" for h in range(24)])
+    landing.start_ingest(spark, src, table, ckpt, rej).awaitTermination()
+    out = spark.read.parquet(table)
+    assert out.count() == 48 and {r.Station for r in out.collect()} == {"El Hierro"}
+    bad = spark.read.parquet(rej).collect()
+    assert len(bad) == 1 and list(bad[0].BadColumns) == ["Time"]
