@@ -486,6 +486,9 @@ def q_landed_gaps(spark, sf):
     return coverage.missing_files(csv_files.landed_files(spark, landed_folder(spark, sf)))
 
 
+# Split point of the two-layout and union queries.
+_SPLIT = dt.datetime(2025, 1, 1)
+
 # Fixed parameters of the range-completeness query.
 COMPLETE_START, COMPLETE_END = dt.date(2024, 1, 1), dt.date(2024, 12, 31)
 
@@ -505,10 +508,38 @@ def q_range_complete(spark, sf):
     return coverage.is_complete(fixture.observations(spark, sf), COMPLETE_START, COMPLETE_END)
 
 
-# ---------------------------------------------------------------- sets
+def layout_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture landed in two CSV layouts in one folder (written once per
+    session): rows before the split with (Time, Temperature, Pressure), later
+    rows with (Time, Temperature, Humidity), under ``Station=`` folders."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-layouts-{uuid.uuid4().hex}"
+        o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
+        text_time = F.date_format("Time", "yyyy-MM-dd'T'HH:mm").alias("Time")
+        early = F.col("Time") < F.lit(_SPLIT).cast("timestamp_ntz")
+        (o.filter(early).select("Station", text_time, "Temperature", "Pressure")
+         .write.partitionBy("Station").option("header", True).csv(path))
+        (o.filter(~early).select("Station", text_time, "Temperature", "Humidity")
+         .write.mode("append").partitionBy("Station").option("header", True).csv(path))
+        return path
+    return fixture._memo(spark, ("layouts", sf), build)
 
-_SPLIT = dt.datetime(2025, 1, 1)
 
+@register(
+    "layout_union",
+    O.with_obs(
+        "SELECT Station, date_trunc('minute', Time) AS Time, Temperature, "
+        "CASE WHEN Time < TIMESTAMP '2025-01-01' THEN NULL ELSE Humidity END AS Humidity, "
+        "CASE WHEN Time < TIMESTAMP '2025-01-01' THEN Pressure ELSE NULL END AS Pressure FROM raw_obs WHERE Time IS NOT NULL"
+    ),
+)
+def q_layout_union(spark, sf):
+    """S3 + U2: files of two layouts read by header and stacked by name."""
+    df = csv_files.read_by_layout(spark, layout_folder(spark, sf))
+    return df.select(csv_files.station_of_file("SourceFile").alias("Station"), "Time", "Temperature", "Humidity", "Pressure")
+
+
+# ---------------------------------------------------------------- sets
 
 @register("union_positional", O.with_obs(f"SELECT {_ROW_COLS} FROM obs"))
 def q_union_positional(spark, sf):

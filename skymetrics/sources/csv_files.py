@@ -161,13 +161,71 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_inferred(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """S3 + U2: files whose column sets differ, each read with an inferred
-    schema and stacked by column name (missing columns become NULL).
+    """S3 + U2 for a few explicit paths: each read with an inferred schema and
+    stacked by column name (missing columns become NULL).  For a folder of
+    many files use ``read_by_layout``, which builds one reader per distinct
+    header instead of one per path."""
+    frames = [spark.read.option("header", True).option("inferSchema", True).csv(p) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+# Most distinct headers ``read_by_layout`` accepts: each layout is one reader
+# over the folder, so the layouts must be a handful, whatever the file count.
+MAX_LAYOUTS = 32
 
-    One reader per *distinct layout*, not per file: group the file list by
-    header first when there are many files.
+
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(SourceFile, Header): the first line of every CSV under ``path``.
+
+    One distributed pass: a file's first line is the earliest line
+    (``monotonically_increasing_id`` keeps read order inside a task) of the
+    split that starts at byte 0; the per-file minimum is aggregated partially
+    in each task, so one row per file is shuffled.
     """
-    frames = [spark.read.option("header", True).option("inferSchema", True).csv(p) for p in paths]
+    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.csv").select(
+        F.col("_metadata.file_path").alias("SourceFile"),
+        F.col("_metadata.file_block_start").alias("Start"),
+        F.monotonically_increasing_id().alias("Pos"),
+        F.col("value"),
+    )
+    return lines.filter(F.col("Start") == 0).groupBy("SourceFile").agg(F.min_by("value", "Pos").alias("Header"))
+
+
+def _typed(name: str) -> Column:
+    """A text column under its observation type when it is a known column."""
+    return _cast(name) if name in TARGET_TYPES else F.col(name)
+
+
+def read_by_layout(spark: SparkSession, path: str | list[str], na_token: str = "NA") -> DataFrame:
+    """S3 + U2 at scale: CSV files whose column sets differ, stacked by name.
+
+    The per-file headers are found in one pass and written to the shared
+    checkpoint folder; only the distinct headers (at most ``MAX_LAYOUTS``
+    strings) reach the driver.  Each layout is one text reader over the
+    folder, kept to its own files by a semi-join on the file path, and known
+    columns are cast to their observation types (unparseable cells become
+    NULL); the readers are stacked by column name, missing columns NULL.
+    """
+    from .sinks import persist_table
+
+    headers = persist_table(file_headers(spark, path), "layouts")
+    layouts = [r.Header for r in headers.select("Header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if not layouts:
+        raise NoInputFiles(f"no .csv file under {path}")
+    if len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} distinct CSV headers under {path}")
+    frames = []
+    for header in layouts:
+        names = [c.strip() for c in header.split(",")]
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+        files = headers.filter(F.col("Header") == header).select("SourceFile")
+        text = (
+            spark.read.schema(schema).option("header", True).option("nullValue", na_token)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+            .csv(path).withColumn("SourceFile", F.col("_metadata.file_path"))
+        )
+        mine = text.join(files, "SourceFile", "left_semi")
+        frames.append(mine.select("SourceFile", *[_typed(c) for c in names]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

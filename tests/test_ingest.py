@@ -174,3 +174,20 @@ def test_report_csv_refuses_an_unbounded_result(spark, scratch):
     with pytest.raises(ValueError):
         sinks.write_report_csv(spark.range(11), os.path.join(scratch, "big"), max_rows=10)
     sinks.write_report_csv(spark.range(10), os.path.join(scratch, "ok"), max_rows=10)
+
+
+def test_read_by_layout_stacks_files_by_name(spark, scratch):
+    for d, t in (("2024-01-01", "1.5"), ("2024-01-02", "2.5")):
+        _land(scratch, "A", 1, 2, d, [f"{d}T00:00,{t},80"], header="Time,Temperature,Humidity")
+    for d, t in (("2024-01-03", "3.5"), ("2024-01-04", "bad")):
+        _land(scratch, "B", 1, 2, d, [f"{d}T00:00,{t},1001", f"{d}T01:00,4.5,1002"], header="Time,Temperature,Pressure")
+    headers = csv_files.file_headers(spark, scratch)
+    assert sorted(r.Header for r in headers.collect()) == ["Time,Temperature,Humidity"] * 2 + ["Time,Temperature,Pressure"] * 2
+    df = csv_files.read_by_layout(spark, scratch)
+    assert set(df.columns) == {"SourceFile", "Time", "Temperature", "Humidity", "Pressure"}
+    got = sorted((r.Time.day, r.Time.hour, r.Temperature, r.Humidity, r.Pressure) for r in df.collect())
+    assert got == [(1, 0, 1.5, 80.0, None), (2, 0, 2.5, 80.0, None), (3, 0, 3.5, None, 1001.0),
+                   (3, 1, 4.5, None, 1002.0), (4, 0, None, None, 1001.0), (4, 1, 4.5, None, 1002.0)]
+    # one reader per layout, not per file (plan of an unexecuted frame: initial plan only)
+    plan = csv_files.read_by_layout(spark, scratch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
