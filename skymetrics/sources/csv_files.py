@@ -173,6 +173,9 @@ def read_inferred(spark: SparkSession, paths: list[str]) -> DataFrame:
 # over the folder, so the layouts must be a handful, whatever the file count.
 MAX_LAYOUTS = 32
 
+# File lists (paths) up to this many rows are broadcast to the layout filter.
+BROADCAST_FILE_LIMIT = 200_000
+
 
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(SourceFile, Header): the first line of every CSV under ``path``.
@@ -205,6 +208,8 @@ def read_by_layout(spark: SparkSession, path: str | list[str], na_token: str = "
     folder, kept to its own files by a semi-join on the file path, and known
     columns are cast to their observation types (unparseable cells become
     NULL); the readers are stacked by column name, missing columns NULL.
+    The file list of a layout is broadcast to that filter when a count of the
+    written header table proves it small.
     """
     from .sinks import persist_table
 
@@ -214,11 +219,15 @@ def read_by_layout(spark: SparkSession, path: str | list[str], na_token: str = "
         raise NoInputFiles(f"no .csv file under {path}")
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} distinct CSV headers under {path}")
+    # the file list is broadcast when a count proves it small (no shuffle of the
+    # rows by file); otherwise the planner shuffles and AQE splits a huge file
+    small = headers.count() <= BROADCAST_FILE_LIMIT
     frames = []
     for header in layouts:
         names = [c.strip() for c in header.split(",")]
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
         files = headers.filter(F.col("Header") == header).select("SourceFile")
+        files = F.broadcast(files) if small else files
         text = (
             spark.read.schema(schema).option("header", True).option("nullValue", na_token)
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
