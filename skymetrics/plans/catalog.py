@@ -50,6 +50,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Queries that read the landed CSV folder (``landed_folder``), whose one-time
+# landing the bench times as its own step.
+USES_LANDING = frozenset({"landed_csv", "landed_gaps", "landed_stream", "daily_summary_stream"})
+
+
 def queries() -> dict[str, Query]:
     return dict(_Q)
 
@@ -458,6 +463,41 @@ def landed_stream_table(spark: SparkSession, sf: str) -> str:
     return fixture._memo(spark, ("landed_stream", sf), build)
 
 
+STREAM_WATERMARK_DAYS = 2
+
+
+def daily_stream_table(spark: SparkSession, sf: str) -> str:
+    """The watermarked daily summary stream run once (``availableNow``) over
+    the landing folder into a Parquet sink in the shared checkpoint folder."""
+    def build() -> str:
+        from ..streaming import landing
+
+        base = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-daily-stream-{uuid.uuid4().hex}"
+        rows, _ = landing.landed_stream(spark, landed_folder(spark, sf))
+        q = (landing.daily_summary_stream(rows, f"{STREAM_WATERMARK_DAYS} days").writeStream
+             .format("parquet").outputMode("append").option("path", f"{base}/table")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return f"{base}/table"
+    return fixture._memo(spark, ("daily_stream", sf), build)
+
+
+@register(
+    "daily_summary_stream",
+    "WITH landed AS (SELECT Station, date_trunc('minute', Time) AS Time, Temperature, Precipitation, WindSpeed "
+    "FROM (" + O.with_obs("SELECT * FROM raw_obs WHERE Time IS NOT NULL") + ")), "
+    "wm AS (SELECT max(Time) - INTERVAL " + str(STREAM_WATERMARK_DAYS) + " DAY AS W FROM landed) "
+    "SELECT Station, CAST(Time AS DATE) AS Date, max(Temperature) AS MaxTemperature, "
+    f"{O.mean('Temperature')} AS AvgTemperature, min(Temperature) AS MinTemperature, "
+    f"{O.total('Precipitation')} AS TotalPrecipitation, count_if(Precipitation > 0) AS PrecipitationHours, "
+    "max(WindSpeed) AS MaxWindSpeed FROM landed, wm "
+    "WHERE CAST(CAST(Time AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= W GROUP BY Station, CAST(Time AS DATE)",
+)
+def q_daily_summary_stream(spark, sf):
+    """D1 as an event-time stream: the days the watermark has closed."""
+    return spark.read.parquet(daily_stream_table(spark, sf))
+
+
 @register("landed_stream", _SQL["landed_csv"])
 def q_landed_stream(spark, sf):
     table = spark.read.parquet(landed_stream_table(spark, sf))
