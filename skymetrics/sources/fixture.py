@@ -63,15 +63,16 @@ def observations_from_events(events: DataFrame) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str, compact: bool = True) -> DataFrame:
     """Fixture observations.  With ``compact`` (the default) the projection is
     written once per session as a Station-partitioned Parquet table in the
-    checkpoint folder - the compaction a landed table gets - and every query
-    scans that table; otherwise (or when the session names no shared folder)
+    checkpoint folder, rows ordered by Time inside each file (row groups then
+    cover time ranges that pushed Time filters can skip) - the compaction a
+    landed table gets - and every query scans that table; otherwise (or when the session names no shared folder)
     the projection is recomputed per query."""
     def build() -> DataFrame:
         obs = observations_from_events(table(spark, sf_dir, "events"))
         if not compact or checkpoint_dir(spark, required=False) is None:
             return obs
         from .sinks import persist_table
-        return persist_table(obs, "observations", partition_by=("Station",), schema=OBSERVATION)
+        return persist_table(obs, "observations", partition_by=("Station",), schema=OBSERVATION, sort_by=("Time",))
     return _memo(spark, ("observations", sf_dir, compact), build)
 
 

@@ -95,3 +95,16 @@ def test_csv_validation_stays_in_generated_code(spark):
     # the accepted-rows filter is a codegen node ("*(n) Filter"), not an interpreted one
     assert re.search(r"\*\(\d+\) Filter", p)
     assert "size(filter(" not in p
+
+
+def test_compacted_observations_are_time_ordered_per_file(spark):
+    # row groups then cover time ranges, so pushed Time filters can skip them
+    import pyarrow.parquet as pq
+    from skymetrics.sources import fixture
+
+    files = fixture.observations(spark, SF_SMALL).inputFiles()
+    assert files
+    for f in files:
+        times = pq.read_table(f.replace("file://", "").replace("file:", ""), columns=["Time"]).column("Time").to_pylist()
+        present = [t for t in times if t is not None]
+        assert present == sorted(present)
