@@ -112,8 +112,14 @@ def test_fixture_invariants(spark):
     for k, r in a12.items():
         assert (r.AvgTemperature, r.AvgHumidity, r.AvgPressure) == (a13[k].AvgTemperature, a13[k].AvgHumidity, a13[k].AvgPressure)
     # rainy days never exceed the days in the month; daily totals add up to the month
-    for k, r in a3.items():
-        assert r.RainyDays <= 31
+    import calendar as cal
+
+    for (_, y, mo), r in a3.items():
+        assert 0 <= r.RainyDays <= cal.monthrange(y, mo)[1]
+    # the wind rose counts every row with a direction, once
+    rose = A.wind_rose(obs).groupBy("Station").agg(F.sum("Count").alias("n")).collect()
+    directed = obs.filter(F.col("WindDirection").isNotNull()).groupBy("Station").count().collect()
+    assert {r.Station: r.n for r in rose} == {r.Station: r["count"] for r in directed}
     d = A.daily_precipitation(obs).groupBy("Station", F.year("Date").alias("Y"), F.month("Date").alias("M")) \
         .agg(F.sum("Precipitation").alias("P")).collect()
     for r in d:
