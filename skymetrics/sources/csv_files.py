@@ -61,8 +61,16 @@ def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: b
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     if not paths:
         raise NoInputFiles("no input paths given")
-    check_input(spark, paths)
-    return reader.csv(paths).withColumn("SourceFile", F.col("_metadata.file_path"))
+    # one listing: the reader's own (a missing path fails here); the file-level
+    # check lists again only when no row came back, to tell "no CSV file"
+    # from files that hold only a header
+    try:
+        text = reader.csv(paths)
+    except AnalysisException as e:
+        raise NoInputFiles(f"input path not found: {paths}") from e
+    if text.isEmpty():
+        check_input(spark, paths)
+    return text.withColumn("SourceFile", F.col("_metadata.file_path"))
 
 
 def _bad(name: str) -> Column:

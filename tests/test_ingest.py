@@ -191,3 +191,8 @@ def test_read_by_layout_stacks_files_by_name(spark, scratch):
     # one reader per layout, not per file (plan of an unexecuted frame: initial plan only)
     plan = csv_files.read_by_layout(spark, scratch)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 2
+
+
+def test_header_only_files_are_input_not_missing(spark, scratch):
+    _land(scratch, "Tenerife", 28.2916, -16.6291, "2024-01-01", [])
+    assert csv_files.read_text(spark, scratch).count() == 0
