@@ -26,19 +26,29 @@ def dashboard_aggregate(obs: DataFrame) -> DataFrame:
     return D.materialize(D.aggregate(with_calendar(obs)))
 
 
+REJECTS = "rejects"
+
+
 def process_landing(spark: SparkSession, landing_path: str, out_dir: str,
-                    fill_zero: bool = False, na_token: str = "NA") -> dict[str, str]:
+                    fill_zero: bool = False, na_token: str = "NA", rejects: bool = False) -> dict[str, str]:
     """Run the whole dashboard over ``landing_path`` and write it to ``out_dir``.
 
     Returns the output path of each table: ``<out_dir>/<table>`` as Parquet
     partitioned by Station, and ``<out_dir>/monthly_report`` with one
     headered CSV per ``Station=`` folder.  ``fill_zero`` applies the
     reference processors' zero-fill policy to the measures first.
+    ``rejects`` also writes the rows that failed validation to
+    ``<out_dir>/rejects``; that is a second scan of the landing folder (the
+    streaming ingest records rejects per micro-batch without one).
     """
-    obs = apply_null_policy(csv_files.load_observations(spark, landing_path, na_token), fill_zero)
+    rows, bad = csv_files.load_with_rejects(spark, landing_path, na_token)
+    obs = apply_null_policy(rows, fill_zero)
     agg = dashboard_aggregate(obs)
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
+    if rejects:
+        paths[REJECTS] = f"{out}/{REJECTS}"
+        bad.write.mode("overwrite").parquet(paths[REJECTS])
     for name, table in {**D.tables(agg), **D.daily_tables(agg)}.items():
         paths[name] = f"{out}/{name}"
         sinks.write_parquet(table, paths[name], partition_by=("Station",))
@@ -57,9 +67,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("out")
     ap.add_argument("--fill-zero", action="store_true", help="zero-fill missing measures (reference policy)")
     ap.add_argument("--na-token", default="NA")
+    ap.add_argument("--rejects", action="store_true", help="also write rows that failed validation (second scan)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("skymetrics-process-landing").getOrCreate()
-    for name, path in process_landing(spark, args.landing, args.out, args.fill_zero, args.na_token).items():
+    paths = process_landing(spark, args.landing, args.out, args.fill_zero, args.na_token, args.rejects)
+    for name, path in paths.items():
         print(f"{name}\t{path}")
 
 

@@ -144,11 +144,17 @@ def date_of_file(path: Column | str = "SourceFile") -> Column:
     return F.regexp_extract(path, FILE_DATE, 1).try_cast("date")
 
 
+def load_with_rejects(spark: SparkSession, path: str, na_token: str = "NA") -> tuple[DataFrame, DataFrame]:
+    """S1 + F7 + S10: (typed observations, rejected text rows with
+    ``SourceFile`` and ``BadColumns``); Station comes from a ``Station=``
+    partition directory or else from the landing directory name."""
+    good, rejects = validate(read_text(spark, path, na_token))
+    return good.select(station_of_file("SourceFile").alias("Station"), *[c for c in CSV_COLUMNS]), rejects
+
+
 def load_observations(spark: SparkSession, path: str, na_token: str = "NA") -> DataFrame:
-    """S1 + F7 + S10: typed observations with Station taken from a
-    ``Station=`` partition directory or else from the landing directory name."""
-    good, _ = validate(read_text(spark, path, na_token))
-    return good.select(station_of_file("SourceFile").alias("Station"), *[c for c in CSV_COLUMNS])
+    """S1 + F7 + S10: typed observations (rejected rows left out)."""
+    return load_with_rejects(spark, path, na_token)[0]
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:

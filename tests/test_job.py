@@ -54,3 +54,17 @@ def test_job_command_line(spark, scratch, capsys):
     filled = spark.read.parquet(printed["monthly_summary"])
     # zero-fill policy: a missing pressure counts as 0 hPa in the minimum
     assert filled.agg(F.min("MinPressure")).first()[0] == 0.0
+
+
+def test_job_writes_rejects_on_request(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    d = os.path.join(landing, "weather_data_hourly_Tenerife_28.2916_-16.6291")
+    os.makedirs(d)
+    with open(os.path.join(d, "weather_2024-01-01.csv"), "w") as f:
+        f.write("Time,Temperature,Humidity,Precipitation,WeatherCode,WindSpeed,WindDirection,Pressure\n"
+                "2024-01-01T00:00,10.5,80,0.2,61,5.1,350,1018.2\n"
+                "2024-01-01T01:00,abc,80,0.0,3,5.0,10,1018.0\n")
+    paths = job.process_landing(spark, landing, os.path.join(scratch, "out"), rejects=True)
+    bad = spark.read.parquet(paths[job.REJECTS]).collect()
+    assert [list(r.BadColumns) for r in bad] == [["Temperature"]]
+    assert spark.read.parquet(paths["monthly_summary"]).first().AvgTemperature == 10.5
