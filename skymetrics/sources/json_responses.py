@@ -76,12 +76,17 @@ def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
     """A document holding a list of responses -> one row per response with
     its 0-based ``LocationId`` (position in the list)."""
     rest = [c for c in docs.columns if c != json_col]
-    listed = F.from_json(F.col(json_col), MULTI_RESPONSE)
+    # parsed once, out of a generator (see parse_responses)
+    parsed = docs.select(
+        *rest, F.col(json_col).isNotNull().alias("_has_text"),
+        F.inline(F.array(F.struct(F.from_json(F.col(json_col), MULTI_RESPONSE).alias("_listed")))),
+    )
+    listed = F.col("_listed")
     # a document that does not parse becomes one NULL response (LocationId
     # NULL), which split_responses rejects, instead of vanishing in the explode
-    malformed = listed.isNull() & F.col(json_col).isNotNull()
+    malformed = listed.isNull() & F.col("_has_text")
     items = F.when(malformed, F.array(F.lit(None).cast(RESPONSE))).otherwise(listed)
-    exploded = docs.select(*rest, malformed.alias("_malformed"), F.posexplode(items).alias("LocationId", "response"))
+    exploded = parsed.select(*rest, malformed.alias("_malformed"), F.posexplode(items).alias("LocationId", "response"))
     return exploded.select(
         *rest,
         F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"),

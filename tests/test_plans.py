@@ -80,8 +80,9 @@ def test_coverage_reads_its_input_once(spark, name, scan):
     assert "LeftAnti" not in p
 
 
-def test_json_parsed_once_per_document(spark):
-    p = plan(E.queries()["json_pivot"](spark, SF_SMALL))
+@pytest.mark.parametrize("name", ["json_pivot", "multi_location", "landed_json"])
+def test_json_parsed_once_per_document(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
     assert p.count("from_json(") == 1
 
 
