@@ -12,11 +12,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar, units
 from ..functions.stats import exact_mean, total
 from ..operators import aggregates as A
 from ..operators import coverage, daily, enrich, prepare
+from ..schema import OBSERVATION
 from ..session import checkpoint_dir
 from ..sources import csv_files, fixture, sinks
 from ..sources import json_responses as J
@@ -500,7 +502,10 @@ def q_daily_summary_stream(spark, sf):
 
 @register("landed_stream", _SQL["landed_csv"])
 def q_landed_stream(spark, sf):
-    table = spark.read.parquet(landed_stream_table(spark, sf))
+    # explicit schema: partition values (Station, BatchId) keep their types
+    # instead of being inferred from the folder names
+    schema = T.StructType(OBSERVATION.fields + [T.StructField("BatchId", T.LongType(), True)])
+    table = spark.read.schema(schema).parquet(landed_stream_table(spark, sf))
     return table.select(*_ROW_COLS.split(", "))
 
 
