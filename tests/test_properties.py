@@ -47,3 +47,27 @@ def test_dashboard_rollups_equal_direct(spark, data):
     assert rows(D.monthly_precipitation(agg)) == rows(A.monthly_precipitation(obs, ordered=False))
     assert rows(D.wind_by_direction(agg)) == rows(A.wind_by_direction(obs, ordered=False))
     assert rows(D.hourly_profile(agg, "Pressure")) == rows(A.hourly_profile(obs, "Pressure", ordered=False))
+
+
+day_offsets = st.lists(st.integers(min_value=0, max_value=90), min_size=1, max_size=20)
+
+
+@SETTINGS
+@given(a=day_offsets, b=day_offsets, lo=st.integers(0, 60), span=st.integers(0, 60), ranged=st.booleans())
+def test_missing_days_equal_brute_force(spark, a, b, lo, span, ranged):
+    from skymetrics.operators import coverage
+
+    base = dt.date(2024, 1, 1)
+    landed = {s: sorted({base + dt.timedelta(days=d) for d in ds}) for s, ds in (("A", a), ("B", b))}
+    data = [(s, dt.datetime(d.year, d.month, d.day, 12)) for s, ds in landed.items() for d in ds]
+    obs = spark.createDataFrame(data, "Station string, Time timestamp_ntz")
+    start = base + dt.timedelta(days=lo) if ranged else None
+    end = start + dt.timedelta(days=span) if ranged else None
+    got = sorted((r.Station, r.Date) for r in coverage.missing_days(obs, start, end).collect())
+    want = []
+    for s, ds in landed.items():
+        first, last = (start, end) if ranged else (ds[0], ds[-1])
+        present = set(ds)
+        want += [(s, first + dt.timedelta(days=i)) for i in range((last - first).days + 1)
+                 if first + dt.timedelta(days=i) not in present]
+    assert got == sorted(want)
