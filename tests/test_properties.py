@@ -71,3 +71,41 @@ def test_missing_days_equal_brute_force(spark, a, b, lo, span, ranged):
         want += [(s, first + dt.timedelta(days=i)) for i in range((last - first).days + 1)
                  if first + dt.timedelta(days=i) not in present]
     assert got == sorted(want)
+
+
+LAYOUTS = ["Time,Temperature,Humidity", "Time,Pressure,Temperature", "Time,Temperature"]
+landing_files = st.lists(
+    st.tuples(st.integers(0, len(LAYOUTS) - 1), st.lists(st.integers(0, 23), min_size=0, max_size=5)),
+    min_size=1, max_size=6,
+)
+
+
+@SETTINGS
+@given(files=landing_files)
+def test_read_by_layout_equals_the_written_files(spark, files):
+    import os
+    import tempfile
+
+    from skymetrics.sources import csv_files
+
+    root = tempfile.mkdtemp(prefix="skymetrics-layout-")
+    want = []
+    for i, (layout, hours) in enumerate(files):
+        cols = LAYOUTS[layout].split(",")
+        lines = [LAYOUTS[layout]]
+        for h in sorted(set(hours)):
+            vals = {"Time": f"2024-01-{i + 1:02d}T{h:02d}:00", "Temperature": f"{h}.5", "Humidity": f"{50 + h}",
+                    "Pressure": f"{1000 + h}"}
+            lines.append(",".join(vals[c] for c in cols))
+            want.append((i + 1, h, h + 0.5, 50.0 + h if "Humidity" in cols else None,
+                         1000.0 + h if "Pressure" in cols else None))
+        d = os.path.join(root, "weather_data_hourly_S_1.0_2.0")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, f"weather_2024-01-{i + 1:02d}.csv"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    df = csv_files.read_by_layout(spark, root)
+    cols = set(df.columns)
+    got = sorted((r.Time.day, r.Time.hour, r.Temperature,
+                  r.Humidity if "Humidity" in cols else None, r.Pressure if "Pressure" in cols else None)
+                 for r in df.collect())
+    assert got == sorted(want)
