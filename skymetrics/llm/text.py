@@ -8,8 +8,9 @@ wraps.
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,14 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _STEP = 0x9E3779B97F4A7C15 | 1
 
 
+def memo(key: object, make: Callable[[], object]) -> object:
+    """``make()`` once per Python process; later tasks of the same worker find it again."""
+    store = sys.modules.setdefault("_skymetrics_memo", types.ModuleType("_skymetrics_memo")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the whole word (the splitmix64 finaliser)."""
     x = x ^ (x >> U64(30))
@@ -37,9 +46,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@functools.lru_cache(4)
 def _powers(bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd step and of its inverse, for ``1 << bits`` places."""
+    if bits > 23:  # one very long text: not kept
+        return _make_powers(bits, seed)
+    return memo(("powers", seed, bits), lambda: _make_powers(bits, seed))
+
+
+def _make_powers(bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     step = (_STEP * (2 * seed + 1)) % (1 << 64) | 1
     inverse = pow(step, -1, 1 << 64)
     out = []
@@ -53,14 +67,13 @@ def _powers(bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 def window_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """Polynomial hash of ``values[start:end]``, the same wherever the values stand."""
     n = len(values)
-    power, inverse = _powers(max(10, int(n).bit_length()), seed)
+    power, inverse = _powers(max(21, int(n).bit_length()), seed)
     total = np.empty(n + 1, U64)
     total[0] = 0
     np.cumsum(values * power[:n], out=total[1:])
     return (total[ends] - total[starts]) * inverse[starts]
 
 
-@functools.lru_cache(1)
 def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(_STEP))
 
