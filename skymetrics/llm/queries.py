@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skymetrics.llm import byte_bpe, exact_dedup, packing, quality, toxicity
+from skymetrics.llm import byte_bpe, exact_dedup, license_scan, packing, quality, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -28,6 +32,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,7 +45,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_toxicity, op6_quality, op8_harmonic_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op4_toxicity, op6_quality, op7_license_scan, op8_harmonic_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
