@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skymetrics.llm import byte_bpe, exact_dedup, license_scan, packing, quality, toxicity, url_filter
+from skymetrics.llm import byte_bpe, exact_dedup, license_scan, packing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -45,7 +51,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op4_toxicity, op6_quality, op7_license_scan, op8_harmonic_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
