@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from skymetrics.llm.staging import partitions
 
-PARTS_PER_TASK = 4
+PARTS_PER_TASK = 2
 #: a task sends what it has gathered when it holds this many records
 FLUSH = 1 << 20
 
@@ -30,15 +30,20 @@ def parts(spark: SparkSession) -> int:
     return PARTS_PER_TASK * partitions(spark)
 
 
+def row_hash() -> Column:
+    """A hash of a document's doc_id and text."""
+    hashed = F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"))
+    return hashed.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
 def with_row_key(docs: DataFrame, n_parts: int, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """text, ``id`` and ``hash`` of each row, the part they make it belong to, and the columns ``keep`` as ``keep_0``, ...
 
     A NULL id becomes the smallest number.
     """
-    hashed = F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"))
     return (
         docs.select(F.col("text").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-                    hashed.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("hash"),
+                    row_hash().alias("hash"),
                     *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
         .withColumn("part", F.col("hash") % n_parts)
     )
@@ -46,7 +51,7 @@ def with_row_key(docs: DataFrame, n_parts: int, *, keep: tuple[str, ...] = ()) -
 
 def original_id(row_id: str = "id") -> Column:
     """The id of ``with_row_key`` as it was."""
-    return F.when(F.col(row_id) != -(1 << 63), F.col(row_id))
+    return F.when(F.col(row_id) != F.lit(-(1 << 63)).cast("long"), F.col(row_id))
 
 
 def packed(part: np.ndarray, records: np.ndarray, n_parts: int) -> tuple[np.ndarray, list[bytes]]:

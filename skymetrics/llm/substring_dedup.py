@@ -8,7 +8,7 @@ its neighbours: of every run of windows that a longer window holds, the one with
 the smallest hash, which is the same wherever the longer window stands.
 
 Windows are compared by 96 bits of hashes.  Within a task, windows that repeat
-are folded to one record before the shuffle.
+are folded to one record before the shuffle, and their places are sent as runs.
 """
 
 from __future__ import annotations
@@ -32,7 +32,10 @@ SHORTEST = 17
 
 WINDOW_KEY = [("key", "<u8"), ("check", "<u4")]
 PLACE = [*ROW, ("at", "<i4")]
-SINGLE, SEVERAL, KNOWN = 0, 1, 2
+RUN = [*PLACE, ("n", "<i4")]
+SINGLE, KNOWN, KNOWN_RUN = 0, 1, 2
+#: as a place: the window repeats, and its places are known already
+NOWHERE = -1
 _LOW = U64((1 << 20) - 1)
 
 
@@ -106,19 +109,40 @@ class _Sender:
         keys, places = (np.concatenate(x) for x in zip(*self.held, strict=True))
         self.held, self.size = [], 0
         order = np.lexsort((keys["check"], keys["key"]))
-        keys, places = keys[order], places[order]
-        first, again = _repeats(keys)
-        single = ~again
+        first, again = np.empty(len(keys), bool), np.empty(len(keys), bool)
+        first[order], again[order] = _repeats(keys[order])
+        places_known = _runs(places[again])
+        places["at"][again] = NOWHERE
+        single = first | ~again  # in the order of documents and places, which packs well
         both = np.zeros(int(single.sum()), [*WINDOW_KEY, *PLACE])
         for source in (keys, places):
             for name in source.dtype.names:
                 both[name] = source[name][single]
         part = lambda k: (k["key"] >> U64(33)).astype(np.int64) % self.n_parts
         yield from exchange.rows(part(both), both, self.n_parts, SINGLE)
-        several = keys[first & again]
-        yield from exchange.rows(part(several), several, self.n_parts, SEVERAL)
-        known = places[again]
-        yield from exchange.rows(known["hash"] % self.n_parts, known, self.n_parts, KNOWN)
+        yield from exchange.rows(places_known["hash"] % self.n_parts, places_known, self.n_parts, KNOWN_RUN)
+
+
+def _runs(places: np.ndarray) -> np.ndarray:
+    """Places that follow each other in a document, as runs."""
+    new = np.ones(len(places) + 1, bool)
+    same = (places["id"][1:] == places["id"][:-1]) & (places["hash"][1:] == places["hash"][:-1])
+    new[1:-1] = ~same | (places["at"][1:] != places["at"][:-1] + 1)
+    edges = np.flatnonzero(new)
+    out = np.zeros(len(edges) - 1, RUN)
+    for name in places.dtype.names:
+        out[name] = places[name][edges[:-1]]
+    out["n"] = np.diff(edges)
+    return out
+
+
+def _places(table: pa.Table) -> np.ndarray:
+    """All repeated places that a part's records name."""
+    runs = unpacked(table, KNOWN_RUN, RUN)
+    out = np.repeat(runs[["id", "hash", "at"]].astype(PLACE), runs["n"])
+    ends = np.cumsum(runs["n"])
+    out["at"] += (np.arange(len(out)) - np.repeat(ends - runs["n"], runs["n"])).astype(np.int32)
+    return np.concatenate([unpacked(table, KNOWN, PLACE), out])
 
 
 def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,14 +157,18 @@ def _repeating(n_parts: int):
     """Of a part's records, the places whose window occurs several times, by the part of their document."""
     def run(table: pa.Table) -> pa.Table:
         single = unpacked(table, SINGLE, [*WINDOW_KEY, *PLACE])
-        several = unpacked(table, SEVERAL, WINDOW_KEY)
-        every = np.concatenate([single[["key", "check"]].astype(WINDOW_KEY), several, several])
+        keys = single[["key", "check"]].astype(WINDOW_KEY)
+        every = np.concatenate([keys, keys[single["at"] == NOWHERE]])  # those count twice
         order = np.lexsort((every["check"], every["key"]))
         _, again = _repeats(every[order])
         found = order[again]
         found = single[found[found < len(single)]]
-        places = np.concatenate([found[["id", "hash", "at"]].astype(PLACE), unpacked(table, KNOWN, PLACE)])
-        batches = list(exchange.rows(places["hash"] % n_parts, places, n_parts, KNOWN))
+        found = found[found["at"] != NOWHERE]
+        places = found[["id", "hash", "at"]].astype(PLACE)
+        places = places[np.lexsort((places["at"], places["id"], places["hash"]))]
+        runs = unpacked(table, KNOWN_RUN, RUN)
+        batches = [*exchange.rows(places["hash"] % n_parts, places, n_parts, KNOWN),
+                   *exchange.rows(runs["hash"] % n_parts, runs, n_parts, KNOWN_RUN)]
         return pa.Table.from_batches(batches, _ARROW)
 
     return run
@@ -162,7 +190,7 @@ def _alive(windows: Windows, rows: np.ndarray, found: dict, at: int) -> np.ndarr
 def _extended(window: int, shorter: int, length: int, n_parts: int):
     """The windows of ``length`` words that the repeated ones of ``shorter`` words leave."""
     def longer(texts: pa.Table, places: pa.Table) -> pa.Table:
-        out, known = [], by_row(unpacked(places, KNOWN, PLACE))
+        out, known = [], by_row(_places(places))
         sender, rows = _Sender(n_parts), row_array(texts)
         wanted = np.array([k in known for k in zip(rows["id"].tolist(), rows["hash"].tolist(), strict=True)], bool)
         texts, rows = texts.filter(pa.array(wanted, pa.bool_())), rows[wanted]
@@ -175,10 +203,11 @@ def _extended(window: int, shorter: int, length: int, n_parts: int):
     return longer
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, n_parts: int | None = None) -> DataFrame:
-    """Packed places of the windows of ``window`` words that start in more than one place."""
-    n_parts = n_parts or exchange.parts(docs.sparkSession)
-    keyed = exchange.with_row_key(docs, n_parts)
+def repeated_windows(keyed: DataFrame, n_parts: int, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
+    """Packed places of the windows of ``window`` words that start in more than one place.
+
+    ``keyed`` is what ``exchange.with_row_key`` makes of the documents.
+    """
     lengths = levels(window, shortest)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,28 +226,31 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shortest: int = SHOR
             return found
 
         found = (
-            keyed.select("part", "id", "hash", "text").groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_extended(window, shorter, length, n_parts), exchange.SCHEMA)
+            keyed.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_extended(window, shorter, length, n_parts), exchange.SCHEMA)
             .groupBy("part").applyInArrow(_repeating(n_parts), exchange.SCHEMA)
         )
     return found
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, keep: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, keep: tuple[str, ...] = (),
+                   as_is: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_text, and the columns ``keep``.
 
     Words are what stands between spaces and control characters 9 to 13.  A
     word goes if a window of ``window`` words that covers it starts in another
     place too, in any document; repeated rows are other places.  What stays is
-    joined by single spaces.  NULL and empty texts have no words; a NULL doc_id
+    joined by single spaces (``as_is``: a text that loses nothing stays as it
+    was, NULL too).  NULL and empty texts have no words; a NULL doc_id
     is carried along, and an empty table gives an empty result.
     """
     n_parts = exchange.parts(docs.sparkSession)
-    found = stage(repeated_windows(docs, window, shortest, n_parts), "repeats")
     keyed = exchange.with_row_key(docs, n_parts, keep=keep)
+    # one plan for the last level and the removal: both use the same exchange of the texts
+    found = repeated_windows(keyed, n_parts, window, shortest)
     others = [f"keep_{i}" for i in range(len(keep))]
 
     def remove(texts: pa.Table, places: pa.Table) -> pa.Table:
-        known = by_row(unpacked(places, KNOWN, PLACE))
+        known = by_row(_places(places))
         kept, counts, removed = [], [], []
         keys = zip(texts.column("id").to_pylist(), texts.column("hash").to_pylist(), strict=True)
         for key, text in zip(keys, texts.column("text"), strict=True):
@@ -233,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTE
                 stays = np.cumsum(change[:-1]) == 0
                 words = list(compress(words, stays.tolist()))
             removed.append(counts[-1] - len(words))
-            kept.append(b" ".join(words).decode("utf-8"))
+            kept.append(text.as_py() if as_is and not removed[-1] else b" ".join(words).decode("utf-8"))
         return pa.table([texts.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
                          *(texts.column(c) for c in others)], ["id", "n_words", "n_removed", "kept_text", *others])
 
