@@ -28,12 +28,17 @@ def block_digest(block: Column) -> tuple[Column, Column]:
     return F.xxhash64(block), F.xxhash64(F.lit(1), block)
 
 
+def row_hash() -> Column:
+    """A hash of a document's text."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def _cut(docs: DataFrame, block_bytes: int, digest: Callable[[Column], tuple[Column, Column]]) -> DataFrame:
     """One row per block: doc_id, row_hash, sha, n_blocks, place, h1, h2, block."""
     text = F.coalesce(F.col("text"), F.lit(""))
     whole = docs.select(
         "doc_id", text.cast("binary").alias("bytes"),
-        F.xxhash64(text).alias("row_hash"), F.unhex(F.sha2(text, 256)).alias("sha"),
+        row_hash().alias("row_hash"), F.unhex(F.sha2(text, 256)).alias("sha"),
     )
     n = F.greatest(F.ceil(F.octet_length("bytes") / F.lit(block_bytes)), F.lit(1)).cast("int")
     cut = (

@@ -7,8 +7,8 @@ asked for bounds that difference by some k; the sketch is cut into more than k
 chunks, so linked documents agree in a whole chunk (pigeonhole), and documents
 are joined on the digests of their chunks.
 
-A few extra chunks let nearly empty chunks, which many documents share, be left
-out without losing a pair.  Of the documents that share a chunk the smallest is
+A few extra chunks let empty ones, which unlike documents share, be left out
+without losing a pair.  Of the documents that share a chunk the smallest is
 the leader, to which all others are compared first; only where that leaves
 several components are members compared with each other, in blocks.  Every link
 is verified on the whole shingle sets (of 64-bit hashes).
@@ -31,9 +31,9 @@ from skymetrics.llm.text import LOWER, SPACES, U64, Words, distinct, mix, shingl
 
 WIDTH, PERCENT = 5, 80
 #: size bands grow by this factor; a sketch has this many bits per chunk
-BAND_GROWTH, CHUNK_BITS = 1.6, 1 << 16
-#: chunks beyond k + 1, so that up to as many chunks of at most LIGHT shingles can be left out
-EXTRA, LIGHT = 2, 1
+BAND_GROWTH, CHUNK_BITS = 1.3, 1 << 40
+#: chunks beyond k + 1 (some, and one for so many), so that up to as many empty chunks can be left out
+EXTRA, EXTRA_PER = 2, 16
 #: texts that are compared with each other at once
 BLOCK = 256
 
@@ -41,7 +41,7 @@ KEY = [("key", "<u8"), *ROW]
 SET = [("n", "<i8"), ("first", "<u8"), ("second", "<u8"), *ROW]
 COUNT = [("n", "<i8"), *ROW]
 PAIR = [("id", "<i8"), ("hash", "<i4"), ("other_id", "<i8"), ("other_hash", "<i4")]
-KEYS, SETS, COUNTS, PAIRS, EQUALS = range(5)
+KEYS, SETS, COUNTS, PAIRS, EQUALS, MET = range(6)
 PAIR_SCHEMA = "kind int, n long, a struct<id:long,hash:int>, b struct<id:long,hash:int>"
 
 
@@ -65,7 +65,8 @@ def chunk_keys(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent:
         band = home + up
         bound = np.append(edges, int(np.ceil(edges[-1] * BAND_GROWTH)) + 1)[band]
         most = 2 * bound * (100 - percent) // (100 + percent)  # symmetric difference
-        chunks = np.where(who, np.where(most > 0, most + 1 + EXTRA, 1), 0)
+        extra = EXTRA + most // EXTRA_PER
+        chunks = np.where(who, np.where(most > 0, most + 1 + extra, 1), 0)
         base = np.cumsum(chunks) - chunks
         mine = who[owner]
         x, o = keys[mine], owner[mine]
@@ -75,10 +76,10 @@ def chunk_keys(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent:
         total = int(chunks.sum())
         digest = np.zeros(total, U64)
         np.bitwise_xor.at(digest, chunk, bit)
-        light = np.bincount(chunk, minlength=total) <= LIGHT
+        empty = np.bincount(chunk, minlength=total) == 0
         of = np.repeat(np.arange(len(sizes)), chunks)
-        few = np.bincount(of, light, len(sizes)) <= EXTRA
-        kept = ~(light & few[of] & (most > 0)[of])
+        few = np.bincount(of, empty, len(sizes)) <= extra
+        kept = ~(empty & few[of])
         place = (np.arange(total) - base[of]).astype(U64)
         digest = mix(digest ^ mix(place + (band[of].astype(U64) << U64(40)) + U64(1)))
         out.append((digest[kept], of[kept]))
@@ -140,13 +141,13 @@ def _pair_table(kind: int, pairs: np.ndarray) -> pa.RecordBatch:
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Of a part's records: set sizes, pairs that share a chunk, pairs of equal sets."""
+    """Of a part's records: set sizes, pairs that share a chunk (within a task, or met here), pairs of equal sets."""
     counts = unpacked(table, COUNTS, COUNT)
     row = pa.StructArray.from_arrays([pa.array(counts["id"]), pa.array(counts["hash"])], ["id", "hash"])
     out = [pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), COUNTS), pa.int32()), pa.array(counts["n"]), row, row], ["kind", "n", "a", "b"])]
-    for kind, pairs_kind, dtype, names in ((KEYS, PAIRS, KEY, ["key"]), (SETS, EQUALS, SET, ["first", "second", "n"])):
-        _, pairs = _leaders(unpacked(table, kind, dtype), names)
-        out.append(_pair_table(pairs_kind, np.unique(np.concatenate([pairs, unpacked(table, pairs_kind, PAIR)]))))
+    out += [_pair_table(kind, unpacked(table, kind, PAIR)) for kind in (PAIRS, EQUALS)]
+    for kind, pairs_kind, dtype, names in ((KEYS, MET, KEY, ["key"]), (SETS, EQUALS, SET, ["first", "second", "n"])):
+        out.append(_pair_table(pairs_kind, _leaders(unpacked(table, kind, dtype), names)[1]))
     return pa.Table.from_batches(out)
 
 
@@ -253,13 +254,13 @@ def _open_places(stars: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, row_hash.
+    """One row per document: doc_id, n_shingles, component_id, kept, row_hash.
 
     Words are what stands between spaces and control characters 9 to 13, A-Z
     lower-cased; a text of fewer than ``width`` words is one shingle, one
     without words (or NULL) has none and links with nothing.  Documents link
     when ``100 * intersection >= percent * union``; ``component_id`` is the
-    smallest doc_id that links reach.  A NULL doc_id counts as smaller than any
+    smallest doc_id that links reach, and its row is the one ``kept``.  A NULL doc_id counts as smaller than any
     other and is given back as NULL; rows that repeat are each given; an empty
     table gives an empty result.  Other columns are not read.
     """
@@ -270,11 +271,20 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     # equal sets: a member's leader in its task, or that one's leader
     up = equals.select(F.col("b").alias("a"), F.col("a").alias("top"))
     alias = stage(equals.join(up, "a", "left").select(F.col("b").alias("row"), F.coalesce("top", "a").alias("same")), "equal_sets")
-    pairs = found.filter(F.col("kind") == PAIRS).select("a", "b")
+    inside = found.filter(F.col("kind") == PAIRS).select("a", "b").distinct()
+    met = found.filter(F.col("kind") == MET).select("a", "b").distinct()
+    # the members that a task's leader stood for belong to the leader it met, too
+    through = met.join(inside.select(F.col("a").alias("b"), F.col("b").alias("member")), "b").select("a", F.col("member").alias("b"))
+    pairs = stage(inside.unionByName(met).unionByName(through).distinct(), "pairs")
     for end in ("a", "b"):
         pairs = pairs.join(alias.withColumnRenamed("row", end), end, "left").withColumn(end, F.coalesce("same", end)).drop("same")
     stars = stage(pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    links = stage(_linked(keyed, _star_places(stars), n_parts, width, percent), "links")
+    sizes = found.filter(F.col("kind") == COUNTS).select(F.col("a").alias("node"), "n").distinct()
+    near = stage(
+        stars.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+        .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"), "near_stars")
+    links = stage(_linked(keyed, _star_places(near), n_parts, width, percent), "links")
     same = equals.unionByName(links)
     reached = components(same)
     places = stage(_open_places(stars, reached), "open_places")
@@ -284,4 +294,5 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     rows = found.filter(F.col("kind") == COUNTS).select(F.col("a").alias("node"), "n")
     out = rows.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return out.select(original_id("node.id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      original_id("component.id").alias("component_id"), F.col("node.hash").alias("row_hash"))
+                      original_id("component.id").alias("component_id"),
+                      (F.col("node") == F.col("component")).alias("kept"), F.col("node.hash").alias("row_hash"))

@@ -159,3 +159,16 @@ def score(docs: DataFrame, machine: Machine, folds: int = 3, held_out: int = 1,
 
     scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
     return scored.withColumn("held_out", fold(scored["doc_id"], folds) == held_out).select("doc_id", "held_out", "score", "predicted")
+
+
+def reject(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """The documents, with all their columns, whose score is below ``threshold``; rows as in ``score``."""
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in slices(batch.column("text")):
+                stays = machine.scores(*text_terms(data, offsets), b - a) < threshold
+                yield batch.slice(a, b - a).filter(pa.array(stays))
+
+    return docs.mapInArrow(run, schema)

@@ -64,11 +64,11 @@ def rows(seed, groups=5, each=14):
             (906, "long " * 4000), (907, "same row again and again here"), (907, "same row again and again here"), (907, "other words under one id")]
 
 
-@pytest.mark.parametrize("width, percent, block", [(4, 85, 256), (3, 70, 4), (2, 90, 1)])
-def test_equals_brute_force(spark, monkeypatch, width, percent, block):
+@pytest.mark.parametrize("width, percent, block, groups, each", [(4, 85, 256, 4, 60), (3, 70, 4, 5, 14)])
+def test_equals_brute_force(spark, monkeypatch, width, percent, block, groups, each):
     monkeypatch.setattr(J, "BLOCK", block)
-    data = rows(width)
-    assert got(J.jaccard_join(frame(spark, data), width, percent)) == brute(data, width, percent)
+    data = rows(width, groups, each)
+    assert got(J.jaccard_join(frame(spark, data).repartition(11), width, percent)) == brute(data, width, percent)
 
 
 def test_empty_table(spark):
