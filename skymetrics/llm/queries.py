@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, packing, quality, substring_dedup, toxicity, url_filter
+from skymetrics.llm import byte_bpe, embedding_dedup, exact_dedup, jaccard_join, license_scan, packing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), width=4, percent=85).drop("row_hash")
+    return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), width=4, percent=85).drop("kept", "row_hash")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,12 +50,16 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
