@@ -1,34 +1,77 @@
-"""A corpus cleaning pipeline over the operators of ``skymetrics.llm``."""
+"""A corpus cleaning pipeline over the operators of ``skymetrics.llm``.
+
+Toxic documents go, then exact copies, then near copies; passages that repeat
+are cut out of what is left, and the rest is packed into token sequences.  Each
+stage reads what the one before it wrote; all but the last return the columns
+of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skymetrics.llm import exact_dedup as exact
+from skymetrics.llm import exchange, jaccard_join, packing, substring_dedup
+from skymetrics.llm import toxicity as toxic
 from skymetrics.llm.staging import stage
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _only(docs: DataFrame, decided: DataFrame, row_hash: Column) -> DataFrame:
+    """The documents that ``decided`` keeps, each once; it names them by doc_id and ``row_hash``."""
+    kept = decided.filter("kept").select(F.struct("doc_id", "row_hash").alias("_row"))
+    rows = docs.withColumn("_hash", row_hash).withColumn("_row", F.struct("doc_id", F.col("_hash").alias("row_hash")))
+    return rows.dropDuplicates(["_row"]).join(kept, "_row", "left_semi").select(*docs.columns)
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id and text ``kept`` names by (doc_id, row_hash), one of each."""
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("row_hash").alias("_kept_hash"))
-    mine = docs.dropDuplicates(["doc_id", "text"])
-    same = mine["doc_id"].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(F.coalesce(mine["text"], F.lit(""))) == kept["_kept_hash"])
-    return mine.join(kept, same, "left_semi").select(*docs.columns)
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine scores 0.7 or more go; it learns from the labelled ones among ``docs``."""
+    return toxic.reject(docs, toxic.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, that with the largest doc_id."""
-    return _only(docs, exact.exact_dedup(docs).filter("kept"))
+    """Of equal texts the document with the largest doc_id stays; of rows that repeat, one."""
+    return _only(docs, exact.exact_dedup(docs), exact.row_hash())
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more on five-word shingles, that with the smallest doc_id stays."""
+    return _only(docs, jaccard_join.jaccard_join(docs, width=5, percent=80), exchange.row_hash())
+
+
+def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in windows of 35 words that repeat go; a document stays even without words, and ``n_chars`` follows its text."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = substring_dedup.remove_repeats(docs, keep=others, as_is=True).withColumnRenamed("kept_text", "text")
+    cut = cut.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    if "n_chars" in others:
+        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, changed).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and the sequences of at most 2048 tokens that they stand in."""
+    return packing.pack(docs, TOKENIZER)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact dedup", exact_dedup),
+    ("n-gram jaccard join", ngram_jaccard_join),
+    ("substring dedup", substring_removal),
+    ("packing", pack),
+]
 
-#: the stages score and search texts in ways that SQL does not express
+#: the stages score, link and tokenise in ways that SQL does not express
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; every stage's are written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, apply in STAGES:
         docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "_"))
