@@ -35,7 +35,7 @@ BAND_GROWTH, CHUNK_BITS = 1.3, 1 << 40
 #: chunks beyond k + 1 (some, and one for so many), so that up to as many empty chunks can be left out
 EXTRA, EXTRA_PER = 2, 16
 #: texts that are compared with each other at once
-BLOCK = 256
+BLOCK = 1024
 
 KEY = [("key", "<u8"), *ROW]
 SET = [("n", "<i8"), ("first", "<u8"), ("second", "<u8"), *ROW]

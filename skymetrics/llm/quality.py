@@ -10,6 +10,7 @@ vector and the output layer fold into one number per hash bucket.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,7 +78,8 @@ class Embeddings:
 
 def learn(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> Embeddings:
     """Embeddings for (label, buckets, counts) rows; equal rows count once."""
-    rows = sorted({(r[0], r[1].tobytes(), r[2].tobytes()): r for r in rows}.values(), key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))
+    named = {(r[0], hashlib.sha256(r[1].tobytes() + r[2].tobytes()).digest()): r for r in rows}
+    rows = [named[k] for k in sorted(named)]
     y = np.array([r[0] for r in rows])
     if not len(y) or y.min() == y.max():  # nothing to tell apart: the share of label 1 (a half without any rows)
         p = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
