@@ -1,11 +1,9 @@
-"""Exact, order-independent aggregate expressions.
-
-Observed values carry a fixed resolution (the weather service reports one
-decimal; the default here keeps two).  Summing them as whole numbers of that
-resolution in a 64-bit integer is exact, so sums and means no longer depend on
-how rows are split across tasks, retried after an executor loss, or merged by
-the partial/final aggregation.  It also keeps the accumulator a primitive
-``long`` inside generated code.  Means are ``sum / count`` done once, in double.
+"""Sums and means of measures.
+
+Values are summed and averaged as they are; only the result is rounded, to
+``OUTPUT_DIGITS``, which takes away the last bits that depend on the order in
+which rows were added.  ``units`` turns a value into whole numbers for sums
+that have to be exact before a further computation.
 """
 
 from __future__ import annotations
@@ -13,42 +11,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal digits kept when accumulating a measure (0.01 resolution).
-DEFAULT_SCALE = 2
+OUTPUT_DIGITS = 6
+# added before rounding, so that a tie does not hang on a sum's last bit
+TIE_SHIFT = 1e-10
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def units(c: Column | str, scale: int = DEFAULT_SCALE) -> Column:
+def rounded(c: Column | str) -> Column:
+    """A computed sum or mean as it is given out."""
+    return F.round(_col(c) + F.lit(TIE_SHIFT), OUTPUT_DIGITS)
+
+
+def units(c: Column | str, scale: int) -> Column:
     """Value as a whole number of ``10**-scale`` units (NULL stays NULL)."""
     return F.floor(_col(c) * float(10**scale) + 0.5)
 
 
-def exact_sum(c: Column | str, scale: int = DEFAULT_SCALE) -> Column:
+def exact_sum(c: Column | str) -> Column:
     """SUM of a measure, NULL when every value is NULL."""
-    return F.sum(units(c, scale)) / F.lit(float(10**scale))
+    return rounded(F.sum(_col(c).cast("double")))
 
 
-def exact_mean(c: Column | str, scale: int = DEFAULT_SCALE) -> Column:
+def exact_mean(c: Column | str) -> Column:
     """AVG of a measure over its non-NULL values."""
-    c = _col(c)
-    return F.try_divide(
-        F.sum(units(c, scale)).cast("double"), F.count(c) * F.lit(10**scale)
-    )
+    return rounded(F.avg(_col(c).cast("double")))
 
 
-def total(c: Column | str, scale: int = DEFAULT_SCALE) -> Column:
+def total(c: Column | str) -> Column:
     """SUM that is 0 rather than NULL over no values (reference totals)."""
-    return F.coalesce(exact_sum(c, scale), F.lit(0.0))
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
-def mean_min_max(name: str, prefix: tuple[str, str, str] = ("Avg", "Min", "Max"),
-                 scale: int = DEFAULT_SCALE) -> list[Column]:
+def mean_min_max(name: str, prefix: tuple[str, str, str] = ("Avg", "Min", "Max")) -> list[Column]:
     """``[Avg<name>, Min<name>, Max<name>]`` aggregate columns."""
     return [
-        exact_mean(name, scale).alias(f"{prefix[0]}{name}"),
+        exact_mean(name).alias(f"{prefix[0]}{name}"),
         F.min(name).alias(f"{prefix[1]}{name}"),
         F.max(name).alias(f"{prefix[2]}{name}"),
     ]

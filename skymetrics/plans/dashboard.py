@@ -23,11 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import DEFAULT_SCALE, units
+from ..functions.stats import rounded, units
 from ..operators.daily import VECTOR_SCALE
 from ..sources.sinks import persist_table
 
-SCALE = float(10**DEFAULT_SCALE)
 STAT_MEASURES = ("Temperature", "Humidity", "Pressure")
 GRAINS = {"day": "Date", "hour": "Hour", "direction": "WindDirection"}
 
@@ -35,7 +34,7 @@ GRAINS = {"day": "Date", "hour": "Hour", "direction": "WindDirection"}
 def _parts() -> list[Column]:
     cols: list[Column] = [F.count(F.lit(1)).alias("Rows")]
     for m in STAT_MEASURES + ("Precipitation", "WindSpeed"):
-        cols += [F.sum(units(m)).alias(f"{m}_s"), F.count(m).alias(f"{m}_n")]
+        cols += [F.sum(F.col(m).cast("double")).alias(f"{m}_s"), F.count(m).alias(f"{m}_n")]
     for m in STAT_MEASURES:
         cols += [F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
     rad = F.radians(F.col("WindDirection"))
@@ -74,7 +73,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _mean(m: str, s: str | None = None, n: str | None = None) -> Column:
-    return F.try_divide(F.col(s or f"{m}_s").cast("double"), F.col(n or f"{m}_n") * F.lit(int(SCALE)))
+    return rounded(F.try_divide(F.col(s or f"{m}_s"), F.col(n or f"{m}_n")))
 
 
 def _sum_parts(m: str) -> list[Column]:
@@ -86,7 +85,7 @@ def _mmm(m: str) -> list[Column]:
 
 
 def _total(m: str) -> Column:
-    return F.coalesce(F.col(f"{m}_s") / F.lit(SCALE), F.lit(0.0))
+    return F.coalesce(rounded(f"{m}_s"), F.lit(0.0))
 
 
 def slice_of(agg: DataFrame, grain: str) -> DataFrame:

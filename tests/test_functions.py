@@ -72,3 +72,13 @@ def test_display_one_decimal(spark):
     df = spark.createDataFrame([(21.04, 55.55, 1013.26)], "Temperature double, Humidity double, Pressure double")
     r = display.format_columns(df, {k: display.SUFFIX[k] for k in df.columns}).collect()[0]
     assert (r.Temperature, r.Humidity, r.Pressure) == ("21.0°C", "55.6%", "1013.3 hPa")
+
+
+def test_fine_values_are_summed_as_they_are(spark):
+    from skymetrics.functions.stats import exact_mean, total
+
+    inches = spark.createDataFrame([(0.1 / 25.4,)] * 24, "p double")
+    row = inches.agg(total("p").alias("t"), exact_mean("p").alias("m")).first()
+    assert row.t == round(24 * 0.1 / 25.4, 6) and row.m == round(0.1 / 25.4, 6)
+    means = spark.createDataFrame([(1.004,), (1.004,)], "x double").agg(exact_mean("x").alias("m")).first()
+    assert means.m == 1.004
