@@ -34,6 +34,8 @@ WIDTH, PERCENT = 5, 80
 BAND_GROWTH, CHUNK_BITS = 1.3, 1 << 40
 #: chunks beyond k + 1 (some, and one for so many), so that up to as many empty chunks can be left out
 EXTRA, EXTRA_PER = 2, 16
+#: documents of a task that share a chunk are folded to their leader before the shuffle if they are more than this
+FOLD = 32
 #: texts that are compared with each other at once
 BLOCK = 1024
 
@@ -124,7 +126,10 @@ class _Sender:
         keys, sets, counts = (np.concatenate(x) for x in self.held)
         self.held, self.size = [[], [], []], 0
         part = lambda x: (x >> U64(33)).astype(np.int64) % self.n_parts
-        keys, pairs = _leaders(keys, ["key"])
+        _, place, count = np.unique(keys["key"], return_inverse=True, return_counts=True)
+        many = count[place] > FOLD
+        folded, pairs = _leaders(keys[many], ["key"])
+        keys = np.concatenate([keys[~many], folded])
         sets, equals = _leaders(sets, ["first", "second", "n"])
         keys = keys[np.lexsort((keys["hash"], keys["id"]))]
         yield from exchange.rows(part(keys["key"]), keys, self.n_parts, KEYS)

@@ -67,6 +67,7 @@ def rows(seed, groups=5, each=14):
 @pytest.mark.parametrize("width, percent, block, groups, each", [(4, 85, 256, 4, 60), (3, 70, 4, 5, 14)])
 def test_equals_brute_force(spark, monkeypatch, width, percent, block, groups, each):
     monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "FOLD", 1 if block < 9 else 32)
     data = rows(width, groups, each)
     assert got(J.jaccard_join(frame(spark, data).repartition(11), width, percent)) == brute(data, width, percent)
 
