@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skymetrics.llm import exchange
 from skymetrics.llm.exchange import FLUSH, ROW, by_row, original_id, row_array, unpacked
-from skymetrics.llm.staging import stage
+from skymetrics.llm.staging import partitions, stage
 from skymetrics.llm.text import SPACES, U64, Words, mix, slices, window_sums
 
 WINDOW = 35
@@ -209,9 +209,11 @@ def repeated_windows(keyed: DataFrame, n_parts: int, window: int = WINDOW, short
     ``keyed`` is what ``exchange.with_row_key`` makes of the documents.
     """
     lengths = levels(window, shortest)
+    # windows are small records: one part per task, and half the packets between window parts and document parts
+    key_parts = partitions(keyed.sparkSession)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(n_parts)
+        sender = _Sender(key_parts)
         for batch in batches:
             rows = row_array(batch)
             for a, b, data, offsets in slices(batch.column("text")):
@@ -226,7 +228,7 @@ def repeated_windows(keyed: DataFrame, n_parts: int, window: int = WINDOW, short
             return found
 
         found = (
-            keyed.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_extended(window, shorter, length, n_parts), exchange.SCHEMA)
+            keyed.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_extended(window, shorter, length, key_parts), exchange.SCHEMA)
             .groupBy("part").applyInArrow(_repeating(n_parts), exchange.SCHEMA)
         )
     return found
