@@ -9,9 +9,13 @@ are joined on the digests of their chunks.
 
 A few extra chunks let empty ones, which unlike documents share, be left out
 without losing a pair.  Of the documents that share a chunk the smallest is
-the leader, to which all others are compared first; only where that leaves
-several components are members compared with each other, in blocks.  Every link
-is verified on the whole shingle sets (of 64-bit hashes).
+the leader.  A document is compared to its smallest leader first; only where
+that leaves several components are a leader and its members compared with each
+other, in blocks.  Either time whole sketches are compared before texts are
+sent: their Hamming distance is a lower bound of the symmetric difference, so
+only texts with a partner within the bound go on.  Every link is verified on the
+whole shingle sets (of 64-bit hashes); of the links of a block, those that join
+what others already join are left out.
 """
 
 from __future__ import annotations
@@ -156,6 +160,82 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
+def _bit_sketches(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The parity sketch of each set: as many bits as members, up to the next power of two (64 at least)."""
+    bits = 1 << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64)
+    ends = np.cumsum(bits)
+    place = (ends - bits)[owner] + ((keys >> U64(20)) % bits[owner].astype(U64)).astype(np.int64)
+    parity = np.bincount(place, minlength=int(bits.sum())) & 1
+    data = np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+    return [data[(e - b) // 8:e // 8] for b, e in zip(bits.tolist(), ends.tolist(), strict=True)]
+
+
+def _sketches(keyed: DataFrame, width: int) -> DataFrame:
+    """(row, n, sketch) of every row that has shingles, each once."""
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = row_array(batch)
+            for a, b, data, offsets in slices(batch.column("text")):
+                keys, owner = _sets(data, offsets, width)
+                sizes = np.bincount(owner, minlength=b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows["id"][a:b]), pa.array(rows["hash"][a:b]), pa.array(sizes, pa.int64()),
+                     pa.array(_bit_sketches(keys, owner, sizes), pa.binary())], ["id", "hash", "n", "sketch"])
+
+    found = keyed.drop("part").mapInArrow(sketch, "id long, hash int, n long, sketch binary").filter("n > 0")
+    return found.select(F.struct("id", "hash").alias("row"), "n", "sketch").dropDuplicates(["row"])
+
+
+def _folded(sketch: bytes, n_words: int) -> np.ndarray:
+    """A sketch at a smaller power of two bits."""
+    out = np.frombuffer(sketch, np.uint64)
+    while len(out) > n_words:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
+def _groups(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of side 0, rows of side 1) of each place in a part that has both."""
+    sides = table.column("side").to_numpy()
+    _, group = np.unique(table.column("place").to_numpy(), return_inverse=True)
+    order = np.lexsort((sides, group))
+    edges = np.searchsorted(group[order], np.arange(group.max(initial=-1) + 2))
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        members = order[lo:hi]
+        one, two = members[sides[members] == 0], members[sides[members] == 1]
+        if len(one) and len(two):
+            yield one, two
+
+
+def _within_bound(percent: int):
+    """The rows that have a row of another component on the other side whose sketch is near enough for a link."""
+    def run(table: pa.Table) -> pa.Table:
+        sketches, kept = table.column("sketch").to_pylist(), np.zeros(table.num_rows, bool)
+        n, joined = table.column("n").to_numpy(), table.column("joined").to_numpy()
+        for one, two in _groups(table):
+            n_words = min(len(sketches[i]) for side in (one, two) for i in side) // 8
+            theirs = np.stack([_folded(sketches[i], n_words) for i in two])
+            for i in one:
+                differ = np.bitwise_count(theirs ^ _folded(sketches[i], n_words)).sum(axis=1, dtype=np.int64)
+                near = (100 + percent) * differ <= (100 - percent) * (n[i] + n[two])
+                near &= 100 * np.minimum(n[i], n[two]) >= percent * np.maximum(n[i], n[two])
+                near &= joined[two] != joined[i]
+                if near.any():
+                    kept[i] = True
+                    kept[two[near]] = True
+        return table.select(["row", "place", "side"]).filter(pa.array(kept))
+
+    return run
+
+
+def _near(places: DataFrame, sketches: DataFrame, n_parts: int, percent: int) -> DataFrame:
+    """Of ``places`` (row, place, side, joined) the rows whose texts have to be compared there."""
+    return (
+        places.join(sketches, "row").withColumn("part", F.pmod("place", F.lit(n_parts)))
+        .groupBy("part").applyInArrow(_within_bound(percent), "row struct<id:long,hash:int>, place long, side int")
+    )
+
+
 def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(n_parts)
@@ -182,11 +262,9 @@ def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> Dat
 
 
 def _verify(width: int, percent: int):
-    """Links between the texts of side 0 and those of side 1 of each group in a part."""
+    """Links between the texts of side 0 and those of side 1 of each place in a part, without those that close a cycle."""
     def run(table: pa.Table) -> pa.Table:
         rows = row_array(table)
-        sides = table.column("side").to_numpy()
-        _, group = np.unique(table.column("place").to_numpy(), return_inverse=True)
         sizes, sets = np.zeros(len(rows), np.int64), []
         for a, b, data, offsets in slices(table.column("text")):
             keys, owner = _sets(data, offsets, width)
@@ -194,14 +272,9 @@ def _verify(width: int, percent: int):
             sets.append(keys)
         keys = np.concatenate([*sets, np.zeros(0, U64)])
         ends = np.cumsum(sizes)
-        order = np.lexsort((sides, group))
-        edges = np.searchsorted(group[order], np.arange(group.max(initial=-1) + 2))
-        links = []
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            members = order[lo:hi]
-            one, two = members[sides[members] == 0], members[sides[members] == 1]
-            if not len(one) or not len(two):
-                continue
+        links, label = [], np.arange(len(rows))
+        for one, two in _groups(table):
+            label[one], label[two] = one, two
             theirs = np.concatenate([keys[ends[i] - sizes[i]:ends[i]] for i in two])
             of = np.repeat(np.arange(len(two)), sizes[two])
             for i in one:
@@ -209,6 +282,11 @@ def _verify(width: int, percent: int):
                 at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
                 both = np.bincount(of[mine[at] == theirs], minlength=len(two))
                 linked = two[100 * both >= percent * (sizes[i] + sizes[two] - both)]
+                _, first = np.unique(label[linked], return_index=True)
+                linked = linked[first]
+                linked = linked[label[linked] != label[i]]
+                for side in (one, two):
+                    label[side[np.isin(label[side], label[linked])]] = label[i]
                 pairs = np.zeros(len(linked), PAIR)
                 pairs["id"], pairs["hash"] = rows["id"][i], rows["hash"][i]
                 pairs["other_id"], pairs["other_hash"] = rows["id"][linked], rows["hash"][linked]
@@ -232,30 +310,33 @@ def _star_places(stars: DataFrame) -> DataFrame:
     """Leaders against their members, the members of large stars in blocks."""
     sizes = stage(stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
     leaders = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).select(
-        F.col("a").alias("row"), F.xxhash64("a", "block").alias("place"), F.lit(0).alias("side"))
+        F.col("a").alias("row"), F.xxhash64("a", "block").alias("place"), F.lit(0).alias("side"), F.xxhash64("a").alias("joined"))
     members = stars.join(sizes, "a").select(
-        F.col("b").alias("row"), F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).alias("place"), F.lit(1).alias("side"))
+        F.col("b").alias("row"), F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).alias("place"), F.lit(1).alias("side"),
+        F.xxhash64("b").alias("joined"))
     return leaders.unionByName(members)
 
 
 def _open_places(stars: DataFrame, found: DataFrame) -> DataFrame:
-    """Members that are not in their leader's component against all members, in blocks of both."""
+    """Members that are not in their leader's component against the leader and all members, in blocks of both."""
     of = found.select("node", "component")
+    whole = stars.unionByName(stars.select("a", F.col("a").alias("b")).distinct())
     known = stage(
-        stars.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+        whole.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .select("a", "b", (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("outside")), "members")
+        .select("a", "b", F.xxhash64(F.coalesce("cb", "b")).alias("joined"),
+                (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("outside")), "members")
     sizes = stage(
         known.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outside"), 1)).alias("n_outside"))
-        .filter("n > 1 AND n_outside > 0")
+        .filter("n_outside > 0")
         .select("a", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("n_outside") / BLOCK).cast("int").alias("outer")), "open")
     open_ = known.join(sizes, "a")
     inner, outer = (F.pmod(F.xxhash64("b", F.lit(s)), F.col(c)).cast("int") for s, c in ((0, "blocks"), (1, "outer")))
     ones = open_.filter("outside").withColumn("i", outer).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     twos = open_.withColumn("j", inner).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)))
     place = F.xxhash64("a", "i", "j").alias("place")
-    return ones.select(F.col("b").alias("row"), place, F.lit(0).alias("side")).unionByName(
-        twos.select(F.col("b").alias("row"), place, F.lit(1).alias("side")))
+    return ones.select(F.col("b").alias("row"), place, F.lit(0).alias("side"), "joined").unionByName(
+        twos.select(F.col("b").alias("row"), place, F.lit(1).alias("side"), "joined"))
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -288,11 +369,13 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     near = stage(
         stars.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
         .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"), "near_stars")
-    links = stage(_linked(keyed, _star_places(near), n_parts, width, percent), "links")
+        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).groupBy("b").agg(F.min("a").alias("a")), "near_stars")
+    sketches = stage(_sketches(keyed, width), "sketches")
+    wanted = stage(_near(_star_places(near), sketches, n_parts, percent), "near")
+    links = stage(_linked(keyed, wanted, n_parts, width, percent), "links")
     same = equals.unionByName(links)
     reached = components(same)
-    places = stage(_open_places(stars, reached), "open_places")
+    places = stage(_near(_open_places(stars, reached), sketches, n_parts, percent), "open_places")
     if not places.isEmpty():
         more = stage(_linked(keyed, places, n_parts, width, percent), "links")
         reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
