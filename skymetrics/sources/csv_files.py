@@ -19,7 +19,15 @@ from pyspark.sql import types as T
 from ..schema import CSV_COLUMNS, MEASURES, TARGET_TYPES
 from ..functions.calendar import parse_time
 
-TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_COLUMNS])
+# a line whose number of cells is not that of the header's is kept here and rejected
+CORRUPT = "_corrupt_record"
+TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in (*CSV_COLUMNS, CORRUPT)])
+
+# Cell texts that mean "no value", those that pandas reads so by default.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 # Fixed value: the landing directory pattern weather_data_hourly_{station}_{lat}_{lon}.
 STATION_DIR = r"weather_data_hourly_(.+)_(-?[0-9.]+)_(-?[0-9.]+)/[^/]*$"
@@ -56,6 +64,7 @@ def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: b
         .option("header", True)
         .option("nullValue", na_token)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
@@ -73,26 +82,31 @@ def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: b
     return text.withColumn("SourceFile", F.col("_metadata.file_path"))
 
 
-def _bad(name: str) -> Column:
-    text = F.col(name)
-    target = TARGET_TYPES[name]
-    if name == "Time":
-        parsed = parse_time(text)
-    elif isinstance(target, T.IntegerType):
-        # codes arrive as floating point: 3.0 is a valid code 3
-        parsed = text.try_cast("double")
-    else:
-        parsed = text.try_cast(target)
-    return text.isNotNull() & (F.trim(text) != "") & parsed.isNull()
+def _text(name: str) -> Column:
+    """A cell's text; NULL where it stands for a missing value."""
+    text = F.trim(F.col(name))
+    return F.when(~text.isin(*MISSING_TOKENS), text)
 
 
-def _cast(name: str) -> Column:
+def _parsed(name: str) -> Column:
+    """A cell under its type; NULL if it is missing, does not parse, is no finite
+    number, or is a code that is no whole number (3.0 is a valid code 3)."""
     if name == "Time":
-        return parse_time(name).alias(name)
+        return parse_time(_text(name))
     target = TARGET_TYPES[name]
+    number = _text(name).try_cast("double")
+    number = F.when(F.abs(number) < float("inf"), number)
     if isinstance(target, T.IntegerType):
-        return F.col(name).try_cast("double").cast("int").alias(name)
-    return F.col(name).try_cast(target).alias(name)
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return number
+
+
+def _bad(name: str) -> Column:
+    return _text(name).isNotNull() & _parsed(name).isNull()
+
+
+def _cast(name: str) -> Column:
+    return _parsed(name).alias(name)
 
 
 def validate(text: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,11 +114,14 @@ def validate(text: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Accepted rows pass a plain boolean test (no cell is bad), which stays in
     whole-stage generated code; the list of bad column names is built for
-    rejected rows only.
+    rejected rows only.  A line with too few or too many cells is rejected, too
+    (``cell count``).
     """
     bad = {c: _bad(c) for c in CSV_COLUMNS}
+    if CORRUPT in text.columns:
+        bad["cell count"] = F.col(CORRUPT).isNotNull()
     any_bad = reduce(lambda a, b: a | b, bad.values())
-    extra = [c for c in text.columns if c not in CSV_COLUMNS]
+    extra = [c for c in text.columns if c not in (*CSV_COLUMNS, CORRUPT)]
     good = text.filter(~any_bad).select(*extra, *[_cast(c) for c in CSV_COLUMNS])
     names = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
     rejects = text.filter(any_bad).withColumn("BadColumns", F.filter(names, lambda x: x.isNotNull()))

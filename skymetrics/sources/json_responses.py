@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import parse_time
+from .csv_files import station_of_file, validate
 from .dimensions import dimension_join
 
 # The service's hourly variable names for each observation column.
@@ -28,11 +28,10 @@ HOURLY_VARIABLES = {
     "Pressure": "pressure_msl",
 }
 
-# Values arrive as floating-point arrays, the weather code included; it is cast
-# to an integer after parsing, so a code written 3.0 is kept.
+# Values are parsed as text and then like the cells of a landed CSV file, so one
+# bad value rejects its hour, not the whole response.
 HOURLY = T.StructType(
-    [T.StructField("time", T.ArrayType(T.StringType()), True)]
-    + [T.StructField(v, T.ArrayType(T.DoubleType()), True) for v in HOURLY_VARIABLES.values()]
+    [T.StructField(v, T.ArrayType(T.StringType()), True) for v in ("time", *HOURLY_VARIABLES.values())]
 )
 
 RESPONSE = T.StructType(
@@ -100,6 +99,7 @@ def reject_reason(response: Column) -> Column:
         F.when(response.isNull() | response[CORRUPT].isNotNull(), F.lit("malformed document"))
         .when(F.coalesce(response["error"], F.lit(False)), F.concat(F.lit("error: "), F.coalesce(response["reason"], F.lit(""))))
         .when(response["hourly"].isNull(), F.lit("no hourly block"))
+        .when(response["hourly"]["time"].isNull(), F.lit("no time array"))
     )
 
 
@@ -111,24 +111,35 @@ def split_responses(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
-def pivot_hourly(parsed: DataFrame) -> DataFrame:
-    """Responses -> one observation row per hourly index.
+# what the Time of a value beyond the end of the time array reads
+NO_TIME = "no time"
+
+
+def hourly_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Responses -> (one observation row per hourly index, rejected hours as
+    text with ``BadColumns``).
 
     Columns other than ``response`` are carried along (e.g. the Station a
-    document was landed for).  Arrays shorter than ``time`` pad with NULL.
+    document was landed for).  Arrays that are absent or shorter than ``time``
+    pad with NULL.  An hour is rejected when a value does not parse
+    (``csv_files.validate``) or stands beyond the end of ``time``.
     """
     keep = [c for c in parsed.columns if c != "response"]
     h = F.col("response.hourly")
-    zipped = F.arrays_zip(h["time"].alias("time"), *[h[v].alias(v) for v in HOURLY_VARIABLES.values()])
+    empty = F.array().cast("array<string>")  # a NULL array would make the zipped one NULL, and lose every hour
+    zipped = F.arrays_zip(*[F.coalesce(h[v], empty).alias(v) for v in ("time", *HOURLY_VARIABLES.values())])
     rows = parsed.select(*keep, F.inline(zipped))
-    return rows.select(
+    text = rows.select(
         *keep,
-        parse_time("time").alias("Time"),
-        *[
-            (F.col(v).cast("int") if name == "WeatherCode" else F.col(v)).alias(name)
-            for name, v in HOURLY_VARIABLES.items()
-        ],
+        F.coalesce("time", F.lit(NO_TIME)).alias("Time"),
+        *[F.col(v).alias(name) for name, v in HOURLY_VARIABLES.items()],
     )
+    return validate(text)
+
+
+def pivot_hourly(parsed: DataFrame) -> DataFrame:
+    """The observation rows of ``hourly_rows``."""
+    return hourly_rows(parsed)[0]
 
 
 def hourly_block(rows: Column) -> Column:
@@ -249,17 +260,18 @@ def read_documents(spark: SparkSession, path: str | list[str], one_per_file: boo
 
 
 def load_responses(spark: SparkSession, path: str | list[str], one_per_file: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S5 + F6 + D8 from storage: (observation rows, rejected documents).
+    """S5 + F6 + D8 from storage: (observation rows, rejected documents and hours).
 
     ``Station`` comes from the file's ``Station=`` or landing directory
-    (``csv_files.station_of_file``); rejects keep ``SourceFile`` and ``Reason``.
+    (``csv_files.station_of_file``); rejects keep ``SourceFile`` and ``Reason``
+    (of an hour: its time and the columns that are bad).
     """
-    from .csv_files import station_of_file
-
     docs = read_documents(spark, path, one_per_file)
     docs = docs.select(station_of_file("SourceFile").alias("Station"), "SourceFile", "json")
     good, rejects = split_responses(parse_responses(docs))
-    return pivot_hourly(good.drop("SourceFile")), rejects
+    rows, hours = hourly_rows(good)
+    reason = F.concat(F.lit("bad hour "), F.col("Time"), F.lit(": "), F.concat_ws(", ", "BadColumns"))
+    return rows.drop("SourceFile"), rejects.unionByName(hours.select(*rejects.drop("Reason").columns, reason.alias("Reason")), allowMissingColumns=True)
 
 
 def to_documents(packed: DataFrame) -> DataFrame:

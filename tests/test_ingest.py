@@ -196,3 +196,19 @@ def test_read_by_layout_stacks_files_by_name(spark, scratch):
 def test_header_only_files_are_input_not_missing(spark, scratch):
     _land(scratch, "Tenerife", 28.2916, -16.6291, "2024-01-01", [])
     assert csv_files.read_text(spark, scratch).count() == 0
+
+
+def test_malformed_rows_and_missing_value_tokens(spark, scratch):
+    _land(scratch, "Tenerife", 28.2916, -16.6291, "2024-03-31", [
+        "2024-03-31T00:00,10.5,null,N/A,None,nan,NaN,1018.2",  # no values, but no bad ones
+        "2024-03-31T01:00,10,80",                              # too few cells
+        "2024-03-31T02:00,10,80,0,1,5,10,1000,7,8",            # too many
+        "2024-03-31T03:00,Infinity,80,0,1,5,10,1000",
+        "2024-03-31T04:00,10,80,0,1e12,5,10,1000",             # no code
+        "2024-03-31T05:00,10,80,0,3.7,5,10,1000",
+    ])
+    good, rejects = csv_files.load_with_rejects(spark, scratch)
+    [row] = good.collect()
+    assert (row.Temperature, row.Humidity, row.WeatherCode, row.WindSpeed, row.Pressure) == (10.5, None, None, None, 1018.2)
+    assert sorted(r.BadColumns for r in rejects.collect()) == [
+        ["Temperature"], ["WeatherCode"], ["WeatherCode"], ["cell count"], ["cell count"]]

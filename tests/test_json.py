@@ -126,3 +126,30 @@ def test_malformed_multi_location_document_is_rejected(spark):
     good, rejects = J.split_responses(parsed)
     assert sorted((r.Doc, r.LocationId) for r in good.collect()) == [("ok", 0), ("ok", 1)]
     assert [(r.Doc, r.LocationId, r.Reason) for r in rejects.collect()] == [("bad", None, "malformed document")]
+
+
+def test_every_hour_is_a_row_or_a_reject(spark):
+    hourly = dict(RESPONSE["hourly"])
+    without = {k: v for k, v in hourly.items() if k != "pressure_msl"}
+    cases = {
+        "absent variable": dict(RESPONSE, hourly=without),
+        "empty block": dict(RESPONSE, hourly={}),
+        "bad cell": dict(RESPONSE, hourly=dict(hourly, temperature_2m=[13, "x", 14])),
+        "bad time": dict(RESPONSE, hourly=dict(hourly, time=["2024-03-31T00:00", "soon", None])),
+        "long array": dict(RESPONSE, hourly=dict(hourly, pressure_msl=[1.0, 2.0, 3.0, 4.0])),
+        "codes": dict(RESPONSE, hourly=dict(hourly, weather_code=[1e12, 3.7, "NaN"])),
+    }
+    docs = spark.createDataFrame([(k, json.dumps(v)) for k, v in cases.items()], "Station string, json string")
+    good, rejects = J.split_responses(J.parse_responses(docs))
+    assert [(r.Station, r.Reason) for r in rejects.collect()] == [("empty block", "no time array")]
+    kept, hours = J.hourly_rows(good)
+    counts = {k: (kept.filter(F.col("Station") == k).count(), [r.BadColumns for r in hours.filter(F.col("Station") == k).collect()])
+              for k in cases}
+    assert counts == {
+        "absent variable": (3, []),
+        "empty block": (0, []),
+        "bad cell": (2, [["Temperature"]]),
+        "bad time": (1, [["Time"], ["Time"]]),
+        "long array": (3, [["Time"]]),
+        "codes": (1, [["WeatherCode"], ["WeatherCode"]]),
+    }
