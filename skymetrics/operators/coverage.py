@@ -21,20 +21,23 @@ def landed_days(obs: DataFrame) -> DataFrame:
     return obs.select("Station", F.to_date("Time").alias("Date")).where(F.col("Date").isNotNull()).distinct()
 
 
-def missing_days(obs: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def missing_days(obs: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+                 stations: DataFrame | None = None) -> DataFrame:
     """(Station, Date) expected but absent.  Without ``start``/``end`` each
-    station's own first and last landed day bound its range."""
-    return missing_of_landed(landed_days(obs), start, end)
+    station's own first and last landed day bound its range.  ``stations``: see
+    ``missing_of_landed``."""
+    return missing_of_landed(landed_days(obs), start, end, stations)
 
 
-def missing_files(files: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def missing_files(files: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+                  stations: DataFrame | None = None) -> DataFrame:
     """S7 on a landing folder: the station-days with no landed file.
 
     ``files`` is ``sources.csv_files.landed_files(...)``; only file paths are
     used, as the downloader's skip check does, but every day is checked.
     """
     landed = files.select("Station", "Date").where(F.col("Station").isNotNull() & F.col("Date").isNotNull()).distinct()
-    return missing_of_landed(landed, start, end)
+    return missing_of_landed(landed, start, end, stations)
 
 
 def _days(first: Column, last: Column) -> Column:
@@ -42,9 +45,13 @@ def _days(first: Column, last: Column) -> Column:
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>"))
 
 
-def _gap_arrays(landed: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+def _gap_arrays(landed: DataFrame, start: dt.date | None, end: dt.date | None,
+                stations: DataFrame | None = None) -> DataFrame:
     """(Station, Missing): per landed day, the array of missing days that
-    follow it (and, for a station's first day, precede it)."""
+    follow it (and, for a station's first day, precede it); every day of the
+    range for each of ``stations`` that has none landed."""
+    if stations is not None and (start is None or end is None):
+        raise ValueError("a range is needed to tell what a station without landed days misses")
     w = Window.partitionBy("Station").orderBy("Date")
     date, prev, nxt = F.col("Date"), F.lag("Date").over(w), F.lead("Date").over(w)
     lo = F.lit(start) if start else None
@@ -64,27 +71,37 @@ def _gap_arrays(landed: DataFrame, start: dt.date | None, end: dt.date | None) -
         F.when(prev.isNull(), _days(lo, clamp_hi(F.date_sub(date, 1)))).otherwise(F.array().cast("array<date>"))
         if lo is not None else F.array().cast("array<date>")
     )
-    return landed.select("Station", F.concat(before, after).alias("Missing"))
+    gaps = landed.select("Station", F.concat(before, after).alias("Missing"))
+    if stations is None:
+        return gaps
+    expected = stations.select("Station").distinct()
+    never = expected.join(landed.select("Station").distinct(), "Station", "left_anti")
+    never = never.select("Station", _days(lo, hi).alias("Missing"))
+    return gaps.join(expected, "Station", "left_semi").unionByName(never)
 
 
-def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def missing_of_landed(landed: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+                      stations: DataFrame | None = None) -> DataFrame:
     """Expected (Station, Date) minus the distinct ``landed`` days.
 
     The range is [start, end]; without them each station's own first and last
     landed day bound it.  A station whose landed days all fall outside the
-    given range misses every day of it.
+    given range misses every day of it.  ``stations`` (column Station) names the
+    stations to answer for; one that was never landed misses the whole range,
+    which then has to be given.
     """
-    gaps = _gap_arrays(landed, start, end)
+    gaps = _gap_arrays(landed, start, end, stations)
     return gaps.select("Station", F.explode("Missing").alias("Date"))
 
 
-def is_complete(obs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def is_complete(obs: DataFrame, start: dt.date, end: dt.date, stations: DataFrame | None = None) -> DataFrame:
     """Per station: MissingDays in [start, end] and Complete (none missing).
 
     Same single pass as ``missing_days``: the gap sizes are summed per station,
-    so every station with a landed day gets a row, complete ones with 0.
+    so every station with a landed day gets a row, complete ones with 0; with
+    ``stations`` each of those gets one, landed or not.
     """
-    gaps = _gap_arrays(landed_days(obs), start, end)
+    gaps = _gap_arrays(landed_days(obs), start, end, stations)
     return (
         gaps.groupBy("Station").agg(F.sum(F.size("Missing")).alias("MissingDays"))
         .withColumn("Complete", F.col("MissingDays") == 0)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import calendar, units
+from ..functions import calendar, display, units
 from ..functions.stats import exact_mean, total
 from ..operators import aggregates as A
 from ..operators import coverage, daily, enrich, prepare
@@ -22,7 +22,7 @@ from ..schema import OBSERVATION
 from ..session import checkpoint_dir
 from ..sources import csv_files, fixture, sinks
 from ..sources import json_responses as J
-from ..sources.dimensions import ISLANDS
+from ..sources.dimensions import ISLANDS, literal_table
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +54,7 @@ def register(name: str, sql: str | None = None):
 
 # Queries that read the landed CSV folder (``landed_folder``), whose one-time
 # landing the bench times as its own step.
-USES_LANDING = frozenset({"landed_csv", "landed_gaps", "landed_stream", "daily_summary_stream"})
+USES_LANDING = frozenset({"landed_csv", "landed_list", "landed_gaps", "landed_stream", "daily_summary_stream"})
 
 
 def queries() -> dict[str, Query]:
@@ -434,7 +434,8 @@ def landed_folder(spark: SparkSession, sf: str) -> str:
     shared checkpoint folder, written once per session."""
     def build() -> str:
         path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-{uuid.uuid4().hex}"
-        sinks.write_daily_csv(fixture.observations(spark, sf).filter(F.col("Time").isNotNull()), path)
+        # many tasks: the cost of this small table is its thousands of files
+        sinks.write_daily_csv(fixture.observations(spark, sf), path, tasks=int(spark.conf.get("spark.sql.shuffle.partitions")))
         return path
     return fixture._memo(spark, ("landed", sf), build)
 
@@ -442,8 +443,8 @@ def landed_folder(spark: SparkSession, sf: str) -> str:
 @register(
     "landed_csv",
     O.with_obs(
-        "SELECT Station, date_trunc('minute', Time) AS Time, Temperature, Humidity, Precipitation, WeatherCode, "
-        "WindSpeed, WindDirection, Pressure FROM raw_obs WHERE Time IS NOT NULL"
+        "SELECT Station, Time, Temperature, Humidity, Precipitation, WeatherCode, "
+        "WindSpeed, WindDirection, Pressure FROM raw_obs"
     ),
 )
 def q_landed_csv(spark, sf):
@@ -465,39 +466,27 @@ def landed_stream_table(spark: SparkSession, sf: str) -> str:
     return fixture._memo(spark, ("landed_stream", sf), build)
 
 
-STREAM_WATERMARK_DAYS = 2
-
-
 def daily_stream_table(spark: SparkSession, sf: str) -> str:
-    """The watermarked daily summary stream run once (``availableNow``) over
-    the landing folder into a Parquet sink in the shared checkpoint folder."""
+    """The daily statistics stream run over the landing folder (``availableNow``,
+    several micro-batches) into a table in the shared checkpoint folder."""
     def build() -> str:
         from ..streaming import landing
 
         base = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-daily-stream-{uuid.uuid4().hex}"
-        rows, _ = landing.landed_stream(spark, landed_folder(spark, sf))
-        q = (landing.daily_summary_stream(rows, f"{STREAM_WATERMARK_DAYS} days").writeStream
-             .format("parquet").outputMode("append").option("path", f"{base}/table")
-             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-        q.awaitTermination()
+        landing.start_daily_summary(spark, landed_folder(spark, sf), f"{base}/table", f"{base}/checkpoint",
+                                    max_files_per_trigger=DAILY_STREAM_FILES).awaitTermination()
         return f"{base}/table"
     return fixture._memo(spark, ("daily_stream", sf), build)
 
 
-@register(
-    "daily_summary_stream",
-    "WITH landed AS (SELECT Station, date_trunc('minute', Time) AS Time, Temperature, Precipitation, WindSpeed "
-    "FROM (" + O.with_obs("SELECT * FROM raw_obs WHERE Time IS NOT NULL") + ")), "
-    "wm AS (SELECT max(Time) - INTERVAL " + str(STREAM_WATERMARK_DAYS) + " DAY AS W FROM landed) "
-    "SELECT Station, CAST(Time AS DATE) AS Date, max(Temperature) AS MaxTemperature, "
-    f"{O.mean('Temperature')} AS AvgTemperature, min(Temperature) AS MinTemperature, "
-    f"{O.total('Precipitation')} AS TotalPrecipitation, count_if(Precipitation > 0) AS PrecipitationHours, "
-    "max(WindSpeed) AS MaxWindSpeed FROM landed, wm "
-    "WHERE CAST(CAST(Time AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= W GROUP BY Station, CAST(Time AS DATE)",
-)
+DAILY_STREAM_FILES = 1_500
+
+
+@register("daily_summary_stream", _SQL["daily_summary"])
 def q_daily_summary_stream(spark, sf):
-    """D1 as an event-time stream: the days the watermark has closed."""
-    return spark.read.parquet(daily_stream_table(spark, sf))
+    """D1 kept up to date by a stream: every day that landed, in whatever batch."""
+    from ..streaming import landing
+    return landing.daily_summary_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
 
 
 @register("landed_stream", _SQL["landed_csv"])
@@ -538,19 +527,24 @@ _SPLIT = dt.datetime(2025, 1, 1)
 COMPLETE_START, COMPLETE_END = dt.date(2024, 1, 1), dt.date(2024, 12, 31)
 
 
+# stations that coverage is asked for: those of the fixture and one that never landed
+EXPECTED_STATIONS = (*fixture.FIXTURE_STATIONS, "never landed")
+_RANGE_DAYS = (COMPLETE_END - COMPLETE_START).days + 1
+
+
 @register(
     "range_complete",
     O.with_obs(
-        f"SELECT Station, CAST({(COMPLETE_END - COMPLETE_START).days + 1} - count(*) FILTER "
-        f"(WHERE Date BETWEEN DATE '{COMPLETE_START}' AND DATE '{COMPLETE_END}') AS BIGINT) AS MissingDays, "
-        f"{(COMPLETE_END - COMPLETE_START).days + 1} - count(*) FILTER "
-        f"(WHERE Date BETWEEN DATE '{COMPLETE_START}' AND DATE '{COMPLETE_END}') = 0 AS Complete "
-        "FROM (SELECT DISTINCT Station, Date FROM obs WHERE Date IS NOT NULL) GROUP BY Station"
+        f"SELECT Station, CAST({_RANGE_DAYS} - count(Date) AS BIGINT) AS MissingDays, count(Date) = {_RANGE_DAYS} AS Complete "
+        "FROM expected LEFT JOIN (SELECT DISTINCT Station, Date FROM obs "
+        f"WHERE Date BETWEEN DATE '{COMPLETE_START}' AND DATE '{COMPLETE_END}') USING (Station) GROUP BY Station",
+        "expected(Station) AS (VALUES " + ", ".join(f"('{x}')" for x in EXPECTED_STATIONS) + ")",
     ),
 )
 def q_range_complete(spark, sf):
-    """S7's decision: is every day of the range landed, per station."""
-    return coverage.is_complete(fixture.observations(spark, sf), COMPLETE_START, COMPLETE_END)
+    """S7's decision: is every day of the range landed, per expected station."""
+    expected = literal_table(spark, [(x,) for x in EXPECTED_STATIONS], "Station string")
+    return coverage.is_complete(fixture.observations(spark, sf), COMPLETE_START, COMPLETE_END, expected)
 
 
 def layout_folder(spark: SparkSession, sf: str) -> str:
@@ -559,9 +553,9 @@ def layout_folder(spark: SparkSession, sf: str) -> str:
     rows with (Time, Temperature, Humidity), under ``Station=`` folders."""
     def build() -> str:
         path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-layouts-{uuid.uuid4().hex}"
-        o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-        text_time = F.date_format("Time", "yyyy-MM-dd'T'HH:mm").alias("Time")
-        early = F.col("Time") < F.lit(_SPLIT).cast("timestamp_ntz")
+        o = fixture.observations(spark, sf)
+        text_time = sinks.time_text().alias("Time")
+        early = F.coalesce(F.col("Time") < F.lit(_SPLIT).cast("timestamp_ntz"), F.lit(False))
         (o.filter(early).select("Station", text_time, "Temperature", "Pressure")
          .write.partitionBy("Station").option("header", True).csv(path))
         (o.filter(~early).select("Station", text_time, "Temperature", "Humidity")
@@ -573,9 +567,9 @@ def layout_folder(spark: SparkSession, sf: str) -> str:
 @register(
     "layout_union",
     O.with_obs(
-        "SELECT Station, date_trunc('minute', Time) AS Time, Temperature, "
+        "SELECT Station, Time, Temperature, "
         "CASE WHEN Time < TIMESTAMP '2025-01-01' THEN NULL ELSE Humidity END AS Humidity, "
-        "CASE WHEN Time < TIMESTAMP '2025-01-01' THEN Pressure ELSE NULL END AS Pressure FROM raw_obs WHERE Time IS NOT NULL"
+        "CASE WHEN Time < TIMESTAMP '2025-01-01' THEN Pressure ELSE NULL END AS Pressure FROM raw_obs"
     ),
 )
 def q_layout_union(spark, sf):
@@ -690,6 +684,121 @@ def q_response_errors(spark, sf):
     return rejects.select("Station", "Date", "Reason")
 
 
+# Fixed parameter: hours by which the stations of ``response_units`` are ahead of GMT, by place in the list.
+_OFFSET_HOURS = 2
+
+
+@register(
+    "response_units",
+    O.with_obs(
+        "SELECT Station, date_trunc('second', Time) AS Time, round(Temperature, 6) AS Temperature, round(Precipitation, 6) AS Precipitation, "
+        "round(WindSpeed, 6) AS WindSpeed FROM obs WHERE Time IS NOT NULL"
+    ),
+)
+def q_response_units(spark, sf):
+    """D4 + D5 + D7 on read: landed lists of responses in °F, inch and mph, times in
+    whole UNIX seconds of stations with different offsets, back as observations."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-units-{uuid.uuid4().hex}"
+        names = F.array(*[F.lit(x) for x in fixture.FIXTURE_STATIONS])
+        offset = ((F.array_position(names, "Station").cast("int") - 1) * (3600 * _OFFSET_HOURS)).cast("int")
+        docs = J.pack_days(fixture.observations(spark, sf).filter(F.col("Time").isNotNull()))
+        docs = docs.withColumn("offset", offset)
+        h = F.col("response.hourly")
+        changed = F.col("response").withField("utc_offset_seconds", F.col("offset")).withField("hourly", h.withField(
+            "time", F.transform(h["time"], lambda t: units.epoch_seconds(t.cast("timestamp_ntz"), "offset"))
+        ).withField("temperature_2m", F.transform(h["temperature_2m"], units.celsius_to_fahrenheit)
+        ).withField("precipitation", F.transform(h["precipitation"], units.mm_to_inch)
+        ).withField("wind_speed_10m", F.transform(h["wind_speed_10m"], units.kmh_to_mph)))
+        named = F.create_map(*[F.lit(x) for pair in (("time", "unixtime"), ("temperature_2m", "°F"), ("precipitation", "inch"),
+                                                     ("wind_speed_10m", "mph")) for x in pair])
+        response = changed.withField("hourly_units", named)
+        # a list of two: the second location has no hours
+        listed = F.to_json(F.array(response, response.withField("hourly", F.transform(F.array(h), lambda x: J.empty_response()["hourly"])[0])))
+        docs.select("Station", listed.alias("json")).write.partitionBy("Station").text(path)
+        return path
+
+    rows, _ = J.load_responses(spark, fixture._memo(spark, ("landed_units", sf), build))
+    return rows.select("Station", "Time", *[F.round(c, 6).alias(c) for c in ("Temperature", "Precipitation", "WindSpeed")])
+
+
+# ---------------------------------------------------------------- reports, display, lists of files, malformed cells
+
+
+@register("monthly_report_csv", _SQL["monthly_report"])
+def q_monthly_report_csv(spark, sf):
+    """The monthly report written as one CSV per station, and read back."""
+    report = q_monthly_report(spark, sf)
+
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-report-{uuid.uuid4().hex}"
+        sinks.write_station_reports(report, path)
+        return path
+
+    back = spark.read.schema(report.schema).option("header", True).csv(fixture._memo(spark, ("report", sf), build))
+    return back.select(*report.columns)
+
+
+@register("landed_list", _SQL["landed_csv"])
+def q_landed_list(spark, sf):
+    """The landed files read as a list of paths."""
+    folder = landed_folder(spark, sf)
+    return csv_files.load_observations(spark, [f"{folder}/Station={x}" for x in fixture.FIXTURE_STATIONS])
+
+
+@register(
+    "filled_all",
+    O.with_obs("SELECT Station, Time, " + ", ".join(
+        f"coalesce({c}, 0) AS {c}" for c in ("Temperature", "Humidity", "Precipitation", "WeatherCode", "WindSpeed", "WindDirection", "Pressure"))
+        + " FROM obs"),
+)
+def q_filled_all(spark, sf):
+    """Every numeric NULL becomes 0."""
+    return prepare.fill_zero_all(fixture.observations(spark, sf))
+
+
+def _shown_sql(column: str) -> str:
+    exact = f"CAST(CAST({column} AS VARCHAR) AS DECIMAL(18, 6))"
+    return f"CAST(CAST(round({exact}, 1) AS DECIMAL(18, 1)) AS VARCHAR) || '{display.SUFFIX[column]}' AS {column}"
+
+
+@register("display_values", O.with_obs(f"SELECT Station, Time, {_shown_sql('Temperature')}, {_shown_sql('WindSpeed')} FROM obs"))
+def q_display_values(spark, sf):
+    """Measures as they are shown, one decimal and a unit."""
+    shown = {c: display.SUFFIX[c] for c in ("Temperature", "WindSpeed")}
+    return display.format_columns(fixture.observations(spark, sf).select("Station", "Time", *shown), shown)
+
+
+@register(
+    "landed_malformed",
+    O.with_obs(
+        "SELECT Station, CASE WHEN Pressure IS NULL THEN 'Pressure' WHEN WindDirection IS NULL THEN 'WeatherCode' "
+        "ELSE 'good' END AS Cells, count(*) AS Hours, "
+        "count(CASE WHEN Pressure IS NOT NULL AND WindDirection IS NOT NULL AND WeatherCode <> 0 THEN 1 END) AS Codes FROM obs GROUP BY 1, 2"
+    ),
+)
+def q_landed_malformed(spark, sf):
+    """S4 + F7: hours with an infinite pressure or a code that is none are rejected;
+    a code ``N/A`` is a missing one, its hour is read."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-malformed-{uuid.uuid4().hex}"
+        o = fixture.observations(spark, sf)
+        text = o.withColumns({
+            "Time": sinks.time_text(),
+            "Pressure": F.coalesce(F.col("Pressure").cast("string"), F.lit("Infinity")),
+            "WeatherCode": F.when(F.col("Pressure").isNotNull() & F.col("WindDirection").isNull(), F.lit("1e12"))
+            .when(F.col("WeatherCode") == 0, F.lit("N/A")).otherwise(F.col("WeatherCode").cast("string")),
+        })
+        text.select("Station", *csv_files.CSV_COLUMNS).write.partitionBy("Station").option("header", True).csv(path)
+        return path
+
+    good, rejects = csv_files.load_with_rejects(spark, fixture._memo(spark, ("malformed", sf), build))
+    rejected = rejects.select(csv_files.station_of_file("SourceFile").alias("Station"),
+                              F.concat_ws(",", "BadColumns").alias("Cells"), F.lit(None).cast("int").alias("WeatherCode"))
+    every = good.select("Station", F.lit("good").alias("Cells"), "WeatherCode").unionByName(rejected)
+    return every.groupBy("Station", "Cells").agg(F.count(F.lit(1)).alias("Hours"), F.count("WeatherCode").alias("Codes"))
+
+
 # ---------------------------------------------------------------- the same monthly shape on other tables
 
 

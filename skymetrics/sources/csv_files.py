@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CSV_COLUMNS, MEASURES, TARGET_TYPES
+from ..schema import CSV_COLUMNS, TARGET_TYPES
 from ..functions.calendar import parse_time
 
 # a line whose number of cells is not that of the header's is kept here and rejected
@@ -109,20 +109,25 @@ def _cast(name: str) -> Column:
     return _parsed(name).alias(name)
 
 
-def validate(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+def validate(text: DataFrame, on_bad: str = "reject", columns: tuple[str, ...] = CSV_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """(typed rows, rejected text rows with ``BadColumns``).
 
     Accepted rows pass a plain boolean test (no cell is bad), which stays in
     whole-stage generated code; the list of bad column names is built for
     rejected rows only.  A line with too few or too many cells is rejected, too
-    (``cell count``).
+    (``cell count``).  With ``on_bad="null"`` a row with bad cells is kept, those
+    cells NULL, and listed among the rejects as well.
     """
-    bad = {c: _bad(c) for c in CSV_COLUMNS}
+    if on_bad not in ("reject", "null"):
+        raise ValueError(f"on_bad is 'reject' or 'null', not {on_bad!r}")
+    bad = {c: _bad(c) for c in columns}
+    whole = F.lit(True)
     if CORRUPT in text.columns:
         bad["cell count"] = F.col(CORRUPT).isNotNull()
-    any_bad = reduce(lambda a, b: a | b, bad.values())
-    extra = [c for c in text.columns if c not in (*CSV_COLUMNS, CORRUPT)]
-    good = text.filter(~any_bad).select(*extra, *[_cast(c) for c in CSV_COLUMNS])
+        whole = F.col(CORRUPT).isNull()
+    any_bad = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    extra = [c for c in text.columns if c not in (*columns, CORRUPT)]
+    good = text.filter(whole if on_bad == "null" else ~any_bad).select(*extra, *[_cast(c) for c in columns])
     names = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
     rejects = text.filter(any_bad).withColumn("BadColumns", F.filter(names, lambda x: x.isNotNull()))
     return good, rejects
@@ -161,15 +166,17 @@ def date_of_file(path: Column | str = "SourceFile") -> Column:
     return F.regexp_extract(path, FILE_DATE, 1).try_cast("date")
 
 
-def load_with_rejects(spark: SparkSession, path: str, na_token: str = "NA") -> tuple[DataFrame, DataFrame]:
-    """S1 + F7 + S10: (typed observations, rejected text rows with
+def load_with_rejects(spark: SparkSession, path: str | list[str], na_token: str = "NA",
+                      on_bad: str = "reject") -> tuple[DataFrame, DataFrame]:
+    """S1 + S2 + F7 + S10: (typed observations, rejected text rows with
     ``SourceFile`` and ``BadColumns``); Station comes from a ``Station=``
-    partition directory or else from the landing directory name."""
-    good, rejects = validate(read_text(spark, path, na_token))
+    partition directory or else from the landing directory name.  ``on_bad`` is
+    that of ``validate``."""
+    good, rejects = validate(read_text(spark, path, na_token), on_bad)
     return good.select(station_of_file("SourceFile").alias("Station"), *[c for c in CSV_COLUMNS]), rejects
 
 
-def load_observations(spark: SparkSession, path: str, na_token: str = "NA") -> DataFrame:
+def load_observations(spark: SparkSession, path: str | list[str], na_token: str = "NA") -> DataFrame:
     """S1 + F7 + S10: typed observations (rejected rows left out)."""
     return load_with_rejects(spark, path, na_token)[0]
 
@@ -191,23 +198,6 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
                         date_of_file("SourceFile").alias("Date"))
 
 
-def read_inferred(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """S3 + U2 for a few explicit paths: each read with an inferred schema and
-    stacked by column name (missing columns become NULL).  For a folder of
-    many files use ``read_by_layout``, which builds one reader per distinct
-    header instead of one per path."""
-    frames = [spark.read.option("header", True).option("inferSchema", True).csv(p) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-# Most distinct headers ``read_by_layout`` accepts: each layout is one reader
-# over the folder, so the layouts must be a handful, whatever the file count.
-MAX_LAYOUTS = 32
-
-# File lists (paths) up to this many rows are broadcast to the layout filter.
-BROADCAST_FILE_LIMIT = 200_000
-
-
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(SourceFile, Header): the first line of every CSV under ``path``.
 
@@ -225,51 +215,62 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.filter(F.col("Start") == 0).groupBy("SourceFile").agg(F.min_by("value", "Pos").alias("Header"))
 
 
-def _typed(name: str) -> Column:
-    """A text column under its observation type when it is a known column."""
-    return _cast(name) if name in TARGET_TYPES else F.col(name)
+# a comma outside quotes: an even number of quotes follows it
+CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def read_by_layout(spark: SparkSession, path: str | list[str], na_token: str = "NA") -> DataFrame:
-    """S3 + U2 at scale: CSV files whose column sets differ, stacked by name.
-
-    The per-file headers are found in one pass and written to the shared
-    checkpoint folder; only the distinct headers (at most ``MAX_LAYOUTS``
-    strings) reach the driver.  Each layout is one text reader over the
-    folder, kept to its own files by a semi-join on the file path, and known
-    columns are cast to their observation types (unparseable cells become
-    NULL); the readers are stacked by column name, missing columns NULL.
-    The file list of a layout is broadcast to that filter when a count of the
-    written header table proves it small.
+def cells(line: Column) -> Column:
+    """The cells of a CSV line, quotes taken off."""
+    def unquoted(cell: Column) -> Column:
+        cell = F.trim(cell)
+        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(cell.rlike('(?s)^".*"$'), inner).otherwise(cell)
+
+    return F.transform(F.split(line, CELL_BREAK, -1), unquoted)
+
+
+def read_by_layout_with_rejects(spark: SparkSession, path: str | list[str], na_token: str = "NA",
+                                on_bad: str = "null") -> tuple[DataFrame, DataFrame]:
+    """S3 + U2 at scale: (rows, rejects) of CSV files whose columns differ, bound
+    by the names in each file's header and stacked.
+
+    One pass finds the headers, which are written to the shared checkpoint
+    folder; only the column names reach the driver.  One more scan, however many
+    layouts there are, reads the lines, joins each to its file's header and
+    picks the cells by name: a column that a file lacks is NULL, known columns
+    have their observation types, others stay text.  ``on_bad`` is that of
+    ``validate``; a line whose cells are not as many as its header's is always
+    rejected.  A cell cannot hold a line break.
     """
     from .sinks import persist_table
 
-    headers = persist_table(file_headers(spark, path), "layouts")
-    layouts = [r.Header for r in headers.select("Header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts:
+    headers = persist_table(file_headers(spark, path).withColumn("Names", cells(F.col("Header"))), "layouts")
+    found = {r.name for r in headers.select(F.explode("Names").alias("name")).distinct().collect()}
+    if not found:
         raise NoInputFiles(f"no .csv file under {path}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} distinct CSV headers under {path}")
-    # the file list is broadcast when a count proves it small (no shuffle of the
-    # rows by file); otherwise the planner shuffles and AQE splits a huge file
-    small = headers.count() <= BROADCAST_FILE_LIMIT
-    frames = []
-    for header in layouts:
-        names = [c.strip() for c in header.split(",")]
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-        files = headers.filter(F.col("Header") == header).select("SourceFile")
-        files = F.broadcast(files) if small else files
-        text = (
-            spark.read.schema(schema).option("header", True).option("nullValue", na_token)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-            .csv(path).withColumn("SourceFile", F.col("_metadata.file_path"))
-        )
-        mine = text.join(files, "SourceFile", "left_semi")
-        frames.append(mine.select("SourceFile", *[_typed(c) for c in names]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    known = [c for c in CSV_COLUMNS if c in found]
+    others = sorted(found - set(known))
+    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.csv").select(
+        F.col("_metadata.file_path").alias("SourceFile"), F.col("_metadata.file_block_start").alias("Start"), "value")
+    split = (
+        lines.join(headers, "SourceFile")
+        .filter((F.trim("value") != "") & ~((F.col("Start") == 0) & (F.col("value") == F.col("Header"))))
+        .select("SourceFile", "value", "Names", cells(F.col("value")).alias("Cells"))
+    )
+
+    def cell(name: str) -> Column:
+        text = F.get("Cells", F.array_position("Names", name).cast("int") - 1)
+        return F.when((text != na_token) & (text != ""), text).alias(name)
 
+    text = split.select(
+        "SourceFile", *[cell(c) for c in (*known, *others)],
+        F.when(F.size("Cells") != F.size("Names"), F.col("value")).alias(CORRUPT))
+    return validate(text, on_bad, tuple(known))
 
-MEASURE_COLUMNS = list(MEASURES)
+
+def read_by_layout(spark: SparkSession, path: str | list[str], na_token: str = "NA") -> DataFrame:
+    """The rows of ``read_by_layout_with_rejects``, bad cells NULL."""
+    return read_by_layout_with_rejects(spark, path, na_token)[0]
 
 
 # Landing directory and daily file name formats.

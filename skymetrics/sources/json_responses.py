@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import units
 from .csv_files import station_of_file, validate
 from .dimensions import dimension_join
 
@@ -40,13 +41,26 @@ RESPONSE = T.StructType(
         T.StructField("longitude", T.DoubleType(), True),
         T.StructField("utc_offset_seconds", T.IntegerType(), True),
         T.StructField("timezone", T.StringType(), True),
+        T.StructField("hourly_units", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("hourly", HOURLY, True),
         T.StructField("error", T.BooleanType(), True),
         T.StructField("reason", T.StringType(), True),
     ]
 )
 
-MULTI_RESPONSE = T.ArrayType(RESPONSE)
+# The service's names of its alternative units (D4), each with what
+# turns a value into the unit of the observations.  Other units are as observed.
+CONVERSIONS = {
+    "temperature_2m": {"°F": lambda c: (c - 32.0) * 5.0 / 9.0},
+    "precipitation": {"inch": lambda c: c * units.MM_PER_INCH},
+    "wind_speed_10m": {
+        "m/s": lambda c: c * units.KMH_PER_MS,
+        "mp/h": lambda c: c * units.KM_PER_MILE,
+        "mph": lambda c: c * units.KM_PER_MILE,
+        "kn": lambda c: c * units.KMH_PER_KNOT,
+    },
+}
+OBSERVED_UNITS = {"time": ("iso8601", "unixtime"), "temperature_2m": ("°C",), "precipitation": ("mm",), "wind_speed_10m": ("km/h",)}
 
 # A parsed single response also keeps the text of a malformed document (the
 # PERMISSIVE parser puts it in this field and leaves the others NULL).
@@ -73,24 +87,21 @@ def parse_responses(docs: DataFrame, json_col: str = "json") -> DataFrame:
 
 def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
     """A document holding a list of responses -> one row per response with
-    its 0-based ``LocationId`` (position in the list)."""
+    its 0-based ``LocationId`` (position in the list); a single response is
+    location 0.
+
+    The list is taken apart as text and each element parsed on its own, so that
+    one that is malformed is rejected alone.  A list that does not parse is one
+    malformed response without a LocationId.
+    """
     rest = [c for c in docs.columns if c != json_col]
+    text = F.col(json_col)
+    elements = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>")).otherwise(F.array(text))
     # parsed once, out of a generator (see parse_responses)
-    parsed = docs.select(
-        *rest, F.col(json_col).isNotNull().alias("_has_text"),
-        F.inline(F.array(F.struct(F.from_json(F.col(json_col), MULTI_RESPONSE).alias("_listed")))),
-    )
-    listed = F.col("_listed")
-    # a document that does not parse becomes one NULL response (LocationId
-    # NULL), which split_responses rejects, instead of vanishing in the explode
-    malformed = listed.isNull() & F.col("_has_text")
-    items = F.when(malformed, F.array(F.lit(None).cast(RESPONSE))).otherwise(listed)
-    exploded = parsed.select(*rest, malformed.alias("_malformed"), F.posexplode(items).alias("LocationId", "response"))
-    return exploded.select(
-        *rest,
-        F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"),
-        F.col("response").withField(CORRUPT, F.lit(None).cast("string")).alias("response"),
-    )
+    listed = docs.select(*rest, F.inline(F.array(F.struct(F.coalesce(elements, F.array(F.lit(None).cast("string"))).alias("_listed"), elements.isNull().alias("_malformed")))))
+    exploded = listed.select(*rest, "_malformed", F.posexplode("_listed").alias("LocationId", "_element"))
+    parsed = exploded.select(*rest, F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"), "_element")
+    return parse_responses(parsed, "_element")
 
 
 def reject_reason(response: Column) -> Column:
@@ -100,9 +111,19 @@ def reject_reason(response: Column) -> Column:
         .when(F.coalesce(response["error"], F.lit(False)), F.concat(F.lit("error: "), F.coalesce(response["reason"], F.lit(""))))
         .when(response["hourly"].isNull(), F.lit("no hourly block"))
         .when(response["hourly"]["time"].isNull(), F.lit("no time array"))
+        .when(_unknown_unit(response), F.lit("unknown unit"))
     )
 
 
+def _unknown_unit(response: Column) -> Column:
+    """Whether a variable that has several units comes in one that is not known."""
+    found = F.lit(False)
+    for variable, observed in OBSERVED_UNITS.items():
+        unit = F.try_element_at(response["hourly_units"], F.lit(variable))
+        found |= F.coalesce(~unit.isin(*observed, *CONVERSIONS.get(variable, ())), F.lit(False))
+    return found
+
+
 def split_responses(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable responses, rejects with a ``Reason`` column)."""
     reason = reject_reason(F.col("response"))
@@ -122,19 +143,34 @@ def hourly_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     Columns other than ``response`` are carried along (e.g. the Station a
     document was landed for).  Arrays that are absent or shorter than ``time``
     pad with NULL.  An hour is rejected when a value does not parse
-    (``csv_files.validate``) or stands beyond the end of ``time``.
+    (``csv_files.validate``) or stands beyond the end of ``time``.  Values come
+    out in the observations' units, whatever ``hourly_units`` says they came in,
+    and UNIX times as the local time that ``utc_offset_seconds`` makes them.
     """
     keep = [c for c in parsed.columns if c != "response"]
     h = F.col("response.hourly")
     empty = F.array().cast("array<string>")  # a NULL array would make the zipped one NULL, and lose every hour
     zipped = F.arrays_zip(*[F.coalesce(h[v], empty).alias(v) for v in ("time", *HOURLY_VARIABLES.values())])
-    rows = parsed.select(*keep, F.inline(zipped))
+    carried = F.col("response.hourly_units").alias("_units"), F.coalesce("response.utc_offset_seconds", F.lit(0)).alias("_offset")
+    rows = parsed.select(*keep, *carried, F.inline(zipped))
+    local = units.local_time(F.col("time").try_cast("long"), "_offset").cast("string")
+    time = F.when(F.try_element_at("_units", F.lit("time")) == "unixtime", F.coalesce(local, "time")).otherwise(F.col("time"))
     text = rows.select(
-        *keep,
-        F.coalesce("time", F.lit(NO_TIME)).alias("Time"),
+        *keep, "_units",
+        F.coalesce(time, F.lit(NO_TIME)).alias("Time"),
         *[F.col(v).alias(name) for name, v in HOURLY_VARIABLES.items()],
     )
-    return validate(text)
+    good, rejects = validate(text)
+    return good.select(*keep, "Time", *[_observed(name) for name in HOURLY_VARIABLES]), rejects.drop("_units")
+
+
+def _observed(name: str) -> Column:
+    """A value in the unit of the observations."""
+    variable = HOURLY_VARIABLES[name]
+    unit, out = F.try_element_at("_units", F.lit(variable)), F.col(name)
+    for other, convert in CONVERSIONS.get(variable, {}).items():
+        out = F.when(unit == other, convert(F.col(name))).otherwise(out)
+    return out.alias(name)
 
 
 def pivot_hourly(parsed: DataFrame) -> DataFrame:
@@ -260,7 +296,9 @@ def read_documents(spark: SparkSession, path: str | list[str], one_per_file: boo
 
 
 def load_responses(spark: SparkSession, path: str | list[str], one_per_file: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S5 + F6 + D8 from storage: (observation rows, rejected documents and hours).
+    """S5 + F6 + D7 + D8 from storage: (observation rows, rejected documents and hours).
+
+    A document is one response or a list of them; ``LocationId`` is the place in it.
 
     ``Station`` comes from the file's ``Station=`` or landing directory
     (``csv_files.station_of_file``); rejects keep ``SourceFile`` and ``Reason``
@@ -268,7 +306,7 @@ def load_responses(spark: SparkSession, path: str | list[str], one_per_file: boo
     """
     docs = read_documents(spark, path, one_per_file)
     docs = docs.select(station_of_file("SourceFile").alias("Station"), "SourceFile", "json")
-    good, rejects = split_responses(parse_responses(docs))
+    good, rejects = split_responses(parse_multi(docs))
     rows, hours = hourly_rows(good)
     reason = F.concat(F.lit("bad hour "), F.col("Time"), F.lit(": "), F.concat_ws(", ", "BadColumns"))
     return rows.drop("SourceFile"), rejects.unionByName(hours.select(*rejects.drop("Reason").columns, reason.alias("Reason")), allowMissingColumns=True)

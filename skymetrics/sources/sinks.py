@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,101 +32,52 @@ def with_spanish_headers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in SPANISH_HEADERS.items() if k in df.columns})
 
 
-# Rows per landed daily file beyond which a day is split over several files
-# (and tasks).  A station-day is 24 hourly rows; only a duplicated landing
-# comes near this bound.
-MAX_ROWS_PER_FILE = 1_000_000
+# seconds are written only where a time has some, fractions likewise
+NO_SECONDS = r"(:00)?\.000000$"
 
-# Hot days whose list is broadcast to the salting join (checked by a count).
-HOT_DAY_BROADCAST_LIMIT = 100_000
 
+def time_text(time: Column | str = "Time") -> Column:
+    """A time as landed files hold it: ``2024-01-01T13:00``, with the seconds and
+    microseconds of a time that has them."""
+    return F.regexp_replace(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), NO_SECONDS, "")
 
-def _salted_days(out: DataFrame, max_rows: int) -> DataFrame:
-    """``out`` plus ``Part``: 0 for a day of at most ``max_rows`` rows, else a
-    stable spread of its rows over ``ceil(rows / max_rows)`` parts.
 
-    The rows per day come from a partially aggregated count (one row per day
-    per task, reading two columns).  Only days over the bound are joined back:
-    by broadcast when a count proves their list small, else by a shuffle join
-    whose hot partitions AQE's skew-join splits.  A row's part hashes its
-    position in its input split (``monotonically_increasing_id``), so copies of
-    one row are spread too.
-    """
-    hot = (
-        out.groupBy("Station", "Date").agg(F.count(F.lit(1)).alias("Rows"))
-        .filter(F.col("Rows") > max_rows)
-        .select("Station", "Date", F.ceil(F.col("Rows") / F.lit(max_rows)).cast("int").alias("Parts"))
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return out.withColumn("Part", F.lit(0))
-    side = F.broadcast(hot) if n_hot <= HOT_DAY_BROADCAST_LIMIT else hot
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("Parts"))
-    return (out.join(side, ["Station", "Date"], "left")
-            .withColumn("Part", F.when(F.col("Parts").isNull(), F.lit(0)).otherwise(salt))
-            .drop("Parts"))
-
-
-def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite",
-                    max_rows_per_file: int | None = MAX_ROWS_PER_FILE) -> None:
-    """One headered CSV per station-day under ``Station=../Date=..``.
-
-    Repartitioning on (Station, Date) sends each day to one task, so each
-    partition directory receives exactly one file.  A day holding more than
-    ``max_rows_per_file`` rows (a duplicated landing) is first split into
-    parts of about that size that go to different tasks, so no task writes an
-    unbounded day; ``max_rows_per_file=None`` skips that check (one extra
-    narrow aggregation) when days are known to be bounded.
-    The partition count is explicit (the session's shuffle width): the write
-    creates one file per day, and AQE would otherwise merge a small input into
-    a single task that creates every file in turn.
+def write_daily_csv(obs: DataFrame, path: str, mode: str = "overwrite", tasks: int | None = None) -> None:
+    """Headered CSVs under ``Station=../Date=..``, a station-day in one file.
+
+    Rows are rebalanced by (Station, Date): AQE sizes the tasks by the data and
+    divides only a partition that is skewed, so a day of a third of all rows is
+    written by several tasks, as several files.  ``tasks`` asks for that many
+    tasks instead, where the cost is files and not bytes.  ``overwrite``
+    replaces the station-days that ``obs`` holds and leaves all others.  Rows
+    without a Time land in the day ``__HIVE_DEFAULT_PARTITION__``.
     """
-    out = obs.withColumn("Date", F.date_format(F.to_date("Time"), "yyyy-MM-dd"))
-    out = out.withColumn("Time", F.date_format("Time", "yyyy-MM-dd'T'HH:mm"))
-    out = _salted_days(out, max_rows_per_file) if max_rows_per_file else out.withColumn("Part", F.lit(0))
-    width = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = obs.withColumn("Date", F.date_format(F.to_date("Time"), "yyyy-MM-dd")).withColumn("Time", time_text())
+    out = out.repartition(tasks, "Station", "Date") if tasks else out.hint("rebalance", "Station", "Date")
     (
-        out.repartition(width, "Station", "Date", "Part")
-        .sortWithinPartitions("Station", "Date", "Time")
+        out.sortWithinPartitions("Station", "Date", "Time")
         .select("Station", "Date", *CSV_COLUMNS)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("Station", "Date")
         .option("header", True)
         .csv(path)
     )
 
 
-# Most rows a single-file report may hold (a monthly table of many stations
-# over decades is far below this).
-MAX_REPORT_ROWS = 1_000_000
-
+def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A result table as one headered CSV file (no index column).
 
-def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite",
-                     max_rows: int = MAX_REPORT_ROWS) -> None:
-    """A small result table as one headered CSV file (no index column).
-
-    The single file is written by one task, so the result is first proven
-    small by a bounded count (``limit(max_rows + 1)``); a larger one raises
-    instead of funnelling through one task.  ``coalesce(1)`` narrows only the
-    stage after the last shuffle (for an aggregate: its final sort); the scan
-    and the aggregation before that shuffle keep their parallelism.
+    One task writes the file, row by row; ``coalesce(1)`` narrows only the
+    stage after the last shuffle (for an aggregate: its final sort).
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows; write it with write_parquet instead")
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
 def write_station_reports(df: DataFrame, path: str, mode: str = "overwrite",
-                          order: tuple[str, ...] = ("Año", "Mes"), max_rows: int = MAX_REPORT_ROWS) -> None:
+                          order: tuple[str, ...] = ("Año", "Mes")) -> None:
     """S8 per station: one headered CSV per ``Station=`` folder, rows in
-    ``order`` - the saved report's layout, one file per island.
-
-    Each station's report goes to one task (repartition by Station), so the
-    result is proven small first (a bounded count); a monthly table of every
-    station over decades is a few thousand rows.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows; write it with write_parquet instead")
+    ``order`` - the saved report's layout, one file per island."""
     (df.repartition("Station").sortWithinPartitions("Station", *order)
      .write.mode(mode).partitionBy("Station").option("header", True).csv(path))
 
@@ -163,10 +114,6 @@ def persist_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def collect_small(df: DataFrame, max_rows: int = 1_000_000):
-    """Bring a result to the driver as pandas (Arrow) only when it is
-    proven small; a bounded ``limit`` count runs first."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it out instead of collecting")
+def collect_pandas(df: DataFrame):
+    """A result on the driver as pandas (by Arrow); ``spark.driver.maxResultSize`` bounds it."""
     return df.toPandas()

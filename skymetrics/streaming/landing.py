@@ -7,27 +7,29 @@ log in the query checkpoint records which files were processed, so a restart
 validated exactly like the batch reader (``sources.csv_files.validate``).
 
 * ``landed_stream``   - typed observation rows (plus rejects) from new files.
-* ``start_compaction`` - appends each micro-batch to a Station-partitioned
+* ``start_ingest`` - appends each micro-batch to a Station-partitioned
   Parquet table; rejects go to a side table.  Writes are keyed by batch id
   (dynamic partition overwrite), so a replayed batch overwrites rather than
   duplicates.
-* ``daily_summary_stream`` - event-time daily statistics that are emitted once
-  the watermark passes the day (append mode, bounded state).
+* ``start_daily_summary`` - per micro-batch the parts of daily statistics, which
+  ``daily_summary_so_far`` adds up whatever the order files landed in.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.stats import exact_mean, total
+from ..functions.stats import rounded, total
 from ..sources.csv_files import TEXT_SCHEMA, station_of_file, validate
 from ..schema import CSV_COLUMNS
 
 
+# files of a micro-batch, unless the caller asks for other batches
+FILES_PER_BATCH = 10_000
+
+
 def landed_text_stream(spark: SparkSession, path: str, na_token: str = "NA",
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """New landed CSV files under ``path`` as text columns plus ``SourceFile``."""
@@ -80,79 +82,63 @@ def _trigger(writer, available_now: bool):
 
 def start_ingest(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
                  rejects_path: str | None = None, na_token: str = "NA",
-                 max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+                 max_files_per_trigger: int = FILES_PER_BATCH, available_now: bool = True) -> StreamingQuery:
     """One stream over the landing folder feeding both outputs.
 
-    Each micro-batch of new files is read once: it is persisted, validated,
-    its typed rows go to ``table_path`` (Station/BatchId partitions) and its
-    rejects to ``rejects_path`` (BatchId partitions), then it is released.
-    ``max_files_per_trigger`` bounds a batch on a busy landing folder.
+    Typed rows of each micro-batch go to ``table_path`` (Station/BatchId
+    partitions) and its rejects to ``rejects_path`` (BatchId partitions), which
+    reads the batch's files again rather than holding them on the executors.
+    A backlog is taken in batches of ``max_files_per_trigger`` files.
     """
     text = landed_text_stream(spark, landing_path, na_token, max_files_per_trigger)
     write_rows = batch_writer(table_path, sort_by=("Time",))
     write_rejects = batch_writer(rejects_path, partition_by=()) if rejects_path else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good, rejects = validate(batch)
-            write_rows(typed_rows(good), batch_id)
-            if write_rejects is not None:
-                write_rejects(rejects, batch_id)
-        finally:
-            batch.unpersist()
+        good, rejects = validate(batch)
+        write_rows(typed_rows(good), batch_id)
+        if write_rejects is not None:
+            write_rejects(rejects, batch_id)
 
     w = text.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     return _trigger(w, available_now).start()
 
 
-def start_compaction(obs: DataFrame, table_path: str, checkpoint_location: str,
-                     rejects: DataFrame | None = None, rejects_path: str | None = None,
-                     available_now: bool = True) -> list[StreamingQuery]:
-    """Append validated rows to ``table_path`` (partitioned by Station); two
-    queries over already-split streams (``start_ingest`` reads each file once)."""
-
-    def trig(w):
-        return _trigger(w, available_now)
-
-    queries = [
-        trig(obs.writeStream.foreachBatch(batch_writer(table_path, sort_by=("Time",)))
-             .option("checkpointLocation", f"{checkpoint_location.rstrip('/')}/rows")).start()
-    ]
-    if rejects is not None and rejects_path:
-        queries.append(
-            trig(rejects.writeStream.format("parquet").option("path", rejects_path)
-                 .option("checkpointLocation", f"{checkpoint_location.rstrip('/')}/rejects")).start()
-        )
-    return queries
-
-
-def event_time(local: str = "Time") -> Column:
-    """The wall-clock label as an instant on a UTC axis: watermarks need a
-    TIMESTAMP, and UTC day windows then coincide with the label's calendar
-    days whatever the session time zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(local)))
-
-
-def _label_date(instant: Column) -> Column:
-    return F.date_add(F.lit(dt.date(1970, 1, 1)), F.floor(F.unix_seconds(instant) / 86400).cast("int"))
-
-
-def daily_summary_stream(obs: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """Daily statistics per station, final once the watermark passes the day."""
-    return (
-        obs.withColumn("EventTime", event_time("Time"))
-        .withWatermark("EventTime", watermark)
-        .groupBy("Station", F.window("EventTime", "1 day").alias("Day"))
-        .agg(
-            F.max("Temperature").alias("MaxTemperature"),
-            exact_mean("Temperature").alias("AvgTemperature"),
-            F.min("Temperature").alias("MinTemperature"),
-            total("Precipitation").alias("TotalPrecipitation"),
-            F.count_if(F.col("Precipitation") > 0).alias("PrecipitationHours"),
-            F.max("WindSpeed").alias("MaxWindSpeed"),
-        )
-        .select("Station", _label_date(F.col("Day.start")).alias("Date"), "MaxTemperature", "AvgTemperature",
-                "MinTemperature", "TotalPrecipitation", "PrecipitationHours", "MaxWindSpeed")
+def daily_parts(rows: DataFrame) -> DataFrame:
+    """Per (Station, Date) what daily statistics can be added up from."""
+    return rows.groupBy("Station", F.to_date("Time").alias("Date")).agg(
+        F.max("Temperature").alias("MaxTemperature"),
+        F.sum("Temperature").alias("SumTemperature"),
+        F.count("Temperature").alias("Temperatures"),
+        F.min("Temperature").alias("MinTemperature"),
+        F.sum("Precipitation").alias("SumPrecipitation"),
+        F.count_if(F.col("Precipitation") > 0).alias("PrecipitationHours"),
+        F.max("WindSpeed").alias("MaxWindSpeed"),
+    )
+
+
+def start_daily_summary(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
+                        na_token: str = "NA", max_files_per_trigger: int = FILES_PER_BATCH,
+                        available_now: bool = True) -> StreamingQuery:
+    """D1 kept up to date: each micro-batch adds its ``daily_parts`` to
+    ``table_path`` under its BatchId.
+
+    No watermark: a row that lands late, in whatever batch, counts in
+    ``daily_summary_so_far``, and a replayed batch replaces its parts.
+    """
+    rows, _ = landed_stream(spark, landing_path, na_token, max_files_per_trigger)
+    write = batch_writer(table_path, partition_by=())
+    w = rows.writeStream.foreachBatch(lambda batch, batch_id: write(daily_parts(batch), batch_id))
+    return _trigger(w.option("checkpointLocation", checkpoint_location), available_now).start()
+
+
+def daily_summary_so_far(parts: DataFrame) -> DataFrame:
+    """D1 from the table of ``start_daily_summary``: all days landed so far, open ones too."""
+    return parts.groupBy("Station", "Date").agg(
+        F.max("MaxTemperature").alias("MaxTemperature"),
+        rounded(F.try_divide(F.sum("SumTemperature"), F.sum("Temperatures"))).alias("AvgTemperature"),
+        F.min("MinTemperature").alias("MinTemperature"),
+        total("SumPrecipitation").alias("TotalPrecipitation"),
+        F.sum("PrecipitationHours").alias("PrecipitationHours"),
+        F.max("MaxWindSpeed").alias("MaxWindSpeed"),
     )

@@ -66,16 +66,14 @@ def test_missing_input_raises(spark, scratch):
 def test_inferred_layouts_union_by_name(spark, scratch):
     a = _land(scratch, "A", 1, 2, "2024-01-01", ["2024-01-01T00:00,1.5,2"], header="Time,Temperature,Humidity")
     b = _land(scratch, "B", 1, 2, "2024-01-02", ["2024-01-02T00:00,3.5,1001"], header="Time,Temperature,Pressure")
-    df = csv_files.read_inferred(spark, [a, b])
-    assert set(df.columns) == {"Time", "Temperature", "Humidity", "Pressure"}
+    df = csv_files.read_by_layout(spark, [a, b])
+    assert set(df.columns) == {"SourceFile", "Time", "Temperature", "Humidity", "Pressure"}
     got = {r.Temperature: (r.Humidity, r.Pressure) for r in df.collect()}
     assert got == {1.5: (2, None), 3.5: (None, 1001)}
 
 
 def test_daily_csv_round_trip(spark, scratch):
     obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
-    # the writer keeps minute precision, the service's format
-    obs = obs.withColumn("Time", F.date_trunc("minute", "Time").cast("timestamp_ntz"))
     out = os.path.join(scratch, "landed")
     sinks.write_daily_csv(obs, out)
     # one file per station-day
@@ -109,11 +107,8 @@ def test_positional_union_of_many_frames(spark):
     assert prepare.union_positional(parts).count() == obs.count()
 
 
-def test_collect_small_is_bounded(spark):
-    df = spark.range(10)
-    assert len(sinks.collect_small(df, max_rows=10)) == 10
-    with pytest.raises(ValueError):
-        sinks.collect_small(df, max_rows=9)
+def test_collect_pandas(spark):
+    assert list(sinks.collect_pandas(spark.range(10))["id"]) == list(range(10))
 
 
 def test_missing_files_checks_every_day_of_the_landing_layout(spark, scratch):
@@ -149,31 +144,17 @@ def test_landed_files_of_partitioned_layout(spark, scratch):
     assert rows(files.select("Station", "Date")) == rows(days)
 
 
-def test_daily_csv_splits_a_duplicated_day(spark, scratch):
-    obs = fixture.observations(spark, SF_SMALL).filter(F.col("Time").isNotNull())
-    day = obs.select(F.to_date("Time").alias("d")).first().d
-    one = obs.filter(F.to_date("Time") == F.lit(day))
-    station = one.first().Station
-    # one station-day landed 300 times over: a hot group of copies
-    copies = (one.filter(F.col("Station") == station)
-              .withColumn("copy", F.explode(F.array_repeat(F.lit(1), 300))).select(obs.columns))
-    n_copies = copies.count()
-    data = obs.unionByName(copies)
+def test_daily_csv_keeps_seconds_copies_and_other_stations(spark, scratch):
     out = os.path.join(scratch, "landed")
-    sinks.write_daily_csv(data, out, max_rows_per_file=n_copies // 4)
-    hot_dir = os.path.join(out, f"Station={station}", f"Date={day.isoformat()}")
-    assert len([f for f in os.listdir(hot_dir) if f.endswith(".csv")]) > 1
-    # every other day is still exactly one file, and no row is lost
-    for d in os.listdir(os.path.join(out, f"Station={station}")):
-        if d != f"Date={day.isoformat()}":
-            assert len([f for f in os.listdir(os.path.join(out, f"Station={station}", d)) if f.endswith(".csv")]) == 1
-    assert csv_files.load_observations(spark, out).count() == data.count()
-
-
-def test_report_csv_refuses_an_unbounded_result(spark, scratch):
-    with pytest.raises(ValueError):
-        sinks.write_report_csv(spark.range(11), os.path.join(scratch, "big"), max_rows=10)
-    sinks.write_report_csv(spark.range(10), os.path.join(scratch, "ok"), max_rows=10)
+    obs = fixture.observations(spark, SF_SMALL)
+    first = obs.filter("Station = 'click'")
+    copies = first.limit(1).withColumn("copy", F.explode(F.array_repeat(F.lit(1), 300))).select(obs.columns)
+    sinks.write_daily_csv(first.unionByName(copies), out)
+    at = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:30' AS Time UNION ALL SELECT TIMESTAMP_NTZ '2024-01-01 01:00:00.25' UNION ALL SELECT NULL")
+    other = at.select(F.lit("Z").alias("Station"), "Time", *[F.lit(1).cast(obs.schema[c].dataType).alias(c) for c in obs.columns[2:]])
+    sinks.write_daily_csv(other, out)  # leaves the station that was landed before
+    back = csv_files.load_observations(spark, out)
+    assert rows(back) == rows(first.unionByName(copies).unionByName(other).select(back.columns))
 
 
 def test_read_by_layout_stacks_files_by_name(spark, scratch):
@@ -188,9 +169,22 @@ def test_read_by_layout_stacks_files_by_name(spark, scratch):
     got = sorted((r.Time.day, r.Time.hour, r.Temperature, r.Humidity, r.Pressure) for r in df.collect())
     assert got == [(1, 0, 1.5, 80.0, None), (2, 0, 2.5, 80.0, None), (3, 0, 3.5, None, 1001.0),
                    (3, 1, 4.5, None, 1002.0), (4, 0, None, None, 1001.0), (4, 1, 4.5, None, 1002.0)]
-    # one reader per layout, not per file (plan of an unexecuted frame: initial plan only)
     plan = csv_files.read_by_layout(spark, scratch)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan csv") == 2
+    assert plan.count("FileScan text") == 1  # whatever the number of layouts
+
+
+def test_read_by_layout_quotes_rejects_and_many_layouts(spark, scratch):
+    for i in range(40):
+        _land(scratch, "A", 1, 2, f"2024-02-{i:02d}", [f"2024-01-01T00:00,{i},x"], header=f"Time,Temperature,Extra{i}")
+    _land(scratch, "B", 1, 2, "2024-01-01", ['2024-01-02T00:00,"7.5","a ""b"", c"', "2024-01-02T01:00,8", "2024-01-02T02:00,bad,"],
+          header='"Time","Temperature","Note, free"')
+    df, rejects = csv_files.read_by_layout_with_rejects(spark, scratch)
+    assert df.count() == 42 and len(df.columns) == 3 + 41
+    got = df.filter(F.col("SourceFile").contains("_B_")).orderBy("Time").collect()
+    assert [(r.Temperature, r["Note, free"]) for r in got] == [(7.5, 'a "b", c'), (None, None)]
+    assert sorted(r.BadColumns for r in rejects.collect()) == [["Temperature"], ["cell count"]]
+    strict, _ = csv_files.read_by_layout_with_rejects(spark, scratch, on_bad="reject")
+    assert strict.count() == 41
 
 
 def test_header_only_files_are_input_not_missing(spark, scratch):

@@ -21,16 +21,12 @@ def _land(root, station, date, lines):
 def test_compaction_is_incremental(spark, scratch):
     src, table, ckpt, rej = (os.path.join(scratch, x) for x in ("landing", "table", "ckpt", "rejects"))
     _land(src, "La Gomera", "2024-01-01", [f"2024-01-01T{h:02d}:00,{h}.5,70,0,1,5,10,1010" for h in range(24)])
-    obs, rejects = landing.landed_stream(spark, src)
-    for q in landing.start_compaction(obs, table, ckpt, rejects, rej):
-        q.awaitTermination()
+    landing.start_ingest(spark, src, table, ckpt, rej).awaitTermination()
     assert spark.read.parquet(table).count() == 24
 
     _land(src, "La Gomera", "2024-01-02", [f"2024-01-02T{h:02d}:00,{h}.5,70,0,1,5,10,1010" for h in range(24)]
           + ["bad-time,1,1,1,1,1,1,1"])
-    obs, rejects = landing.landed_stream(spark, src)
-    for q in landing.start_compaction(obs, table, ckpt, rejects, rej):
-        q.awaitTermination()
+    landing.start_ingest(spark, src, table, ckpt, rej).awaitTermination()
     out = spark.read.parquet(table)
     assert out.count() == 48  # the first day was not re-ingested
     assert spark.read.parquet(rej).count() == 1
@@ -38,20 +34,21 @@ def test_compaction_is_incremental(spark, scratch):
     assert rows(out.select(batch.columns)) == rows(batch)
 
 
-def test_daily_summary_stream(spark, scratch):
+def test_daily_summary_does_not_depend_on_batches(spark, scratch):
     src = os.path.join(scratch, "landing")
-    for day in ("2024-01-01", "2024-01-02", "2024-01-05"):
+    # the oldest day lands last
+    for day in ("2024-01-02", "2024-01-05", "2024-01-01"):
         _land(src, "El Hierro", day, [f"{day}T{h:02d}:00,{h}.0,70,{0.1 if h < 3 else 0},1,{h},10,1010" for h in range(24)])
-    obs, _ = landing.landed_stream(spark, src)
-    q = (landing.daily_summary_stream(obs, "1 day").writeStream.format("memory")
-         .queryName("daily_stream_test").outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {r.Date.isoformat(): r for r in spark.sql("SELECT * FROM daily_stream_test").collect()}
-    # days behind the watermark are final and emitted; the newest may still be open
-    assert "2024-01-01" in got
-    d = got["2024-01-01"]
-    assert (d.MaxTemperature, d.MinTemperature, d.PrecipitationHours, d.MaxWindSpeed) == (23.0, 0.0, 3, 23.0)
-    assert abs(d.TotalPrecipitation - 0.3) < 1e-12
+    _land(src, "El Hierro", "2024-01-01-late", ["2024-01-01T23:30,-5.0,70,0.2,1,99,10,1010"])
+    got = []
+    for name, files in (("one", 1), ("all", 100)):
+        table, ckpt = os.path.join(scratch, name), os.path.join(scratch, f"{name}-ckpt")
+        landing.start_daily_summary(spark, src, table, ckpt, max_files_per_trigger=files).awaitTermination()
+        got.append(rows(landing.daily_summary_so_far(spark.read.parquet(table))))
+    assert got[0] == got[1] and len(got[0]) == 3
+    _, date, warmest, mean, coldest, rain, wet, wind = got[0][0]
+    assert (date.isoformat(), warmest, coldest, wet, wind) == ("2024-01-01", 23.0, -5.0, 4, 99.0)
+    assert abs(rain - 0.5) < 1e-9 and abs(mean - (276 - 5) / 25) < 1e-6
 
 
 def test_replayed_batch_is_not_written_twice(spark, scratch):
