@@ -165,3 +165,16 @@ def test_results_come_back_in_key_order(spark):
         got = df.collect()
         assert len(got) > 1
         assert got == sorted(got, key=key)
+
+
+def test_coverage_lists_stations_that_never_landed(spark):
+    obs = spark.sql("SELECT 'A' AS Station, TIMESTAMP_NTZ '2024-01-01 05:00:00' AS Time")
+    expected = spark.sql("SELECT explode(array('A', 'B')) AS Station")
+    start, end = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    second = dt.date(2024, 1, 2)
+    gaps = coverage.missing_days(obs, start, end, expected)
+    assert sorted(tuple(r) for r in gaps.collect()) == [("A", second), ("B", start), ("B", second)]
+    per = {r.Station: (r.MissingDays, r.Complete) for r in coverage.is_complete(obs.limit(0), start, end, expected).collect()}
+    assert per == {"A": (2, False), "B": (2, False)}
+    with pytest.raises(ValueError):
+        coverage.missing_days(obs, stations=expected)

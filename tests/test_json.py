@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -98,7 +99,6 @@ def test_multi_location_documents_bounded(spark):
 
 
 def test_response_files_from_storage(spark, scratch):
-    import os
 
     d = os.path.join(scratch, "weather_data_hourly_Tenerife_28.2916_-16.6291")
     os.makedirs(d)
@@ -153,3 +153,23 @@ def test_every_hour_is_a_row_or_a_reject(spark):
         "long array": (3, [["Time"]]),
         "codes": (1, [["WeatherCode"], ["WeatherCode"]]),
     }
+
+
+def test_lists_units_and_epoch_times_from_storage(spark, scratch):
+    d = os.path.join(scratch, "weather_data_hourly_Tenerife_28.2916_-16.6291")
+    os.makedirs(d)
+    other = dict(RESPONSE, utc_offset_seconds=3600)
+    other["hourly_units"] = {"time": "unixtime", "temperature_2m": "°F", "precipitation": "inch", "wind_speed_10m": "m/s"}
+    other["hourly"] = {"time": [1711850400, "x"], "temperature_2m": [50, 50], "precipitation": [1, 0], "wind_speed_10m": [10, 10]}
+    strange = dict(RESPONSE, hourly_units={"temperature_2m": "K"})
+    docs = [[RESPONSE, other, 5, {"error": True, "reason": "no"}], strange]
+    with open(os.path.join(d, "docs.json"), "w") as f:
+        f.write("\n".join(json.dumps(x) for x in docs) + "\n[{broken\n")
+    good, rejects = J.load_responses(spark, scratch)
+    got = good.collect()
+    assert sum(r.LocationId == 0 for r in got) == len(RESPONSE["hourly"]["time"])
+    [r] = [r for r in got if r.LocationId == 1]
+    assert r.Time == dt.datetime(2024, 3, 31, 3) and r.Temperature == 10.0 and r.Precipitation == 25.4 and abs(r.WindSpeed - 36) < 1e-9
+    reasons = sorted((str(r.LocationId), r.Reason) for r in rejects.collect())
+    assert reasons == [("0", "unknown unit"), ("1", "bad hour x: Time"), ("2", "malformed document"), ("3", "error: no"),
+                       ("None", "malformed document")]
