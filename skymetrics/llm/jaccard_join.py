@@ -61,7 +61,7 @@ def bands(longest: int) -> np.ndarray:
 
 def chunk_keys(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(digest, owner) of the sketch chunks of each set, in each band where it can meet a partner."""
-    edges = bands(int(sizes.max(initial=1)) + 1)
+    edges = bands(int(bands(int(sizes.max(initial=1)))[-1]) + 1)  # one band further: bounds do not depend on the sets given together
     home = np.searchsorted(edges, sizes)
     out = []
     for up in (0, 1):  # a set can have partners in its own band, or be the smaller one in the next
@@ -69,7 +69,7 @@ def chunk_keys(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent:
         if up:
             who &= 100 * sizes >= percent * (edges[home] + 1)
         band = home + up
-        bound = np.append(edges, int(np.ceil(edges[-1] * BAND_GROWTH)) + 1)[band]
+        bound = edges[band]
         most = 2 * bound * (100 - percent) // (100 + percent)  # symmetric difference
         extra = EXTRA + most // EXTRA_PER
         chunks = np.where(who, np.where(most > 0, most + 1 + extra, 1), 0)

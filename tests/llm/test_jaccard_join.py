@@ -93,6 +93,26 @@ def test_linked_sets_share_a_chunk():
             assert set(found[of == 0]) & set(found[of == 1])
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_chunk_when_given_apart(percent):
+    r = np.random.default_rng(percent)
+    keys_of = lambda *sets: J.chunk_keys(np.concatenate([np.sort(s) for s in sets]), np.repeat(np.arange(len(sets)), list(map(len, sets))),
+                                         np.array(list(map(len, sets))), percent)
+    missed, other = [], []
+    for edge in J.bands(12_000).tolist():
+        for n in {max(1, edge - 1), edge, edge + 1}:
+            a = r.integers(1 << 64, size=n, dtype=np.uint64)
+            alone, _ = keys_of(a)
+            for m in {min(edge + 1, 100 * n // percent), 100 * n // percent}:
+                b = np.concatenate([a, r.integers(1 << 64, size=max(0, m - n), dtype=np.uint64)])
+                if not set(alone) & set(keys_of(b)[0]):
+                    missed.append((n, len(b)))
+            found, of = keys_of(a, r.integers(1 << 64, size=3 * n, dtype=np.uint64))
+            if not np.array_equal(np.sort(alone), np.sort(found[of == 0])):
+                other.append(n)
+    assert not missed and not other, f"{len(missed)} linked pairs share no chunk, {len(other)} sets have other chunks next to a larger one: {missed[:9]}"
+
+
 def test_components(spark):
     r = random.Random(5)
     for n, m in ((40, 30), (200, 150), (30, 200)):
