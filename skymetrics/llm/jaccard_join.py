@@ -61,14 +61,17 @@ def bands(longest: int) -> np.ndarray:
 
 def chunk_keys(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(digest, owner) of the sketch chunks of each set, in each band where it can meet a partner."""
-    edges = bands(int(bands(int(sizes.max(initial=1)))[-1]) + 1)  # one band further: bounds do not depend on the sets given together
+    longest = max(1, 100 * int(sizes.max(initial=1)) // percent)  # of a partner
+    edges = bands(int(bands(longest)[-1]) + 1)  # one band further: bounds do not depend on the sets given together
     home = np.searchsorted(edges, sizes)
     out = []
-    for up in (0, 1):  # a set can have partners in its own band, or be the smaller one in the next
+    for up in range(len(edges)):  # a set can have partners in its own band, or be the smaller one in those above
+        band = np.minimum(home + up, len(edges) - 1)
         who = sizes > 0
         if up:
-            who &= 100 * sizes >= percent * (edges[home] + 1)
-        band = home + up
+            who &= 100 * sizes >= percent * (edges[band - 1] + 1)
+            if not who.any():
+                break
         bound = edges[band]
         most = 2 * bound * (100 - percent) // (100 + percent)  # symmetric difference
         extra = EXTRA + most // EXTRA_PER
@@ -345,11 +348,13 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     Words are what stands between spaces and control characters 9 to 13, A-Z
     lower-cased; a text of fewer than ``width`` words is one shingle, one
     without words (or NULL) has none and links with nothing.  Documents link
-    when ``100 * intersection >= percent * union``; ``component_id`` is the
+    when ``100 * intersection >= percent * union`` (``percent`` from 1 to 100); ``component_id`` is the
     smallest doc_id that links reach, and its row is the one ``kept``.  A NULL doc_id counts as smaller than any
     other and is given back as NULL; rows that repeat are each given; an empty
     table gives an empty result.  Other columns are not read.
     """
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent is from 1 to 100, not {percent}")
     n_parts = exchange.parts(docs.sparkSession)
     keyed = exchange.with_row_key(docs, n_parts)
     found = stage(_candidates(keyed, n_parts, width, percent), "candidates")

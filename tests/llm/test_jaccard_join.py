@@ -93,7 +93,7 @@ def test_linked_sets_share_a_chunk():
             assert set(found[of == 0]) & set(found[of == 1])
 
 
-@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("percent", [30, 50, 70, 76, 80, 85])
 def test_linked_sets_share_a_chunk_when_given_apart(percent):
     r = np.random.default_rng(percent)
     keys_of = lambda *sets: J.chunk_keys(np.concatenate([np.sort(s) for s in sets]), np.repeat(np.arange(len(sets)), list(map(len, sets))),
