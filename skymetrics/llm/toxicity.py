@@ -25,8 +25,8 @@ PER_CLASS = 4096
 BUCKETS = 1 << 40
 #: a term or pair enters the machine if the root of its likelihood ratio statistic reaches this
 TERM_EVIDENCE, PAIR_EVIDENCE = 4.0, 6.0
-#: most terms the machine has; most frequent terms among which pairs are looked for
-MOST_TERMS, PAIR_TERMS = 4096, 512
+#: terms whose pairs are counted at once
+PAIR_BLOCK = 512
 FACTORS, EPOCHS, RATE, SHRINK = 8, 150, 0.1, 1e-4
 
 
@@ -70,6 +70,37 @@ def _evidence(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 * (part(a, n1, p) + part(b, n0, p))))
 
 
+def _interacting(term: np.ndarray, text: np.ndarray, a: np.ndarray, b: np.ndarray, evidence: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The terms of pairs whose evidence goes beyond that of their terms; texts of label 0 come first."""
+    # a pair is in at most the texts of its term, and evidence is convex in both counts: it is largest at a corner
+    none = np.zeros_like(a)
+    most = np.maximum(evidence, np.maximum(_evidence(a, none, n1, n0), _evidence(none, b, n1, n0)))
+    able = np.flatnonzero((most >= PAIR_EVIDENCE) & (most >= evidence + TERM_EVIDENCE))
+    place = np.full(len(a), -1)
+    place[able] = np.arange(len(able))
+    inside = place[term] >= 0
+    order = np.argsort(place[term[inside]], kind="stable")
+    at, of = place[term[inside]][order], text[inside][order]
+
+    def block(i: int) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = np.searchsorted(at, [i, i + PAIR_BLOCK])
+        x = np.zeros((n0 + n1, min(PAIR_BLOCK, len(able) - i)), np.float32)
+        x[of[lo:hi], at[lo:hi] - i] = 1
+        return x[:n0], x[n0:]
+
+    strong = np.zeros(len(able), bool)
+    for i in range(0, len(able), PAIR_BLOCK):
+        one0, one1 = block(i)
+        for j in range(i, len(able), PAIR_BLOCK):
+            two0, two1 = (one0, one1) if i == j else block(j)
+            pair = _evidence((one1.T @ two1).astype(float), (one0.T @ two0).astype(float), n1, n0)
+            ones, twos = able[i:i + PAIR_BLOCK], able[j:j + PAIR_BLOCK]
+            found = (pair >= PAIR_EVIDENCE) & (pair >= np.maximum(evidence[ones][:, None], evidence[twos][None, :]) + TERM_EVIDENCE)
+            strong[i:i + PAIR_BLOCK] |= found.any(axis=1)
+            strong[j:j + PAIR_BLOCK] |= found.any(axis=0)
+    return able[strong]
+
+
 def learn(rows: list[tuple[int, np.ndarray]]) -> Machine:
     """The machine for (label, sorted distinct hashed terms) rows; equal rows count once."""
     rows = sorted({(label, terms.tobytes()): (label, terms) for label, terms in rows}.values(), key=lambda r: (r[0], r[1].tobytes()))
@@ -84,19 +115,7 @@ def learn(rows: list[tuple[int, np.ndarray]]) -> Machine:
     b = np.bincount(term[y[text] == 0], minlength=len(vocabulary))
     evidence = _evidence(a, b, n1, n0)
     chosen = evidence >= TERM_EVIDENCE
-    chosen[np.argsort(-evidence, kind="stable")[MOST_TERMS - PAIR_TERMS:]] = False
-    # pairs whose evidence goes beyond that of their terms
-    common = np.argsort(-np.minimum(a + b, len(y) - a - b), kind="stable")[:PAIR_TERMS]
-    place = np.full(len(vocabulary), -1)
-    place[common] = np.arange(len(common))
-    x = np.zeros((len(rows), len(common)), np.float32)
-    inside = place[term] >= 0
-    x[text[inside], place[term[inside]]] = 1
-    both1, both0 = x[y == 1].T @ x[y == 1], x[y == 0].T @ x[y == 0]
-    pair = _evidence(both1.astype(float), both0.astype(float), n1, n0)
-    alone = np.maximum(evidence[common][:, None], evidence[common][None, :])
-    strong = (pair >= PAIR_EVIDENCE) & (pair >= alone + TERM_EVIDENCE)
-    chosen[common[strong.any(axis=1)]] = True
+    chosen[_interacting(term, text, a, b, evidence, n1, n0)] = True
     number = np.full(len(vocabulary), -1)
     number[chosen] = np.arange(chosen.sum())
     inside = number[term] >= 0

@@ -45,6 +45,24 @@ def test_factors_learn_what_single_terms_do_not_tell():
     assert right.mean() > 0.95
 
 
+def test_factors_learn_pairs_of_rare_terms_in_a_large_vocabulary():
+    r = random.Random(4)
+    texts, labels, pairs = [], [], []
+    for k in range(3000):
+        label, words = k % 2, [f"f{i}" for i in range(700) if r.random() < 0.4] + [f"w{r.randrange(40_000)}" for _ in range(60)]
+        pair = r.random() < 0.4
+        if pair:
+            words += r.choice([("fools", "they"), ("folks", "gardens")] if label else [("fools", "gardens"), ("folks", "they")])
+        texts.append(" ".join(r.sample(words, len(words))))
+        labels.append(label)
+        pairs.append(pair)
+    known = terms(texts[:2000])
+    assert len(np.unique(np.concatenate(known))) > 30_000
+    machine = toxicity.learn(list(zip(labels[:2000], known)))
+    right = (scores(machine, texts[2000:]) >= 0.5) == np.array(labels[2000:])
+    assert right[np.array(pairs[2000:])].mean() > 0.95
+
+
 @pytest.mark.parametrize("module, column, folds, out, least", [(toxicity, "toxic", 3, 1, 0.93), (quality, "quality", 4, 2, 0.93)])
 def test_held_out_accuracy_and_contract(spark, module, column, folds, out, least):
     docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
