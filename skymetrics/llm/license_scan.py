@@ -206,7 +206,7 @@ def _scan(scanner: Scanner, data: np.ndarray, offsets: np.ndarray) -> Iterator[t
     begin[1:] &= ~known[:-1] | (text[1:] != text[:-1])
     first = np.flatnonzero(begin)
     size = np.add.reduceat(known, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
-    keep = size >= 2
+    keep = size >= min([2, *(n for _, n in scanner.phrases)])  # shorter runs hold no phrase and no match
     found: dict[int, tuple[list, list]] = {}
     for a, n, t in zip(first[keep].tolist(), size[keep].tolist(), text[first[keep]].tolist(), strict=True):
         places, matches = found.setdefault(t, ([], []))

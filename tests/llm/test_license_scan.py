@@ -40,6 +40,12 @@ def test_base_places_equal_brute_force(spark):
     assert got == sorted(((i, *base(t)) for i, t in ROWS), key=str)
 
 
+def test_phrases_of_one_word(spark):
+    docs = [(1, "foo gpl bar GPL"), (2, "gpl"), (3, "foo bar"), (4, "foo MIT license gpl"), (5, "foo license")]
+    got = sorted(tuple(r)[:6] for r in scan(frame(spark, docs), phrases=[("gpl", "gpl"), ("mit license", "mit")]).collect())
+    assert got == [(1, 4, 2, 1, 3, "gpl"), (2, 1, 1, 0, 0, "gpl"), (3, 2, 0, None, None, ""), (4, 4, 2, 1, 3, "gpl,mit"), (5, 2, 0, None, None, "")]
+
+
 def test_shared_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {r.doc_id: base(r.text) for r in docs.collect()}
