@@ -603,11 +603,12 @@ def q_union_by_name(spark, sf):
 
 
 # ---------------------------------------------------------------- JSON responses
+# Rows without Time are packed, too; they come back as hours that ``J.hourly_rows`` rejects.
 
 
 @register("json_pivot", O.with_obs(f"SELECT {_ROW_COLS} FROM obs WHERE Time IS NOT NULL"))
 def q_json_pivot(spark, sf):
-    o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
+    o = fixture.observations(spark, sf)
     docs = J.to_documents(J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)))
     good, _ = J.split_responses(J.parse_responses(docs.select("Station", "json")))
     return J.pivot_hourly(good)
@@ -618,7 +619,7 @@ def landed_json_folder(spark: SparkSession, sf: str) -> str:
     in the shared checkpoint folder, written once per session."""
     def build() -> str:
         path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-json-{uuid.uuid4().hex}"
-        o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
+        o = fixture.observations(spark, sf)
         docs = J.to_documents(J.pack_days(o, fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)))
         docs.select("Station", "json").write.partitionBy("Station").text(path)
         return path
@@ -642,7 +643,7 @@ def q_multi_location(spark, sf):
     names = F.array(*[F.lit(s) for s in fixture.FIXTURE_STATIONS])
     idx = F.array_position(names, F.col("Station")) - 1
     n = len(fixture.FIXTURE_STATIONS)
-    o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
+    o = fixture.observations(spark, sf)
     docs = J.pack_locations(J.pack_days(o, fixture.fixture_stations(spark), n), idx, n, MULTI_BATCH)
     parsed = J.parse_multi(docs)
     station = F.element_at(names, (F.col("Batch") * MULTI_BATCH + F.col("LocationId") + 1).cast("int"))
@@ -662,8 +663,8 @@ def q_multi_location(spark, sf):
 )
 def q_response_errors(spark, sf):
     st, n = fixture.fixture_stations(spark), len(fixture.FIXTURE_STATIONS)
-    o = fixture.observations(spark, sf).filter(F.col("Time").isNotNull())
-    flags = o.groupBy("Station", F.to_date("Time").alias("Date")).agg(
+    o = fixture.observations(spark, sf)
+    flags = o.filter(F.col("Time").isNotNull()).groupBy("Station", F.to_date("Time").alias("Date")).agg(
         F.bool_or(F.col("Pressure").isNull()).alias("NoPressure"),
         F.bool_or(F.col("WindDirection").isNull()).alias("NoDirection"),
     )
@@ -702,7 +703,7 @@ def q_response_units(spark, sf):
         path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-landed-units-{uuid.uuid4().hex}"
         names = F.array(*[F.lit(x) for x in fixture.FIXTURE_STATIONS])
         offset = ((F.array_position(names, "Station").cast("int") - 1) * (3600 * _OFFSET_HOURS)).cast("int")
-        docs = J.pack_days(fixture.observations(spark, sf).filter(F.col("Time").isNotNull()))
+        docs = J.pack_days(fixture.observations(spark, sf))
         docs = docs.withColumn("offset", offset)
         h = F.col("response.hourly")
         changed = F.col("response").withField("utc_offset_seconds", F.col("offset")).withField("hourly", h.withField(

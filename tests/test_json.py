@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from skymetrics.plans import catalog
 from skymetrics.sources import fixture
 from skymetrics.sources import json_responses as J
 
@@ -173,3 +174,24 @@ def test_lists_units_and_epoch_times_from_storage(spark, scratch):
     reasons = sorted((str(r.LocationId), r.Reason) for r in rejects.collect())
     assert reasons == [("0", "unknown unit"), ("1", "bad hour x: Time"), ("2", "malformed document"), ("3", "error: no"),
                        ("None", "malformed document")]
+
+
+def test_rows_without_time_come_back_as_rejects(spark, monkeypatch):
+    obs = fixture.observations(spark, SF_SMALL)
+    some = obs.withColumn("Time", F.when(F.col("WindDirection") % 7 != 0, F.col("Time")))
+    lost, kept = some.filter("Time IS NULL").count(), some.filter("Time IS NOT NULL")
+    assert lost > 10
+    fixture._memo(spark, ("observations", "rows without time", True), lambda: some)
+    parsed, split, pivot = [], J.split_responses, J.pivot_hourly
+    monkeypatch.setattr(J, "split_responses", lambda p: (parsed.append(p), split(p))[1])
+    monkeypatch.setattr(J, "pivot_hourly", lambda p: (parsed.append(p), pivot(p))[1])
+    for name in ("json_pivot", "landed_json", "multi_location", "response_errors", "response_units"):
+        parsed.clear()
+        got = catalog.queries()[name](spark, "rows without time")
+        hours = J.hourly_rows(split(parsed[-1])[0])[1]
+        bad = [(r.Time, r.BadColumns) for r in hours.collect()]
+        assert bad == [(J.NO_TIME, ["Time"])] * lost, name
+        if name == "response_errors":
+            assert got.filter("Date IS NULL").count() == 0
+        else:
+            assert got.count() == kept.count(), name
