@@ -1,4 +1,4 @@
-"""The ten ``opN_<name>`` queries over the shared test tables, and their DuckDB SQL where SQL can express them."""
+"""The ``opN_<name>`` queries over the shared test tables, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import byte_bpe, embedding_dedup, exact_dedup, jaccard_join, license_scan, packing, quality, substring_dedup, toxicity, url_filter
+from skymetrics.llm import (
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    oracle,
+    packing,
+    quality,
+    resampling,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,15 +71,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe, op12_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op1_exact_dedup": """
-            SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-                   doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
-            FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
-        """,
-    }
+    return dict(oracle.SQL)
