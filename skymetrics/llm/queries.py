@@ -12,6 +12,7 @@ from skymetrics.llm import (
     byte_bpe,
     embedding_dedup,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     license_scan,
     oracle,
@@ -75,8 +76,12 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe, op12_resampling)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe, op12_resampling, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
