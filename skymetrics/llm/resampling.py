@@ -32,8 +32,8 @@ BUCKETS, SMOOTHING, SCALE, SEED, LEAST_WORDS, PERCENT = 10_000, 10_000, 1000, 7,
 
 #: a feature that makes up this share of all words (pairs) is that frequent in some slice, and so a candidate of the head
 WORD_SHARE, PAIR_SHARE = 1 / (1 << 14), 1 / (1 << 15)
-#: the head's bounds: this many words and pairs, none longer than so many bytes (at most 12 MB in all)
-HEAD_WORDS, HEAD_PAIRS, HEAD_BYTES = 1 << 14, 1 << 15, 128
+#: no word or pair of the head is longer than so many bytes (so the head has at most 6 MB: 1 / share of either at most)
+HEAD_BYTES = 128
 
 
 class Head:
@@ -113,9 +113,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, found in _features(batch.column("text")):
             words, pairs = found.frequent()
-            both = words + pairs
+            both = [(b"", len(found.word)), *words, (b"", len(found.pair)), *pairs]  # the empty feature counts all
             yield pa.RecordBatch.from_arrays([
-                pa.array([False] * len(words) + [True] * len(pairs), pa.bool_()),
+                pa.array([False] * (1 + len(words)) + [True] * (1 + len(pairs)), pa.bool_()),
                 pa.array([f for f, _ in both], pa.binary()), pa.array([n for _, n in both], pa.int64())], ["pair", "feature", "n"])
 
 
@@ -131,13 +131,14 @@ class Shared:
 
 
 def head_vocabulary(docs: DataFrame) -> Shared:
-    """The most frequent candidates of all slices of all texts; ties to the smaller bytes."""
+    """The candidates of all slices that make up WORD_SHARE of all words or PAIR_SHARE of all pairs, at most 1 / share of either."""
     seen = stage(docs.select("text").mapInArrow(_candidates, "pair boolean, feature binary, n long")
                  .groupBy("pair", "feature").agg(F.sum("n").alias("n")), "head")
+    total = {r.pair: r.n for r in seen.filter(F.length("feature") == 0).collect()}
     parts = []
-    for pair, most in ((False, HEAD_WORDS), (True, HEAD_PAIRS)):
-        top = seen.filter(F.col("pair") == pair).orderBy(F.col("n").desc(), "feature").limit(most).select("feature")
-        parts.append([bytes(r.feature) for r in top.collect()])
+    for pair, share in ((False, WORD_SHARE), (True, PAIR_SHARE)):
+        often = seen.filter((F.col("pair") == pair) & (F.length("feature") > 0) & (F.col("n") >= share * total.get(pair, 0)))
+        parts.append([bytes(r.feature) for r in often.select("feature").collect()])
     return Shared(docs.sparkSession, *parts)
 
 

@@ -69,9 +69,9 @@ def test_head_and_tail_give_the_same_buckets(spark):
 def test_words_over_the_head_s_bounds_are_tail(spark, monkeypatch):
     rows = [(i, f"w{i % 7} and w{i} again " * 9) for i in range(200)]
     want = brute(rows, ["w1 and w2"])
-    for most in (0, 3):
-        monkeypatch.setattr(resampling, "HEAD_WORDS", most)
-        monkeypatch.setattr(resampling, "HEAD_PAIRS", most)
+    for share in (0.01, 0.3, 2.0):
+        monkeypatch.setattr(resampling, "WORD_SHARE", share)
+        monkeypatch.setattr(resampling, "PAIR_SHARE", share)
         assert got(resample(frame(spark, rows), frame(spark, [(1, "w1 and w2")]))) == want
 
 
