@@ -11,7 +11,7 @@ size and range of labels Spark aggregates.  A cell is cut into slices of bounded
 size, and a task builds each slice's own tree, level by level, down to leaves
 of a few rows; the slices are written once.  An anchor goes to the slices of
 cells that can hold what it looks for.  There it descends level by level past
-nodes outside its window, and visits the leaves left, best bound first, until no
+nodes outside its windows, and visits the leaves left, best bound first, until no
 bound reaches what it has; scores in leaves are exact.
 """
 
@@ -43,8 +43,10 @@ SAMPLE = 4
 FAN, LEAF = 8, 32
 #: anchors compared with the nodes of a level at once
 ROUND = 512
-#: own-slice scores that an anchor keeps, from which its windows get a lower bound
-MARKS = 64
+#: leaves of an anchor visited before what was found raises its bound
+WAVE = 4
+#: how many of the best scores of its own slice are kept in full detail for an anchor; its windows get a lower bound from them
+MARKS = 256
 #: rounding of angles and products
 SLACK, RELATIVE = 2e-7, 1e-9
 #: beyond every score
@@ -148,22 +150,78 @@ class Tree:
     labels: np.ndarray
     nodes: np.ndarray
 
-    def best(self, q: np.ndarray, label: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray, floor: np.ndarray,
-             most: int, same: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each anchor (its number, scores, ids) of the ``most`` best rows of its label, or of others, in its window.
+    def best(self, q: np.ndarray, label: np.ndarray, own: np.ndarray, sought: np.ndarray, most: int, same: bool) -> tuple[np.ndarray, ...]:
+        """(anchor, window, scores, ids) of the ``most`` best rows of its label, or of others, for every window sought.
 
-        Rows under ``floor`` may be missing: so many better ones are known.
+        ``sought`` has rows (anchor, window, low, high, floor) in the order of the anchors; rows that
+        score under a floor may be missing: so many better ones are known.
         """
         unit = self.space.unit(self.vectors[self.nodes["centre"]])
+        out = []
         for a in range(0, len(q), ROUND):
-            part = slice(a, a + ROUND)
-            leaves, upper = self._leaves(unit, q[part], label[part], np.maximum(low[part], floor[part]), high[part], same)
-            order = np.argsort(-upper, axis=1, kind="stable")
-            for i in range(len(order)):
-                j = a + i
-                found = self._visit(leaves[order[i]], upper[i, order[i]], q[j], label[j], own[j], low[j], high[j], floor[j], most, same)
-                if found is not None:
-                    yield j, *found
+            n = min(ROUND, len(q) - a)
+            mine = sought[slice(*np.searchsorted(sought[:, 0], [a, a + n]))] - [a, 0, 0, 0, 0]
+            if len(mine):
+                found = self._round(unit, q[a:a + n], label[a:a + n], own[a:a + n], mine, most, same)
+                out.append((mine[found[0], 0] + a, mine[found[0], 1], *found[1:]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else tuple(np.zeros((4, 0), np.int64))
+
+    def _round(self, unit, q, label, own, sought, most, same) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``sought``, score, id): leaves are visited best bound first, in waves over all anchors of the round."""
+        of, high = sought[:, 0], sought[:, 3]
+        enough = np.maximum(sought[:, 2], sought[:, 4])
+        top = np.full(len(q), -LARGE)
+        np.maximum.at(top, of, high)
+
+        def needed() -> np.ndarray:
+            need = np.full(len(q), LARGE)
+            np.minimum.at(need, of, enough)
+            return need
+
+        need = needed()
+        leaves, upper = self._leaves(unit, q, label, need, top, same)
+        order = np.argsort(-upper, axis=1, kind="stable")
+        window = scores = ids = np.zeros(0, np.int64)
+        at, step = 0, WAVE
+        while at < len(leaves):
+            wave = order[:, at:at + step]
+            bound = np.take_along_axis(upper, wave, 1)
+            anchor, nth = np.nonzero((bound >= need[:, None]) & (bound > -np.inf))
+            if not len(anchor):
+                break
+            at, step = at + step, 2 * step
+            anchor, score, row = self._evaluate(leaves[wave[anchor, nth]], anchor, q, label, own, need, top, same)
+            # each row found for every window of its anchor that it lies in
+            begin, n = np.searchsorted(of, anchor), np.bincount(of, minlength=len(q))[anchor]
+            each = np.repeat(np.arange(len(anchor)), n)
+            w = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            inside = (score[each] >= enough[w]) & (score[each] <= high[w])
+            window = np.concatenate([window, w[inside]])
+            scores = np.concatenate([scores, score[each[inside]]])
+            ids = np.concatenate([ids, self.ids[row[each[inside]]]])
+            first = np.lexsort((ids, -scores, window))
+            window, scores, ids = window[first], scores[first], ids[first]
+            place = np.arange(len(window)) - np.searchsorted(window, window)
+            last = place == most - 1
+            enough[window[last]] = np.maximum(enough[window[last]], scores[last])
+            need = needed()
+            keep = place < most
+            window, scores, ids = window[keep], scores[keep], ids[keep]
+        return window, scores, ids
+
+    def _evaluate(self, leaf, anchor, q, label, own, need, top, same) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, exact score, row) of what the leaves hold for their anchors."""
+        order = np.argsort(leaf, kind="stable")
+        out = [(np.zeros(0, np.int64),) * 3]
+        for part in np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1):
+            rows = slice(int(self.nodes["begin"][leaf[part[0]]]), int(self.nodes["end"][leaf[part[0]]]))
+            who = anchor[part]
+            score = (q[who] @ self.vectors[rows].T).astype(np.int64)
+            fits = (score >= need[who, None]) & (score <= top[who, None])
+            fits &= ((self.labels[rows] == label[who, None]) == same) & (self.rows[rows] != own[who, None])
+            i, j = np.nonzero(fits)
+            out.append((who[i], score[i, j], j + rows.start))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def _leaves(self, unit, q, label, need, high, same) -> tuple[np.ndarray, np.ndarray]:
         """(leaves, upper bound of each for each anchor, -inf where it holds nothing for it), level by level."""
@@ -186,24 +244,6 @@ class Tree:
             alive = np.repeat(alive[:, inner], n, axis=1)
         return np.concatenate(leaves), np.concatenate(upper, axis=1)
 
-    def _visit(self, leaves, upper, q, label, own, low, high, floor, most, same) -> tuple[np.ndarray, np.ndarray] | None:
-        n = int((upper > -np.inf).sum())
-        scores = ids = np.zeros(0, np.int64)
-        need, at, step = max(low, floor), 0, 4
-        while at < n and upper[at] >= need:
-            chosen = self.nodes[leaves[at:min(n, at + step)]]
-            at, step = at + step, min(64, 2 * step)
-            rows = np.concatenate([np.arange(b, e) for b, e in zip(chosen["begin"].tolist(), chosen["end"].tolist(), strict=True)])
-            score = (self.vectors[rows] @ q).astype(np.int64)
-            fits = (score >= need) & (score <= high) & ((self.labels[rows] == label) == same) & (self.rows[rows] != own)
-            scores, ids = np.concatenate([scores, score[fits]]), np.concatenate([ids, self.ids[rows[fits]]])
-            if len(scores) > most:
-                first = np.lexsort((ids, -scores))[:most]
-                scores, ids = scores[first], ids[first]
-            if len(scores) == most:
-                need = max(need, int(scores.min()))
-        return (scores, ids) if len(scores) else None
-
     @classmethod
     def stored(cls, space: Space, row: dict) -> Tree:
         numbers = {c: np.frombuffer(row[c], np.int64) for c in ("ids", "rows", "labels")}
@@ -254,6 +294,16 @@ def _cells(space: Space, pivots: np.ndarray):
     return run
 
 
+def _marks(n: int) -> np.ndarray:
+    """Places among n falling scores, NEGATIVES apart or more: MARKS in a row at the top, then ever rarer."""
+    places, at, step = [], 0, float(NEGATIVES)
+    while at < n:
+        places.append(at)
+        at += int(step)
+        step *= 1.0 if len(places) < MARKS else 1.1
+    return np.array(places, np.int64)
+
+
 def _build(space: Space, anchors: int):
     """A slice's tree, and its anchors with their best rows there."""
 
@@ -266,14 +316,15 @@ def _build(space: Space, anchors: int):
         out = [{"cell": cell, "slice": piece, "vectors": tree.vectors.astype(space.stored).tobytes(), "ids": tree.ids.tobytes(),
                 "rows": tree.rows.tobytes(), "labels": tree.labels.tobytes(), "nodes": nodes.tobytes()}]
         mine = np.flatnonzero(tree.ids % anchors == 0)
-        none = np.full(len(mine), -LARGE, np.int64)
-        best = {j: found for j, *found in tree.best(tree.vectors[mine], tree.labels[mine], tree.rows[mine], none, -none, none, POSITIVES, True)}
-        for j, m in enumerate(mine):
+        every = np.tile(np.array([0, 0, -LARGE, LARGE, -LARGE], np.int64), (len(mine), 1))
+        every[:, 0] = np.arange(len(mine))
+        owner, _, scores, found = tree.best(tree.vectors[mine], tree.labels[mine], tree.rows[mine], every, POSITIVES, True)
+        begin, end = np.searchsorted(owner, np.arange(len(mine))), np.searchsorted(owner, np.arange(len(mine)), side="right")
+        for m, a, b in zip(mine, begin, end, strict=True):
             other = np.sort((tree.vectors[tree.labels != tree.labels[m]] @ tree.vectors[m]).astype(np.int64))[::-1]
-            scores, found = best.get(j, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
             out.append({"cell": cell, "slice": piece, "row": int(tree.rows[m]), "vec_id": int(tree.ids[m]), "label": int(tree.labels[m]),
-                        "v": tree.vectors[m].astype(space.stored).tobytes(), "scores": scores.tolist(), "found": found.tolist(),
-                        "marks": other[::max(NEGATIVES, -(-len(other) // MARKS))].tolist()})
+                        "v": tree.vectors[m].astype(space.stored).tobytes(), "scores": scores[a:b].tolist(), "found": found[a:b].tolist(),
+                        "marks": other[_marks(len(other))].tolist()})
         return pa.Table.from_pylist(out, _INDEX)
 
     return run
@@ -293,12 +344,12 @@ def windows(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _floor(marks: np.ndarray, low: int, high: int) -> int:
-    """A score that at least NEGATIVES rows of the window reach; ``marks`` is every NEGATIVES-th or rarer of falling scores."""
+    """A score that at least NEGATIVES rows of the window reach; ``marks`` is falling scores, NEGATIVES or more rows apart."""
     at = int(np.searchsorted(-marks, -high, side="left"))  # the first mark not above the window
     return int(marks[at + 1]) if at + 1 < len(marks) and marks[at + 1] >= low else -LARGE
 
 
-def _sought(batch: pa.RecordBatch | pa.Table, negatives: bool) -> list[tuple[int, int, int, int, int]]:
+def _sought(batch: pa.RecordBatch, negatives: bool) -> np.ndarray:
     """(row of the batch, window, low, high, floor) of every window of every anchor."""
     out = []
     for i, (scores, marks) in enumerate(zip(batch.column("scores").to_pylist(), batch.column("marks").to_pylist(), strict=True)):
@@ -308,11 +359,11 @@ def _sought(batch: pa.RecordBatch | pa.Table, negatives: bool) -> list[tuple[int
             out += [(i, w, int(a), int(b), _floor(marks, int(a), int(b))) for w, (a, b) in enumerate(zip(low, high, strict=True)) if a <= b]
         else:
             out.append((i, 0, -LARGE, LARGE, min(scores) if len(scores) == POSITIVES else -LARGE))
-    return out
+    return np.array(out, np.int64).reshape(-1, 5)
 
 
 def _route(space: Space, pivots: np.ndarray, cells: list[tuple], negatives: bool):
-    """An anchor once for each slice of every cell that can hold what it looks for (for positives, but its own)."""
+    """An anchor, with its windows, once for each slice of every cell that can hold what it looks for (for positives, but its own)."""
     radius = np.array([c[1] for c in cells])
     pieces = np.array([c[2] for c in cells])
     lowest, highest = np.array([c[3] for c in cells], np.int64), np.array([c[4] for c in cells], np.int64)
@@ -322,7 +373,7 @@ def _route(space: Space, pivots: np.ndarray, cells: list[tuple], negatives: bool
         for batch in batches:
             for a in range(0, len(batch), ROUND):
                 part = batch.slice(a, ROUND)
-                sought = np.array(_sought(part, negatives), np.int64).reshape(-1, 5)
+                sought = _sought(part, negatives)
                 if not len(sought):
                     continue
                 queries, scale = space.queries(space.matrix(part.column("v")))
@@ -341,27 +392,28 @@ def _route(space: Space, pivots: np.ndarray, cells: list[tuple], negatives: bool
                     other = (cell != part.column("cell").to_numpy()[i]) | (piece != part.column("slice").to_numpy()[i])
                     i, cell, piece = i[other], cell[other], piece[other]
                 chosen = part.take(pa.array(i))
+                ends = np.searchsorted(sought[:, 0], np.arange(len(part) + 1))
+                seen = pa.array([sought[x:y, 1:].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()).take(pa.array(i))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), pa.array(piece.astype(np.int32)), *(chosen.column(x) for x in ("row", "label", "v", "scores", "marks"))],
-                    ["cell", "slice", "row", "label", "v", "scores", "marks"])
+                    [pa.array(cell.astype(np.int32)), pa.array(piece.astype(np.int32)), *(chosen.column(x) for x in ("row", "label", "v")), seen],
+                    ["cell", "slice", "row", "label", "v", "windows"])
 
     return run
 
 
 def _search(space: Space, negatives: bool):
+    most = NEGATIVES if negatives else POSITIVES
+
     def run(anchors: pa.Table, index: pa.Table) -> pa.Table:
-        out = {"row": [], "nth": [], "score": [], "id": []}
+        row = nth = score = found = np.zeros(0, np.int64)
         if anchors.num_rows and index.num_rows:
             tree = Tree.stored(space, {c: index.column(c)[0].as_py() for c in _BINARY if c != "v"})
-            sought = np.array(_sought(anchors, negatives), np.int64).reshape(-1, 5)
-            i = sought[:, 0]
-            q, label, row = space.matrix(anchors.column("v"))[i], anchors.column("label").to_numpy()[i], anchors.column("row").to_numpy()[i]
-            for j, scores, ids in tree.best(q, label, row, *sought[:, 2:].T, NEGATIVES if negatives else POSITIVES, not negatives):
-                out["row"] += [int(row[j])] * len(ids)
-                out["nth"] += [int(sought[j, 1])] * len(ids)
-                out["score"] += scores.tolist()
-                out["id"] += ids.tolist()
-        return pa.table(out, pa.schema([("row", pa.int64()), ("nth", pa.int32()), ("score", pa.int64()), ("id", pa.int64())]))
+            of = [np.frombuffer(x.as_py(), np.int64).reshape(-1, 4) for x in anchors.column("windows")]
+            sought = np.hstack([np.repeat(np.arange(len(of)), [len(x) for x in of])[:, None], np.concatenate(of)])
+            label, row = anchors.column("label").to_numpy(), anchors.column("row").to_numpy()
+            anchor, nth, score, found = tree.best(space.matrix(anchors.column("v")), label, row, sought, most, not negatives)
+            row = row[anchor]
+        return pa.table([row, nth.astype(np.int32), score, found], ["row", "nth", "score", "id"])
 
     return run
 
@@ -423,7 +475,7 @@ def hard_negatives(embeddings: DataFrame, anchors: int = ANCHORS) -> DataFrame:
 
     def search(what: DataFrame, negatives: bool) -> DataFrame:
         sent = what.select("cell", "slice", "row", "label", "v", "scores", "marks").mapInArrow(
-            _route(space, pivots, cells, negatives), "cell int, slice int, row long, label long, v binary, scores array<long>, marks array<long>")
+            _route(space, pivots, cells, negatives), "cell int, slice int, row long, label long, v binary, windows binary")
         return (sent.withColumn("block", _block(blocks)).groupBy("cell", "slice", "block")
                 .cogroup(copies.groupBy("cell", "slice", "block"))
                 .applyInArrow(_search(space, negatives), "row long, nth int, score long, id long"))

@@ -57,7 +57,7 @@ def test_equals_brute_force(spark):
 
 @pytest.mark.parametrize("scale", [1.0, 1e6])  # products beyond 2^53 are whole numbers, too
 def test_many_slices_levels_and_blocks(spark, monkeypatch, scale):
-    for name, value in (("SLICE_ROWS", 64), ("LEAST_CELLS", 5), ("PIVOT_BYTES", 300), ("FAN", 3), ("LEAF", 4), ("MARKS", 6), ("ROUND", 7)):
+    for name, value in (("SLICE_ROWS", 64), ("LEAST_CELLS", 5), ("PIVOT_BYTES", 300), ("FAN", 3), ("LEAF", 4), ("MARKS", 6), ("WAVE", 1), ("ROUND", 7)):
         monkeypatch.setattr(H, name, value)
     rows = groups(2, 500, 8, scale) + [(7000 + i, groups(3, 1, 8, scale)[0][1], i % 3) for i in range(200)]  # a group of copies over many slices
     assert got(H.hard_negatives(frame(spark, rows), anchors=4)) == brute(rows, 4)
