@@ -13,6 +13,7 @@ from skymetrics.llm import (
     embedding_dedup,
     exact_dedup,
     hard_negatives,
+    html_text,
     jaccard_join,
     license_scan,
     oracle,
@@ -72,6 +73,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -81,7 +86,9 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan, op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe, op12_resampling, op13_hard_negatives)}
+    return {f.__name__: f for f in (
+        op1_exact_dedup, op2_url_filter, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_quality, op7_license_scan,
+        op8_harmonic_packing, op9_embedding_dedup, op10_byte_bpe, op11_html_extraction, op12_resampling, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
