@@ -54,7 +54,7 @@ def register(name: str, sql: str | None = None):
 
 # Queries that read the landed CSV folder (``landed_folder``), whose one-time
 # landing the bench times as its own step.
-USES_LANDING = frozenset({"landed_csv", "landed_list", "landed_gaps", "landed_stream", "daily_summary_stream"})
+USES_LANDING = frozenset({"landed_csv", "landed_list", "landed_headers", "landed_gaps", "landed_stream", "daily_summary_stream"})
 
 
 def queries() -> dict[str, Query]:
@@ -451,6 +451,34 @@ def q_landed_csv(spark, sf):
     return csv_files.load_observations(spark, landed_folder(spark, sf))
 
 
+def headers_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture landed under three headers in one folder, by hour: the order of the
+    observations, another order, and without Pressure but with a column that is no observation's."""
+    def build() -> str:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-headers-{uuid.uuid4().hex}"
+        o = fixture.observations(spark, sf).withColumn("kind", F.coalesce(F.hour("Time") % 3, F.lit(0))).withColumn("Time", sinks.time_text())
+        swapped = ("Pressure", "Humidity", "Temperature", "Time", "WindDirection", "WeatherCode", "WindSpeed", "Precipitation")
+        fewer = ("Time", "Note", *[c for c in reversed(swapped) if c not in ("Pressure", "Time")])
+        rows = o.withColumn("Note", F.lit('a "note", quoted'))
+        for kind, columns in enumerate((csv_files.CSV_COLUMNS, swapped, fewer)):
+            (rows.filter(F.col("kind") == kind).select("Station", *columns)
+             .write.mode("append").partitionBy("Station").option("header", True).option("escape", '"').csv(path))
+        return path
+    return fixture._memo(spark, ("headers", sf), build)
+
+
+@register(
+    "landed_headers",
+    O.with_obs(
+        "SELECT Station, Time, Temperature, Humidity, Precipitation, WeatherCode, WindSpeed, WindDirection, "
+        "CASE WHEN hour(Time) % 3 = 2 THEN NULL ELSE Pressure END AS Pressure FROM raw_obs"
+    ),
+)
+def q_landed_headers(spark, sf):
+    """Files whose headers name the columns in other orders, lack one, or have one more."""
+    return csv_files.load_observations(spark, headers_folder(spark, sf))
+
+
 def landed_stream_table(spark: SparkSession, sf: str) -> str:
     """The landing folder ingested by the file-source stream (one
     ``availableNow`` run, checkpointed) into a Station/BatchId-partitioned
@@ -770,17 +798,8 @@ def q_display_values(spark, sf):
     return display.format_columns(fixture.observations(spark, sf).select("Station", "Time", *shown), shown)
 
 
-@register(
-    "landed_malformed",
-    O.with_obs(
-        "SELECT Station, CASE WHEN Pressure IS NULL THEN 'Pressure' WHEN WindDirection IS NULL THEN 'WeatherCode' "
-        "ELSE 'good' END AS Cells, count(*) AS Hours, "
-        "count(CASE WHEN Pressure IS NOT NULL AND WindDirection IS NOT NULL AND WeatherCode <> 0 THEN 1 END) AS Codes FROM obs GROUP BY 1, 2"
-    ),
-)
-def q_landed_malformed(spark, sf):
-    """S4 + F7: hours with an infinite pressure or a code that is none are rejected;
-    a code ``N/A`` is a missing one, its hour is read."""
+def malformed_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture landed with infinite pressures for missing ones, codes that are none, and ``N/A`` for a code 0."""
     def build() -> str:
         path = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-malformed-{uuid.uuid4().hex}"
         o = fixture.observations(spark, sf)
@@ -792,8 +811,41 @@ def q_landed_malformed(spark, sf):
         })
         text.select("Station", *csv_files.CSV_COLUMNS).write.partitionBy("Station").option("header", True).csv(path)
         return path
+    return fixture._memo(spark, ("malformed", sf), build)
+
 
-    good, rejects = csv_files.load_with_rejects(spark, fixture._memo(spark, ("malformed", sf), build))
+@register(
+    "daily_rejects_stream",
+    O.with_obs("SELECT Station, Date, count(*) AS Rejects FROM obs WHERE Pressure IS NULL OR WindDirection IS NULL GROUP BY Station, Date"),
+)
+def q_daily_rejects_stream(spark, sf):
+    """F7 in the stream of D1: station-days that lost rows, counted in the pass that sums their days up."""
+    from ..streaming import landing
+
+    def build() -> str:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-rejects-stream-{uuid.uuid4().hex}"
+        landing.start_daily_summary(spark, malformed_folder(spark, sf), f"{base}/table", f"{base}/checkpoint",
+                                    max_files_per_trigger=MALFORMED_STREAM_FILES).awaitTermination()
+        return f"{base}/table"
+
+    return landing.rejects_so_far(spark.read.parquet(fixture._memo(spark, ("rejects_stream", sf), build)))
+
+
+MALFORMED_STREAM_FILES = 20
+
+
+@register(
+    "landed_malformed",
+    O.with_obs(
+        "SELECT Station, CASE WHEN Pressure IS NULL THEN 'Pressure' WHEN WindDirection IS NULL THEN 'WeatherCode' "
+        "ELSE 'good' END AS Cells, count(*) AS Hours, "
+        "count(CASE WHEN Pressure IS NOT NULL AND WindDirection IS NOT NULL AND WeatherCode <> 0 THEN 1 END) AS Codes FROM obs GROUP BY 1, 2"
+    ),
+)
+def q_landed_malformed(spark, sf):
+    """S4 + F7: hours with an infinite pressure or a code that is none are rejected;
+    a code ``N/A`` is a missing one, its hour is read."""
+    good, rejects = csv_files.load_once(spark, malformed_folder(spark, sf))
     rejected = rejects.select(csv_files.station_of_file("SourceFile").alias("Station"),
                               F.concat_ws(",", "BadColumns").alias("Cells"), F.lit(None).cast("int").alias("WeatherCode"))
     every = good.select("Station", F.lit("good").alias("Cells"), "WeatherCode").unionByName(rejected)

@@ -30,25 +30,22 @@ REJECTS = "rejects"
 
 
 def process_landing(spark: SparkSession, landing_path: str, out_dir: str,
-                    fill_zero: bool = False, na_token: str = "NA", rejects: bool = False) -> dict[str, str]:
+                    fill_zero: bool = False, na_token: str = "NA", on_bad: str = "reject") -> dict[str, str]:
     """Run the whole dashboard over ``landing_path`` and write it to ``out_dir``.
 
     Returns the output path of each table: ``<out_dir>/<table>`` as Parquet
-    partitioned by Station, and ``<out_dir>/monthly_report`` with one
-    headered CSV per ``Station=`` folder.  ``fill_zero`` applies the
-    reference processors' zero-fill policy to the measures first.
-    ``rejects`` also writes the rows that failed validation to
-    ``<out_dir>/rejects``; that is a second scan of the landing folder (the
-    streaming ingest records rejects per micro-batch without one).
+    partitioned by Station, ``<out_dir>/monthly_report`` with one headered CSV
+    per ``Station=`` folder, and ``<out_dir>/rejects`` with the rows that failed
+    validation.  The landing folder is scanned once for all of them.
+    ``fill_zero`` applies the reference processors' zero-fill policy to the
+    measures first; ``on_bad`` is that of ``csv_files.validate``.
     """
-    rows, bad = csv_files.load_with_rejects(spark, landing_path, na_token)
+    rows, bad = csv_files.load_once(spark, landing_path, na_token, on_bad)
     obs = apply_null_policy(rows, fill_zero)
     agg = dashboard_aggregate(obs)
     out = out_dir.rstrip("/")
-    paths: dict[str, str] = {}
-    if rejects:
-        paths[REJECTS] = f"{out}/{REJECTS}"
-        bad.write.mode("overwrite").parquet(paths[REJECTS])
+    paths: dict[str, str] = {REJECTS: f"{out}/{REJECTS}"}
+    bad.write.mode("overwrite").parquet(paths[REJECTS])
     for name, table in {**D.tables(agg), **D.daily_tables(agg)}.items():
         paths[name] = f"{out}/{name}"
         sinks.write_parquet(table, paths[name], partition_by=("Station",))
@@ -58,7 +55,7 @@ def process_landing(spark: SparkSession, landing_path: str, out_dir: str,
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit scripts/process_landing.py <landing> <out> [--fill-zero]``:
+    """``spark-submit scripts/process_landing.py <landing> <out> [--fill-zero] [--on-bad null]``:
     the session (master, memory, ``spark.checkpoint.dir``) comes from the submit."""
     import argparse
 
@@ -67,10 +64,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("out")
     ap.add_argument("--fill-zero", action="store_true", help="zero-fill missing measures (reference policy)")
     ap.add_argument("--na-token", default="NA")
-    ap.add_argument("--rejects", action="store_true", help="also write rows that failed validation (second scan)")
+    ap.add_argument("--on-bad", choices=("reject", "null"), default="reject", help="what happens to rows with bad cells")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("skymetrics-process-landing").getOrCreate()
-    paths = process_landing(spark, args.landing, args.out, args.fill_zero, args.na_token, args.rejects)
+    paths = process_landing(spark, args.landing, args.out, args.fill_zero, args.na_token, args.on_bad)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 

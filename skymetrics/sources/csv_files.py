@@ -1,10 +1,12 @@
 """Landed daily CSV files -> observations (S1-S4, F7, S10 path parsing).
 
 The files are read in one scan (never one reader per file chained by unions)
-with every column as text.  A row is rejected when any non-empty cell fails
-``try_cast`` to its target type; accepted rows are cast.  This gives the same
-rows whatever columns a later query selects, unlike a DROPMALFORMED reader
-whose result depends on column pruning, and keeps the rejects as a table.
+with every column as text, bound by the names in each file's own header: a
+file's first line and its other lines stay in one task, so no line is moved to
+meet its header.  A row is rejected when any non-empty cell fails ``try_cast`` to
+its target type; accepted rows are cast.  This gives the same rows whatever
+columns a later query selects, unlike a DROPMALFORMED reader whose result
+depends on column pruning, and keeps the rejects as a table.
 """
 
 from __future__ import annotations
@@ -21,7 +23,12 @@ from ..functions.calendar import parse_time
 
 # a line whose number of cells is not that of the header's is kept here and rejected
 CORRUPT = "_corrupt_record"
-TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in (*CSV_COLUMNS, CORRUPT)])
+# true for the lines of a file whose header names no Time
+NO_TIME_COLUMN = "_no_time_column"
+
+# A file up to this size is read whole by one task; larger ones are split.  The
+# names of larger files, one per so many bytes of input, reach the driver.
+WHOLE_FILE_BYTES = 16 << 20
 
 # Cell texts that mean "no value", those that pandas reads so by default.
 MISSING_TOKENS = (
@@ -55,31 +62,114 @@ def check_input(spark: SparkSession, paths: list[str]) -> None:
         raise NoInputFiles(f"no .csv file under {paths}")
 
 
-def read_text(spark: SparkSession, path: str, na_token: str = "NA", recursive: bool = True) -> DataFrame:
-    """All CSVs under ``path`` (a directory, glob or list) as text
-    columns plus ``SourceFile``.  Raises ``NoInputFiles`` when nothing matches."""
+def cells(line: Column) -> Column:
+    """The cells of a CSV line, quotes taken off."""
+    def unquoted(cell: Column) -> Column:
+        cell = F.trim(cell)
+        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        quoted = (F.length(cell) >= 2) & cell.startswith('"') & cell.endswith('"')
+        return F.when(quoted, F.replace(inner, F.lit(_COMMA), F.lit(","))).otherwise(F.replace(cell, F.lit(_COMMA), F.lit(",")))
+
+    # every second piece between quotes is inside them: its commas are hidden while the line is cut
+    pieces = F.transform(F.split(line, '"', -1), lambda x, i: F.when(i % 2 == 1, F.replace(x, F.lit(","), F.lit(_COMMA))).otherwise(x))
+    plain = F.transform(F.split(line, ",", -1), lambda x: F.trim(x))
+    return F.when(line.contains('"'), F.transform(F.split(F.array_join(pieces, '"'), ",", -1), unquoted)).otherwise(plain)
+
+
+# stands for a comma inside quotes while a line is cut
+_COMMA = "\u0001"
+_LINE_BREAK = "\r\n|\r|\n"
+
+
+def file_lines(files: DataFrame) -> DataFrame:
+    """(SourceFile, Names, Cells, Line) of every line below the header of whole files (SourceFile, value).
+
+    Names are the header's cells.  Blank lines are left out, and blank ones and a
+    byte order mark before the header; a file without lines gives one row
+    without a Line.  A cell cannot hold a line break.
+    """
+    text = files.select("SourceFile", F.regexp_replace("value", r"^[\s\x{FEFF}]+", "").alias("_text"))
+    lines = F.split("_text", _LINE_BREAK, -1)
+    below = F.slice(lines, 2, F.size(lines) - 1)
+    split = text.select("SourceFile", cells(F.regexp_extract("_text", r"^[^\r\n]*", 0)).alias("Names"), F.explode_outer(below).alias("Line"))
+    return _with_cells(split.filter(F.col("Line").isNull() | (F.trim("Line") != "")))
+
+
+def _with_cells(lines: DataFrame) -> DataFrame:
+    # the cells come out of a generator: a filter on them runs on the cut line,
+    # where Catalyst would push it below a projection and cut the line again for every cell
+    return lines.select("SourceFile", "Names", F.inline(F.array(F.struct(cells(F.col("Line")).alias("Cells"), F.col("Line")))))
+
+
+def _reader(source, recursive: bool):
+    return source.options(recursiveFileLookup=True, pathGlobFilter="*.csv") if recursive else source
+
+
+def _large_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file_lines`` of large files: one pass finds their headers, then one scan for each distinct header."""
+    by_header: dict[str, list[str]] = {}
+    first = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("SourceFile"), F.col("_metadata.file_block_start").alias("Start"),
+        F.monotonically_increasing_id().alias("Pos"), "value")
+    headers = first.filter((F.col("Start") == 0) & (F.trim("value") != "")).groupBy("SourceFile").agg(F.min_by("value", "Pos").alias("Header"))
+    for r in headers.select(F.url_decode("SourceFile").alias("path"), "Header").collect():
+        by_header.setdefault(r.Header, []).append(r.path)
+    scans = []
+    for header, files in sorted(by_header.items()):
+        names = cells(F.regexp_replace(F.lit(header), r"^[\s\x{FEFF}]+", ""))
+        lines = spark.read.text(files).filter(
+            (F.trim("value") != "") & ~((F.col("_metadata.file_block_start") == 0) & (F.col("value") == F.lit(header))))
+        scans.append(_with_cells(lines.select(F.col("_metadata.file_path").alias("SourceFile"), names.alias("Names"), F.col("value").alias("Line"))))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
+    """``file_lines`` of all CSVs under ``path`` (a directory, glob or list).
+
+    One listing tells whether there are files at all (``NoInputFiles`` if not) and
+    which are larger than WHOLE_FILE_BYTES; those are read by ``_large_files``.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    reader = (
-        spark.read.schema(TEXT_SCHEMA)
-        .option("header", True)
-        .option("nullValue", na_token)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     if not paths:
         raise NoInputFiles("no input paths given")
-    # one listing: the reader's own (a missing path fails here); the file-level
-    # check lists again only when no row came back, to tell "no CSV file"
-    # from files that hold only a header
     try:
-        text = reader.csv(paths)
+        files = _reader(spark.read.format("binaryFile"), recursive).load(paths)
+        large = F.collect_list(F.when(F.col("length") > WHOLE_FILE_BYTES, F.col("path")))
+        n, large = files.agg(F.count(F.lit(1)), large).first()
     except AnalysisException as e:
         raise NoInputFiles(f"input path not found: {paths}") from e
-    if text.isEmpty():
-        check_input(spark, paths)
-    return text.withColumn("SourceFile", F.col("_metadata.file_path"))
+    if not n:
+        raise NoInputFiles(f"no .csv file under {paths}")
+    small = _reader(spark.read, recursive).text(paths, wholetext=True)
+    if large:
+        small = small.filter(F.col("_metadata.file_size") <= WHOLE_FILE_BYTES)
+    lines = file_lines(small.select(F.col("_metadata.file_path").alias("SourceFile"), "value"))
+    return lines.unionByName(_large_files(spark, large)) if large else lines
+
+
+def _cell(name: str, na_token: str) -> Column:
+    """A line's cell under ``name``; NULL if it is empty or the file lacks the column."""
+    text = F.get("Cells", F.array_position("Names", name).cast("int") - 1)
+    return F.when((text != na_token) & (text != ""), text).alias(name)
+
+
+def _corrupt() -> Column:
+    return F.when(F.size("Cells") != F.size("Names"), F.col("Line")).alias(CORRUPT)
+
+
+def bind(lines: DataFrame, na_token: str = "NA") -> DataFrame:
+    """``file_lines`` as the text columns of observations plus ``SourceFile``."""
+    return lines.filter(F.col("Line").isNotNull()).select(
+        *[_cell(c, na_token) for c in CSV_COLUMNS], _corrupt(), (~F.array_contains("Names", "Time")).alias(NO_TIME_COLUMN), "SourceFile")
+
+
+def read_text(spark: SparkSession, path: str | list[str], na_token: str = "NA", recursive: bool = True) -> DataFrame:
+    """All CSVs under ``path`` (a directory, glob or list) as text
+    columns plus ``SourceFile``.  Raises ``NoInputFiles`` when nothing matches.
+
+    Columns are bound by each file's header, in whatever order it names them:
+    one that a file lacks is NULL, one that is no observation's is left out."""
+    return bind(read_lines(spark, path, recursive), na_token)
 
 
 def _text(name: str) -> Column:
@@ -109,30 +199,79 @@ def _cast(name: str) -> Column:
     return _parsed(name).alias(name)
 
 
+def _findings(text: DataFrame, columns: tuple[str, ...]) -> tuple[dict[str, Column], Column]:
+    """(what can be wrong with a row, whether its line is whole)."""
+    bad = {c: _bad(c) for c in columns}
+    whole = F.lit(True)
+    if CORRUPT in text.columns:
+        bad["cell count"] = F.col(CORRUPT).isNotNull()
+        whole = F.col(CORRUPT).isNull()
+    if NO_TIME_COLUMN in text.columns:
+        bad["header"] = F.col(NO_TIME_COLUMN)
+        whole &= ~F.col(NO_TIME_COLUMN)
+    return bad, whole
+
+
+def _check_on_bad(on_bad: str) -> None:
+    if on_bad not in ("reject", "null"):
+        raise ValueError(f"on_bad is 'reject' or 'null', not {on_bad!r}")
+
+
 def validate(text: DataFrame, on_bad: str = "reject", columns: tuple[str, ...] = CSV_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """(typed rows, rejected text rows with ``BadColumns``).
 
     Accepted rows pass a plain boolean test (no cell is bad), which stays in
     whole-stage generated code; the list of bad column names is built for
     rejected rows only.  A line with too few or too many cells is rejected, too
-    (``cell count``).  With ``on_bad="null"`` a row with bad cells is kept, those
+    (``cell count``), and every line of a file whose header names no Time
+    (``header``).  With ``on_bad="null"`` a row with bad cells is kept, those
     cells NULL, and listed among the rejects as well.
+
+    Each of the two is a plan of its own; ``checked`` gives both in one.
     """
-    if on_bad not in ("reject", "null"):
-        raise ValueError(f"on_bad is 'reject' or 'null', not {on_bad!r}")
-    bad = {c: _bad(c) for c in columns}
-    whole = F.lit(True)
-    if CORRUPT in text.columns:
-        bad["cell count"] = F.col(CORRUPT).isNotNull()
-        whole = F.col(CORRUPT).isNull()
+    _check_on_bad(on_bad)
+    bad, whole = _findings(text, columns)
     any_bad = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
-    extra = [c for c in text.columns if c not in (*columns, CORRUPT)]
+    extra = [c for c in text.columns if c not in (*columns, CORRUPT, NO_TIME_COLUMN)]
     good = text.filter(whole if on_bad == "null" else ~any_bad).select(*extra, *[_cast(c) for c in columns])
-    names = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
-    rejects = text.filter(any_bad).withColumn("BadColumns", F.filter(names, lambda x: x.isNotNull()))
+    rejects = text.filter(any_bad).withColumn("BadColumns", _names(bad)).drop(NO_TIME_COLUMN)
     return good, rejects
 
 
+def _names(bad: dict[str, Column]) -> Column:
+    return F.filter(F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()]), lambda x: x.isNotNull())
+
+
+# what ``checked`` adds to typed rows
+BAD_COLUMNS, REJECTED, KEPT = "BadColumns", "Rejected", "Kept"
+
+
+def checked(text: DataFrame, on_bad: str = "reject", columns: tuple[str, ...] = CSV_COLUMNS) -> DataFrame:
+    """F7 in one pass: every row typed, with ``BadColumns`` and its text as ``Rejected`` where
+    something is wrong with it, and whether it is ``Kept``; bad cells are NULL.
+
+    Written once, it gives rows (``accepted``) and rejects (``rejected``) without
+    reading or parsing the files a second time.
+    """
+    _check_on_bad(on_bad)
+    bad, whole = _findings(text, columns)
+    any_bad = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    extra = [c for c in text.columns if c not in (*columns, CORRUPT, NO_TIME_COLUMN)]
+    shown = F.struct(*[F.col(c) for c in (*columns, CORRUPT) if c in text.columns])
+    return text.select(*extra, *[_cast(c) for c in columns], F.when(any_bad, _names(bad)).alias(BAD_COLUMNS),
+                       F.when(any_bad, shown).alias(REJECTED), (whole if on_bad == "null" else ~any_bad).alias(KEPT))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The typed rows of ``checked`` that are kept."""
+    return rows.filter(KEPT).drop(BAD_COLUMNS, REJECTED, KEPT)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """The rejects of ``checked``: SourceFile, the row's text and BadColumns."""
+    return rows.filter(F.col(BAD_COLUMNS).isNotNull()).select("SourceFile", f"{REJECTED}.*", BAD_COLUMNS)
+
+
 def station_from_path(path: Column | str = "SourceFile") -> Column:
     """The station name encoded in the landing directory (file paths
     arrive URI-encoded, so ``Gran%20Canaria`` reads back as ``Gran Canaria``)."""
@@ -166,19 +305,35 @@ def date_of_file(path: Column | str = "SourceFile") -> Column:
     return F.regexp_extract(path, FILE_DATE, 1).try_cast("date")
 
 
+def observations(rows: DataFrame) -> DataFrame:
+    """Validated rows -> observations with Station from the file's folder."""
+    return rows.select(station_of_file("SourceFile").alias("Station"), *CSV_COLUMNS)
+
+
 def load_with_rejects(spark: SparkSession, path: str | list[str], na_token: str = "NA",
                       on_bad: str = "reject") -> tuple[DataFrame, DataFrame]:
     """S1 + S2 + F7 + S10: (typed observations, rejected text rows with
     ``SourceFile`` and ``BadColumns``); Station comes from a ``Station=``
     partition directory or else from the landing directory name.  ``on_bad`` is
-    that of ``validate``."""
+    that of ``validate``.  Each of the two scans the files when it is used;
+    ``load_once`` scans them once for both."""
     good, rejects = validate(read_text(spark, path, na_token), on_bad)
-    return good.select(station_of_file("SourceFile").alias("Station"), *[c for c in CSV_COLUMNS]), rejects
+    return observations(good), rejects
 
 
-def load_observations(spark: SparkSession, path: str | list[str], na_token: str = "NA") -> DataFrame:
-    """S1 + F7 + S10: typed observations (rejected rows left out)."""
-    return load_with_rejects(spark, path, na_token)[0]
+def load_once(spark: SparkSession, path: str | list[str], na_token: str = "NA",
+              on_bad: str = "reject") -> tuple[DataFrame, DataFrame]:
+    """``load_with_rejects`` in one scan: the checked rows are written to the shared
+    checkpoint folder, and observations and rejects read from there."""
+    from .sinks import persist_table
+
+    rows = persist_table(checked(read_text(spark, path, na_token), on_bad), "checked")
+    return observations(accepted(rows)), rejected(rows)
+
+
+def load_observations(spark: SparkSession, path: str | list[str], na_token: str = "NA", on_bad: str = "reject") -> DataFrame:
+    """S1 + F7 + S10: typed observations (rejected rows left out, or with ``on_bad="null"`` their bad cells NULL)."""
+    return load_with_rejects(spark, path, na_token, on_bad)[0]
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
@@ -198,73 +353,26 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
                         date_of_file("SourceFile").alias("Date"))
 
 
-def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(SourceFile, Header): the first line of every CSV under ``path``.
-
-    One distributed pass: a file's first line is the earliest line
-    (``monotonically_increasing_id`` keeps read order inside a task) of the
-    split that starts at byte 0; the per-file minimum is aggregated partially
-    in each task, so one row per file is shuffled.
-    """
-    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.csv").select(
-        F.col("_metadata.file_path").alias("SourceFile"),
-        F.col("_metadata.file_block_start").alias("Start"),
-        F.monotonically_increasing_id().alias("Pos"),
-        F.col("value"),
-    )
-    return lines.filter(F.col("Start") == 0).groupBy("SourceFile").agg(F.min_by("value", "Pos").alias("Header"))
-
-
-# a comma outside quotes: an even number of quotes follows it
-CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def cells(line: Column) -> Column:
-    """The cells of a CSV line, quotes taken off."""
-    def unquoted(cell: Column) -> Column:
-        cell = F.trim(cell)
-        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
-        return F.when(cell.rlike('(?s)^".*"$'), inner).otherwise(cell)
-
-    return F.transform(F.split(line, CELL_BREAK, -1), unquoted)
-
-
 def read_by_layout_with_rejects(spark: SparkSession, path: str | list[str], na_token: str = "NA",
                                 on_bad: str = "null") -> tuple[DataFrame, DataFrame]:
     """S3 + U2 at scale: (rows, rejects) of CSV files whose columns differ, bound
     by the names in each file's header and stacked.
 
-    One pass finds the headers, which are written to the shared checkpoint
-    folder; only the column names reach the driver.  One more scan, however many
-    layouts there are, reads the lines, joins each to its file's header and
-    picks the cells by name: a column that a file lacks is NULL, known columns
-    have their observation types, others stay text.  ``on_bad`` is that of
-    ``validate``; a line whose cells are not as many as its header's is always
-    rejected.  A cell cannot hold a line break.
+    The files are read once, however many layouts there are: lines are cut next
+    to their header, in the same task, and written to the shared checkpoint
+    folder with its names.  What names there are is then known from that table
+    (they reach the driver), and cells are picked by name: a column that a file
+    lacks is NULL, known columns have their observation types, others stay text.
+    ``on_bad`` is that of ``validate``; a line whose cells are not as many as its
+    header's is always rejected.  A cell cannot hold a line break.
     """
     from .sinks import persist_table
 
-    headers = persist_table(file_headers(spark, path).withColumn("Names", cells(F.col("Header"))), "layouts")
-    found = {r.name for r in headers.select(F.explode("Names").alias("name")).distinct().collect()}
-    if not found:
-        raise NoInputFiles(f"no .csv file under {path}")
+    lines = persist_table(read_lines(spark, path), "layouts")
+    found = {r.name for r in lines.select("Names").distinct().select(F.explode("Names").alias("name")).distinct().collect()}
     known = [c for c in CSV_COLUMNS if c in found]
     others = sorted(found - set(known))
-    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.csv").select(
-        F.col("_metadata.file_path").alias("SourceFile"), F.col("_metadata.file_block_start").alias("Start"), "value")
-    split = (
-        lines.join(headers, "SourceFile")
-        .filter((F.trim("value") != "") & ~((F.col("Start") == 0) & (F.col("value") == F.col("Header"))))
-        .select("SourceFile", "value", "Names", cells(F.col("value")).alias("Cells"))
-    )
-
-    def cell(name: str) -> Column:
-        text = F.get("Cells", F.array_position("Names", name).cast("int") - 1)
-        return F.when((text != na_token) & (text != ""), text).alias(name)
-
-    text = split.select(
-        "SourceFile", *[cell(c) for c in (*known, *others)],
-        F.when(F.size("Cells") != F.size("Names"), F.col("value")).alias(CORRUPT))
+    text = lines.filter(F.col("Line").isNotNull()).select("SourceFile", *[_cell(c, na_token) for c in (*known, *others)], _corrupt())
     return validate(text, on_bad, tuple(known))
 
 

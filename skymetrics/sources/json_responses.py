@@ -1,8 +1,8 @@
 """Service JSON responses <-> observation rows.
 
 A response carries its hourly block as parallel arrays (``hourly.time[i]``
-pairs with every variable's ``[i]``).  ``from_json`` parses each document
-inside the scan task, ``arrays_zip`` aligns the arrays by index and ``inline``
+pairs with every variable's ``[i]``).  Each document is parsed once inside the
+scan task, ``arrays_zip`` aligns the arrays by index and ``inline``
 turns them into rows: no shuffle, no Python, one row per document in and one
 row per hour out.  Error objects and documents without an hourly block are
 split into a reject table instead of being printed and dropped.
@@ -90,18 +90,21 @@ def parse_multi(docs: DataFrame, json_col: str = "json") -> DataFrame:
     its 0-based ``LocationId`` (position in the list); a single response is
     location 0.
 
-    The list is taken apart as text and each element parsed on its own, so that
-    one that is malformed is rejected alone.  A list that does not parse is one
+    The text is parsed once, as a VARIANT; the list is taken apart and every
+    element read as a response in that form, so that one that is no response is
+    rejected alone.  A document that is not JSON (or beyond a VARIANT's 128 MB) is one
     malformed response without a LocationId.
     """
     rest = [c for c in docs.columns if c != json_col]
     text = F.col(json_col)
-    elements = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>")).otherwise(F.array(text))
-    # parsed once, out of a generator (see parse_responses)
-    listed = docs.select(*rest, F.inline(F.array(F.struct(F.coalesce(elements, F.array(F.lit(None).cast("string"))).alias("_listed"), elements.isNull().alias("_malformed")))))
-    exploded = listed.select(*rest, "_malformed", F.posexplode("_listed").alias("LocationId", "_element"))
-    parsed = exploded.select(*rest, F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"), "_element")
-    return parse_responses(parsed, "_element")
+    # out of a generator, as in parse_responses
+    whole = docs.select(*rest, F.inline(F.array(F.struct(F.try_parse_json(text).alias("_variant"), text.rlike(r"^\s*\[").alias("_list")))))
+    nothing = F.lit(None).cast("variant")
+    elements = F.when(F.col("_list"), F.try_variant_get("_variant", "$", "array<variant>")).otherwise(F.array("_variant"))
+    listed = whole.select(*rest, F.col("_variant").isNull().alias("_malformed"),
+                          F.posexplode(F.coalesce(elements, F.array(nothing))).alias("LocationId", "_element"))
+    response = F.struct(F.try_variant_get("_element", "$", PARSED.simpleString()).alias("response"))
+    return listed.select(*rest, F.when(~F.col("_malformed"), F.col("LocationId")).alias("LocationId"), F.inline(F.array(response)))
 
 
 def reject_reason(response: Column) -> Column:

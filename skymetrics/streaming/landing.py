@@ -17,13 +17,12 @@ validated exactly like the batch reader (``sources.csv_files.validate``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.stats import rounded, total
-from ..sources.csv_files import TEXT_SCHEMA, station_of_file, validate
-from ..schema import CSV_COLUMNS
+from ..sources import csv_files as C
 
 
 # files of a micro-batch, unless the caller asks for other batches
@@ -32,29 +31,21 @@ FILES_PER_BATCH = 10_000
 
 def landed_text_stream(spark: SparkSession, path: str, na_token: str = "NA",
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """New landed CSV files under ``path`` as text columns plus ``SourceFile``."""
-    reader = (
-        spark.readStream.schema(TEXT_SCHEMA)
-        .option("header", True)
-        .option("nullValue", na_token)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-    )
+    """New landed CSV files under ``path`` as text columns plus ``SourceFile``, bound by each file's header.
+
+    A file is taken whole by one task (a station-day is a few kilobytes), so its size is bounded by a text's, 2 GB.
+    """
+    reader = spark.readStream.options(recursiveFileLookup=True, pathGlobFilter="*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path).withColumn("SourceFile", F.col("_metadata.file_path"))
-
-
-def typed_rows(good: DataFrame) -> DataFrame:
-    """Validated rows -> observations with Station from the file's folder."""
-    return good.select(station_of_file("SourceFile").alias("Station"), *CSV_COLUMNS)
+    return C.bind(C.file_lines(reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("SourceFile"), "value")), na_token)
 
 
-def landed_stream(spark: SparkSession, path: str, na_token: str = "NA",
-                  max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+def landed_stream(spark: SparkSession, path: str, na_token: str = "NA", max_files_per_trigger: int | None = None,
+                  on_bad: str = "reject") -> tuple[DataFrame, DataFrame]:
     """(observations, rejects) streaming DataFrames over ``path``."""
-    good, rejects = validate(landed_text_stream(spark, path, na_token, max_files_per_trigger))
-    return typed_rows(good), rejects
+    good, rejects = C.validate(landed_text_stream(spark, path, na_token, max_files_per_trigger), on_bad)
+    return C.observations(good), rejects
 
 
 def batch_writer(table_path: str, partition_by: tuple[str, ...] = ("Station",),
@@ -81,60 +72,84 @@ def _trigger(writer, available_now: bool):
 
 
 def start_ingest(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
-                 rejects_path: str | None = None, na_token: str = "NA",
-                 max_files_per_trigger: int = FILES_PER_BATCH, available_now: bool = True) -> StreamingQuery:
+                 rejects_path: str | None = None, na_token: str = "NA", max_files_per_trigger: int = FILES_PER_BATCH,
+                 available_now: bool = True, on_bad: str = "reject") -> StreamingQuery:
     """One stream over the landing folder feeding both outputs.
 
     Typed rows of each micro-batch go to ``table_path`` (Station/BatchId
-    partitions) and its rejects to ``rejects_path`` (BatchId partitions), which
-    reads the batch's files again rather than holding them on the executors.
-    A backlog is taken in batches of ``max_files_per_trigger`` files.
+    partitions) and its rejects to ``rejects_path`` (BatchId partitions).  With
+    both, a batch's files are read and parsed once: the checked rows are written
+    below ``checkpoint_location``, where the next batch replaces them, and both
+    outputs come from there.  A backlog is taken in batches of
+    ``max_files_per_trigger`` files; ``on_bad`` is that of ``csv_files.validate``.
     """
     text = landed_text_stream(spark, landing_path, na_token, max_files_per_trigger)
     write_rows = batch_writer(table_path, sort_by=("Time",))
     write_rejects = batch_writer(rejects_path, partition_by=()) if rejects_path else None
+    once = f"{checkpoint_location.rstrip('/')}/checked"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        good, rejects = validate(batch)
-        write_rows(typed_rows(good), batch_id)
+        rows = C.checked(batch, on_bad)
         if write_rejects is not None:
-            write_rejects(rejects, batch_id)
+            rows.write.mode("overwrite").parquet(once)
+            rows = batch.sparkSession.read.schema(rows.schema).parquet(once)
+            write_rejects(C.rejected(rows), batch_id)
+        write_rows(C.observations(C.accepted(rows)), batch_id)
 
     w = text.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     return _trigger(w, available_now).start()
 
 
 def daily_parts(rows: DataFrame) -> DataFrame:
-    """Per (Station, Date) what daily statistics can be added up from."""
-    return rows.groupBy("Station", F.to_date("Time").alias("Date")).agg(
-        F.max("Temperature").alias("MaxTemperature"),
-        F.sum("Temperature").alias("SumTemperature"),
-        F.count("Temperature").alias("Temperatures"),
-        F.min("Temperature").alias("MinTemperature"),
-        F.sum("Precipitation").alias("SumPrecipitation"),
-        F.count_if(F.col("Precipitation") > 0).alias("PrecipitationHours"),
-        F.max("WindSpeed").alias("MaxWindSpeed"),
+    """Per (Station, Date) what daily statistics can be added up from; ``rows`` as ``csv_files.checked`` gives them.
+
+    A reject counts on the day of its Time, or without one on the day its file is named for.
+    """
+    kept = F.col(C.KEPT)
+
+    def of_kept(name: str) -> Column:
+        return F.when(kept, F.col(name))
+
+    rows = rows.withColumn("Station", C.station_of_file("SourceFile"))
+    date = F.when(kept, F.to_date("Time")).otherwise(F.coalesce(F.to_date("Time"), C.date_of_file("SourceFile")))
+    return rows.groupBy("Station", date.alias("Date")).agg(
+        F.max(of_kept("Temperature")).alias("MaxTemperature"),
+        F.sum(of_kept("Temperature")).alias("SumTemperature"),
+        F.count(of_kept("Temperature")).alias("Temperatures"),
+        F.min(of_kept("Temperature")).alias("MinTemperature"),
+        F.sum(of_kept("Precipitation")).alias("SumPrecipitation"),
+        F.count_if(of_kept("Precipitation") > 0).alias("PrecipitationHours"),
+        F.max(of_kept("WindSpeed")).alias("MaxWindSpeed"),
+        F.count_if(kept).alias("Rows"),
+        F.count(C.BAD_COLUMNS).alias("Rejects"),
     )
 
 
 def start_daily_summary(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
                         na_token: str = "NA", max_files_per_trigger: int = FILES_PER_BATCH,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, on_bad: str = "reject") -> StreamingQuery:
     """D1 kept up to date: each micro-batch adds its ``daily_parts`` to
     ``table_path`` under its BatchId.
 
     No watermark: a row that lands late, in whatever batch, counts in
-    ``daily_summary_so_far``, and a replayed batch replaces its parts.
+    ``daily_summary_so_far``, and a replayed batch replaces its parts.  The rows
+    that did not pass validation are counted in the same pass
+    (``rejects_so_far``).
     """
-    rows, _ = landed_stream(spark, landing_path, na_token, max_files_per_trigger)
+    text = landed_text_stream(spark, landing_path, na_token, max_files_per_trigger)
     write = batch_writer(table_path, partition_by=())
-    w = rows.writeStream.foreachBatch(lambda batch, batch_id: write(daily_parts(batch), batch_id))
+    w = text.writeStream.foreachBatch(lambda batch, batch_id: write(daily_parts(C.checked(batch, on_bad)), batch_id))
     return _trigger(w.option("checkpointLocation", checkpoint_location), available_now).start()
 
 
+def rejects_so_far(parts: DataFrame) -> DataFrame:
+    """(Station, Date, Rejects) of the station-days that lost rows, from the table of ``start_daily_summary``."""
+    return parts.groupBy("Station", "Date").agg(F.sum("Rejects").alias("Rejects")).filter("Rejects > 0")
+
+
 def daily_summary_so_far(parts: DataFrame) -> DataFrame:
     """D1 from the table of ``start_daily_summary``: all days landed so far, open ones too."""
-    return parts.groupBy("Station", "Date").agg(
+    return parts.filter("Rows > 0").groupBy("Station", "Date").agg(
         F.max("MaxTemperature").alias("MaxTemperature"),
         rounded(F.try_divide(F.sum("SumTemperature"), F.sum("Temperatures"))).alias("AvgTemperature"),
         F.min("MinTemperature").alias("MinTemperature"),

@@ -162,15 +162,15 @@ def test_read_by_layout_stacks_files_by_name(spark, scratch):
         _land(scratch, "A", 1, 2, d, [f"{d}T00:00,{t},80"], header="Time,Temperature,Humidity")
     for d, t in (("2024-01-03", "3.5"), ("2024-01-04", "bad")):
         _land(scratch, "B", 1, 2, d, [f"{d}T00:00,{t},1001", f"{d}T01:00,4.5,1002"], header="Time,Temperature,Pressure")
-    headers = csv_files.file_headers(spark, scratch)
-    assert sorted(r.Header for r in headers.collect()) == ["Time,Temperature,Humidity"] * 2 + ["Time,Temperature,Pressure"] * 2
+    headers = csv_files.read_lines(spark, scratch).select("SourceFile", "Names").distinct()
+    assert sorted(r.Names for r in headers.collect()) == [["Time", "Temperature", "Humidity"]] * 2 + [["Time", "Temperature", "Pressure"]] * 2
     df = csv_files.read_by_layout(spark, scratch)
     assert set(df.columns) == {"SourceFile", "Time", "Temperature", "Humidity", "Pressure"}
     got = sorted((r.Time.day, r.Time.hour, r.Temperature, r.Humidity, r.Pressure) for r in df.collect())
     assert got == [(1, 0, 1.5, 80.0, None), (2, 0, 2.5, 80.0, None), (3, 0, 3.5, None, 1001.0),
                    (3, 1, 4.5, None, 1002.0), (4, 0, None, None, 1001.0), (4, 1, 4.5, None, 1002.0)]
     plan = csv_files.read_by_layout(spark, scratch)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan text") == 1  # whatever the number of layouts
+    assert "FileScan text" not in plan and "Exchange" not in plan  # lines are read once, cut next to their header
 
 
 def test_read_by_layout_quotes_rejects_and_many_layouts(spark, scratch):
@@ -206,3 +206,34 @@ def test_malformed_rows_and_missing_value_tokens(spark, scratch):
     assert (row.Temperature, row.Humidity, row.WeatherCode, row.WindSpeed, row.Pressure) == (10.5, None, None, None, 1018.2)
     assert sorted(r.BadColumns for r in rejects.collect()) == [
         ["Temperature"], ["WeatherCode"], ["WeatherCode"], ["cell count"], ["cell count"]]
+
+
+@pytest.mark.parametrize("limit", [csv_files.WHOLE_FILE_BYTES, 10])  # files taken whole, or split
+def test_columns_are_bound_by_each_file_s_header(spark, scratch, monkeypatch, limit):
+    monkeypatch.setattr(csv_files, "WHOLE_FILE_BYTES", limit)
+    _land(scratch, "Tenerife", 28.2916, -16.6291, "2024-01-01", ["2024-01-01T00:00,10.5,80,0.2,61,5.1,350,1018.2"])
+    _land(scratch, "Tenerife", 28.2916, -16.6291, "2024-01-02", ["2024-01-02T00:00,80,10.5,x", "2024-01-02T01:00,81,11.5"],
+          header="Time,Humidity,Temperature,Note")
+    _land(scratch, "Gran Canaria", 28.0, -15.6, "2024-01-03", ['1001.5,"2024-01-03T00:00"', "", "bad,2024-01-03T01:00"], header='\ufeff"Pressure", Time ')
+    _land(scratch, "Gran Canaria", 28.0, -15.6, "2024-01-04", ["2024-01-04T00:00,1"], header="When,Temperature")
+    _land(scratch, "Gran Canaria", 28.0, -15.6, "2024-01-05", [])
+    rows_, rejects = csv_files.load_with_rejects(spark, scratch)
+    got = sorted((r.Time.day, r.Station, r.Temperature, r.Humidity, r.Pressure, r.WeatherCode) for r in rows_.collect())
+    assert got == [(1, "Tenerife", 10.5, 80.0, 1018.2, 61), (2, "Tenerife", 10.5, 80.0, None, None), (3, "Gran Canaria", None, None, 1001.5, None)]
+    assert sorted(r.BadColumns for r in rejects.collect()) == [["Pressure"], ["cell count"], ["header"]]
+    kept = csv_files.load_observations(spark, scratch, on_bad="null")
+    assert sorted((r.Time.day, r.Time.hour, r.Pressure) for r in kept.collect()) == [(1, 0, 1018.2), (2, 0, None), (3, 0, 1001.5), (3, 1, None)]
+    once, bad = csv_files.load_once(spark, scratch)
+    assert rows(once) == rows(rows_) and sorted(r.BadColumns for r in bad.collect()) == [["Pressure"], ["cell count"], ["header"]]
+    assert {r.SourceFile for r in bad.collect()} == {r.SourceFile for r in rejects.collect()}
+    layout = csv_files.read_by_layout(spark, scratch)
+    assert {"Time", "Note", "When", "Pressure"} <= set(layout.columns) and layout.count() == 5
+
+
+def test_cells_of_a_line(spark):
+    lines = {"a,b,c": ["a", "b", "c"], "": [""], ",,": ["", "", ""], ' a ,"b, ""c""", "d" ': ["a", 'b, "c"', "d"], '"": [""]'[:2]: [""],
+             '"a,b"': ["a,b"], 'it\'s 5" wide,x': None, '"never closed,x': None, "x" * 100_000 + "," + '"y,z",' * 20_000: None}
+    df = spark.createDataFrame([(k,) for k in lines], "Line string").select("Line", csv_files.cells(F.col("Line")).alias("c"))
+    got = {r.Line: r.c for r in df.collect()}
+    assert all(got[k] == v for k, v in lines.items() if v is not None)
+    assert len(got["x" * 100_000 + "," + '"y,z",' * 20_000]) == 20_002

@@ -20,7 +20,8 @@ def test_process_landing_writes_every_table(spark, scratch):
     out = os.path.join(scratch, "out")
     paths = job.process_landing(spark, landing, out)
     agg = D.aggregate(with_calendar(obs))
-    assert set(paths) == set(D.tables(agg)) | set(D.daily_tables(agg)) | {job.REPORT}
+    assert set(paths) == set(D.tables(agg)) | set(D.daily_tables(agg)) | {job.REPORT, job.REJECTS}
+    assert spark.read.parquet(paths[job.REJECTS]).count() == 0
 
     # the landed rows carry minute precision; the job's tables equal the direct operators on them
     landed = with_calendar(obs.withColumn("Time", F.date_trunc("minute", "Time").cast("timestamp_ntz")))
@@ -56,7 +57,7 @@ def test_job_command_line(spark, scratch, capsys):
     assert filled.agg(F.min("MinPressure")).first()[0] == 0.0
 
 
-def test_job_writes_rejects_on_request(spark, scratch):
+def test_job_writes_rejects(spark, scratch):
     landing = os.path.join(scratch, "landing")
     d = os.path.join(landing, "weather_data_hourly_Tenerife_28.2916_-16.6291")
     os.makedirs(d)
@@ -64,7 +65,7 @@ def test_job_writes_rejects_on_request(spark, scratch):
         f.write("Time,Temperature,Humidity,Precipitation,WeatherCode,WindSpeed,WindDirection,Pressure\n"
                 "2024-01-01T00:00,10.5,80,0.2,61,5.1,350,1018.2\n"
                 "2024-01-01T01:00,abc,80,0.0,3,5.0,10,1018.0\n")
-    paths = job.process_landing(spark, landing, os.path.join(scratch, "out"), rejects=True)
+    paths = job.process_landing(spark, landing, os.path.join(scratch, "out"))
     bad = spark.read.parquet(paths[job.REJECTS]).collect()
     assert [list(r.BadColumns) for r in bad] == [["Temperature"]]
     assert spark.read.parquet(paths["monthly_summary"]).first().AvgTemperature == 10.5

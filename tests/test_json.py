@@ -129,6 +129,16 @@ def test_malformed_multi_location_document_is_rejected(spark):
     assert [(r.Doc, r.LocationId, r.Reason) for r in rejects.collect()] == [("bad", None, "malformed document")]
 
 
+def test_list_element_that_is_no_response_is_rejected_alone(spark):
+    docs = spark.createDataFrame([(json.dumps([RESPONSE, 5, None, "x", [], {"hourly": 7}, RESPONSE]),), (None,), ("[]",), ("  7",)], "json string")
+    good, rejects = J.split_responses(J.parse_multi(docs))
+    assert sorted(r.LocationId for r in good.collect()) == [0, 6]
+    assert sorted((r.LocationId, r.Reason) for r in rejects.filter("LocationId > 0").collect()) == [
+        (1, "malformed document"), (2, "malformed document"), (3, "malformed document"), (4, "malformed document"), (5, "no hourly block")]
+    assert [r.LocationId for r in rejects.filter("LocationId IS NULL").collect()] == [None]
+    assert J.pivot_hourly(good).count() == 6
+
+
 def test_every_hour_is_a_row_or_a_reject(spark):
     hourly = dict(RESPONSE["hourly"])
     without = {k: v for k, v in hourly.items() if k != "pressure_msl"}

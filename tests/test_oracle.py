@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from skymetrics.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -42,14 +43,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(catalog.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

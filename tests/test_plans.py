@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from skymetrics.plans import catalog
 from skymetrics.sources import csv_files
 
 from .conftest import SF_SMALL
@@ -23,32 +23,32 @@ def plan(df) -> str:
 
 @pytest.mark.parametrize("name", GROUPED)
 def test_aggregates_combine_map_side(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "partial_" in p or "HashAggregate(keys=" in p
     # algebraic aggregates only: no sort-based or object (collect) aggregation
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_products(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_dimension_is_broadcast(spark):
-    p = plan(E.queries()["weather_conditions"](spark, SF_SMALL))
+    p = plan(catalog.queries()["weather_conditions"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
 
 
 def test_period_filter_reaches_scan(spark):
-    df = E.queries()["period_kpis"](spark, SF_SMALL)
+    df = catalog.queries()["period_kpis"](spark, SF_SMALL)
     p = plan(df)
     assert "PartitionFilters: [isnotnull(Station" in p and "= click" in p
     assert "PushedFilters: [IsNotNull(Time), GreaterThanOrEqual(Time" in p
 
 
 def test_scan_reads_only_needed_columns(spark):
-    p = plan(E.queries()["monthly_temperature"](spark, SF_SMALL))
+    p = plan(catalog.queries()["monthly_temperature"](spark, SF_SMALL))
     assert "ReadSchema: struct<Time:timestamp_ntz,Temperature:double>" in p
 
 
@@ -65,34 +65,45 @@ def test_landing_path_helpers(spark):
     assert r.select(csv_files.station_from_path(F.lit("file:/x/" + got.replace(" ", "%20"))).alias("s")).first().s == "La Palma"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_in_plans(spark, name):
     # built-in expressions only: no Python-RDD scan behind a table, no Python UDF evaluation
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "ExistingRDD" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
 @pytest.mark.parametrize("name,scan", [("coverage_gaps", "Scan parquet"), ("landed_gaps", "Scan binaryFile")])
 def test_coverage_reads_its_input_once(spark, name, scan):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert p.count(scan) == 1
     assert "LeftAnti" not in p
 
 
 @pytest.mark.parametrize("name", ["json_pivot", "multi_location", "landed_json"])
 def test_json_parsed_once_per_document(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
-    assert p.count("from_json(") == 1
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
+    assert p.count("from_json(") + p.count("parseJson(") == 1
+
+
+@pytest.mark.parametrize("name", ["landed_csv", "landed_headers", "layout_union"])
+def test_lines_do_not_move_to_their_header(spark, name):
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(catalog.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    assert "Exchange" not in p and "Join" not in p and p.count("FileScan text") <= 1
 
 
 def test_multi_location_has_no_window_over_days(spark):
-    p = plan(E.queries()["multi_location"](spark, SF_SMALL))
+    p = plan(catalog.queries()["multi_location"](spark, SF_SMALL))
     assert "Window" not in p and "SortMergeJoin" not in p
 
 
 def test_csv_validation_stays_in_generated_code(spark):
-    p = plan(E.queries()["landed_csv"](spark, SF_SMALL))
+    p = plan(catalog.queries()["landed_csv"](spark, SF_SMALL))
     # the accepted-rows filter is a codegen node ("*(n) Filter"), not an interpreted one
     assert re.search(r"\*\(\d+\) Filter", p)
     assert "size(filter(" not in p

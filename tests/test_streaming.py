@@ -75,3 +75,22 @@ def test_single_stream_ingest_writes_rows_and_rejects(spark, scratch):
     assert out.count() == 48 and {r.Station for r in out.collect()} == {"El Hierro"}
     bad = spark.read.parquet(rej).collect()
     assert len(bad) == 1 and list(bad[0].BadColumns) == ["Time"]
+
+
+def test_streams_report_rejects_and_read_files_once(spark, scratch):
+    src, table, ckpt, rej = (os.path.join(scratch, x) for x in ("landing", "table", "ckpt", "rejects"))
+    good = [f"2024-01-01T{h:02d}:00,{h}.5,70,0,1,5,10,1010" for h in range(3)]
+    _land(src, "El Hierro", "2024-01-01", [*good, "2024-01-01T05:00,x,1,1,1,1,1,1", "when,1,1,1,1,1,1,1"])
+    _land(src, "El Hierro", "2024-01-02", ["2024-01-02T00:00,1,2"])
+    with open(os.path.join(src, "weather_data_hourly_El Hierro_28.1_-17.1", "weather_2024-01-03.csv"), "w") as f:
+        f.write("Time,Humidity,Temperature\n2024-01-03T00:00,70,9.5\n")
+    parts = os.path.join(scratch, "parts")
+    landing.start_daily_summary(spark, src, parts, os.path.join(scratch, "c1"), max_files_per_trigger=1).awaitTermination()
+    lost = landing.rejects_so_far(spark.read.parquet(parts))
+    assert sorted((r.Station, str(r.Date), r.Rejects) for r in lost.collect()) == [("El Hierro", "2024-01-01", 2), ("El Hierro", "2024-01-02", 1)]
+    days = landing.daily_summary_so_far(spark.read.parquet(parts))
+    assert sorted((str(r.Date), r.MaxTemperature) for r in days.collect()) == [("2024-01-01", 2.5), ("2024-01-03", 9.5)]
+    landing.start_ingest(spark, src, table, ckpt, rej, on_bad="null").awaitTermination()
+    assert sorted(str(r.Time) for r in spark.read.parquet(table).collect()) == [
+        *(f"2024-01-01 0{h}:00:00" for h in (0, 1, 2, 5)), "2024-01-03 00:00:00", "None"]
+    assert sorted(tuple(r.BadColumns) for r in spark.read.parquet(rej).collect()) == [("Temperature",), ("Time",), ("cell count",)]
