@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skymetrics.llm.staging import partitions
 
@@ -22,8 +23,12 @@ PARTS_PER_TASK = 2
 #: a task sends what it has gathered when it holds this many records
 FLUSH = 1 << 20
 
-#: which document: its id and a hash of its id and text, which tells apart rows that share an id
-ROW = [("id", "<i8"), ("hash", "<i4")]
+#: which document: its id, and 128 bits of hashes of its id and text, which tell apart rows that share an id;
+#: the last bit of ``more`` says that the id is NULL
+ROW = [("id", "<i8"), ("hash", "<i8"), ("more", "<i8")]
+ROW_NAMES = [name for name, _ in ROW]
+ROW_SCHEMA = "id long, hash long, more long"
+ROW_STRUCT = "struct<id:long,hash:long,more:long>"
 
 
 def parts(spark: SparkSession) -> int:
@@ -31,27 +36,42 @@ def parts(spark: SparkSession) -> int:
 
 
 def row_hash() -> Column:
-    """A hash of a document's doc_id and text."""
-    hashed = F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"))
-    return hashed.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    """Two hashes of a document's doc_id and text: struct<hash, more>, 127 bits and whether the id is NULL."""
+    none = F.col("doc_id").isNull()
+    first, second = (F.xxhash64(F.lit(seed), F.col("doc_id"), none, F.col("text").isNull(), F.col("text")) for seed in (1, 2))
+    return F.struct(first.alias("hash"), second.bitwiseAND(F.lit(-2).cast("long")).bitwiseOR(none.cast("long")).alias("more"))
 
 
 def with_row_key(docs: DataFrame, n_parts: int, *, keep: tuple[str, ...] = ()) -> DataFrame:
-    """text, ``id`` and ``hash`` of each row, the part they make it belong to, and the columns ``keep`` as ``keep_0``, ...
+    """text, ``id``, ``hash`` and ``more`` of each row, the part they make it belong to, and the columns ``keep`` as ``keep_0``, ...
 
-    A NULL id becomes the smallest number.
+    A NULL id becomes the smallest number.  Ids have to be of an integer type (TypeError otherwise).
     """
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, T.IntegralType | T.NullType):
+        raise TypeError(f"doc_id has to be an integer, not {kind.simpleString()}")
     return (
-        docs.select(F.col("text").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-                    row_hash().alias("hash"),
-                    *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
-        .withColumn("part", F.col("hash") % n_parts)
+        docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
+                    row_hash().alias("_hash"), *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
+        .select("text", "id", "_hash.hash", "_hash.more", *(f"keep_{i}" for i in range(len(keep))))
+        .withColumn("part", F.pmod("hash", F.lit(n_parts)).cast("int"))
     )
 
 
-def original_id(row_id: str = "id") -> Column:
-    """The id of ``with_row_key`` as it was."""
-    return F.when(F.col(row_id) != F.lit(-(1 << 63)).cast("long"), F.col(row_id))
+def original_id(row: str = "") -> Column:
+    """The id of ``with_row_key`` as it was; ``row`` names the struct it is in."""
+    prefix = f"{row}." if row else ""
+    return F.when(F.col(f"{prefix}more").bitwiseAND(F.lit(1)) == 0, F.col(f"{prefix}id"))
+
+
+def copy_rows(target: np.ndarray, rows: np.ndarray) -> None:
+    """Write the ROW fields of ``rows`` into those of ``target``."""
+    for name in ROW_NAMES:
+        target[name] = rows[name]
+
+
+def same_row(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.logical_and.reduce([a[name] == b[name] for name in ROW_NAMES])
 
 
 def packed(part: np.ndarray, records: np.ndarray, n_parts: int) -> tuple[np.ndarray, list[bytes]]:
@@ -84,17 +104,20 @@ def unpacked(table: pa.Table, kind: int, dtype: list) -> np.ndarray:
 def row_array(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     """ROW records of a table with the columns of ``with_row_key``."""
     out = np.zeros(table.num_rows, ROW)
-    out["id"] = table.column("id").to_numpy()
-    out["hash"] = table.column("hash").to_numpy()
+    for name in ROW_NAMES:
+        out[name] = table.column(name).to_numpy()
     return out
 
 
-def by_row(records: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-    """The records of each (id, hash)."""
+def row_keys(rows: np.ndarray) -> list[tuple[int, int, int]]:
+    return list(zip(*(rows[name].tolist() for name in ROW_NAMES), strict=True))
+
+
+def by_row(records: np.ndarray) -> dict[tuple[int, int, int], np.ndarray]:
+    """The records of each row."""
     if not len(records):
         return {}
-    order = np.lexsort((records["hash"], records["id"]))
-    records = records[order]
-    new = np.flatnonzero((records["id"][1:] != records["id"][:-1]) | (records["hash"][1:] != records["hash"][:-1])) + 1
+    records = records[np.lexsort([records[name] for name in reversed(ROW_NAMES)])]
+    new = np.flatnonzero(~same_row(records[1:], records[:-1])) + 1
     pieces = np.split(records, new)
-    return {(int(p["id"][0]), int(p["hash"][0])): p for p in pieces}
+    return {row_keys(p[:1])[0]: p for p in pieces}

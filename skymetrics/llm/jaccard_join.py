@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from skymetrics.llm import exchange
 from skymetrics.llm.components import components
-from skymetrics.llm.exchange import FLUSH, ROW, original_id, row_array, unpacked
+from skymetrics.llm.exchange import FLUSH, ROW, ROW_NAMES, ROW_STRUCT, copy_rows, original_id, row_array, same_row, unpacked
 from skymetrics.llm.staging import stage
 from skymetrics.llm.text import LOWER, SPACES, U64, Words, distinct, mix, shingles, slices
 
@@ -46,9 +46,9 @@ BLOCK = 1024
 KEY = [("key", "<u8"), *ROW]
 SET = [("n", "<i8"), ("first", "<u8"), ("second", "<u8"), *ROW]
 COUNT = [("n", "<i8"), *ROW]
-PAIR = [("id", "<i8"), ("hash", "<i4"), ("other_id", "<i8"), ("other_hash", "<i4")]
+PAIR = [*ROW, *((f"other_{name}", kind) for name, kind in ROW)]
 KEYS, SETS, COUNTS, PAIRS, EQUALS, MET = range(6)
-PAIR_SCHEMA = "kind int, n long, a struct<id:long,hash:int>, b struct<id:long,hash:int>"
+PAIR_SCHEMA = f"kind int, n long, a {ROW_STRUCT}, b {ROW_STRUCT}"
 
 
 def bands(longest: int) -> np.ndarray:
@@ -104,16 +104,21 @@ def _leaders(records: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndar
     """(first of each run of equal ``names``, smallest row first; PAIR records of it and the others)."""
     if not len(records):
         return records, np.zeros(0, PAIR)
-    order = np.lexsort([records[n] for n in ("hash", "id", *reversed(names))])
+    order = np.lexsort([records[n] for n in (*reversed(ROW_NAMES), *reversed(names))])
     records = records[order]
     new = np.ones(len(records), bool)
     new[1:] = np.any([records[n][1:] != records[n][:-1] for n in names], axis=0)
     leader = records[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    pairs = np.zeros(int((~new).sum()), PAIR)
-    pairs["id"], pairs["hash"] = leader["id"][~new], leader["hash"][~new]
-    pairs["other_id"], pairs["other_hash"] = records["id"][~new], records["hash"][~new]
-    pairs = pairs[(pairs["id"] != pairs["other_id"]) | (pairs["hash"] != pairs["other_hash"])]
-    return records[new], np.unique(pairs)
+    other = ~new & ~same_row(leader, records)
+    return records[new], np.unique(_pairs(leader[other], records[other]))
+
+
+def _pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """PAIR records of rows and others."""
+    out = np.zeros(len(two), PAIR)
+    for name in ROW_NAMES:
+        out[name], out[f"other_{name}"] = one[name], two[name]
+    return out
 
 
 class _Sender:
@@ -138,16 +143,19 @@ class _Sender:
         folded, pairs = _leaders(keys[many], ["key"])
         keys = np.concatenate([keys[~many], folded])
         sets, equals = _leaders(sets, ["first", "second", "n"])
-        keys = keys[np.lexsort((keys["hash"], keys["id"]))]
+        keys = keys[np.lexsort((keys["more"], keys["hash"], keys["id"]))]
         yield from exchange.rows(part(keys["key"]), keys, self.n_parts, KEYS)
         yield from exchange.rows(part(sets["first"]), sets, self.n_parts, SETS)
         for kind, records in ((COUNTS, counts), (PAIRS, pairs), (EQUALS, equals)):
             yield from exchange.rows(records["hash"] % self.n_parts, records, self.n_parts, kind)
 
 
+def _row_structs(records: np.ndarray, prefix: str = "") -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(records[prefix + name]) for name in ROW_NAMES], ROW_NAMES)
+
+
 def _pair_table(kind: int, pairs: np.ndarray) -> pa.RecordBatch:
-    ends = [pa.StructArray.from_arrays([pa.array(pairs[i]), pa.array(pairs[h])], ["id", "hash"])
-            for i, h in (("id", "hash"), ("other_id", "other_hash"))]
+    ends = [_row_structs(pairs, prefix) for prefix in ("", "other_")]
     n = len(pairs)
     return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind), pa.int32()), pa.nulls(n, pa.int64()), *ends], ["kind", "n", "a", "b"])
 
@@ -155,7 +163,7 @@ def _pair_table(kind: int, pairs: np.ndarray) -> pa.RecordBatch:
 def _meet(table: pa.Table) -> pa.Table:
     """Of a part's records: set sizes, pairs that share a chunk (within a task, or met here), pairs of equal sets."""
     counts = unpacked(table, COUNTS, COUNT)
-    row = pa.StructArray.from_arrays([pa.array(counts["id"]), pa.array(counts["hash"])], ["id", "hash"])
+    row = _row_structs(counts)
     out = [pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), COUNTS), pa.int32()), pa.array(counts["n"]), row, row], ["kind", "n", "a", "b"])]
     out += [_pair_table(kind, unpacked(table, kind, PAIR)) for kind in (PAIRS, EQUALS)]
     for kind, pairs_kind, dtype, names in ((KEYS, MET, KEY, ["key"]), (SETS, EQUALS, SET, ["first", "second", "n"])):
@@ -182,11 +190,10 @@ def _sketches(keyed: DataFrame, width: int) -> DataFrame:
                 keys, owner = _sets(data, offsets, width)
                 sizes = np.bincount(owner, minlength=b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["id"][a:b]), pa.array(rows["hash"][a:b]), pa.array(sizes, pa.int64()),
-                     pa.array(_bit_sketches(keys, owner, sizes), pa.binary())], ["id", "hash", "n", "sketch"])
+                    [_row_structs(rows[a:b]), pa.array(sizes, pa.int64()), pa.array(_bit_sketches(keys, owner, sizes), pa.binary())],
+                    ["row", "n", "sketch"])
 
-    found = keyed.drop("part").mapInArrow(sketch, "id long, hash int, n long, sketch binary").filter("n > 0")
-    return found.select(F.struct("id", "hash").alias("row"), "n", "sketch").dropDuplicates(["row"])
+    return keyed.drop("part").mapInArrow(sketch, f"row {ROW_STRUCT}, n long, sketch binary").filter("n > 0").dropDuplicates(["row"])
 
 
 def _folded(sketch: bytes, n_words: int) -> np.ndarray:
@@ -235,7 +242,7 @@ def _near(places: DataFrame, sketches: DataFrame, n_parts: int, percent: int) ->
     """Of ``places`` (row, place, side, joined) the rows whose texts have to be compared there."""
     return (
         places.join(sketches, "row").withColumn("part", F.pmod("place", F.lit(n_parts)))
-        .groupBy("part").applyInArrow(_within_bound(percent), "row struct<id:long,hash:int>, place long, side int")
+        .groupBy("part").applyInArrow(_within_bound(percent), f"row {ROW_STRUCT}, place long, side int")
     )
 
 
@@ -257,7 +264,7 @@ def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> Dat
                     sets[name] = total[ends] - total[ends - sizes]
                 sets["n"] = counts["n"] = sizes
                 for target, which in ((records, of), (sets, slice(None)), (counts, slice(None))):
-                    target["id"], target["hash"] = mine["id"][which], mine["hash"][which]
+                    copy_rows(target, mine[which])
                 yield from sender.add(records, sets[sizes > 0], counts)
         yield from sender.send()
 
@@ -290,10 +297,7 @@ def _verify(width: int, percent: int):
                 linked = linked[label[linked] != label[i]]
                 for side in (one, two):
                     label[side[np.isin(label[side], label[linked])]] = label[i]
-                pairs = np.zeros(len(linked), PAIR)
-                pairs["id"], pairs["hash"] = rows["id"][i], rows["hash"][i]
-                pairs["other_id"], pairs["other_hash"] = rows["id"][linked], rows["hash"][linked]
-                links.append(pairs)
+                links.append(_pairs(rows[i], rows[linked]))
         batch = _pair_table(PAIRS, np.concatenate([*links, np.zeros(0, PAIR)]))
         return pa.Table.from_batches([batch]).select(["a", "b"])
 
@@ -302,10 +306,10 @@ def _verify(width: int, percent: int):
 
 def _linked(keyed: DataFrame, wanted: DataFrame, n_parts: int, width: int, percent: int) -> DataFrame:
     """Verified links (a, b): ``wanted`` names the rows, and for each the place and side it is compared on."""
-    texts = keyed.select(F.struct("id", "hash").alias("row"), "id", "hash", "text").join(wanted, "row").drop("row")
+    texts = keyed.select(F.struct(*ROW_NAMES).alias("row"), *ROW_NAMES, "text").join(wanted, "row").drop("row")
     return (
         texts.withColumn("part", F.pmod("place", F.lit(n_parts)))
-        .groupBy("part").applyInArrow(_verify(width, percent), "a struct<id:long,hash:int>, b struct<id:long,hash:int>")
+        .groupBy("part").applyInArrow(_verify(width, percent), f"a {ROW_STRUCT}, b {ROW_STRUCT}")
     )
 
 
@@ -349,9 +353,12 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     lower-cased; a text of fewer than ``width`` words is one shingle, one
     without words (or NULL) has none and links with nothing.  Documents link
     when ``100 * intersection >= percent * union`` (``percent`` from 1 to 100); ``component_id`` is the
-    smallest doc_id that links reach, and its row is the one ``kept``.  A NULL doc_id counts as smaller than any
-    other and is given back as NULL; rows that repeat are each given; an empty
-    table gives an empty result.  Other columns are not read.
+    smallest doc_id that links reach, and its row is the one ``kept``.  doc_id has to be
+    an integer (TypeError otherwise); a NULL one counts as smaller than any other
+    and is given back as NULL.  Rows that share an id are told apart by 128 bits
+    of hashes of id and text (``row_hash``); rows equal in both are each given.
+    A text of any length is taken whole by one task.  An empty table gives an
+    empty result.  Other columns are not read, whatever their names.
     """
     if not 1 <= percent <= 100:
         raise ValueError(f"percent is from 1 to 100, not {percent}")
@@ -386,6 +393,6 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
         reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     rows = found.filter(F.col("kind") == COUNTS).select(F.col("a").alias("node"), "n")
     out = rows.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return out.select(original_id("node.id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      original_id("component.id").alias("component_id"),
-                      (F.col("node") == F.col("component")).alias("kept"), F.col("node.hash").alias("row_hash"))
+    return out.select(original_id("node").alias("doc_id"), F.col("n").alias("n_shingles"),
+                      original_id("component").alias("component_id"),
+                      (F.col("node") == F.col("component")).alias("kept"), F.struct("node.hash", "node.more").alias("row_hash"))

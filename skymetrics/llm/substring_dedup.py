@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skymetrics.llm import exchange
-from skymetrics.llm.exchange import FLUSH, ROW, by_row, original_id, row_array, unpacked
+from skymetrics.llm.exchange import FLUSH, ROW, ROW_NAMES, ROW_SCHEMA, by_row, copy_rows, original_id, row_array, row_keys, same_row, unpacked
 from skymetrics.llm.staging import partitions, stage
 from skymetrics.llm.text import SPACES, U64, Words, mix, slices, window_sums
 
@@ -96,7 +96,7 @@ class _Sender:
         place, text = windows.speakers(alive)
         keys, places = np.zeros(len(place), WINDOW_KEY), np.zeros(len(place), PLACE)
         keys["key"], keys["check"] = windows.key[place], windows.check[place] & U64(0xFFFFFFFF)
-        places["id"], places["hash"] = rows["id"][text], rows["hash"][text]
+        copy_rows(places, rows[text])
         places["at"] = windows.of_text(place, text)
         self.held.append((keys, places))
         self.size += len(keys)
@@ -126,8 +126,7 @@ class _Sender:
 def _runs(places: np.ndarray) -> np.ndarray:
     """Places that follow each other in a document, as runs."""
     new = np.ones(len(places) + 1, bool)
-    same = (places["id"][1:] == places["id"][:-1]) & (places["hash"][1:] == places["hash"][:-1])
-    new[1:-1] = ~same | (places["at"][1:] != places["at"][:-1] + 1)
+    new[1:-1] = ~same_row(places[1:], places[:-1]) | (places["at"][1:] != places["at"][:-1] + 1)
     edges = np.flatnonzero(new)
     out = np.zeros(len(edges) - 1, RUN)
     for name in places.dtype.names:
@@ -139,7 +138,7 @@ def _runs(places: np.ndarray) -> np.ndarray:
 def _places(table: pa.Table) -> np.ndarray:
     """All repeated places that a part's records name."""
     runs = unpacked(table, KNOWN_RUN, RUN)
-    out = np.repeat(runs[["id", "hash", "at"]].astype(PLACE), runs["n"])
+    out = np.repeat(runs[[*ROW_NAMES, "at"]].astype(PLACE), runs["n"])
     ends = np.cumsum(runs["n"])
     out["at"] += (np.arange(len(out)) - np.repeat(ends - runs["n"], runs["n"])).astype(np.int32)
     return np.concatenate([unpacked(table, KNOWN, PLACE), out])
@@ -148,7 +147,7 @@ def _places(table: pa.Table) -> np.ndarray:
 def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first of its run, in a run of several) for sorted keys."""
     same = (keys["key"][1:] == keys["key"][:-1]) & (keys["check"][1:] == keys["check"][:-1])
-    edge = np.zeros(1, bool)
+    edge = np.zeros(min(1, len(keys)), bool)
     before, after = np.concatenate([edge, same]), np.concatenate([same, edge])
     return ~before, before | after
 
@@ -164,8 +163,8 @@ def _repeating(n_parts: int):
         found = order[again]
         found = single[found[found < len(single)]]
         found = found[found["at"] != NOWHERE]
-        places = found[["id", "hash", "at"]].astype(PLACE)
-        places = places[np.lexsort((places["at"], places["id"], places["hash"]))]
+        places = found[[*ROW_NAMES, "at"]].astype(PLACE)
+        places = places[np.lexsort((places["at"], places["more"], places["id"], places["hash"]))]
         runs = unpacked(table, KNOWN_RUN, RUN)
         batches = [*exchange.rows(places["hash"] % n_parts, places, n_parts, KNOWN),
                    *exchange.rows(runs["hash"] % n_parts, runs, n_parts, KNOWN_RUN)]
@@ -180,8 +179,8 @@ _ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("records", pa.b
 def _alive(windows: Windows, rows: np.ndarray, found: dict, at: int) -> np.ndarray:
     """Which windows the places ``found`` (a text's speakers that repeat) leave."""
     mark = np.zeros(len(windows.key) + 1, bool)
-    for i in range(len(windows.words.counts)):
-        places = found.get((int(rows["id"][at + i]), int(rows["hash"][at + i])))
+    for i, key in enumerate(row_keys(rows[at:at + len(windows.words.counts)])):
+        places = found.get(key)
         if places is not None:
             mark[windows.words.offsets[i] + places["at"]] = True
     return mark[windows.speaker]
@@ -192,7 +191,7 @@ def _extended(window: int, shorter: int, length: int, n_parts: int):
     def longer(texts: pa.Table, places: pa.Table) -> pa.Table:
         out, known = [], by_row(_places(places))
         sender, rows = _Sender(n_parts), row_array(texts)
-        wanted = np.array([k in known for k in zip(rows["id"].tolist(), rows["hash"].tolist(), strict=True)], bool)
+        wanted = np.array([k in known for k in row_keys(rows)], bool)
         texts, rows = texts.filter(pa.array(wanted, pa.bool_())), rows[wanted]
         for a, b, data, offsets in slices(texts.column("text")):
             alive = _alive(Windows(data, offsets, window, shorter), rows, known, a)
@@ -242,8 +241,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTE
     word goes if a window of ``window`` words that covers it starts in another
     place too, in any document; repeated rows are other places.  What stays is
     joined by single spaces (``as_is``: a text that loses nothing stays as it
-    was, NULL too).  NULL and empty texts have no words; a NULL doc_id
-    is carried along, and an empty table gives an empty result.
+    was, NULL too).  NULL and empty texts have no words, and a text of any
+    length is taken whole by one task.  doc_id has to be an integer (TypeError
+    otherwise); NULL and repeated ones are carried along, their rows told apart
+    by 128 bits of hashes.  Columns outside ``keep`` are not read, whatever their
+    names; there are no ties to break, since every repeat goes.  An empty table
+    gives an empty result.
     """
     n_parts = exchange.parts(docs.sparkSession)
     keyed = exchange.with_row_key(docs, n_parts, keep=keep)
@@ -254,8 +257,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTE
     def remove(texts: pa.Table, places: pa.Table) -> pa.Table:
         known = by_row(_places(places))
         kept, counts, removed = [], [], []
-        keys = zip(texts.column("id").to_pylist(), texts.column("hash").to_pylist(), strict=True)
-        for key, text in zip(keys, texts.column("text"), strict=True):
+        for key, text in zip(row_keys(row_array(texts)), texts.column("text"), strict=True):
             words = (text.as_py() or "").encode("utf-8").split()
             counts.append(len(words))
             mine = known.get(key)
@@ -268,11 +270,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTE
                 words = list(compress(words, stays.tolist()))
             removed.append(counts[-1] - len(words))
             kept.append(text.as_py() if as_is and not removed[-1] else b" ".join(words).decode("utf-8"))
-        return pa.table([texts.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                         *(texts.column(c) for c in others)], ["id", "n_words", "n_removed", "kept_text", *others])
+        return pa.table([*(texts.column(name) for name in ROW_NAMES), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
+                         *(texts.column(c) for c in others)], [*ROW_NAMES, "n_words", "n_removed", "kept_text", *others])
 
     kinds = "".join(f", keep_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
     out = keyed.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(
-        remove, f"id long, n_words long, n_removed long, kept_text string{kinds}")
+        remove, f"{ROW_SCHEMA}, n_words long, n_removed long, kept_text string{kinds}")
     return out.select(original_id().alias("doc_id"), "n_words", "n_removed", "kept_text",
                       *(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)))

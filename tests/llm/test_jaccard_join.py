@@ -129,3 +129,34 @@ def test_components(spark):
             top[max(a, b)] = min(a, b)
         found = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
         assert found == {x: find(x) for x in top if find(x) != x}
+
+
+def test_rows_of_one_id_with_equal_short_hashes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from skymetrics.llm import exchange
+    from skymetrics.llm.substring_dedup import remove_repeats
+
+    real = exchange.row_hash
+    monkeypatch.setattr(exchange, "row_hash", lambda: F.struct(F.lit(5).cast("long").alias("hash"), real()["more"].alias("more")))
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    docs = spark.createDataFrame([(None, one), (None, two), (3, one), (-(1 << 63), two + " x")], "doc_id long, text string")
+    out = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in J.jaccard_join(docs, 5, 80).collect())
+    assert [r[1] for r in out] == [37, 36, 36, 36] and len(set(r[2] for r in out)) <= 3
+    cut = {(r.doc_id, r.n_words): r.n_removed for r in remove_repeats(docs.filter("doc_id IS NULL OR doc_id = 3")).collect()}
+    removed = sorted((str(r.doc_id), r.n_removed) for r in remove_repeats(docs.filter("doc_id IS NULL OR doc_id = 3")).collect())
+    assert removed == [("3", 40), ("None", 0), ("None", 40)] and cut
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    with pytest.raises(TypeError):
+        J.jaccard_join(spark.createDataFrame([("x", "a")], "doc_id string, text string"))
+
+
+def test_many_rows_without_an_id_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    from skymetrics.llm import exchange
+
+    docs = spark.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    assert exchange.with_row_key(docs, 4).select("id", "hash", "more").distinct().count() == 300_000
