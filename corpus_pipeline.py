@@ -4,6 +4,12 @@ Toxic documents go, then exact copies, then near copies; passages that repeat
 are cut out of what is left, and the rest is packed into token sequences.  Each
 stage reads what the one before it wrote; all but the last return the columns
 of ``documents``.
+
+NULL and empty texts, NULL and repeated ids, very long texts and further columns
+of any name go through every stage as its operator's docstring says: rows that
+share an id are told apart by 128 bits or more of hashes of their texts, and
+rows equal in id and text are one document after the second stage.  doc_id is an
+integer.  An empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -20,11 +26,14 @@ from skymetrics.llm.staging import stage
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _only(docs: DataFrame, decided: DataFrame, row_hash: Column) -> DataFrame:
-    """The documents that ``decided`` keeps, each once; it names them by doc_id and ``row_hash``."""
-    kept = decided.filter("kept").select(F.struct("doc_id", "row_hash").alias("_row"))
-    rows = docs.withColumn("_hash", row_hash).withColumn("_row", F.struct("doc_id", F.col("_hash").alias("row_hash")))
-    return rows.dropDuplicates(["_row"]).join(kept, "_row", "left_semi").select(*docs.columns)
+def _only(docs: DataFrame, decided: DataFrame, name: Column) -> DataFrame:
+    """The documents that ``decided`` (row, kept) keeps, each once; ``name`` of their columns is what ``row`` holds.
+
+    The documents travel as one struct, so no column of theirs can clash with another.
+    """
+    kept = decided.filter("kept").select("row")
+    rows = docs.select(name.alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    return rows.dropDuplicates(["row"]).join(kept, "row", "left_semi").select("doc.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +42,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id stays; of rows that repeat, one."""
-    return _only(docs, exact.exact_dedup(docs), exact.row_hash())
+    """Of equal texts (NULL is empty) the document with the largest doc_id stays, a NULL one last; of rows equal in both, one."""
+    name = F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    decided = exact.exact_dedup(docs).select(F.struct("doc_id", "text_sha256").alias("row"), "kept")
+    return _only(docs, decided, name)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more on five-word shingles, that with the smallest doc_id stays."""
-    return _only(docs, jaccard_join.jaccard_join(docs, width=5, percent=80), exchange.row_hash())
+    """Of documents linked by a similarity of 0.8 or more on five-word shingles, that with the smallest doc_id stays; texts without words all do."""
+    linked = jaccard_join.jaccard_join(docs, width=5, percent=80)
+    return _only(docs, linked.select(F.struct("doc_id", "row_hash").alias("row"), "kept"),
+                 F.struct(F.col("doc_id").cast("long").alias("doc_id"), exchange.row_hash().alias("row_hash")))
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
