@@ -2,9 +2,9 @@
 
 All of them are algebraic (sum / count / min / max), so Spark aggregates
 partially inside each map task before the shuffle: a hot station costs one
-partial row per key per task, not its raw rows.  Rainy days use a distinct
-count of dates, which Catalyst plans as a first aggregation on
-(keys, Date) - itself bounded by the calendar - followed by a count.
+partial row per key per task, not its raw rows.  Rainy days are a set of days
+of the month, kept as bits of a number (``functions.masks``): one aggregate and
+one exchange, like a sum.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import masks
 from ..functions.stats import exact_mean, mean_min_max, total
 
 Keys = Sequence[str]
@@ -51,7 +52,7 @@ def monthly_precipitation(obs: DataFrame, by: Keys = ("Station",), ordered: bool
     keys = _keys(by, *MONTH)
     out = obs.groupBy(*keys).agg(
         total("Precipitation").alias("TotalPrecipitation"),
-        F.count_distinct(F.when(rainy(), F.col("Date"))).alias("RainyDays"),
+        masks.size(masks.days_of_month(F.when(rainy(), F.col("Date")))).cast("long").alias("RainyDays"),
     )
     return _finish(out, keys if ordered else None)
 
@@ -65,19 +66,15 @@ def monthly_precipitation_join(obs: DataFrame, by: Keys = ("Station",), ordered:
     """J1 form of A3/A4: monthly totals LEFT JOIN per-month rainy-date counts
     on the month keys (USING semantics), unmatched months get 0 (P7).
 
-    Both join sides are aggregates hash-partitioned on the same keys, so the
-    join reuses that partitioning instead of shuffling again.
+    Both sides are aggregates of the same rows on the same keys, so the joined
+    row is one aggregate of the month: its total, and its set of rainy days, which
+    is NULL where the right side has no row.  The input is scanned once.
     """
     keys = _keys(by, *MONTH)
-    totals = obs.groupBy(*keys).agg(total("Precipitation").alias("TotalPrecipitation"))
-    days = (
-        rainy_dates(obs, by)
-        .groupBy(*keys)
-        .count()
-        .withColumnRenamed("count", "RainyDays")
-    )
-    out = totals.join(days, keys, "left").fillna(0, subset=["RainyDays"])
-    return _finish(out, keys if ordered else None)
+    sides = obs.groupBy(*keys).agg(
+        total("Precipitation").alias("TotalPrecipitation"), masks.days_of_month(F.when(rainy(), F.col("Date"))).alias("days"))
+    out = sides.select(*keys, "TotalPrecipitation", F.when(F.col("days").isNotNull(), masks.size("days")).cast("long").alias("RainyDays"))
+    return _finish(out.fillna(0, subset=["RainyDays"]), keys if ordered else None)
 
 
 def monthly_precip_series(obs: DataFrame, by: Keys = ("Station",), ordered: bool = True) -> DataFrame:

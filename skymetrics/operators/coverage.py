@@ -16,6 +16,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import masks
+
 
 def landed_days(obs: DataFrame) -> DataFrame:
     return obs.select("Station", F.to_date("Time").alias("Date")).where(F.col("Date").isNotNull()).distinct()
@@ -106,3 +108,38 @@ def is_complete(obs: DataFrame, start: dt.date, end: dt.date, stations: DataFram
         gaps.groupBy("Station").agg(F.sum(F.size("Missing")).alias("MissingDays"))
         .withColumn("Complete", F.col("MissingDays") == 0)
     )
+
+
+def hour_masks(obs: DataFrame) -> DataFrame:
+    """(Station, Date, HourMask): which hours of each landed day have an observation, as 24 bits.
+
+    Masks of separate parts of the input are united by ``bit_or``.  Hours are
+    those of the local wall clock: the day a clock is put forward has 23.
+    """
+    landed = obs.filter(F.col("Time").isNotNull())
+    return landed.groupBy("Station", F.to_date("Time").alias("Date")).agg(masks.hours("Time").alias("HourMask"))
+
+
+def hour_coverage(hour_masks: DataFrame) -> DataFrame:
+    """(Station, Date, HourMask, Hours, Complete) of each landed day; a half-empty one is not complete."""
+    hours = masks.size("HourMask")
+    return hour_masks.select("Station", "Date", "HourMask", hours.alias("Hours"), (hours == masks.HOURS).alias("Complete"))
+
+
+def missing_hours(obs: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+                  stations: DataFrame | None = None) -> DataFrame:
+    """(Station, Date, Hour) expected but absent: the hours that landed days lack, and
+    all hours of the days that ``missing_days`` lists for the same arguments.
+
+    One aggregate of the input gives both: the masks are its distinct days.
+    """
+    days = hour_masks(obs)
+    lost = missing_of_landed(days.select("Station", "Date"), start, end, stations).withColumn("HourMask", F.lit(0))
+    if start is not None:
+        days = days.filter(F.col("Date") >= F.lit(start))
+    if end is not None:
+        days = days.filter(F.col("Date") <= F.lit(end))
+    if stations is not None:
+        days = days.join(stations.select("Station").distinct(), "Station", "left_semi")
+    absent = masks.members("HourMask", masks.HOURS, inside=False)
+    return days.unionByName(lost).select("Station", "Date", F.explode(absent).alias("Hour"))

@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,7 +55,8 @@ def register(name: str, sql: str | None = None):
 
 # Queries that read the landed CSV folder (``landed_folder``), whose one-time
 # landing the bench times as its own step.
-USES_LANDING = frozenset({"landed_csv", "landed_list", "landed_headers", "landed_gaps", "landed_stream", "daily_summary_stream"})
+USES_LANDING = frozenset({"landed_csv", "landed_list", "landed_headers", "landed_gaps", "landed_stream", "daily_summary_stream",
+                          "monthly_precipitation_stream", "coverage_hours_stream"})
 
 
 def queries() -> dict[str, Query]:
@@ -426,6 +428,28 @@ def q_coverage_gaps(spark, sf):
     return coverage.missing_days(fixture.observations(spark, sf))
 
 
+_HOURS_SQL = "SELECT Station, Date, bit_or(1 << Hour)::INTEGER AS HourMask, count(DISTINCT Hour)::INTEGER AS Hours, count(DISTINCT Hour) = 24 AS Complete"
+
+
+@register("coverage_hours", O.with_obs(f"{_HOURS_SQL} FROM obs WHERE Time IS NOT NULL GROUP BY Station, Date"))
+def q_coverage_hours(spark, sf):
+    """S7 below the day: how many of its 24 hours each landed day has."""
+    return coverage.hour_coverage(coverage.hour_masks(fixture.observations(spark, sf)))
+
+
+@register(
+    "missing_hours",
+    O.with_obs(
+        "SELECT e.Station, e.Date, e.Hour FROM (SELECT Station, Date, unnest(range(24))::INTEGER AS Hour FROM "
+        "(SELECT Station, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date FROM obs WHERE Time IS NOT NULL GROUP BY Station)) e "
+        "ANTI JOIN obs o ON e.Station = o.Station AND e.Date = o.Date AND e.Hour = o.Hour"
+    ),
+)
+def q_missing_hours(spark, sf):
+    """The station-hours without an observation between a station's first and last day."""
+    return coverage.missing_hours(fixture.observations(spark, sf))
+
+
 # ---------------------------------------------------------------- landed CSV files
 
 
@@ -517,6 +541,20 @@ def q_daily_summary_stream(spark, sf):
     return landing.daily_summary_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
 
 
+@register("monthly_precipitation_stream", _SQL["monthly_precipitation"])
+def q_monthly_precipitation_stream(spark, sf):
+    """A3 + A4 from the daily stream's parts: totals and rainy days of what has landed."""
+    from ..streaming import landing
+    return landing.monthly_precipitation_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
+
+
+@register("coverage_hours_stream", _SQL["coverage_hours"])
+def q_coverage_hours_stream(spark, sf):
+    """S7 by the hour from the daily stream's parts."""
+    from ..streaming import landing
+    return landing.hour_coverage_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
+
+
 @register("landed_stream", _SQL["landed_csv"])
 def q_landed_stream(spark, sf):
     # explicit schema: partition values (Station, BatchId) keep their types
@@ -768,6 +806,14 @@ def q_monthly_report_csv(spark, sf):
     return back.select(*report.columns)
 
 
+@register("collected_report", _SQL["monthly_summary"])
+def q_collected_report(spark, sf):
+    """The monthly summary brought to the driver in batches, as a report or a chart takes it."""
+    report = A.monthly_summary(obs(spark, sf))
+    tables = list(sinks.collect_batches(report, rows=100))
+    return spark.createDataFrame(pa.concat_tables(tables) if tables else report.limit(0).toArrow(), report.schema)
+
+
 @register("landed_list", _SQL["landed_csv"])
 def q_landed_list(spark, sf):
     """The landed files read as a list of paths."""

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schema import CSV_COLUMNS
 from ..session import checkpoint_dir
@@ -117,3 +121,24 @@ def persist_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
 def collect_pandas(df: DataFrame):
     """A result on the driver as pandas (by Arrow); ``spark.driver.maxResultSize`` bounds it."""
     return df.toPandas()
+
+
+def collect_batches(df: DataFrame, rows: int = 10_000) -> Iterator[pa.Table]:
+    """S9 without a bound on the whole: a result as Arrow tables of at most ``rows`` rows, one after another.
+
+    The driver holds one partition of the result, and the next, which is fetched
+    meanwhile; only these count against ``spark.driver.maxResultSize``.  Order is kept.
+    """
+    schema = to_arrow_schema(df.schema)
+    found = df.toLocalIterator(prefetchPartitions=True)
+    while batch := [r.asDict(recursive=True) for r in islice(found, rows)]:
+        yield pa.Table.from_pylist(batch, schema)
+
+
+def collect_into(df: DataFrame, sink: Callable[[pa.Table], object], rows: int = 10_000) -> int:
+    """Give a result to ``sink`` (a Parquet writer's ``write_table``, say) in the tables of ``collect_batches``; its row count."""
+    n = 0
+    for table in collect_batches(df, rows):
+        sink(table)
+        n += table.num_rows
+    return n

@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import masks
 from ..functions.stats import rounded, total
+from ..operators import coverage
 from ..sources import csv_files as C
 
 
@@ -120,6 +122,7 @@ def daily_parts(rows: DataFrame) -> DataFrame:
         F.sum(of_kept("Precipitation")).alias("SumPrecipitation"),
         F.count_if(of_kept("Precipitation") > 0).alias("PrecipitationHours"),
         F.max(of_kept("WindSpeed")).alias("MaxWindSpeed"),
+        masks.hours(of_kept("Time")).alias("HourMask"),
         F.count_if(kept).alias("Rows"),
         F.count(C.BAD_COLUMNS).alias("Rejects"),
     )
@@ -157,3 +160,17 @@ def daily_summary_so_far(parts: DataFrame) -> DataFrame:
         F.sum("PrecipitationHours").alias("PrecipitationHours"),
         F.max("MaxWindSpeed").alias("MaxWindSpeed"),
     )
+
+
+def monthly_precipitation_so_far(parts: DataFrame) -> DataFrame:
+    """A3 + A4 from the table of ``start_daily_summary``: monthly totals and rainy days."""
+    month = F.year("Date").alias("Year"), F.month("Date").alias("Month")
+    return parts.filter("Rows > 0").groupBy("Station", *month).agg(
+        total("SumPrecipitation").alias("TotalPrecipitation"),
+        masks.size(masks.days_of_month(F.when(F.col("PrecipitationHours") > 0, F.col("Date")))).cast("long").alias("RainyDays"))
+
+
+def hour_coverage_so_far(parts: DataFrame) -> DataFrame:
+    """S7 by the hour from the table of ``start_daily_summary``: which hours of each day have landed."""
+    landed = parts.filter(F.col("HourMask").isNotNull() & F.col("Date").isNotNull())
+    return coverage.hour_coverage(landed.groupBy("Station", "Date").agg(F.bit_or("HourMask").alias("HourMask")))

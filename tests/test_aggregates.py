@@ -178,3 +178,46 @@ def test_coverage_lists_stations_that_never_landed(spark):
     assert per == {"A": (2, False), "B": (2, False)}
     with pytest.raises(ValueError):
         coverage.missing_days(obs, stations=expected)
+
+
+def test_missing_hours_equal_brute_force(spark):
+    import random
+
+    from skymetrics.operators import coverage
+
+    rng = random.Random(5)
+    base = dt.datetime(2024, 2, 20)
+    landed = {(s, base + dt.timedelta(hours=rng.randrange(24 * 20), minutes=rng.randrange(60))) for s in "AB" for _ in range(200)}
+    full = {("C", dt.datetime(2024, 2, 25, h)) for h in range(24)}
+    obs = spark.createDataFrame([*landed, *full, ("A", None)], "Station string, Time timestamp_ntz")
+    have = {(s, t.date(), t.hour) for s, t in landed | full}
+
+    def want(first, last, stations):
+        out = set()
+        for s in stations:
+            days = [d for x, d, _ in have if x == s]
+            a, b = first or min(days), last or max(days)
+            out |= {(s, a + dt.timedelta(days=i), h) for i in range((b - a).days + 1) for h in range(24)} - have
+        return sorted(out)
+
+    def got(*args):
+        return sorted((r.Station, r.Date, r.Hour) for r in coverage.missing_hours(obs, *args).collect())
+
+    assert got() == want(None, None, "ABC")
+    a, b = dt.date(2024, 2, 18), dt.date(2024, 3, 2)
+    assert got(a, b) == want(a, b, "ABC")
+    assert got(a, b, spark.createDataFrame([("A",), ("D",)], "Station string")) == want(a, b, "AD")
+    days = {(r.Station, r.Date): (r.Hours, r.Complete) for r in coverage.hour_coverage(coverage.hour_masks(obs)).collect()}
+    assert days[("C", dt.date(2024, 2, 25))] == (24, True)
+    assert all(n == len({h for s, d, h in have if (s, d) == k}) for k, (n, _) in days.items())
+    # masks of parts unite to that of the whole
+    parts = coverage.hour_masks(obs.filter("hour(Time) < 9")).unionByName(coverage.hour_masks(obs.filter("hour(Time) >= 9")))
+    whole = parts.groupBy("Station", "Date").agg(F.bit_or("HourMask").alias("HourMask"))
+    assert sorted(whole.collect()) == sorted(coverage.hour_masks(obs).collect())
+
+
+def test_rainy_days_take_one_exchange(spark):
+    obs = with_calendar(fixture.observations(spark, SF_SMALL))
+    for df in (A.monthly_precipitation(obs, ordered=False), A.monthly_precipitation_join(obs, ordered=False)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "Join" not in plan

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +113,40 @@ def test_collect_pandas(spark):
     assert list(sinks.collect_pandas(spark.range(10))["id"]) == list(range(10))
 
 
+def test_collected_in_batches_under_a_small_result_size(scratch):
+    # the whole result is larger than the driver takes at once (its own session: the limit is read when it starts)
+    code = """
+import sys
+sys.path.insert(0, %r)
+import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
+from skymetrics.sources import sinks
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.maxResultSize", "1m")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+df = spark.range(0, 400000, 1, 200).selectExpr("id", "sha2(cast(id as string), 256) AS text", "array(id, NULL) AS list", "named_struct('a', id) AS s")
+try:
+    df.collect()
+except Exception as e:
+    assert "maxResultSize" in str(e)
+else:
+    raise AssertionError("the limit does not hold")
+writer = pq.ParquetWriter(sys.argv[1], sinks.to_arrow_schema(df.schema))
+sizes = []
+def take(table):
+    sizes.append(table.num_rows)
+    writer.write_table(table)
+assert sinks.collect_into(df, take, rows=7000) == 400000
+writer.close()
+assert max(sizes) == 7000
+back = pq.read_table(sys.argv[1])
+assert back.column("id").to_pylist() == list(range(400000)) and back.slice(5, 1).to_pylist()[0]["list"] == [5, None]
+assert list(sinks.collect_batches(df.limit(0))) == []
+print("done")
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code, os.path.join(scratch, "out.parquet")], capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("done"), done.stderr[-2000:]
+
+
 def test_missing_files_checks_every_day_of_the_landing_layout(spark, scratch):
     from skymetrics.operators import coverage
 
