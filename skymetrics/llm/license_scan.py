@@ -50,6 +50,21 @@ TEMPLATES = [
             "conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
             "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                     "derived from this software without specific prior written permission"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+             "license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free "
+             "software foundation either version 3 of the license or at your option any later version"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is "
+            "available at https www eclipse org legal epl 2 0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile "
+                  "sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or "
+                  "non commercial and by any means"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
+             "damages arising from the use of this software permission is granted to anyone to use this software for any purpose including "
+             "commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
             "distributed with this file you can obtain one at http mozilla org mpl 2 0"),
     ("cc-by", "licensed under cc by 4 0"),
@@ -172,27 +187,45 @@ class Scanner:
             matches.append((at + len(run) - n, n, s))
 
     def chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """(template, first word, word after the last, words covered) of the chains of matches, in text order."""
-        open_: dict[int, list[int]] = {}  # template: first, after, covered, place in the template
-        done = []
+        """(template, first word, word after the last, words covered) of the chains of matches, in text order.
+
+        A match goes on from every place of its template where it stands, each
+        time with the open chain that makes it cover most (one whose end is near
+        and lies before that place), or begins a chain.  Chains stay open until
+        the text has left them behind, whatever other ones hold; of chains within
+        another of their template that covers as much, only that one is given.
+        """
+        open_: dict[int, list[list[int]]] = {}  # template: chains as first, after, covered, place in the template, whether gone on from
+        ended: dict[int, list[list[int]]] = {}
         for start, n, state in matches:
-            by_template: dict[int, list[int]] = {}
+            found: dict[int, list[int]] = {}
             for t, end in self.automaton.ends[state]:
-                by_template.setdefault(t, []).append(end - n)
-            for t, begins in by_template.items():
-                chain = open_.get(t)
-                if chain and start - chain[1] <= MOST_GAP:
-                    overlap = max(0, chain[1] - start)
-                    after = [b for b in begins if b + overlap >= chain[3]]
-                    if after and n > overlap:
-                        chain[1], chain[2], chain[3] = start + n, chain[2] + n - overlap, after[0] + n
-                        continue
-                    if n <= chain[2]:
-                        continue
-                if chain:
-                    done.append((t, *chain[:3]))
-                open_[t] = [start, start + n, n, begins[0] + n]
-        return sorted(done + [(t, *chain[:3]) for t, chain in open_.items()], key=lambda c: (c[1], c[0]))
+                found.setdefault(t, []).append(end - n)
+            for t, begins in found.items():
+                near = []
+                for chain in open_.get(t, ()):
+                    (near if start - chain[1] <= MOST_GAP else ended.setdefault(t, [])).append(chain)
+                new = []
+                for begin in begins:
+                    best, most = None, n
+                    for chain in near:
+                        overlap = max(0, chain[1] - start)
+                        if begin + overlap >= chain[3] and n > overlap and chain[2] + n - overlap > most:
+                            best, most = chain, chain[2] + n - overlap
+                    if best:
+                        best[4] = 1
+                    new.append([best[0] if best else start, start + n, most, begin + n, 0])
+                open_[t] = near + new
+        out = []
+        for t in {*open_, *ended}:
+            holder = None
+            for chain in sorted((c for c in ended.get(t, []) + open_.get(t, []) if not c[4]), key=lambda c: (c[0], -c[1], -c[2])):
+                if holder and chain[1] <= holder[1] and chain[2] <= holder[2]:
+                    continue
+                out.append((t, *chain[:3]))
+                if not holder or chain[1] >= holder[1]:
+                    holder = chain
+        return sorted(out, key=lambda c: (c[1], c[0], c[2]))
 
 
 def _scan(scanner: Scanner, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list, list]]:
@@ -233,9 +266,10 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, templates: l
     those of the templates whose spans cover enough.  ``score`` is the largest
     share of a template that a span covers; a phrase found is a share of 1.
     ``spans`` holds (label, first_word, words, covered, share).  NULL and empty
-    texts have no words and no labels (empty strings); a NULL doc_id is carried
-    along, repeated rows are scanned each, and an empty table gives an empty
-    result.  Other columns are not read.
+    texts have no words and no labels (empty strings); a text of any length is
+    taken whole by one task.  A NULL doc_id is carried along, repeated rows are
+    scanned each, and an empty table gives an empty result.  Other columns are
+    not read.
     """
     scanner = Scanner.build(phrases, templates)
     span = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("words", pa.int64()), ("covered", pa.int64()), ("share", pa.float64())])

@@ -88,3 +88,40 @@ def test_templates_with_gaps_are_covered(spark, number):
     assert any(s.label == label and s.first_word == 2 for s in r.spans)
     (r,) = scan(frame(spark, [(1, "nothing of this kind here")])).collect()
     assert (r.labels, r.score) == ("", 0.0)
+
+
+LONG = [i for i, (_, t) in enumerate(TEMPLATES) if len(t.split()) >= 20]
+
+
+@pytest.mark.parametrize("piece", [5, 9])
+def test_a_notice_s_own_words_before_it_do_not_hide_it(spark, piece):
+    # the last words of a notice, another word, and the whole notice with a foreign word after every few
+    rows, want = [], {}
+    for number in LONG:
+        label, text = TEMPLATES[number]
+        w = text.split()
+        pieces = [x for i in range(0, len(w), piece) for x in (*w[i:i + piece], "zzforeign")]
+        for tail in (0, 6, 10, 15, 19):
+            key = 100 * number + tail
+            rows.append((key, " ".join([*w[len(w) - tail:], "zzother", *pieces] if tail else pieces)))
+            want[key] = label
+    for r in scan(frame(spark, rows)).collect():
+        assert want[r.doc_id] in r.labels.split(","), (r.doc_id, r.labels)
+        assert max(x.share for x in r.spans if x.label == want[r.doc_id]) >= 0.6
+
+
+def test_two_notices_in_one_text_are_two_spans(spark):
+    text = TEMPLATES[LONG[0]][1]
+    (r,) = scan(frame(spark, [(1, f"{text} and elsewhere we say nothing more of it for a while at all so that the gap is wide {text}")])).collect()
+    spans = [s for s in r.spans if s.label == TEMPLATES[LONG[0]][0]]
+    n = len(text.split())
+    assert [(s.first_word, s.words, s.covered) for s in spans if s.words == n] == [(0, n, n), (n + 19, n, n)]
+
+
+def test_long_texts_of_one_notice_s_words_are_scanned_in_time(spark):
+    import time
+
+    text = TEMPLATES[LONG[0]][1]
+    begin = time.time()
+    assert scan(frame(spark, [(1, (text + " ") * 2000), (2, " ".join(text.split()[:8]) * 20_000)])).count() == 2
+    assert time.time() - begin < 60
