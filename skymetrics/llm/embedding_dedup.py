@@ -10,7 +10,6 @@ Equal vectors are folded to one with a count first.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
@@ -25,7 +24,12 @@ from skymetrics.llm.staging import stage
 from skymetrics.llm.text import U64, mix
 
 COSINE = 0.9
-TABLES, PROBES = 10, 6
+#: buckets that a vector probes in a table besides its own
+PROBES = 6
+#: share of the pairs at exactly the cosine asked for that there are enough tables for; ones nearer are found more often
+RECALL = 0.97
+#: random pairs from which the share that meets in one table is estimated
+TRIALS = 2000
 #: axes of one hash that probes are made from
 NEAR = 4
 #: vectors of a bucket that are compared with as many others at once
@@ -55,26 +59,67 @@ def axes(x: np.ndarray, rotation: int) -> tuple[np.ndarray, np.ndarray]:
     return 2 * best + (np.take_along_axis(x, best, 1) < 0), (values[:, :1] - values) ** 2
 
 
-def buckets(vectors: np.ndarray, hashes: int) -> np.ndarray:
+def buckets(vectors: np.ndarray, hashes: int, tables: int) -> np.ndarray:
     """For each row and table its own bucket, then those it probes."""
     n, d = vectors.shape
     padded = np.zeros((n, max(2, 1 << (d - 1).bit_length())))
     padded[:, :d] = vectors
-    out = np.zeros((n, TABLES, 1 + PROBES), U64)
-    for table in range(TABLES):
+    out = np.zeros((n, tables, 1 + PROBES), U64)
+    for table in range(tables):
         found = [axes(padded, table * hashes + h) for h in range(hashes)]
-        choices = list(itertools.product(*(range(a.shape[1]) for a, _ in found)))
-        loss = np.stack([sum(cost[:, c] for c, (_, cost) in zip(choice, found, strict=True)) for choice in choices], axis=1)
-        best = np.argsort(loss, axis=1, kind="stable")[:, :1 + PROBES]
+        places = _probed([cost for _, cost in found])
         for place in range(1 + PROBES):
-            chosen = np.array(choices)[best[:, min(place, best.shape[1] - 1)]]
             key = np.full(n, mix(np.array([table * 4099 + d], U64))[0])
             for h, (axis, _) in enumerate(found):
-                key = mix(key ^ (axis[np.arange(n), chosen[:, h]].astype(U64) + U64(1)))
+                key = mix(key ^ (axis[np.arange(n), places[:, place, h]].astype(U64) + U64(1)))
             out[:, table, place] = key
     return out
 
 
+def _probed(losses: list[np.ndarray]) -> np.ndarray:
+    """For each row the PROBES + 1 choices of an axis per hash that lose least, its own bucket first.
+
+    Choices are built up hash by hash; only the best so far can be among the best of more hashes.
+    """
+    n = len(losses[0])
+    cost, places = np.zeros((n, 1)), np.zeros((n, 1, 0), np.int64)
+    for loss in losses:
+        width = loss.shape[1]
+        each = (cost[:, :, None] + loss[:, None, :]).reshape(n, -1)
+        best = np.argsort(each, axis=1, kind="stable")[:, :1 + PROBES]
+        cost = np.take_along_axis(each, best, 1)
+        before = np.take_along_axis(places, (best // width)[:, :, None], 1)
+        places = np.concatenate([before, (best % width)[:, :, None]], axis=2)
+    short = 1 + PROBES - places.shape[1]
+    return np.concatenate([places, np.repeat(places[:, -1:], short, axis=1)], axis=1) if short > 0 else places
+
+
+def meeting_share(width: int, hashes: int, cosine: float) -> float:
+    """Of random pairs of vectors at this cosine, the share that meets in one table: at home, or one probing the other's home."""
+    padded = max(2, 1 << (width - 1).bit_length())
+    random = np.random.default_rng([SEED, width, hashes])
+    x, z = np.zeros((2, TRIALS, padded))
+    x[:, :width], z[:, :width] = random.normal(size=(2, TRIALS, width))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z -= np.einsum("ij,ij->i", x, z)[:, None] * x
+    z /= np.maximum(np.linalg.norm(z, axis=1), 1e-300)[:, None]
+    pairs = [[axes(side, h) for h in range(hashes)] for side in (x, cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * z)]
+    taken = []
+    for found in pairs:
+        places = _probed([loss for _, loss in found])
+        taken.append(np.stack([np.take_along_axis(axis, places[:, :, h], 1) for h, (axis, _) in enumerate(found)], axis=2))
+    one, two = taken
+    forth, back = ((a == b[:, :1]).all(axis=2).any(axis=1) for a, b in ((one, two), (two, one)))
+    return float((forth | back).mean())
+
+
+def tables_for(width: int, hashes: int, cosine: float, recall: float = RECALL) -> int:
+    """How many tables find ``recall`` of the pairs at the cosine; the share of one table is taken a little low."""
+    share = meeting_share(width, hashes, cosine)
+    share = max(1.0 / TRIALS, share - 2 * math.sqrt(share * (1 - share) / TRIALS))
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - share))) if share < 1 else 1
+
+
 def usable(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     """(rows, unit vectors) of those that are finite, whole and not zero."""
     rows, vectors = [], []
@@ -91,7 +136,7 @@ def usable(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(rows, np.int64), vectors
 
 
-def _codes(hashes: int):
+def _codes(hashes: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, len(batch), 2048):
@@ -101,7 +146,7 @@ def _codes(hashes: int):
                 for d in np.unique(lengths):
                     mine = np.flatnonzero(lengths == d)
                     unit = np.stack([vectors[i] for i in mine])
-                    keys = buckets(unit, hashes)
+                    keys = buckets(unit, hashes, tables)
                     chosen = part.take(pa.array(rows[mine]))
                     yield pa.RecordBatch.from_arrays([
                         chosen.column("rep"), chosen.column("copies"),
@@ -112,13 +157,13 @@ def _codes(hashes: int):
     return run
 
 
-def _compare(cosine: float):
+def _compare(cosine: float, tables: int):
     def run(table: pa.Table) -> pa.Table:
         """Links between the vectors of each block pair, every pair counted in one bucket only."""
         place, block, bucket = (table.column(c).to_numpy() for c in ("place", "block", "bucket"))
         rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
         codes = np.stack([np.asarray(x.values, np.int64) for x in table.column("codes").combine_chunks()]) if len(rep) else np.zeros((0, 1), np.int64)
-        codes = codes.reshape(len(rep), TABLES, -1)
+        codes = codes.reshape(len(rep), tables, -1)
         unit = [np.frombuffer(x.as_py(), np.float64) for x in table.column("unit")]
         order = np.lexsort((block, place))
         cuts = np.flatnonzero(np.diff(place[order])) + 1
@@ -175,25 +220,31 @@ def _first_meeting(codes: np.ndarray, i: np.ndarray, j: np.ndarray, bucket: int)
     return keep
 
 
-def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, hashes: int | None = None, recall: float = RECALL) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Links are the pairs found of cosine at least ``cosine``; ``n_links`` counts
-    other rows.  Vectors that are NULL, empty, zero, or hold NULL or non-finite
-    components link with nothing, nor do vectors of different lengths.  A NULL
-    vec_id is left out of ``component_id`` (NULL for itself, and not kept), and
-    equal ids are taken as one vector's rows; an empty table gives an empty
-    result.  Other columns are not read.
+    other rows.  There are as many tables as find the share ``recall`` of the
+    pairs at just that cosine, whatever the number of ``hashes`` in a table
+    (by default as many as let about one unlike vector share a bucket).  Vectors
+    that are NULL, empty, zero, or hold NULL or non-finite components link with
+    nothing, nor do vectors of different lengths.  vec_id is cast to long; rows
+    that share one are rows each, and a NULL one is left out of ``component_id``
+    (NULL for itself, and not kept).  An empty table gives an empty result.
+    Other columns are not read.
     """
     n_parts = exchange.parts(embeddings.sparkSession)
-    rows = embeddings.select("vec_id", "embedding")
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    # distinct vectors are numbered in the order of their smallest vec_id: the smallest number reached names a component
     reps = stage(
         rows.filter("embedding IS NOT NULL AND vec_id IS NOT NULL").groupBy("embedding")
-        .agg(F.min(F.col("vec_id").cast("long")).alias("rep"), F.count(F.lit(1)).alias("copies")), "reps")
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+        .orderBy("least").withColumn("rep", F.monotonically_increasing_id()), "reps")
     count, width = reps.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     # so many hashes a table that about one unlike vector shares a bucket by chance
-    hashes = max(1, math.ceil(math.log(max(2, count)) / math.log(2 * max(2, width or 2))))
-    coded = stage(reps.select("rep", "copies", "embedding").mapInArrow(_codes(hashes), "rep long, copies long, unit binary, codes array<long>"), "codes")
+    hashes = hashes or max(1, math.ceil(math.log(max(2, count)) / math.log(2 * max(2, width or 2))))
+    tables = tables_for(max(2, width or 2), hashes, cosine, recall)
+    coded = stage(reps.select("rep", "copies", "embedding").mapInArrow(_codes(hashes, tables), "rep long, copies long, unit binary, codes array<long>"), "codes")
     met = coded.select("rep", F.posexplode("codes").alias("at", "bucket")).withColumn("home", (F.col("at") % (1 + PROBES) == 0).cast("int"))
     sizes = stage(
         met.groupBy("bucket").agg(F.countDistinct("rep").alias("n"), F.max("home").alias("home")).filter("n > 1 AND home = 1")
@@ -204,15 +255,17 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     places = pairs.select("bucket", "rep", "block", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("place"))
     links = stage(
         stage(places, "places").join(coded, "rep").withColumn("part", F.pmod("place", F.lit(n_parts)))
-        .groupBy("part").applyInArrow(_compare(cosine), "a long, b long, links long"), "links")
+        .groupBy("part").applyInArrow(_compare(cosine, tables), "a long, b long, links long"), "links")
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    reached = components(links.select("a", "b")).select(F.col("node").alias("rep"), "component")
+    reached = components(links.select("a", "b")).select(F.col("node").alias("rep"), F.col("component").alias("top"))
+    names = reps.select(F.col("rep").alias("top"), F.col("least").alias("component_id"))
     classes = stage(
         coded.select("rep", "copies").join(counts, "rep", "left").join(reached, "rep", "left")
-        .select("rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "classes")
+        .withColumn("top", F.coalesce("top", "rep")).join(names, "top")
+        .select("rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "classes")
     known = stage(reps.select("embedding", "rep").join(classes, "rep"), "known")
     out = rows.join(known, "embedding", "left")
     alone = F.col("rep").isNull() | F.col("vec_id").isNull()
-    component = F.when(alone, F.col("vec_id").cast("long")).otherwise(F.col("component_id"))
+    component = F.when(alone, F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

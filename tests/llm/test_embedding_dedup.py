@@ -1,9 +1,10 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
-from skymetrics.llm.embedding_dedup import hadamard, near_duplicates
+from skymetrics.llm.embedding_dedup import hadamard, near_duplicates, tables_for
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
                        T.StructField("rep", T.LongType()), T.StructField("copies", T.StringType())])
@@ -85,3 +86,32 @@ def test_hadamard_is_the_matrix():
 
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_rows_of_one_id_with_unlike_vectors(spark):
+    vectors = clusters(5, 3, 1, 1.0, 1.0)
+    rows = [(1, vectors[0]), (1, vectors[1]), (2, vectors[2]), (3, vectors[2]), (1, vectors[0]), (0, vectors[1])]
+    out = got(near_duplicates(frame(spark, rows)))
+    assert out == sorted([(1, 1, 1, True), (1, 1, 1, True), (1, 1, 0, False), (0, 1, 0, True), (2, 1, 2, True), (3, 1, 2, False)], key=str)
+
+
+@pytest.mark.parametrize("hashes", [1, 3, 4, 5, 6])
+def test_recall_whatever_the_number_of_hashes(spark, hashes):
+    # pairs at exactly the limit, the hardest ones
+    r = np.random.default_rng(hashes)
+    x, z = r.normal(size=(2, 200, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z -= np.einsum("ij,ij->i", x, z)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    y = 0.9001 * x + math.sqrt(1 - 0.9001 ** 2) * z
+    rows = list(enumerate(np.vstack([x, y]).astype(np.float32).tolist()))
+    want = sum(r[1] for r in brute(rows))
+    have = sum(r[1] for r in got(near_duplicates(frame(spark, rows), hashes=hashes)))
+    assert want == 400 and 0.94 * want <= have <= want
+
+
+def test_tables_grow_with_hashes_and_width():
+    counts = {(w, h): tables_for(w, h, 0.9) for w in (64, 384, 768) for h in (2, 4, 6)}
+    assert all(counts[w, 2] < counts[w, 4] < counts[w, 6] for w in (64, 384, 768))
+    assert all(counts[64, h] <= counts[384, h] <= counts[768, h] for h in (2, 4, 6))
+    assert tables_for(64, 1, 1.0) == 1
