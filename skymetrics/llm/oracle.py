@@ -74,4 +74,62 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY rank <= 3
 """
 
-SQL = {"op1_exact_dedup": EXACT_DEDUP, "op12_resampling": RESAMPLING, "op13_hard_negatives": HARD_NEGATIVES}
+#: equal sets stand once while pairs are looked for; the classes are what links reach
+JACCARD_JOIN = r"""
+WITH RECURSIVE
+cut AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE
+               WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS shingles FROM cut),
+kinds AS (SELECT shingles, min(doc_id) AS name, len(shingles) AS n FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+apart AS (SELECT name, n, unnest(shingles) AS x FROM kinds),
+links AS (
+    SELECT a.name AS a, b.name AS b FROM apart a JOIN apart b ON a.x = b.x AND a.name <> b.name
+    GROUP BY a.name, b.name, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT name AS a, name AS b FROM kinds UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+classes AS (SELECT a AS name, min(b) AS component FROM reach GROUP BY a)
+SELECT doc_id, len(sets.shingles)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id
+FROM sets LEFT JOIN kinds USING (shingles) LEFT JOIN classes USING (name)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH cut AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT r, unnest(list_transform(range(1, len(w) - 33), lambda i: {'i': i, 's': sha256(array_to_string(w[i:i + 34], ' '))})) AS x
+    FROM cut WHERE len(w) >= 35),
+again AS (SELECT r, x.i AS i FROM windows QUALIFY count(*) OVER (PARTITION BY x.s) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM again),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM cut),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (SELECT count(*) FROM gone WHERE gone.r = cut.r) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (r)
+"""
+
+#: every pair is compared: what hashing misses would show
+EMBEDDING_DEDUP = """
+WITH RECURSIVE
+unit AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+classes AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN classes USING (vec_id)
+"""
+
+SQL = {
+    "op1_exact_dedup": EXACT_DEDUP,
+    "op3_jaccard_join": JACCARD_JOIN,
+    "op5_substring_dedup": SUBSTRING_DEDUP,
+    "op9_embedding_dedup": EMBEDDING_DEDUP,
+    "op12_resampling": RESAMPLING,
+    "op13_hard_negatives": HARD_NEGATIVES,
+}
