@@ -7,9 +7,13 @@ asked for bounds that difference by some k; the sketch is cut into more than k
 chunks, so linked documents agree in a whole chunk (pigeonhole), and documents
 are joined on the digests of their chunks.
 
-A few extra chunks let empty ones, which unlike documents share, be left out
-without losing a pair.  Of the documents that share a chunk the smallest is
-the leader.  A document is compared to its smallest leader first; only where
+What is joined are sets, not documents: a set is named by its size and 128 bits of
+hashes of its shingles, so documents with equal sets are one node from the start,
+and only the document with the smallest id stands for them when texts are compared.
+
+A few extra chunks let empty ones, which unlike sets share, be left out
+without losing a pair.  Of the sets that share a chunk the smallest is
+the leader.  A set is compared to its smallest leader first; only where
 that leaves several components are a leader and its members compared with each
 other, in blocks.  Either time whole sketches are compared before texts are
 sent: their Hamming distance is a lower bound of the symmetric difference, so
@@ -24,12 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skymetrics.llm import exchange
 from skymetrics.llm.components import components
-from skymetrics.llm.exchange import FLUSH, ROW, ROW_NAMES, ROW_STRUCT, copy_rows, original_id, row_array, same_row, unpacked
+from skymetrics.llm.exchange import FLUSH, ROW, ROW_NAMES, ROW_STRUCT, copy_rows, original_id, row_array, unpacked
 from skymetrics.llm.staging import stage
 from skymetrics.llm.text import LOWER, SPACES, U64, Words, distinct, mix, shingles, slices
 
@@ -43,12 +48,17 @@ FOLD = 32
 #: texts that are compared with each other at once
 BLOCK = 1024
 
-KEY = [("key", "<u8"), *ROW]
-SET = [("n", "<i8"), ("first", "<u8"), ("second", "<u8"), *ROW]
-COUNT = [("n", "<i8"), *ROW]
-PAIR = [*ROW, *((f"other_{name}", kind) for name, kind in ROW)]
-KEYS, SETS, COUNTS, PAIRS, EQUALS, MET = range(6)
-PAIR_SCHEMA = f"kind int, n long, a {ROW_STRUCT}, b {ROW_STRUCT}"
+#: a set: the order is by hash, so that leaders are the same ones in every chunk and no size of them is preferred
+NODE = [("first", "<i8"), ("second", "<i8"), ("n", "<i8")]
+NODE_NAMES = [name for name, _ in NODE]
+NODE_STRUCT = "struct<first:long,second:long,n:long>"
+KEY = [("key", "<u8"), *NODE]
+OWNER = [*ROW, *NODE]
+PAIR = [*NODE, *((f"other_{name}", kind) for name, kind in NODE)]
+KEYS, OWNERS, PAIRS, MET, SKETCHES = range(5)
+FOUND_SCHEMA = f"kind int, row {ROW_STRUCT}, a {NODE_STRUCT}, b {NODE_STRUCT}, sketch binary"
+#: a key that more than one in so many rows have is joined by broadcast: there are fewer such keys than this
+HEAD = 1024
 
 
 def bands(longest: int) -> np.ndarray:
@@ -100,75 +110,95 @@ def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray
     return distinct(*shingles(words, words.hashes(), width))
 
 
-def _leaders(records: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(first of each run of equal ``names``, smallest row first; PAIR records of it and the others)."""
+def _structs(records: np.ndarray, names: list[str], prefix: str = "") -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(records[prefix + name]) for name in names], names)
+
+
+def _same(records: np.ndarray, names: list[str]) -> np.ndarray:
+    """Whether each record but the first equals the one before it in ``names``."""
+    return np.logical_and.reduce([records[name][1:] == records[name][:-1] for name in names])
+
+
+def _each_once(records: np.ndarray, names: list[str]) -> np.ndarray:
+    """``records`` in the order of ``names``, of those equal in them one."""
     if not len(records):
-        return records, np.zeros(0, PAIR)
-    order = np.lexsort([records[n] for n in (*reversed(ROW_NAMES), *reversed(names))])
-    records = records[order]
-    new = np.ones(len(records), bool)
-    new[1:] = np.any([records[n][1:] != records[n][:-1] for n in names], axis=0)
-    leader = records[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    other = ~new & ~same_row(leader, records)
-    return records[new], np.unique(_pairs(leader[other], records[other]))
+        return records
+    records = records[np.lexsort([records[name] for name in reversed(names)])]
+    return records[np.concatenate([[True], ~_same(records, names)])]
 
 
 def _pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """PAIR records of rows and others."""
+    """PAIR records of sets and others."""
     out = np.zeros(len(two), PAIR)
-    for name in ROW_NAMES:
+    for name in NODE_NAMES:
         out[name], out[f"other_{name}"] = one[name], two[name]
     return out
 
 
+def _leaders(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest set of each chunk, PAIR records of it and the others) of KEY records as ``_each_once`` gives them."""
+    if not len(keys):
+        return keys, np.zeros(0, PAIR)
+    new = np.concatenate([[True], keys["key"][1:] != keys["key"][:-1]])
+    leader = keys[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return keys[new], _each_once(_pairs(leader[~new], keys[~new]), [name for name, _ in PAIR])
+
+
 class _Sender:
+    """Gathers what a task finds out of its texts; equal sets of a flush are sent once."""
+
     def __init__(self, n_parts: int):
-        self.n_parts, self.held, self.size = n_parts, [[], [], []], 0
+        self.n_parts, self.held, self.sketches, self.size = n_parts, [[], []], {}, 0
 
-    def add(self, *records: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for held, new in zip(self.held, records, strict=True):
+    def add(self, keys: np.ndarray, owners: np.ndarray, sketches: list[bytes]) -> Iterator[pa.RecordBatch]:
+        for held, new in zip(self.held, (keys, owners), strict=True):
             held.append(new)
-        self.size += len(records[0])
+        for node, sketch in zip(owners[NODE_NAMES].tolist(), sketches, strict=True):
+            if node[-1]:
+                self.sketches[node] = sketch
+        self.size += len(keys) + len(owners)
         if self.size >= FLUSH:
             yield from self.send()
 
     def send(self) -> Iterator[pa.RecordBatch]:
         if not self.held[0]:
             return
-        keys, sets, counts = (np.concatenate(x) for x in self.held)
-        self.held, self.size = [[], [], []], 0
-        part = lambda x: (x >> U64(33)).astype(np.int64) % self.n_parts
+        keys, owners = (np.concatenate(x) for x in self.held)
+        sketches, self.held, self.sketches, self.size = self.sketches, [[], []], {}, 0
+        keys = _each_once(keys, ["key", *NODE_NAMES])
         _, place, count = np.unique(keys["key"], return_inverse=True, return_counts=True)
         many = count[place] > FOLD
-        folded, pairs = _leaders(keys[many], ["key"])
+        folded, pairs = _leaders(keys[many])
         keys = np.concatenate([keys[~many], folded])
-        sets, equals = _leaders(sets, ["first", "second", "n"])
-        keys = keys[np.lexsort((keys["more"], keys["hash"], keys["id"]))]
-        yield from exchange.rows(part(keys["key"]), keys, self.n_parts, KEYS)
-        yield from exchange.rows(part(sets["first"]), sets, self.n_parts, SETS)
-        for kind, records in ((COUNTS, counts), (PAIRS, pairs), (EQUALS, equals)):
-            yield from exchange.rows(records["hash"] % self.n_parts, records, self.n_parts, kind)
-
+        keys = keys[np.lexsort((keys["second"], keys["first"]))]
+        yield from exchange.rows((keys["key"] >> U64(33)).astype(np.int64) % self.n_parts, keys, self.n_parts, KEYS)
+        yield from exchange.rows(owners["hash"] % self.n_parts, owners, self.n_parts, OWNERS)
+        yield from exchange.rows(pairs["first"] % self.n_parts, pairs, self.n_parts, PAIRS)
+        if sketches:
+            nodes = np.array(list(sketches), NODE)
+            data = [node.tobytes() + sketch for node, sketch in zip(nodes, sketches.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes["first"] % self.n_parts, pa.int32()), pa.array(np.full(len(data), SKETCHES), pa.int32()), pa.array(data, pa.binary())],
+                ["part", "kind", "records"])
 
-def _row_structs(records: np.ndarray, prefix: str = "") -> pa.StructArray:
-    return pa.StructArray.from_arrays([pa.array(records[prefix + name]) for name in ROW_NAMES], ROW_NAMES)
 
-
-def _pair_table(kind: int, pairs: np.ndarray) -> pa.RecordBatch:
-    ends = [_row_structs(pairs, prefix) for prefix in ("", "other_")]
-    n = len(pairs)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind), pa.int32()), pa.nulls(n, pa.int64()), *ends], ["kind", "n", "a", "b"])
+def _found(kind: int, n: int, **columns: pa.Array) -> pa.Table:
+    return pa.table([pa.array(np.full(n, kind), pa.int32()), *(columns.get(name, pa.nulls(n)) for name in ("row", "a", "b", "sketch"))],
+                    ["kind", "row", "a", "b", "sketch"])
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Of a part's records: set sizes, pairs that share a chunk (within a task, or met here), pairs of equal sets."""
-    counts = unpacked(table, COUNTS, COUNT)
-    row = _row_structs(counts)
-    out = [pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), COUNTS), pa.int32()), pa.array(counts["n"]), row, row], ["kind", "n", "a", "b"])]
-    out += [_pair_table(kind, unpacked(table, kind, PAIR)) for kind in (PAIRS, EQUALS)]
-    for kind, pairs_kind, dtype, names in ((KEYS, MET, KEY, ["key"]), (SETS, EQUALS, SET, ["first", "second", "n"])):
-        out.append(_pair_table(pairs_kind, _leaders(unpacked(table, kind, dtype), names)[1]))
-    return pa.Table.from_batches(out)
+    """Of a part's records: the set of each row, pairs of sets that share a chunk (within a task, or met here), the sketch of each set."""
+    owners = unpacked(table, OWNERS, OWNER)
+    out = [_found(OWNERS, len(owners), row=_structs(owners, ROW_NAMES), a=_structs(owners, NODE_NAMES))]
+    met = _leaders(_each_once(unpacked(table, KEYS, KEY), ["key", *NODE_NAMES]))[1]
+    for kind, pairs in ((PAIRS, unpacked(table, PAIRS, PAIR)), (MET, met)):
+        out.append(_found(kind, len(pairs), a=_structs(pairs, NODE_NAMES), b=_structs(pairs, NODE_NAMES, "other_")))
+    head = np.dtype(NODE).itemsize
+    sketches = {x[:head]: x[head:] for x in table.column("records").filter(pc.equal(table.column("kind"), SKETCHES)).to_pylist()}
+    nodes = np.frombuffer(b"".join(sketches), np.dtype(NODE))
+    out.append(_found(SKETCHES, len(nodes), a=_structs(nodes, NODE_NAMES), sketch=pa.array(list(sketches.values()), pa.binary())))
+    return pa.concat_tables(out, promote_options="permissive")
 
 
 def _bit_sketches(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -181,21 +211,6 @@ def _bit_sketches(keys: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> lis
     return [data[(e - b) // 8:e // 8] for b, e in zip(bits.tolist(), ends.tolist(), strict=True)]
 
 
-def _sketches(keyed: DataFrame, width: int) -> DataFrame:
-    """(row, n, sketch) of every row that has shingles, each once."""
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = row_array(batch)
-            for a, b, data, offsets in slices(batch.column("text")):
-                keys, owner = _sets(data, offsets, width)
-                sizes = np.bincount(owner, minlength=b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [_row_structs(rows[a:b]), pa.array(sizes, pa.int64()), pa.array(_bit_sketches(keys, owner, sizes), pa.binary())],
-                    ["row", "n", "sketch"])
-
-    return keyed.drop("part").mapInArrow(sketch, f"row {ROW_STRUCT}, n long, sketch binary").filter("n > 0").dropDuplicates(["row"])
-
-
 def _folded(sketch: bytes, n_words: int) -> np.ndarray:
     """A sketch at a smaller power of two bits."""
     out = np.frombuffer(sketch, np.uint64)
@@ -218,7 +233,7 @@ def _groups(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _within_bound(percent: int):
-    """The rows that have a row of another component on the other side whose sketch is near enough for a link."""
+    """The sets that have a set of another component on the other side whose sketch is near enough for a link."""
     def run(table: pa.Table) -> pa.Table:
         sketches, kept = table.column("sketch").to_pylist(), np.zeros(table.num_rows, bool)
         n, joined = table.column("n").to_numpy(), table.column("joined").to_numpy()
@@ -233,16 +248,16 @@ def _within_bound(percent: int):
                 if near.any():
                     kept[i] = True
                     kept[two[near]] = True
-        return table.select(["row", "place", "side"]).filter(pa.array(kept))
+        return table.select(["node", "place", "side"]).filter(pa.array(kept))
 
     return run
 
 
 def _near(places: DataFrame, sketches: DataFrame, n_parts: int, percent: int) -> DataFrame:
-    """Of ``places`` (row, place, side, joined) the rows whose texts have to be compared there."""
+    """Of ``places`` (node, place, side, joined) the sets whose texts have to be compared there."""
     return (
-        places.join(sketches, "row").withColumn("part", F.pmod("place", F.lit(n_parts)))
-        .groupBy("part").applyInArrow(_within_bound(percent), f"row {ROW_STRUCT}, place long, side int")
+        places.join(sketches, "node").withColumn("n", F.col("node.n")).withColumn("part", F.pmod("place", F.lit(n_parts)))
+        .groupBy("part").applyInArrow(_within_bound(percent), f"node {NODE_STRUCT}, place long, side int")
     )
 
 
@@ -254,35 +269,37 @@ def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> Dat
             for a, b, data, offsets in slices(batch.column("text")):
                 keys, owner = _sets(data, offsets, width)
                 sizes = np.bincount(owner, minlength=b - a)
-                mine = rows[a:b]
                 chunk, of = chunk_keys(keys, owner, sizes, percent)
-                records, sets, counts = np.zeros(len(chunk), KEY), np.zeros(b - a, SET), np.zeros(b - a, COUNT)
-                records["key"] = chunk
+                owners, records = np.zeros(b - a, OWNER), np.zeros(len(chunk), KEY)
+                copy_rows(owners, rows[a:b])
+                owners["n"] = sizes
                 ends = np.cumsum(sizes)
                 for i, name in enumerate(("first", "second")):
                     total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(keys + U64(i)))])
-                    sets[name] = total[ends] - total[ends - sizes]
-                sets["n"] = counts["n"] = sizes
-                for target, which in ((records, of), (sets, slice(None)), (counts, slice(None))):
-                    copy_rows(target, mine[which])
-                yield from sender.add(records, sets[sizes > 0], counts)
+                    owners[name] = (total[ends] - total[ends - sizes]).view(np.int64)
+                records["key"] = chunk
+                for name in NODE_NAMES:
+                    records[name] = owners[name][of]
+                yield from sender.add(records, owners, _bit_sketches(keys, owner, sizes))
         yield from sender.send()
 
-    return keyed.drop("part").mapInArrow(sketch, exchange.SCHEMA).groupBy("part").applyInArrow(_meet, PAIR_SCHEMA)
+    return keyed.drop("part").mapInArrow(sketch, exchange.SCHEMA).groupBy("part").applyInArrow(_meet, FOUND_SCHEMA)
 
 
 def _verify(width: int, percent: int):
     """Links between the texts of side 0 and those of side 1 of each place in a part, without those that close a cycle."""
     def run(table: pa.Table) -> pa.Table:
-        rows = row_array(table)
-        sizes, sets = np.zeros(len(rows), np.int64), []
+        nodes = np.zeros(table.num_rows, NODE)
+        for name in NODE_NAMES:
+            nodes[name] = table.column(name).to_numpy()
+        sizes, sets = np.zeros(len(nodes), np.int64), []
         for a, b, data, offsets in slices(table.column("text")):
             keys, owner = _sets(data, offsets, width)
             sizes[a:b] = np.bincount(owner, minlength=b - a)
             sets.append(keys)
         keys = np.concatenate([*sets, np.zeros(0, U64)])
         ends = np.cumsum(sizes)
-        links, label = [], np.arange(len(rows))
+        links, label = [], np.arange(len(nodes))
         for one, two in _groups(table):
             label[one], label[two] = one, two
             theirs = np.concatenate([keys[ends[i] - sizes[i]:ends[i]] for i in two])
@@ -297,19 +314,19 @@ def _verify(width: int, percent: int):
                 linked = linked[label[linked] != label[i]]
                 for side in (one, two):
                     label[side[np.isin(label[side], label[linked])]] = label[i]
-                links.append(_pairs(rows[i], rows[linked]))
-        batch = _pair_table(PAIRS, np.concatenate([*links, np.zeros(0, PAIR)]))
-        return pa.Table.from_batches([batch]).select(["a", "b"])
+                links.append(_pairs(nodes[i], nodes[linked]))
+        pairs = np.concatenate([*links, np.zeros(0, PAIR)])
+        return pa.table([_structs(pairs, NODE_NAMES), _structs(pairs, NODE_NAMES, "other_")], ["a", "b"])
 
     return run
 
 
 def _linked(keyed: DataFrame, wanted: DataFrame, n_parts: int, width: int, percent: int) -> DataFrame:
-    """Verified links (a, b): ``wanted`` names the rows, and for each the place and side it is compared on."""
-    texts = keyed.select(F.struct(*ROW_NAMES).alias("row"), *ROW_NAMES, "text").join(wanted, "row").drop("row")
+    """Verified links (a, b): ``wanted`` names the sets, a row that has each, and the place and side it is compared on."""
+    texts = keyed.select(F.struct(*ROW_NAMES).alias("row"), "text").join(wanted, "row")
     return (
-        texts.withColumn("part", F.pmod("place", F.lit(n_parts)))
-        .groupBy("part").applyInArrow(_verify(width, percent), f"a {ROW_STRUCT}, b {ROW_STRUCT}")
+        texts.select("node.*", "text", "place", "side", F.pmod("place", F.lit(n_parts)).alias("part"))
+        .groupBy("part").applyInArrow(_verify(width, percent), f"a {NODE_STRUCT}, b {NODE_STRUCT}")
     )
 
 
@@ -317,9 +334,9 @@ def _star_places(stars: DataFrame) -> DataFrame:
     """Leaders against their members, the members of large stars in blocks."""
     sizes = stage(stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
     leaders = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).select(
-        F.col("a").alias("row"), F.xxhash64("a", "block").alias("place"), F.lit(0).alias("side"), F.xxhash64("a").alias("joined"))
+        F.col("a").alias("node"), F.xxhash64("a", "block").alias("place"), F.lit(0).alias("side"), F.xxhash64("a").alias("joined"))
     members = stars.join(sizes, "a").select(
-        F.col("b").alias("row"), F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).alias("place"), F.lit(1).alias("side"),
+        F.col("b").alias("node"), F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).alias("place"), F.lit(1).alias("side"),
         F.xxhash64("b").alias("joined"))
     return leaders.unionByName(members)
 
@@ -342,8 +359,18 @@ def _open_places(stars: DataFrame, found: DataFrame) -> DataFrame:
     ones = open_.filter("outside").withColumn("i", outer).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     twos = open_.withColumn("j", inner).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)))
     place = F.xxhash64("a", "i", "j").alias("place")
-    return ones.select(F.col("b").alias("row"), place, F.lit(0).alias("side"), "joined").unionByName(
-        twos.select(F.col("b").alias("row"), place, F.lit(1).alias("side"), "joined"))
+    return ones.select(F.col("b").alias("node"), place, F.lit(0).alias("side"), "joined").unionByName(
+        twos.select(F.col("b").alias("node"), place, F.lit(1).alias("side"), "joined"))
+
+
+def _with_head(rows: DataFrame, of: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined on ``key`` with ``of``, which has each key once and in ``held`` how many rows have it.
+
+    The keys of more than one in HEAD rows, fewer than HEAD of them, are joined by broadcast, so no task gets all rows of one.
+    """
+    many = of.filter(F.col("held") * HEAD > (of.agg(F.sum("held")).first()[0] or 0))
+    head = F.broadcast(many.drop("held"))
+    return rows.join(head, key).unionByName(rows.join(F.broadcast(many.select(key)), key, "left_anti").join(of.drop("held"), key))
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -365,34 +392,32 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     n_parts = exchange.parts(docs.sparkSession)
     keyed = exchange.with_row_key(docs, n_parts)
     found = stage(_candidates(keyed, n_parts, width, percent), "candidates")
-    equals = found.filter(F.col("kind") == EQUALS).select("a", "b")
-    # equal sets: a member's leader in its task, or that one's leader
-    up = equals.select(F.col("b").alias("a"), F.col("a").alias("top"))
-    alias = stage(equals.join(up, "a", "left").select(F.col("b").alias("row"), F.coalesce("top", "a").alias("same")), "equal_sets")
-    inside = found.filter(F.col("kind") == PAIRS).select("a", "b").distinct()
-    met = found.filter(F.col("kind") == MET).select("a", "b").distinct()
+    rows = found.filter(F.col("kind") == OWNERS).select("row", F.col("a").alias("node"))
+    sketches = found.filter(F.col("kind") == SKETCHES).select(F.col("a").alias("node"), "sketch")
+    least = F.min("row").alias("row"), F.count(F.lit(1)).alias("held")
+    sets = stage(rows.filter("node.n > 0").groupBy("node").agg(*least), "sets")
+    inside = found.filter(F.col("kind") == PAIRS).select("a", "b")
+    met = found.filter(F.col("kind") == MET).select("a", "b")
     # the members that a task's leader stood for belong to the leader it met, too
     through = met.join(inside.select(F.col("a").alias("b"), F.col("b").alias("member")), "b").select("a", F.col("member").alias("b"))
-    pairs = stage(inside.unionByName(met).unionByName(through).distinct(), "pairs")
-    for end in ("a", "b"):
-        pairs = pairs.join(alias.withColumnRenamed("row", end), end, "left").withColumn(end, F.coalesce("same", end)).drop("same")
-    stars = stage(pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    sizes = found.filter(F.col("kind") == COUNTS).select(F.col("a").alias("node"), "n").distinct()
-    near = stage(
-        stars.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).groupBy("b").agg(F.min("a").alias("a")), "near_stars")
-    sketches = stage(_sketches(keyed, width), "sketches")
-    wanted = stage(_near(_star_places(near), sketches, n_parts, percent), "near")
-    links = stage(_linked(keyed, wanted, n_parts, width, percent), "links")
-    same = equals.unionByName(links)
-    reached = components(same)
-    places = stage(_near(_open_places(stars, reached), sketches, n_parts, percent), "open_places")
+    stars = stage(inside.unionByName(met).unionByName(through).distinct(), "stars")
+    alike = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+    near = stage(stars.filter(alike).groupBy("b").agg(F.min("a").alias("a")), "near_stars")
+
+    def wanted(places: DataFrame, name: str) -> DataFrame:
+        return stage(_near(places, sketches, n_parts, percent).join(sets.select("node", "row"), "node"), name)
+
+    def links(places: DataFrame) -> DataFrame:
+        return stage(_linked(keyed, places, n_parts, width, percent), "links")
+
+    reached = components(links(wanted(_star_places(near), "near")))
+    places = wanted(_open_places(stars, reached), "open_places")
     if not places.isEmpty():
-        more = stage(_linked(keyed, places, n_parts, width, percent), "links")
-        reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    rows = found.filter(F.col("kind") == COUNTS).select(F.col("a").alias("node"), "n")
-    out = rows.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return out.select(original_id("node").alias("doc_id"), F.col("n").alias("n_shingles"),
+        reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links(places)))
+    rooted = stage(sets.join(reached, "node", "left").select("node", "row", "held", F.coalesce("component", "node").alias("root")), "rooted")
+    roots = stage(rooted.groupBy("root").agg(*least), "roots").withColumnRenamed("row", "component")
+    classes = stage(_with_head(rooted.select("node", "held", "root"), roots, "root").drop("root"), "classes")
+    out = _with_head(rows.filter("node.n > 0"), classes, "node").unionByName(rows.filter("node.n = 0").withColumn("component", F.col("row")))
+    return out.select(original_id("row").alias("doc_id"), F.col("node.n").alias("n_shingles"),
                       original_id("component").alias("component_id"),
-                      (F.col("node") == F.col("component")).alias("kept"), F.struct("node.hash", "node.more").alias("row_hash"))
+                      (F.col("row") == F.col("component")).alias("kept"), F.struct("row.hash", "row.more").alias("row_hash"))

@@ -72,6 +72,28 @@ def test_equals_brute_force(spark, monkeypatch, width, percent, block, groups, e
     assert got(J.jaccard_join(frame(spark, data).repartition(11), width, percent)) == brute(data, width, percent)
 
 
+@pytest.mark.parametrize("head", [1024, 3])
+def test_copies_are_one_set(spark, monkeypatch, head):
+    monkeypatch.setattr(J, "HEAD", head)
+    one, other = (" ".join(f"{c}{i % 37}" for i in range(n)) for c, n in (("a", 60), ("b", 50)))
+    data = [*((i, one if i % 3 else one.upper() + " ") for i in range(5, 200)), (300, one + " end"), (301, other), (302, other), (None, ""), (2, "")]
+    r = J.jaccard_join(frame(spark, data).repartition(7), 4, 85)
+    assert got(r) == brute(data, 4, 85)
+    assert r.filter("kept").count() == 4
+
+
+def test_a_task_sends_equal_sets_once():
+    sender = J._Sender(3)
+    owners, keys = np.zeros(50, J.OWNER), np.zeros(100, J.KEY)
+    owners["id"], owners["first"], owners["n"] = np.arange(50), np.arange(50) % 2, 7
+    keys["key"], keys["first"], keys["n"] = np.arange(100) % 4, np.arange(100) % 2, 7
+    list(sender.add(keys, owners, [b"x" * 8] * 50))
+    sent = [x for batch in sender.send() for x in batch.to_pylist()]
+    of = lambda kind, dtype: np.concatenate([np.frombuffer(x["records"], dtype) for x in sent if x["kind"] == kind])
+    assert len(of(J.KEYS, J.KEY)) == 4 and len(of(J.OWNERS, J.OWNER)) == 50
+    assert sum(x["kind"] == J.SKETCHES for x in sent) == 2
+
+
 def test_empty_table(spark):
     assert J.jaccard_join(frame(spark, [])).count() == 0
 
