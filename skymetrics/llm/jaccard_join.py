@@ -59,6 +59,8 @@ KEYS, OWNERS, PAIRS, MET, SKETCHES = range(5)
 FOUND_SCHEMA = f"kind int, row {ROW_STRUCT}, a {NODE_STRUCT}, b {NODE_STRUCT}, sketch binary"
 #: a key that more than one in so many rows have is joined by broadcast: there are fewer such keys than this
 HEAD = 1024
+#: 64-bit words of the filter that texts pass before they are sent: at most so many rows are broadcast, whatever the input
+FILTER_WORDS = 1 << 20
 
 
 def bands(longest: int) -> np.ndarray:
@@ -321,9 +323,21 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _may_be_in(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``texts`` without most of the rows that ``wanted`` does not name.
+
+    A bit of FILTER_WORDS * 64 is set for each row wanted, by its hash.  A filter of fixed size only lets more rows
+    through when more are wanted than it has bits; the join that follows is exact.
+    """
+    word = F.pmod(F.shiftright("row.hash", 6), F.lit(FILTER_WORDS)).cast("int").alias("word")
+    bit = F.expr("cast(row.hash & 63 as int)")
+    words = wanted.select(word, F.expr("shiftleft(1L, cast(row.hash & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return texts.select("*", word).join(F.broadcast(words), "word").filter(F.getbit("bits", bit) == 1).drop("word", "bits")
+
+
 def _linked(keyed: DataFrame, wanted: DataFrame, n_parts: int, width: int, percent: int) -> DataFrame:
     """Verified links (a, b): ``wanted`` names the sets, a row that has each, and the place and side it is compared on."""
-    texts = keyed.select(F.struct(*ROW_NAMES).alias("row"), "text").join(wanted, "row")
+    texts = _may_be_in(keyed.select(F.struct(*ROW_NAMES).alias("row"), "text"), wanted).join(wanted, "row")
     return (
         texts.select("node.*", "text", "place", "side", F.pmod("place", F.lit(n_parts)).alias("part"))
         .groupBy("part").applyInArrow(_verify(width, percent), f"a {NODE_STRUCT}, b {NODE_STRUCT}")

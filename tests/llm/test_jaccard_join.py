@@ -94,6 +94,15 @@ def test_a_task_sends_equal_sets_once():
     assert sum(x["kind"] == J.SKETCHES for x in sent) == 2
 
 
+@pytest.mark.parametrize("n_words", [1, 1 << 20])
+def test_filter_lets_all_wanted_rows_through(spark, monkeypatch, n_words):
+    monkeypatch.setattr(J, "FILTER_WORDS", n_words)
+    rows = spark.range(4000).selectExpr("named_struct('id', id, 'hash', xxhash64(id), 'more', 0L) AS row")
+    wanted = rows.filter("row.id % 10 = 0")
+    kept = {r.row.id for r in J._may_be_in(rows, wanted).collect()}
+    assert set(range(0, 4000, 10)) <= kept and (len(kept) < 410 or n_words == 1)
+
+
 def test_empty_table(spark):
     assert J.jaccard_join(frame(spark, [])).count() == 0
 
