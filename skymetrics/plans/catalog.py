@@ -526,33 +526,34 @@ def daily_stream_table(spark: SparkSession, sf: str) -> str:
 
         base = f"{checkpoint_dir(spark).rstrip('/')}/skymetrics-daily-stream-{uuid.uuid4().hex}"
         landing.start_daily_summary(spark, landed_folder(spark, sf), f"{base}/table", f"{base}/checkpoint",
-                                    max_files_per_trigger=DAILY_STREAM_FILES).awaitTermination()
+                                    max_files_per_trigger=DAILY_STREAM_FILES, merge_every=DAILY_STREAM_MERGE).awaitTermination()
         return f"{base}/table"
     return fixture._memo(spark, ("daily_stream", sf), build)
 
 
 DAILY_STREAM_FILES = 1_500
+DAILY_STREAM_MERGE = 2
 
 
 @register("daily_summary_stream", _SQL["daily_summary"])
 def q_daily_summary_stream(spark, sf):
     """D1 kept up to date by a stream: every day that landed, in whatever batch."""
     from ..streaming import landing
-    return landing.daily_summary_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
+    return landing.daily_summary_so_far(landing.parts_so_far(spark, daily_stream_table(spark, sf)))
 
 
 @register("monthly_precipitation_stream", _SQL["monthly_precipitation"])
 def q_monthly_precipitation_stream(spark, sf):
     """A3 + A4 from the daily stream's parts: totals and rainy days of what has landed."""
     from ..streaming import landing
-    return landing.monthly_precipitation_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
+    return landing.monthly_precipitation_so_far(landing.parts_so_far(spark, daily_stream_table(spark, sf)))
 
 
 @register("coverage_hours_stream", _SQL["coverage_hours"])
 def q_coverage_hours_stream(spark, sf):
     """S7 by the hour from the daily stream's parts."""
     from ..streaming import landing
-    return landing.hour_coverage_so_far(spark.read.parquet(daily_stream_table(spark, sf)))
+    return landing.hour_coverage_so_far(landing.parts_so_far(spark, daily_stream_table(spark, sf)))
 
 
 @register("landed_stream", _SQL["landed_csv"])
@@ -874,7 +875,7 @@ def q_daily_rejects_stream(spark, sf):
                                     max_files_per_trigger=MALFORMED_STREAM_FILES).awaitTermination()
         return f"{base}/table"
 
-    return landing.rejects_so_far(spark.read.parquet(fixture._memo(spark, ("rejects_stream", sf), build)))
+    return landing.rejects_so_far(landing.parts_so_far(spark, fixture._memo(spark, ("rejects_stream", sf), build)))
 
 
 MALFORMED_STREAM_FILES = 20

@@ -12,7 +12,8 @@ validated exactly like the batch reader (``sources.csv_files.validate``).
   (dynamic partition overwrite), so a replayed batch overwrites rather than
   duplicates.
 * ``start_daily_summary`` - per micro-batch the parts of daily statistics, which
-  ``daily_summary_so_far`` adds up whatever the order files landed in.
+  ``daily_summary_so_far`` adds up whatever the order files landed in.  Parts of
+  older batches are merged, so that reading does not get dearer with every batch.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ from ..sources import csv_files as C
 
 # files of a micro-batch, unless the caller asks for other batches
 FILES_PER_BATCH = 10_000
+# batches whose parts of daily statistics are merged at once
+BATCHES_PER_MERGE = 50
+# folder of merged parts below the table's; Spark's readers leave out names with a leading underscore
+MERGED = "_merged"
 
 
 def landed_text_stream(spark: SparkSession, path: str, na_token: str = "NA",
@@ -128,11 +133,83 @@ def daily_parts(rows: DataFrame) -> DataFrame:
     )
 
 
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One row of ``daily_parts`` per (Station, Date) out of any number of them."""
+    added = ("SumTemperature", "Temperatures", "SumPrecipitation", "PrecipitationHours", "Rows", "Rejects")
+    how = dict.fromkeys(added, F.sum) | {"MinTemperature": F.min, "HourMask": F.bit_or}
+    names = [c for c in parts.columns if c not in ("Station", "Date", "BatchId")]
+    return parts.groupBy("Station", "Date").agg(*(how.get(c, F.max)(c).alias(c) for c in names))
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder in whatever store it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[int]:
+    """The numbers of the folders ``prefix``<number> in ``path``; ``committed`` leaves out those whose write did not end."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    named = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(prefix)]
+    if committed:
+        named = [p for p in named if fs.exists(_folder(spark, f"{p.toString()}/_SUCCESS")[1])]
+    return sorted(int(p.getName()[len(prefix):]) for p in named)
+
+
+def parts_so_far(spark: SparkSession, table_path: str) -> DataFrame:
+    """The table of ``start_daily_summary``: the newest merged parts and those of the batches after them.
+
+    How many rows are read depends on the station-days and on the batches since
+    the last merge, not on how many batches there were.
+    """
+    table_path = table_path.rstrip("/")
+    merged = _numbers(spark, f"{table_path}/{MERGED}", "upto-", committed=True)
+    if not merged:
+        return spark.read.parquet(table_path).drop("BatchId")
+    old = spark.read.parquet(f"{table_path}/{MERGED}/upto-{merged[-1]}")
+    new = spark.read.schema(f"{old._jdf.schema().toDDL()}, BatchId long").parquet(table_path)
+    return old.unionByName(new.filter(F.col("BatchId") > merged[-1]).drop("BatchId"))
+
+
+def parts_writer(table_path: str, every: int = BATCHES_PER_MERGE):
+    """``foreachBatch`` function: write a batch of ``daily_parts`` under its BatchId; each ``every``-th merges what there is.
+
+    A merge is a folder of its own, named by the last batch in it, and counts
+    once its write is committed, so a failure on the way loses and doubles
+    nothing; a batch replayed after its merge has nothing left to do.  What a
+    merge replaces stays until the next one, for readers that have begun.
+    """
+    table_path = table_path.rstrip("/")
+    if every < 1:
+        raise ValueError(f"every has to be 1 or more, not {every}")
+    write = batch_writer(table_path, partition_by=())
+
+    def run(parts: DataFrame, batch_id: int) -> None:
+        spark = parts.sparkSession
+        merged = _numbers(spark, f"{table_path}/{MERGED}", "upto-", committed=True)
+        if merged and batch_id <= merged[-1]:
+            return
+        write(parts, batch_id)
+        if (batch_id + 1) % every or not _numbers(spark, table_path, "BatchId="):
+            return
+        merge_parts(parts_so_far(spark, table_path)).write.mode("overwrite").parquet(f"{table_path}/{MERGED}/upto-{batch_id}")
+        if merged:
+            gone = [f"{table_path}/BatchId={n}" for n in _numbers(spark, table_path, "BatchId=") if n <= merged[-1]]
+            for path in [*gone, *(f"{table_path}/{MERGED}/upto-{n}" for n in merged[:-1])]:
+                fs, folder = _folder(spark, path)
+                fs.delete(folder, True)
+
+    return run
+
+
 def start_daily_summary(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
                         na_token: str = "NA", max_files_per_trigger: int = FILES_PER_BATCH,
-                        available_now: bool = True, on_bad: str = "reject") -> StreamingQuery:
+                        available_now: bool = True, on_bad: str = "reject", merge_every: int = BATCHES_PER_MERGE) -> StreamingQuery:
     """D1 kept up to date: each micro-batch adds its ``daily_parts`` to
-    ``table_path`` under its BatchId.
+    ``table_path`` under its BatchId, and each ``merge_every``-th merges them;
+    ``parts_so_far`` reads the table.
 
     No watermark: a row that lands late, in whatever batch, counts in
     ``daily_summary_so_far``, and a replayed batch replaces its parts.  The rows
@@ -140,18 +217,18 @@ def start_daily_summary(spark: SparkSession, landing_path: str, table_path: str,
     (``rejects_so_far``).
     """
     text = landed_text_stream(spark, landing_path, na_token, max_files_per_trigger)
-    write = batch_writer(table_path, partition_by=())
+    write = parts_writer(table_path, merge_every)
     w = text.writeStream.foreachBatch(lambda batch, batch_id: write(daily_parts(C.checked(batch, on_bad)), batch_id))
     return _trigger(w.option("checkpointLocation", checkpoint_location), available_now).start()
 
 
 def rejects_so_far(parts: DataFrame) -> DataFrame:
-    """(Station, Date, Rejects) of the station-days that lost rows, from the table of ``start_daily_summary``."""
+    """(Station, Date, Rejects) of the station-days that lost rows, from ``parts_so_far``."""
     return parts.groupBy("Station", "Date").agg(F.sum("Rejects").alias("Rejects")).filter("Rejects > 0")
 
 
 def daily_summary_so_far(parts: DataFrame) -> DataFrame:
-    """D1 from the table of ``start_daily_summary``: all days landed so far, open ones too."""
+    """D1 from ``parts_so_far``: all days landed so far, open ones too."""
     return parts.filter("Rows > 0").groupBy("Station", "Date").agg(
         F.max("MaxTemperature").alias("MaxTemperature"),
         rounded(F.try_divide(F.sum("SumTemperature"), F.sum("Temperatures"))).alias("AvgTemperature"),
@@ -163,7 +240,7 @@ def daily_summary_so_far(parts: DataFrame) -> DataFrame:
 
 
 def monthly_precipitation_so_far(parts: DataFrame) -> DataFrame:
-    """A3 + A4 from the table of ``start_daily_summary``: monthly totals and rainy days."""
+    """A3 + A4 from ``parts_so_far``: monthly totals and rainy days."""
     month = F.year("Date").alias("Year"), F.month("Date").alias("Month")
     return parts.filter("Rows > 0").groupBy("Station", *month).agg(
         total("SumPrecipitation").alias("TotalPrecipitation"),
@@ -171,6 +248,6 @@ def monthly_precipitation_so_far(parts: DataFrame) -> DataFrame:
 
 
 def hour_coverage_so_far(parts: DataFrame) -> DataFrame:
-    """S7 by the hour from the table of ``start_daily_summary``: which hours of each day have landed."""
+    """S7 by the hour from ``parts_so_far``: which hours of each day have landed."""
     landed = parts.filter(F.col("HourMask").isNotNull() & F.col("Date").isNotNull())
     return coverage.hour_coverage(landed.groupBy("Station", "Date").agg(F.bit_or("HourMask").alias("HourMask")))
