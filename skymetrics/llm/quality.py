@@ -1,9 +1,8 @@
 """Quality scores by supervised subword embeddings.
 
 Every word and every character n-gram inside a word (its two ends marked) has a
-learnt vector, found by hashing, and so has the event that a word repeats one of
-the two before it; a text is the average of its vectors, and a softmax over two
-classes gives the score.  The vectors are learnt by stochastic
+learnt vector, found by hashing; a text is the average of its vectors, and a
+softmax over two classes gives the score.  The vectors are learnt by stochastic
 gradient descent in numpy from a bounded sample on the driver.  For scoring, a
 vector and the output layer fold into one number per hash bucket.
 """
@@ -21,12 +20,10 @@ from pyspark.sql import DataFrame
 from skymetrics.llm.labelled import fold, labelled_sample
 from skymetrics.llm.text import SPACES, U64, Words, _byte_values, mix, slices, window_sums
 
-#: documents of either class that the vectors are learnt from, at most
+#: rows of either class that the vectors are learnt from, at most
 PER_CLASS = 1024
 BUCKET_BITS, SIZE = 18, 8
 GRAMS = (3, 4, 5)
-#: the bucket of repeated words
-REPEATED = 0
 EPOCHS, RATE, BATCH = 8, 0.5, 32
 
 
@@ -44,10 +41,6 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[np.ndarr
     words = Words(padded, np.array([0, len(padded)]), SPACES)
     hashes = words.hashes(seed=1)
     out = [((hashes >> shift).astype(np.int64), words.starts)]
-    text = np.searchsorted(at, words.starts, side="right")
-    for back in (1, 2):
-        again = back + np.flatnonzero((hashes[back:] == hashes[:-back]) & (text[back:] == text[:-back]))
-        out.append((np.full(len(again), REPEATED), words.starts[again]))
     values = _byte_values()[padded]
     spaces = np.concatenate([[0], np.cumsum(space)])
     for n in GRAMS:
@@ -117,7 +110,7 @@ VECTOR_RATE = 20.0
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held_out: int = 2,
           per_class: int = PER_CLASS) -> Embeddings:
-    """Embeddings learnt from at most ``per_class`` labelled documents of either class."""
+    """Embeddings learnt from at most ``per_class`` labelled rows of either class (see ``labelled_sample``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("label").to_pylist()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from skymetrics.llm.labelled import fold, labelled_sample
 from skymetrics.llm.text import LOWER, NOT_ALNUM, U64, Words, distinct, slices
 
-#: documents of either class that the machine learns from, at most
+#: rows of either class that the machine learns from, at most
 PER_CLASS = 4096
 #: hashed terms are numbers below this
 BUCKETS = 1 << 40
@@ -146,7 +146,7 @@ def _descend(terms: np.ndarray, term: np.ndarray, text: np.ndarray, y: np.ndarra
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,
           per_class: int = PER_CLASS) -> Machine:
-    """The machine learnt from at most ``per_class`` labelled documents of either class."""
+    """The machine learnt from at most ``per_class`` labelled rows of either class (see ``labelled_sample``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in slices(batch.column("text")):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from skymetrics.llm import quality, toxicity
+from skymetrics.llm.labelled import labelled_sample
 from skymetrics.llm.text import slices
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -101,3 +102,50 @@ def test_a_texts_score_does_not_depend_on_its_neighbours(spark):
     alone = [float(model.scores(d, o)[0]) for t in texts for _, _, d, o in slices(pa.array([t]))]
     (_, _, d, o), = slices(pa.array(texts), 1 << 30)
     assert np.allclose(alone, model.scores(d, o), atol=1e-6)
+
+
+def test_the_sample_is_bounded_by_rows_and_bytes(spark):
+    docs = frame(spark, [(1, f"text {i}") for i in range(500)] + [(2, "é" * 60), (3, "b"), (3, None), (4, "c"), (None, "d"), (5, "e")])
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (4, 0), (5, 2), (None, 1)], "doc_id long, toxic int")
+    sample = lambda n, split=1, longest=1 << 20: sorted(
+        tuple(r) for r in labelled_sample(docs.repartition(split), labels, "toxic", 1, 1, n, longest).collect())
+    every = sample(9)
+    assert [(i, y) for i, y, _ in every] == [(1, 1), (2, 0), (3, 0), (4, 0)] and every == sample(9, 5)
+    assert [i for i, _, _ in sample(9, longest=119)] == [1, 3, 4]
+    assert sum(y for _, y, _ in sample(1)) == 1 and len(sample(1)) <= 2
+
+
+def test_toxicity_is_the_sum_over_terms_and_pairs(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    machine = toxicity.train(docs, labels)
+    number = {int(t): i for i, t in enumerate(machine.terms)}
+    texts = [r.text or "" for r in docs.orderBy("doc_id").limit(40).collect()] + ["", None]
+    found = scores(machine, texts)
+    for text, got in zip(texts, found):
+        (mine,) = terms([text])
+        known = sorted(number[int(t)] for t in mine if int(t) in number)
+        margin = machine.bias + sum(machine.weights[i] for i in known)
+        margin += sum(float(machine.factors[i] @ machine.factors[j]) for i in known for j in known if i < j)
+        assert abs(got - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))) < 1e-9
+
+
+def test_quality_is_the_average_over_words_and_grams(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality.train(docs, labels)
+
+    def bucket(piece):  # the bucket of one word or n-gram, found by itself
+        (_, _, data, offsets), = slices(pa.array([piece]))
+        return quality.features(data, offsets)[0]
+
+    for text in ["plain words, twice plain words", "é ab", "", "one"] + [r.text or "" for r in docs.orderBy("doc_id").limit(5).collect()]:
+        text = text[:300]
+        (_, _, data, offsets), = slices(pa.array([text]))
+        values = []
+        for word in text.encode().split():
+            word = word.decode()
+            per_size = bucket(word)  # of a word alone: itself, then its n-grams by size
+            size = len(word.encode()) + 2
+            assert [len(b) for b, _ in per_size] == [1] + [max(0, size - n + 1) for n in quality.GRAMS]
+            values += [float(model.table[b]) for buckets, _ in per_size for b in buckets]
+        margin = (sum(values) / len(values) if values else 0.0) + model.bias
+        assert abs(float(model.scores(data, offsets)[0]) - 1 / (1 + np.exp(-margin))) < 1e-5
