@@ -28,7 +28,7 @@ from skymetrics.llm.text import SPACES, U64, Words, mix, slices, window_sums
 
 WINDOW = 35
 #: the first level has windows of this many words at least
-SHORTEST = 17
+SHORTEST = 9
 
 WINDOW_KEY = [("key", "<u8"), ("check", "<u4")]
 PLACE = [*ROW, ("at", "<i4")]
@@ -205,7 +205,8 @@ def _extended(window: int, shorter: int, length: int, n_parts: int):
 def repeated_windows(keyed: DataFrame, n_parts: int, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
     """Packed places of the windows of ``window`` words that start in more than one place.
 
-    ``keyed`` is what ``exchange.with_row_key`` makes of the documents.
+    ``keyed`` is what ``exchange.with_row_key`` makes of the documents.  The
+    first level is written; all later ones are one plan, which sends the texts once.
     """
     lengths = levels(window, shortest)
     # windows are small records: one part per task, and half the packets between window parts and document parts
@@ -221,11 +222,11 @@ def repeated_windows(keyed: DataFrame, n_parts: int, window: int = WINDOW, short
         yield from sender.send()
 
     found = keyed.mapInArrow(first, exchange.SCHEMA).groupBy("part").applyInArrow(_repeating(n_parts), exchange.SCHEMA)
-    for shorter, length in zip(lengths[:-1], lengths[1:], strict=True):
+    if len(lengths) > 1:
         found = stage(found, "windows")
         if found.isEmpty():
             return found
-
+    for shorter, length in zip(lengths[:-1], lengths[1:], strict=True):
         found = (
             keyed.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_extended(window, shorter, length, key_parts), exchange.SCHEMA)
             .groupBy("part").applyInArrow(_repeating(n_parts), exchange.SCHEMA)

@@ -26,7 +26,8 @@ RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 BLOCK_WORDS = ["ads", "adserver", "bets", "casino", "lottery", "malware", "phishing", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx"]
 #: each of them counts as seen this often, so that it is known where it never stands alone
 WORD_COUNT = 10
-LONGEST_WORD = 24
+#: long names are cut into parts that start this far apart, so that a place of a name costs no more for its length
+STRIDE = 256
 
 
 def with_host_and_path(pages: DataFrame) -> DataFrame:
@@ -69,14 +70,18 @@ def _path_words(path: Column) -> Column:
 
 def segment(name: str, found: dict[tuple[int, int], float], total: float) -> list[str]:
     """The most likely words of ``name``: ``found`` has log probabilities of known words by place, others cost by length."""
+    ending: list[list[tuple[int, float]]] = [[] for _ in range(len(name) + 1)]
+    for (i, j), p in found.items():
+        ending[j].append((i, p))
+    letter = math.log(10)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    # an unknown word costs a constant and its letters: the best start so far is best for every end
+    start = (0.0, 0)
     for j in range(1, len(name) + 1):
-        options = []
-        for i in range(max(0, j - LONGEST_WORD), j):
-            p = found.get((i, j))
-            options.append((best[i][0] + (math.log(10 / total) - (j - i) * math.log(10) if p is None else p), -i))
-        p, i = max(options)
+        unknown = (start[0] + math.log(10 / total) - j * letter, start[1])
+        p, i = max([unknown, *((best[i][0] + p, -i) for i, p in ending[j])])
         best.append((p, -i))
+        start = max(start, (p + j * letter, -j))
     out, j = [], len(name)
     while j:
         i = best[j][1]
@@ -86,21 +91,31 @@ def segment(name: str, found: dict[tuple[int, int], float], total: float) -> lis
 
 
 def _segmented(names: DataFrame, words: DataFrame, total: float) -> DataFrame:
-    """(name, tokens) for distinct names: their substrings are joined with the word counts, then searched."""
+    """(name, tokens) for distinct names: their substrings are joined with the word counts, then searched.
+
+    Substrings are looked at in the lengths that words have, and go under a
+    fixed-size digest of their name.
+    """
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    lengths = words.filter(F.length("word") <= longest).agg(F.array_sort(F.collect_set(F.length("word")))).first()[0]
+    names = names.withColumn("digest", F.sha2("name", 256))
+    most = max(lengths, default=0)
     spots = (
-        names.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("name") - 1)))
-        .withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("name") - F.col("i")))))
-        .withColumn("word", F.expr("substring(name, i + 1, n)"))
+        names.withColumn("part", F.explode(F.expr(f"sequence(0, (length(name) - 1) div {STRIDE})").cast("array<int>")))
+        .select("digest", (F.col("part") * STRIDE).alias("from"), F.expr(f"substring(name, part * {STRIDE} + 1, {STRIDE + most})").alias("text"))
+        .withColumn("at", F.explode(F.sequence(F.lit(0), F.least(F.lit(STRIDE), F.length("text")) - 1)))
+        .withColumn("n", F.explode(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("text") - F.col("at"))))
+        .select("digest", (F.col("from") + F.col("at")).alias("i"), "n", F.expr("substring(text, at + 1, n)").alias("word"))
     )
-    known = spots.join(words, "word").select("name", F.struct("i", (F.col("i") + F.col("n")).alias("j"), F.log(F.col("n_seen") / total).alias("p")).alias("spot"))
-    spots_of = known.groupBy("name").agg(F.collect_list("spot").alias("spots"))
+    known = spots.join(words, "word").select("digest", F.struct("i", (F.col("i") + F.col("n")).alias("j"), F.log(F.col("n_seen") / total).alias("p")).alias("spot"))
+    spots_of = known.groupBy("digest").agg(F.collect_list("spot").alias("spots"))
 
     @F.pandas_udf("array<string>")
     def search(name: pd.Series, spots: pd.Series) -> pd.Series:
         return pd.Series([segment(n, {} if s is None else {(x["i"], x["j"]): x["p"] for x in s}, total)
                           for n, s in zip(name, spots, strict=True)])
 
-    return names.join(spots_of, "name", "left").select("name", search("name", "spots").alias("tokens"))
+    return names.join(spots_of, "digest", "left").select("name", search("name", "spots").alias("tokens"))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, block_words: Sequence[str] = BLOCK_WORDS) -> DataFrame:
@@ -109,8 +124,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, block_word
     ``score`` is the model's log odds of block; without a rule, a page is
     blocked if it is above 0.  A url without a host has no tokens and the odds
     of the class sizes.  A NULL page_id is carried along, repeated rows are
-    judged each, an empty table gives an empty result.  Only page_id and url
-    are read.
+    judged each, an empty table gives an empty result; of equally likely cuts
+    of a name that with the longest last word is taken; hosts, paths and words may have any
+    length.  Only page_id and url are read, whatever the other columns' names.
     """
     spark = pages.sparkSession
     rows = stage(with_host_and_path(pages.select("page_id", "url")).select("page_id", "host", "path"), "urls")
@@ -124,7 +140,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, block_word
     total = float(words.agg(F.sum("n_seen")).first()[0])
     hosts = stage(urls.groupBy("host").agg(F.sum("n").alias("n")).withColumn("names", _parts(F.col("host"))), "hosts")
     names = hosts.select(F.explode("names").alias("name")).distinct()
-    segmented = stage(_segmented(names, words.filter(F.length("word") <= LONGEST_WORD), total), "segmented")
+    segmented = stage(_segmented(names, words, total), "segmented")
     tokens = stage(
         hosts.select("host", "n", F.explode("names").alias("name")).join(segmented, "name")
         .select("host", "n", F.explode("tokens").alias("token")), "host_tokens")

@@ -42,7 +42,7 @@ def rows(seed):
                   (64, "same row " * 9), (64, "same row " * 9), (64, "another " + passages[1])]
 
 
-@pytest.mark.parametrize("window, shortest", [(7, 2), (5, 17), (12, 5)])
+@pytest.mark.parametrize("window, shortest", [(7, 2), (5, 17), (12, 5), (20, 2)])
 def test_equals_brute_force(spark, window, shortest):
     data = rows(window)
     assert got(remove_repeats(frame(spark, data), window, shortest)) == brute(data, window)
@@ -62,5 +62,21 @@ def test_levels_at_most_double():
         assert found[-1] == window and all(a < b <= 2 * a for a, b in zip(found[:-1], found[1:]))
 
 
+def test_the_search_starts_short_and_doubles():
+    assert levels(35) == [9, 18, 35] and levels(50) == [13, 25, 50]
+
+
+def test_repeats_of_every_length_up_to_the_window_and_beyond(spark):
+    r = random.Random(9)
+    fresh = lambda n: [f"u{r.randrange(10**9)}" for _ in range(n)]
+    data = []
+    for n in (5, 8, 9, 10, 17, 18, 19, 26, 34, 35, 36, 52, 70, 71):
+        passage = fresh(n)
+        data += [(len(data) + k, " ".join(fresh(r.randrange(40)) + passage + fresh(r.randrange(40)))) for k in range(3)]
+    out = remove_repeats(frame(spark, data))
+    assert got(out) == brute(data, 35)
+    assert {x.n_removed for x in out.collect()} == {0, 35, 36, 52, 70, 71}
+
+
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).count() == 0

@@ -1,11 +1,12 @@
 import math
+import random
 import re
 from collections import Counter
 
 from pyspark.sql import types as T
 
 from skymetrics.llm import url_filter
-from skymetrics.llm.url_filter import BLOCK_WORDS, LONGEST_WORD, RULES, WORD_COUNT, judge, segment
+from skymetrics.llm.url_filter import BLOCK_WORDS, RULES, WORD_COUNT, judge, segment
 
 SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
                        T.StructField("host", T.StringType()), T.StructField("score", T.LongType())])
@@ -53,7 +54,7 @@ def brute(rows):
     def tokens(host):
         out = []
         for name in parts(host):
-            found = {(i, j): math.log(words[name[i:j]] / total) for i in range(len(name)) for j in range(i + 1, min(len(name), i + LONGEST_WORD) + 1) if name[i:j] in words}
+            found = {(i, j): math.log(words[name[i:j]] / total) for i in range(len(name)) for j in range(i + 1, len(name) + 1) if name[i:j] in words}
             out += segment(name, found, total)
         return out
     bags = [(tokens(h), path_words(p)) for h, p in cuts]
@@ -100,5 +101,31 @@ def test_segment_takes_the_likeliest_words():
     assert segment("", {}, 1.0) == []
 
 
+def test_long_words_and_names_are_whole(spark):
+    known, unknown = "donaudampfschifffahrtsgesellschaft", "q" * 700
+    rows = [(i, f"http://a{i}.example.org/{known}/x") for i in range(9)]
+    rows += [(20, f"http://cheap{known}{unknown}.example.org/"), (21, f"http://{'n' * 250}{known}.example.org/")]
+    r = {r.page_id: r for r in judge(frame(spark, rows)).collect()}
+    assert known in r[20].tokens and unknown in r[20].tokens and known in r[21].tokens
+    assert got(spark, rows) == brute(rows)
+
+
+def test_segment_equals_a_search_over_all_starts():
+    def slow(name, found, total):
+        best = [(0.0, ())]
+        for j in range(1, len(name) + 1):
+            best.append(max((best[i][0] + found.get((i, j), math.log(10 / total) - (j - i) * math.log(10)), best[i][1] + (i,)) for i in range(j)))
+        return best[-1][0]
+    r = random.Random(5)
+    for _ in range(200):
+        name, total = "".join(r.choice("ab") for _ in range(r.randrange(1, 40))), 1000.0
+        found = {(i, j): math.log(r.randrange(1, 50) / total) for i in range(len(name)) for j in range(i + 1, len(name) + 1) if r.random() < 0.05}
+        cut, cost, at = segment(name, found, total), 0.0, 0
+        for word in cut:
+            cost += found.get((at, at + len(word)), math.log(10 / total) - len(word) * math.log(10))
+            at += len(word)
+        assert "".join(cut) == name and abs(cost - slow(name, found, total)) < 1e-9
+
+
 def test_empty_table(spark):
     assert url_filter.judge(frame(spark, [])).count() == 0
