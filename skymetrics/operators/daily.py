@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_mean, total, units
+from ..functions.stats import binary_sum, exact_mean, total
 from .aggregates import Keys, rainy
 
-# Resolution of the wind vector components summed for the dominant direction.
-VECTOR_SCALE = 6
-
 
 def daily_summary(obs: DataFrame, by: Keys = ("Station",), ordered: bool = True) -> DataFrame:
     """MaxTemperature, AvgTemperature, MinTemperature, TotalPrecipitation,
@@ -34,16 +31,21 @@ def daily_weather_code(obs: DataFrame, by: Keys = ("Station",), ordered: bool =
     return out.orderBy(*keys) if ordered else out
 
 
-def dominant_direction(speed: str = "WindSpeed", direction: str = "WindDirection") -> Column:
-    """Speed-weighted vector mean of the direction, in [0, 360), 3 decimals.
-
-    The east/north components are accumulated as integers of 1e-6 so the
-    result does not depend on the order rows are summed in.
-    """
+def wind_vector(speed: str = "WindSpeed", direction: str = "WindDirection") -> tuple[Column, Column]:
+    """Summed (east, north) components in one exact unit, so neither the order of rows nor their number blurs them."""
     rad = F.radians(F.col(direction))
-    east = F.sum(units(F.col(speed) * F.sin(rad), VECTOR_SCALE)).cast("double")
-    north = F.sum(units(F.col(speed) * F.cos(rad), VECTOR_SCALE)).cast("double")
-    return F.round(F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0)), 3)
+    return binary_sum(F.col(speed) * F.sin(rad)), binary_sum(F.col(speed) * F.cos(rad))
+
+
+def direction_of(east: Column, north: Column) -> Column:
+    """Direction of a summed vector in [0, 360), 3 decimals; 0 for one without length."""
+    degrees = F.round(F.degrees(F.atan2(east.cast("double"), north.cast("double"))), 3)  # before the turn, so that 360 is none
+    return F.round(F.pmod(degrees, F.lit(360.0)), 3)
+
+
+def dominant_direction(speed: str = "WindSpeed", direction: str = "WindDirection") -> Column:
+    """Speed-weighted vector mean of the direction, in [0, 360), 3 decimals."""
+    return direction_of(*wind_vector(speed, direction))
 
 
 def daily_wind_direction(obs: DataFrame, by: Keys = ("Station",), ordered: bool = True) -> DataFrame:

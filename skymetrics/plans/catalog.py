@@ -317,14 +317,14 @@ def q_daily_weather_code(spark, sf):
 
 
 def _vec(f: str) -> str:
-    return f"CAST(sum(floor(WindSpeed * {f}(radians(WindDirection)) * 1000000.0::DOUBLE + 0.5)) AS DOUBLE)"
+    return f"sum(WindSpeed * {f}(radians(WindDirection)))"
 
 
 @register(
     "daily_wind_direction",
     O.with_obs(
-        f"SELECT Station, Date, round(CASE WHEN d < 0 THEN d + 360.0 ELSE d END, 3) AS DominantWindDirection FROM ("
-        f"SELECT Station, Date, degrees(atan2({_vec('sin')}, {_vec('cos')})) AS d FROM obs "
+        f"SELECT Station, Date, round(CASE WHEN d < 0 THEN d + 360.0 ELSE abs(d) END, 3) AS DominantWindDirection FROM ("
+        f"SELECT Station, Date, round(degrees(atan2({_vec('sin')}, {_vec('cos')})), 3) AS d FROM obs "
         "WHERE WindDirection IS NOT NULL AND WindSpeed IS NOT NULL GROUP BY Station, Date)"
     ),
 )

@@ -8,7 +8,7 @@ produces three grains in a single scan and a single shuffle:
 * (Station, Hour)          -> hour-of-day profiles
 * (Station, WindDirection) -> wind table and wind rose
 
-Every measure is kept as mergeable parts (integer sums of hundredths, counts,
+Every measure is kept as mergeable parts (exact DECIMAL sums, counts,
 minima, maxima), so the monthly tables are exact roll-ups of the daily rows:
 rainy days become "days whose rain-hour count is positive" without a second
 distinct aggregation over raw rows.  The aggregate is small (stations x days)
@@ -23,8 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import rounded, units
-from ..operators.daily import VECTOR_SCALE
+from ..functions.stats import exact_parts, mean_of, merged, total_of
+from ..operators.daily import direction_of, wind_vector
 from ..sources.sinks import persist_table
 
 STAT_MEASURES = ("Temperature", "Humidity", "Pressure")
@@ -34,17 +34,17 @@ GRAINS = {"day": "Date", "hour": "Hour", "direction": "WindDirection"}
 def _parts() -> list[Column]:
     cols: list[Column] = [F.count(F.lit(1)).alias("Rows")]
     for m in STAT_MEASURES + ("Precipitation", "WindSpeed"):
-        cols += [F.sum(F.col(m).cast("double")).alias(f"{m}_s"), F.count(m).alias(f"{m}_n")]
+        cols += [exact_parts(m).alias(f"{m}_s"), F.count(m).alias(f"{m}_n")]
     for m in STAT_MEASURES:
         cols += [F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
-    rad = F.radians(F.col("WindDirection"))
+    east, north = wind_vector()  # rows without a speed or a direction have no components
     both = F.col("WindDirection").isNotNull() & F.col("WindSpeed").isNotNull()
     cols += [
         F.count_if(F.col("Precipitation") > 0).alias("RainHours"),
         F.max("WindSpeed").alias("WindSpeed_max"),
         F.max("WeatherCode").alias("WeatherCode_max"),
-        F.sum(F.when(both, units(F.col("WindSpeed") * F.sin(rad), VECTOR_SCALE))).alias("East"),
-        F.sum(F.when(both, units(F.col("WindSpeed") * F.cos(rad), VECTOR_SCALE))).alias("North"),
+        east.alias("East"),
+        north.alias("North"),
         F.count_if(both).alias("Vectors"),
     ]
     return cols
@@ -73,11 +73,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _mean(m: str, s: str | None = None, n: str | None = None) -> Column:
-    return rounded(F.try_divide(F.col(s or f"{m}_s"), F.col(n or f"{m}_n")))
+    return mean_of(s or f"{m}_s", n or f"{m}_n")
 
 
 def _sum_parts(m: str) -> list[Column]:
-    return [F.sum(f"{m}_s").alias(f"{m}_s"), F.sum(f"{m}_n").alias(f"{m}_n")]
+    return [merged(f"{m}_s").alias(f"{m}_s"), F.sum(f"{m}_n").alias(f"{m}_n")]
 
 
 def _mmm(m: str) -> list[Column]:
@@ -85,7 +85,7 @@ def _mmm(m: str) -> list[Column]:
 
 
 def _total(m: str) -> Column:
-    return F.coalesce(rounded(f"{m}_s"), F.lit(0.0))
+    return total_of(f"{m}_s")
 
 
 def slice_of(agg: DataFrame, grain: str) -> DataFrame:
@@ -162,8 +162,7 @@ def daily_precipitation(agg, by=("Station",)):
 
 def daily_wind_direction(agg, by=("Station",)):
     d = slice_of(agg, "day").filter(F.col("Date").isNotNull() & (F.col("Vectors") > 0))
-    ang = F.degrees(F.atan2(F.col("East").cast("double"), F.col("North").cast("double")))
-    return d.select(*by, "Date", F.round(F.pmod(ang, F.lit(360.0)), 3).alias("DominantWindDirection"))
+    return d.select(*by, "Date", direction_of(F.col("East"), F.col("North")).alias("DominantWindDirection"))
 
 
 def daily_weather_code(agg, by=("Station",)):

@@ -2,8 +2,8 @@
 
 The SQL is written against the raw shared tables; ``OBS`` rebuilds the
 fixture observations with the same column mapping, so each statement checks
-the Spark plan end to end.  Sums and means are plain ``sum`` and ``avg``; as on
-the Spark side only the result is rounded, to 6 digits.
+the Spark plan end to end.  Sums add the decimal numbers that the values' texts
+name, and become doubles once; means are such a sum by the number of values.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from ..sources.fixture import FIXTURE_STATIONS
 _CODES = ", ".join(str(c) for c in WMO_CODE_LIST)
 
 
-def mean(x: str) -> str:
-    return f"round(avg({x}) + 1e-10::DOUBLE, 6)"
+def ssum(x: str) -> str:
+    return f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12))) AS VARCHAR) AS DOUBLE)"
 
 
-def ssum(x: str) -> str:
-    return f"round(sum({x}) + 1e-10::DOUBLE, 6)"
+def mean(x: str) -> str:
+    return f"{ssum(x)} / count({x})"
 
 
 def total(x: str) -> str:

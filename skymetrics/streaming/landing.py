@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import masks
-from ..functions.stats import rounded, total
+from ..functions.stats import exact_parts, mean_of, merged, total_of
 from ..operators import coverage
 from ..sources import csv_files as C
 
@@ -121,10 +121,10 @@ def daily_parts(rows: DataFrame) -> DataFrame:
     date = F.when(kept, F.to_date("Time")).otherwise(F.coalesce(F.to_date("Time"), C.date_of_file("SourceFile")))
     return rows.groupBy("Station", date.alias("Date")).agg(
         F.max(of_kept("Temperature")).alias("MaxTemperature"),
-        F.sum(of_kept("Temperature")).alias("SumTemperature"),
+        exact_parts(of_kept("Temperature")).alias("SumTemperature"),
         F.count(of_kept("Temperature")).alias("Temperatures"),
         F.min(of_kept("Temperature")).alias("MinTemperature"),
-        F.sum(of_kept("Precipitation")).alias("SumPrecipitation"),
+        exact_parts(of_kept("Precipitation")).alias("SumPrecipitation"),
         F.count_if(of_kept("Precipitation") > 0).alias("PrecipitationHours"),
         F.max(of_kept("WindSpeed")).alias("MaxWindSpeed"),
         masks.hours(of_kept("Time")).alias("HourMask"),
@@ -136,7 +136,7 @@ def daily_parts(rows: DataFrame) -> DataFrame:
 def merge_parts(parts: DataFrame) -> DataFrame:
     """One row of ``daily_parts`` per (Station, Date) out of any number of them."""
     added = ("SumTemperature", "Temperatures", "SumPrecipitation", "PrecipitationHours", "Rows", "Rejects")
-    how = dict.fromkeys(added, F.sum) | {"MinTemperature": F.min, "HourMask": F.bit_or}
+    how = dict.fromkeys(added, F.sum) | {"SumTemperature": merged, "SumPrecipitation": merged, "MinTemperature": F.min, "HourMask": F.bit_or}
     names = [c for c in parts.columns if c not in ("Station", "Date", "BatchId")]
     return parts.groupBy("Station", "Date").agg(*(how.get(c, F.max)(c).alias(c) for c in names))
 
@@ -231,9 +231,9 @@ def daily_summary_so_far(parts: DataFrame) -> DataFrame:
     """D1 from ``parts_so_far``: all days landed so far, open ones too."""
     return parts.filter("Rows > 0").groupBy("Station", "Date").agg(
         F.max("MaxTemperature").alias("MaxTemperature"),
-        rounded(F.try_divide(F.sum("SumTemperature"), F.sum("Temperatures"))).alias("AvgTemperature"),
+        mean_of(merged("SumTemperature"), F.sum("Temperatures")).alias("AvgTemperature"),
         F.min("MinTemperature").alias("MinTemperature"),
-        total("SumPrecipitation").alias("TotalPrecipitation"),
+        total_of(merged("SumPrecipitation")).alias("TotalPrecipitation"),
         F.sum("PrecipitationHours").alias("PrecipitationHours"),
         F.max("MaxWindSpeed").alias("MaxWindSpeed"),
     )
@@ -243,7 +243,7 @@ def monthly_precipitation_so_far(parts: DataFrame) -> DataFrame:
     """A3 + A4 from ``parts_so_far``: monthly totals and rainy days."""
     month = F.year("Date").alias("Year"), F.month("Date").alias("Month")
     return parts.filter("Rows > 0").groupBy("Station", *month).agg(
-        total("SumPrecipitation").alias("TotalPrecipitation"),
+        total_of(merged("SumPrecipitation")).alias("TotalPrecipitation"),
         masks.size(masks.days_of_month(F.when(F.col("PrecipitationHours") > 0, F.col("Date")))).cast("long").alias("RainyDays"))
 
 

@@ -74,9 +74,9 @@ def test_parts_of_old_batches_are_merged(spark, scratch):
 
 def test_merge_survives_failures(spark, scratch):
     table = os.path.join(scratch, "table")
-    schema = ("Station string, Date date, MaxTemperature double, SumTemperature double, Temperatures long, MinTemperature double, "
-              "SumPrecipitation double, PrecipitationHours long, MaxWindSpeed double, HourMask long, Rows long, Rejects long")
-    part = spark.sql("SELECT 'A', DATE'2024-01-01', 1D, 1D, 1L, 1D, 0.5D, 1L, 2D, 1L, 1L, 0L").toDF(*[c.split()[0] for c in schema.split(", ")])
+    schema = ("Station string, Date date, MaxTemperature double, SumTemperature decimal(36,12), Temperatures long, MinTemperature double, "
+              "SumPrecipitation decimal(36,12), PrecipitationHours long, MaxWindSpeed double, HourMask long, Rows long, Rejects long")
+    part = spark.sql("SELECT 'A', DATE'2024-01-01', 1D, CAST(1 AS DECIMAL(36,12)), 1L, 1D, CAST(0.5 AS DECIMAL(36,12)), 1L, 2D, 1L, 1L, 0L").toDF(*[c.split()[0] for c in schema.split(", ")])
     write = landing.parts_writer(table, 2)
 
     def total():
