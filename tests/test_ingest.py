@@ -57,6 +57,22 @@ def test_station_from_directory_name(spark, scratch):
     assert sorted(r.Station for r in obs.collect()) == ["El Hierro", "Gran Canaria"]
 
 
+def test_lines_of_whole_files(spark, scratch):
+    texts = {"long": "\ufeff\n Time,Temperature\r\n" + "".join(f"2024-01-01T{i % 24:02d}:00,{i}\n\n  \n" for i in range(3000)),
+             "header": "Time,Humidity", "closed": "Time,Pressure\n", "blank": "Time,Note\n\n  \n", "quoted": 'Time,"a,b"\n1,"x ""y"", z"'}
+    for name, text in texts.items():
+        with open(os.path.join(scratch, f"{name}.csv"), "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    got = csv_files.read_lines(spark, scratch).select(F.regexp_extract("SourceFile", r"([a-z]+)\.csv$", 1).alias("file"), "Names", "Cells", "Line").collect()
+    long = [r for r in got if r.file == "long"]
+    assert {tuple(r.Names) for r in long} == {("Time", "Temperature")}
+    assert sorted(int(r.Cells[1]) for r in long) == list(range(3000))
+    # a file that is only a header gives a row without a line, blank lines none
+    assert sorted((r.file, tuple(r.Names), r.Cells and tuple(r.Cells), r.Line) for r in got if r.file != "long") == [
+        ("header", ("Time", "Humidity"), None, None),
+        ("quoted", ("Time", "a,b"), ("1", 'x "y", z'), '1,"x ""y"", z"')]
+
+
 def test_missing_input_raises(spark, scratch):
     with pytest.raises(FileNotFoundError):
         csv_files.read_text(spark, os.path.join(scratch, "nope"))

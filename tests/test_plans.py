@@ -97,6 +97,19 @@ def test_lines_do_not_move_to_their_header(spark, name):
     assert "Exchange" not in p and "Join" not in p and p.count("FileScan text") <= 1
 
 
+@pytest.mark.parametrize("name", ["landed_csv", "landed_list", "landed_headers"])
+def test_a_line_carries_neither_its_files_text_nor_unparsed_cells(spark, name):
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
+    lines = [x for x in p.splitlines() if "Generate explode(" in x]
+    # the generator that makes lines of a text hands on the file's name and header, not its text or all its lines
+    assert len(lines) == 1 and not re.search(r"\[[^\]]*(_text|_lines|value)#[^\]]*\], true", lines[0])
+    # it is no node of generated code, which would collect a file's lines before handing them on
+    assert "*(" not in lines[0]
+    # header cells come from below it, and each cell is looked at once, whatever filters follow
+    assert "regexp_extract" not in p[:p.index("Generate explode(")].replace("/Station=", "").split("Generate inline")[-1]
+    assert p.count(" INSET ") == len(csv_files.CSV_COLUMNS)
+
+
 def test_multi_location_has_no_window_over_days(spark):
     p = plan(catalog.queries()["multi_location"](spark, SF_SMALL))
     assert "Window" not in p and "SortMergeJoin" not in p
