@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from skymetrics.llm import exchange
 from skymetrics.llm.components import components
 from skymetrics.llm.exchange import FLUSH, ROW, ROW_NAMES, ROW_STRUCT, copy_rows, original_id, row_array, unpacked
-from skymetrics.llm.staging import stage
-from skymetrics.llm.text import LOWER, SPACES, U64, Words, distinct, mix, shingles, slices
+from skymetrics.llm.staging import TEXT_ROWS, stage
+from skymetrics.llm.text import LOWER, SPACES, U64, Words, distinct, give_back, mix, shingles, slices
 
 WIDTH, PERCENT = 5, 80
 #: size bands grow by this factor; a sketch has this many bits per chunk
@@ -265,6 +265,7 @@ def _near(places: DataFrame, sketches: DataFrame, n_parts: int, percent: int) ->
 
 def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what other steps left
         sender = _Sender(n_parts)
         for batch in batches:
             rows = row_array(batch)
@@ -284,6 +285,7 @@ def _candidates(keyed: DataFrame, n_parts: int, width: int, percent: int) -> Dat
                     records[name] = owners[name][of]
                 yield from sender.add(records, owners, _bit_sketches(keys, owner, sizes))
         yield from sender.send()
+        give_back()
 
     return keyed.drop("part").mapInArrow(sketch, exchange.SCHEMA).groupBy("part").applyInArrow(_meet, FOUND_SCHEMA)
 
@@ -405,7 +407,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
         raise ValueError(f"percent is from 1 to 100, not {percent}")
     n_parts = exchange.parts(docs.sparkSession)
     keyed = exchange.with_row_key(docs, n_parts)
-    found = stage(_candidates(keyed, n_parts, width, percent), "candidates")
+    found = stage(_candidates(keyed, n_parts, width, percent), "candidates", TEXT_ROWS)
     rows = found.filter(F.col("kind") == OWNERS).select("row", F.col("a").alias("node"))
     sketches = found.filter(F.col("kind") == SKETCHES).select(F.col("a").alias("node"), "sketch")
     least = F.min("row").alias("row"), F.count(F.lit(1)).alias("held")
@@ -422,7 +424,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
         return stage(_near(places, sketches, n_parts, percent).join(sets.select("node", "row"), "node"), name)
 
     def links(places: DataFrame) -> DataFrame:
-        return stage(_linked(keyed, places, n_parts, width, percent), "links")
+        return stage(_linked(keyed, places, n_parts, width, percent), "links", TEXT_ROWS)
 
     reached = components(links(wanted(_star_places(near), "near")))
     places = wanted(_open_places(stars, reached), "open_places")

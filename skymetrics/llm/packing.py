@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from skymetrics.llm.byte_bpe import _texts, byte_characters
 from skymetrics.llm.pretokens import Encoder
-from skymetrics.llm.staging import stage
-from skymetrics.llm.text import memo, slices
+from skymetrics.llm.staging import TEXT_ROWS, stage
+from skymetrics.llm.text import give_back, memo, slices
 
 CAPACITY, END_ID = 2048, 1
 #: the smallest class of cut pieces has this many to a bin
@@ -105,6 +105,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
         definition = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what other steps left
         tokens = memo(("tokenizer", hash(definition)), lambda: _Tokens(definition))
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = {}
@@ -125,6 +126,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
                     columns.append(pa.array([ids[p:p + n].astype(np.int32) for p, n in zip(places, lengths, strict=True)], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -163,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     A NULL doc_id is carried along, repeated rows are packed each, and an empty
     table gives an empty result.  Other columns are not read.
     """
-    pieces = stage(cut_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
+    pieces = stage(cut_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces", TEXT_ROWS)
     by_task = Window.partitionBy("length").orderBy("task")
     counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = stage(counts.withColumn("before", F.sum("n").over(by_task) - F.col("n")), "counts")

@@ -8,6 +8,7 @@ wraps.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 
 #: separators of plain words: space and the control characters 9 to 13
@@ -36,6 +37,15 @@ def memo(key: object, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def give_back() -> None:
+    """Return the memory that ended work has left free in this worker; Spark keeps workers, and without this each keeps its largest task's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no GNU C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the whole word (the splitmix64 finaliser)."""
     x = x ^ (x >> U64(30))
@@ -67,7 +77,7 @@ def _make_powers(bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 def window_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """Polynomial hash of ``values[start:end]``, the same wherever the values stand."""
     n = len(values)
-    power, inverse = _powers(max(21, int(n).bit_length()), seed)
+    power, inverse = _powers(max(20, int(n).bit_length()), seed)
     total = np.empty(n + 1, U64)
     total[0] = 0
     np.cumsum(values * power[:n], out=total[1:])
