@@ -209,6 +209,35 @@ def test_daily_csv_keeps_seconds_copies_and_other_stations(spark, scratch):
     assert rows(back) == rows(first.unionByName(copies).unionByName(other).select(back.columns))
 
 
+def test_files_are_listed_once(spark, scratch):
+    for station in ("A", "B", "C"):
+        for day in (1, 2):
+            _land(scratch, station, 1, 2, f"2024-01-0{day}", [f"2024-01-0{day}T00:00,1,2,0,0,3,4,1000"])
+    folders = sorted(os.path.join(scratch, d) for d in os.listdir(scratch))
+    sc, key = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
+    def jobs(group, run):
+        sc.setJobGroup(group, group)
+        try:
+            return run(), len(sc.statusTracker().getJobIdsForGroup(group))
+        finally:
+            sc._jsc.clearJobGroup()
+
+    def guard():
+        return files.agg(F.count(F.lit(1)), F.collect_list(F.when(F.col("length") > 1, F.col("path")))).first()
+
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")  # each listing is a job or more
+    try:
+        files, listing = jobs("listing", lambda: spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(folders))
+        _, counting = jobs("counting", guard)
+        found, reading = jobs("reading", lambda: csv_files.load_observations(spark, folders))
+    finally:
+        spark.conf.set(key, before)
+    assert listing > 0 and reading == listing + counting
+    assert sorted((r.Station, r.Time.day) for r in found.collect()) == [(s, d) for s in "ABC" for d in (1, 2)]
+
+
 def test_read_by_layout_stacks_files_by_name(spark, scratch):
     for d, t in (("2024-01-01", "1.5"), ("2024-01-02", "2.5")):
         _land(scratch, "A", 1, 2, d, [f"{d}T00:00,{t},80"], header="Time,Temperature,Humidity")
